@@ -18,7 +18,7 @@ def order_statistic(
 
     `position(n)` is the zero-based, possibly fractional rank, which must lie within one
     row of `share * n`.  An approximate quantile sketch brackets the rank; only the values inside that
-    narrow bracket (about `4 n / BOUND_ACCURACY` of them, as value counts) are ordered.
+    narrow bracket (at most about `4 n / BOUND_ACCURACY` distinct ones) are ordered.
     The nearest values outside the bracket are kept, so the answer is exact for every n.
     """
     margin = 2.0 / BOUND_ACCURACY
@@ -38,21 +38,17 @@ def order_statistic(
     inside = values.where(F.col("x").between(low, high)).groupBy("x").agg(F.count("x").alias("c"))
     upto = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = inside.withColumn("upto", F.sum("c").over(upto))
-    # The bracket is folded into one bounded array, so `outside` and it meet in one row.
-    folded = ranked.agg(F.array_sort(F.collect_list(F.struct("upto", "x"))).alias("steps"))
-    one = outside.withColumn("steps", folded.scalar()).withColumn("position", position(F.col("n")))
+    where = position(F.col("n"))
+    low_rank = F.floor(where)
+    high_rank = F.least(low_rank + 1, F.col("n") - 1)
 
     def at(rank: Column) -> Column:
-        hit = F.filter("steps", lambda s: s["upto"] + F.col("below") > rank)
-        return (
-            F.when(rank < F.col("below"), F.col("previous"))
-            .when(F.size(hit) > 0, F.element_at(hit, 1)["x"])
-            .otherwise(F.col("next"))
-        )
-
-    low_rank = F.floor("position")
-    high_rank = F.least(low_rank + 1, F.col("n") - 1)
-    return one.select("n", "position", at(low_rank).alias("low_value"), at(high_rank).alias("high_value"))
+        needed = outside.select(rank - F.col("below")).scalar()
+        hit = ranked.agg(F.min(F.when(F.col("upto") > needed, F.col("x")))).scalar()
+        return F.when(rank < F.col("below"), F.col("previous")).otherwise(F.coalesce(hit, F.col("next")))
+
+    return outside.select(
+        "n", where.alias("position"), at(low_rank).alias("low_value"), at(high_rank).alias("high_value"))
 
 
 def exact_quantile(df: DataFrame, column: str, share: float) -> DataFrame:

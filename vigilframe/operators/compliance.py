@@ -105,7 +105,7 @@ def compliance_document(df: DataFrame, as_of: str) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct((-F.col("failures")).alias("o"), "check_name", "failures"))).alias("a"))
         .select(F.map_from_entries(F.transform("a", lambda x: F.struct(x["check_name"], x["failures"]))).alias("m"))
     )
-    advice = recommendations(df).agg(
+    advice = recommendations(counts).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("position", "recommendation"))),
                     lambda r: r["recommendation"]).alias("a")
     )

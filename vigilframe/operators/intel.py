@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigilframe.functions.severity import severity_rank
 from vigilframe.functions.timing import instant
 
 INDICATOR_TYPES = ("ip", "domain", "url", "hash")
@@ -36,10 +37,20 @@ def observables(logs: DataFrame, row_id: str, keep: tuple[str, ...] = ()) -> Dat
     return logs.select(row_id, *keep, F.inline(pairs)).where("value IS NOT NULL")
 
 
+def listed(indicators: DataFrame) -> DataFrame:
+    """One row per distinct indicator: its worst level, first description and number of entries.
+
+    Feeds repeat indicators; folding the copies keeps every join at one partner per value.
+    """
+    best = F.max(F.struct(severity_rank(F.col("threat_level")).alias("rank"), "threat_level"))
+    return indicators.groupBy("type", F.col("indicator").alias("value")).agg(
+        best["threat_level"].alias("threat_level"), F.min("description").alias("description"),
+        F.count("*").alias("entries"))
+
+
 def _hits(logs: DataFrame, indicators: DataFrame, row_id: str) -> DataFrame:
     """Distinct ids of log rows with at least one indicator of the matching type."""
-    wanted = indicators.select("type", F.col("indicator").alias("value"))
-    return observables(logs, row_id).join(wanted, ["type", "value"], "left_semi").select(row_id).distinct()
+    return observables(logs, row_id).join(listed(indicators), ["type", "value"], "left_semi").select(row_id).distinct()
 
 
 def correlate(logs: DataFrame, indicators: DataFrame, row_id: str) -> DataFrame:
@@ -61,18 +72,15 @@ def clean_logs(logs: DataFrame, indicators: DataFrame, row_id: str) -> DataFrame
 
 
 def enrich(logs: DataFrame, indicators: DataFrame, row_id: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per (log row, matching indicator row) with its level and description."""
-    wanted = indicators.select("type", F.col("indicator").alias("value"), "threat_level", "description")
-    return observables(logs, row_id, keep).join(wanted, ["type", "value"])
+    """One row per (log row, matching indicator) with the level, description and feed entries."""
+    return observables(logs, row_id, keep).join(listed(indicators), ["type", "value"])
 
 
 def indicator_hits(logs: DataFrame, indicators: DataFrame, row_id: str) -> DataFrame:
     """Contacts per indicator.
 
     Observables are counted per value before the join, so a value seen in a third of all
-    rows joins as one row; repeated indicator rows are reduced to one.
+    rows joins as one row.
     """
-    wanted = indicators.groupBy("type", F.col("indicator").alias("value")).agg(
-        F.min("threat_level").alias("threat_level"))
     seen = observables(logs, row_id).groupBy("type", "value").agg(F.count("*").alias("hits"))
-    return seen.join(wanted, ["type", "value"])
+    return seen.join(listed(indicators), ["type", "value"])

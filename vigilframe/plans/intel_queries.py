@@ -54,20 +54,23 @@ def clean_logs(spark, sf):
     return left.select(*_BEAT.split(", "))
 
 
-@query("intel_enriched", V.with_views("v_observables v_indicators", """
-    SELECT o.type, o.value, o.log_id, o.host, i.threat_level, i.description
-    FROM v_observables o JOIN v_indicators i ON o.type = i.type AND o.value = i.indicator"""))
+_LISTED = """listed AS (SELECT type, indicator AS value, count(*) AS entries, min(description) AS description,
+      arg_max(threat_level, CASE threat_level WHEN 'critical' THEN 4 WHEN 'high' THEN 3 WHEN 'medium' THEN 2 ELSE 1 END) AS threat_level
+      FROM v_indicators GROUP BY 1, 2)"""
+
+
+@query("intel_enriched", V.with_views("v_observables v_indicators", f"""+ {_LISTED}
+    SELECT type, value, log_id, host, threat_level, description, entries
+    FROM v_observables JOIN listed USING (type, value)"""))
 def intel_enriched(spark, sf):
     return intel.enrich(V.v_beat_logs(spark, sf), _indicators(spark, sf), "log_id", ("host",))
 
 
-@query("indicator_hits", V.with_views("v_observables v_indicators", """
-    SELECT type, value, hits, threat_level
-    FROM (SELECT type, value, count(*) AS hits FROM v_observables GROUP BY 1, 2)
-    JOIN (SELECT type, indicator AS value, min(threat_level) AS threat_level FROM v_indicators GROUP BY 1, 2) USING (type, value)"""))
+@query("indicator_hits", V.with_views("v_observables v_indicators", f"""+ {_LISTED}
+    SELECT type, value, hits, threat_level, description, entries
+    FROM (SELECT type, value, count(*) AS hits FROM v_observables GROUP BY 1, 2) JOIN listed USING (type, value)"""))
 def indicator_hits(spark, sf):
-    return intel.indicator_hits(V.v_beat_logs(spark, sf), _indicators(spark, sf), "log_id").select(
-        "type", "value", "hits", "threat_level")
+    return intel.indicator_hits(V.v_beat_logs(spark, sf), _indicators(spark, sf), "log_id")
 
 
 @query("hash_hits", V.with_views("v_observables v_indicators", """

@@ -8,7 +8,7 @@ from vigilframe.functions import text, timing
 from vigilframe.operators import detections, logs, messages, prepare
 from vigilframe.plans import views as V
 from vigilframe.plans.catalog import query, rounded
-from vigilframe.schemas import SCHEMAS, enforce
+from vigilframe.schemas import enforce, schema_of
 from vigilframe.sources import parsers
 from vigilframe.sources.readers import log_rows
 
@@ -189,7 +189,7 @@ def typed_schema(spark, sf):
     v = V.v_vulns(spark, sf)
     loose = v.withColumn("port", F.when(F.col("severity") == "unknown", F.concat(F.lit("port "), "port")).otherwise(
         F.col("port").cast("string")))
-    typed, bad = enforce(loose, SCHEMAS["vulnerabilities"])
+    typed, bad = enforce(loose, schema_of("vulnerabilities"))
 
     def side(df, name):
         return df.select(F.lit(name).alias("side"), "host", F.col("port").cast("string").alias("port"), "severity")

@@ -83,9 +83,7 @@ def risk_scores_per_asset(spark, sf):
 def risk_with_intel(spark, sf):
     """Indicator contacts as a fourth component."""
     indicators = intel.union_feeds(*V.v_feeds(spark, sf))
-    wanted = indicators.select("type", F.col("indicator").alias("value"))
-    seen = intel.observables(V.v_beat_logs(spark, sf), "log_id", ("host",))
-    contacts = seen.join(wanted, ["type", "value"], "left_semi")
+    contacts = intel.enrich(V.v_beat_logs(spark, sf), indicators, "log_id", ("host",))
     return rounded(risk.risk_scores(
         *inputs(spark, sf), V.v_assets(spark, sf), V.EVENTS_AS_OF, intel=contacts, intel_weight=0.1))
 

@@ -257,7 +257,7 @@ VIEW_SQL: dict[str, str] = {
           {_host('event_id')} AS host, user_id
         FROM events""",
     "v_lines": """
-        SELECT doc_id, source, lang, i - 1 AS line_no, parts[i] AS line
+        SELECT doc_id, source, lang, CAST(i - 1 AS INTEGER) AS line_no, parts[i] AS line
         FROM (SELECT doc_id, source, lang, parts, unnest(range(1, len(parts) + 1)) AS i
               FROM (SELECT doc_id, source, lang, string_split(text, chr(10)) AS parts FROM documents))""",
     "v_features": f"""

@@ -7,58 +7,59 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
 DETAILS = (
     "struct<cpu_usage:double,memory_usage:double,load_1m:double,"
     "network_in_bytes:double,network_out_bytes:double>"
 )
 
-SCHEMAS: dict[str, T.StructType] = {
-    "logs": _struct("event_ts timestamp, message string, log_type string, source string, host string"),
-    "beat_logs": _struct(
+SCHEMAS: dict[str, str] = {
+    "logs": "event_ts timestamp, message string, log_type string, source string, host string",
+    "beat_logs": (
         "event_ts timestamp, message string, source string, ip string, domain string, url string, "
         "hash string, tags array<string>, fields struct<source_type:string,environment:string>"
     ),
-    "metrics": _struct(
+    "metrics": (
         "event_ts timestamp, host struct<name:string>, "
         "system struct<cpu:struct<total:struct<norm:struct<pct:double>>>,"
         "memory:struct<actual:struct<used:struct<pct:double>>>,load:struct<`1`:double>>, "
         "network struct<`in`:struct<bytes:double>,out:struct<bytes:double>>"
     ),
-    "anomalies": _struct(
+    "anomalies": (
         "event_ts timestamp, host string, anomaly_score double, anomaly_type string, source string, "
         f"details {DETAILS}"
     ),
-    "vulnerabilities": _struct(
+    "vulnerabilities": (
         "event_ts timestamp, host string, port int, service string, severity string, "
         "description string, vulnerability_score double"
     ),
-    "compliance": _struct(
+    "compliance": (
         "event_ts timestamp, host string, framework string, check_name string, status string, output string"
     ),
-    "risk_scores": _struct(
+    "risk_scores": (
         "event_ts timestamp, asset string, score double, risk_level string, anomaly_score double, "
         "vulnerability_score double, compliance_score double, criticality string, source string"
     ),
-    "threat_intel": _struct("type string, indicator string, threat_level string, description string"),
-    "threat_training": _struct("message string, threat_type string"),
-    "asset_criticality": _struct(
+    "threat_intel": "type string, indicator string, threat_level string, description string",
+    "threat_training": "message string, threat_type string",
+    "asset_criticality": (
         "asset string, name string, criticality string, anomaly_weight double, "
         "vulnerability_weight double, compliance_weight double, total_weight double"
     ),
-    "openvas_results": _struct("name string, host string, port int, threat string, description string"),
-    "messages": _struct(
+    "openvas_results": "name string, host string, port int, threat string, description string",
+    "messages": (
         "event_ts timestamp, type string, worker_id string, worker_type string, host string, data string"
     ),
-    "worker_status": _struct(
+    "worker_status": (
         "id string, type string, host string, last_heartbeat double, status string"
     ),
 }
 
 
+def schema_of(name: str) -> T.StructType:
+    """Declared schema of a dataset; needs a running session to read the type text."""
+    return T.StructType.fromDDL(SCHEMAS[name])
+
+
 def enforce(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """Cast loose columns to a declared schema; return `(typed, quarantine)`.
 
