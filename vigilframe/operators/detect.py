@@ -14,6 +14,7 @@ from vigilframe.operators.iforest import PSI, PSI_LIMIT, ForestSpec, fit_forests
 from vigilframe.operators.lof import factor_dispersion, lof_anomalies
 from vigilframe.operators.neighbours import neighbourhood
 from vigilframe.operators.prepare import fill_features
+from vigilframe.session import materialize, spread
 
 # Fixed parameter grids, searched in nested order.
 IFOREST_GRID = {
@@ -67,7 +68,7 @@ def tune_iforest(
     A sub-sample share beyond `psi_limit` rows is held at the limit; `psi` tells the size used.
     """
     points = grid_points(grid or IFOREST_GRID)
-    filled = fill_features(df, features)
+    filled = spread(materialize(fill_features(df.select(*keys, *features), features)))
     n = filled.count()
 
     def psi_of(share) -> int:
@@ -91,9 +92,9 @@ def tune_iforest(
                 out[f"s{index}_{count}"] = forest.scores(lengths[:, :count])
         return pd.DataFrame(out)
 
-    spread = filled.select(score(*features).alias("s")).agg(
+    deviations = filled.select(score(*features).alias("s")).agg(
         *[F.stddev_pop(f"s.{name}").alias(name) for name in names])
-    long = spread.select(F.inline(F.array(*[
+    long = deviations.select(F.inline(F.array(*[
         F.struct(F.lit(i).alias("forest"), F.lit(specs[i].psi).alias("psi"), F.lit(c).alias("n"),
                  F.col(f"s{i}_{c}").alias("objective")) for i in forests for c in counts
     ])))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from vigilframe.functions.stats import below_quantile, inverse_min_max
 from vigilframe.operators.prepare import fill_features
-from vigilframe.session import materialize
+from vigilframe.session import materialize, spread
 
 TREES = 100
 PSI = 256
@@ -104,7 +104,7 @@ def _drawn_in(forest: int, rate: float):
     return lambda tree: F.pmod(F.xxhash64("key", F.lit(forest), tree), F.lit(HASH_RANGE)) < F.lit(rate)
 
 
-def _samples(filled: DataFrame, features: list[str], keys: list[str], specs: list[ForestSpec],
+def _samples(df: DataFrame, features: list[str], keys: list[str], specs: list[ForestSpec],
              trees: int, seed: int, n: int) -> DataFrame:
     """Exactly psi rows (or all) per forest and tree.
 
@@ -112,7 +112,7 @@ def _samples(filled: DataFrame, features: list[str], keys: list[str], specs: lis
     survivors, few per tree, are ranked by hash.  For large tables a first hash keeps a
     pool many times larger than all samples together, so most rows cost one comparison.
     """
-    base = filled.select(F.xxhash64(*keys, F.lit(seed)).alias("key"), *features)
+    base = df.select(F.xxhash64(*keys, F.lit(seed)).alias("key"), *features)
     most = sum(s.psi for s in specs) * trees
     pool = min(1.0, 20.0 * most / max(n, 1))
     if pool < 1.0:
@@ -133,9 +133,8 @@ def _samples(filled: DataFrame, features: list[str], keys: list[str], specs: lis
 def fit_forests(
     df: DataFrame, features: list[str], keys: list[str], specs: list[ForestSpec], trees: int = TREES, seed: int = 42
 ) -> dict[int, Forest]:
-    """Grow all trees of all forests in one job, one task group per tree."""
-    filled = fill_features(df, features)
-    n = filled.count()
+    """Grow all trees of all forests in one job, one task group per tree; features hold no NULL."""
+    n = df.count()
     by_id = {s.forest: s for s in specs}
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -150,7 +149,7 @@ def fit_forests(
         nodes.insert(0, "forest", forest)
         return nodes
 
-    drawn = _samples(filled, features, keys, specs, trees, seed, n)
+    drawn = _samples(df, features, keys, specs, trees, seed, n)
     grown = drawn.groupBy("forest", "tree").applyInPandas(grow, NODES).toPandas()
     out = {}
     for forest, nodes in grown.groupby("forest"):
@@ -170,7 +169,7 @@ def fit_forests(
 
 
 def forest_scores(df: DataFrame, features: list[str], forest: Forest) -> DataFrame:
-    """Add `sample_score`, negated: the lower, the more anomalous."""
+    """Add `sample_score`, negated: the lower, the more anomalous; features hold no NULL."""
     shared = df.sparkSession.sparkContext.broadcast(forest)
 
     @F.pandas_udf("double")
@@ -178,19 +177,24 @@ def forest_scores(df: DataFrame, features: list[str], forest: Forest) -> DataFra
         x = np.column_stack([c.to_numpy(dtype=np.float64) for c in columns])
         return pd.Series(shared.value.scores(shared.value.path_lengths(x)))
 
-    zero = F.lit(0.0)
-    filled = [F.coalesce(F.nanvl(F.col(f).cast("double"), zero), zero) for f in features]
-    return df.withColumn("sample_score", score(*filled))
+    return df.withColumn("sample_score", score(*features))
 
 
 def iforest_anomalies(
     df: DataFrame, features: list[str], keys: list[str], contamination: float = 0.05,
     trees: int = TREES, psi: int = PSI, seed: int = 42,
 ) -> DataFrame:
-    """Rows below the contamination quantile, with `anomaly_score` scaled over all rows."""
-    forests = fit_forests(df, features, keys, [ForestSpec(0, psi)], trees, seed)
+    """Rows below the contamination quantile, with `anomaly_score` scaled over all rows.
+
+    The input is read once: fitting and scoring work on a materialized copy of the rows,
+    in which `filled_*` stand for the features with 0 for NULL.
+    """
+    used = [f"filled_{f}" for f in features]
+    both = df.withColumns({u: F.col(f) for u, f in zip(used, features)})
+    rows = spread(materialize(fill_features(both, used)))
+    forests = fit_forests(rows, used, keys, [ForestSpec(0, psi)], trees, seed)
     if not forests:
         return df.limit(0).withColumn("anomaly_score", F.lit(None).cast("double"))
-    scored = materialize(forest_scores(df, features, forests[0]))
+    scored = materialize(forest_scores(rows, used, forests[0]).drop(*used))
     flagged = below_quantile(inverse_min_max(scored, "sample_score", "anomaly_score"), "sample_score", contamination)
     return flagged.drop("sample_score")

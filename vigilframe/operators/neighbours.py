@@ -64,8 +64,6 @@ def split_tree(sample: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray]
 
 
 def _cell_of(points: DataFrame, features: list[str], levels: int, sample: np.ndarray) -> DataFrame:
-    if levels == 0:
-        return points.withColumn("cell", F.lit(0).cast("bigint"))
     dims, cuts = split_tree(sample, levels)
 
     @F.pandas_udf("bigint")
@@ -98,18 +96,14 @@ def _kernel(features: list[str], k: int):
                 d2 += (q[block, dim, None] - p[None, :, dim]) ** 2
             own = qid[block, None] == pid[None, :]
             d2[own & (weight[None, :] == 1)] = np.inf
-            pick = np.argpartition(d2, take - 1, axis=1)[:, :take]
-            near = np.take_along_axis(d2, pick, axis=1)
-            tied = (d2 <= near.max(axis=1)[:, None]).sum(axis=1) > take
-            for row in np.flatnonzero(tied):
-                pick[row] = np.argsort(d2[row], kind="stable")[:take]
-            near = np.take_along_axis(d2, pick, axis=1)
-            keep = np.isfinite(near) & (near <= limit[block, None])
-            row, column = np.nonzero(keep)
-            chosen = pick[row, column]
+            kth = np.partition(d2, take - 1, axis=1)[:, take - 1 : take]
+            nearer, level = d2 < kth, d2 == kth
+            room = take - nearer.sum(axis=1, keepdims=True)
+            keep = nearer | (level & (np.cumsum(level, axis=1) <= room))
+            row, chosen = np.nonzero(keep & np.isfinite(d2) & (d2 <= limit[block, None]))
             copies = weight[chosen] - (pid[chosen] == qid[block][row])
             found.append(pd.DataFrame({
-                "qid": qid[block][row], "pid": pid[chosen], "d2": near[row, column], "w": copies}))
+                "qid": qid[block][row], "pid": pid[chosen], "d2": d2[row, chosen], "w": copies}))
         return pd.concat(found)
 
     return search
@@ -186,7 +180,8 @@ def neighbourhood(rows: DataFrame, features: list[str], k: int, cell_points: int
             points.where(F.pmod(F.xxhash64("pid"), F.lit(2**31)) < share).limit(2 * wanted)
             .select(*features).toPandas().to_numpy()
         )
-    celled = _cell_of(points, features, levels, sample)
+    celled = points.withColumn("cell", F.lit(0).cast("bigint")) if not levels else materialize(
+        _cell_of(points, features, levels, sample))
     own = celled.select(F.col("pid").alias("qid"), "cell", *features, F.lit(float("inf")).alias("limit2"))
     first = nearest(_compare(own, celled, features, k), k)
     if levels == 0:

@@ -62,3 +62,12 @@ def materialize(df: DataFrame) -> DataFrame:
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(checkpoint_root(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def spread(stage: DataFrame) -> DataFrame:
+    """Use all cores for costly work on a materialized stage that has fewer partitions than cores.
+
+    Small inputs come as one file and hence one task; large ones are left as they are.
+    """
+    cores = stage.sparkSession.sparkContext.defaultParallelism
+    return materialize(stage.repartition(cores)) if stage.rdd.getNumPartitions() < cores else stage
