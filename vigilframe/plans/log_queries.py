@@ -285,10 +285,10 @@ def sudo_burst(spark, sf):
 
 
 @query("scan_burst", V.with_views("v_vulns", """
-    SELECT date_trunc('day', event_ts) AS window_start, host, count(DISTINCT port) AS ports, count(*) AS findings
+    SELECT time_bucket(INTERVAL 28 DAYS, event_ts, TIMESTAMP '1970-01-01 00:00:00') AS window_start, host, count(DISTINCT port) AS ports, count(*) AS findings
     FROM v_vulns GROUP BY 1, 2 HAVING count(DISTINCT port) >= 3"""))
 def scan_burst(spark, sf):
-    return detections.scan_bursts(V.v_vulns(spark, sf), "1 day", 3)
+    return detections.scan_bursts(V.v_vulns(spark, sf), "28 days", 3)
 
 
 @query("silent_sources", V.with_views("v_logs", f"""
