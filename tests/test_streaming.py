@@ -59,7 +59,7 @@ def test_registry_timer_and_revival(spark, feed, tmp_path):
 
 def test_gate_over_batches_equals_batch(spark, feed, tmp_path):
     known, out, state = (str(tmp_path / n) for n in ("known", "out", "state"))
-    handle = registry.gate_batches(spark, known, out, ("event_ts", "event_id"))
+    handle = registry.gate_batches(known, out)
     deliveries = [
         [("heartbeat", "a", 1), ("register", "b", 2), ("send_data", "b", 1)],
         [("register", "a", 3), ("heartbeat", "a", 4), ("heartbeat", "b", 5)],
@@ -69,7 +69,7 @@ def test_gate_over_batches_equals_batch(spark, feed, tmp_path):
         feed.send(*delivery)
         runs.run_batches(feed.stream(), spark, "g", handle, state)
     streamed = spark.read.parquet(out).select("event_id", "status", "message")
-    batch = messages.replies(feed.table(), ("event_ts", "event_id")).select("event_id", "status", "message")
+    batch = messages.replies(feed.table()).select("event_id", "status", "message")
     assert rows(streamed, "event_id") == rows(batch, "event_id")
     handle(feed.table(), 2)  # a replay of the last batch writes nothing twice
     assert spark.read.parquet(out).where("batch = 2").count() == len(feed.all)

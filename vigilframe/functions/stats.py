@@ -17,9 +17,11 @@ def order_statistic(
     """One row `(n, position, low_value, high_value)` of exact order statistics.
 
     `position(n)` is the zero-based, possibly fractional rank, which must lie within one
-    row of `share * n`.  An approximate quantile sketch brackets the rank; only the values inside that
-    narrow bracket (at most about `4 n / BOUND_ACCURACY` distinct ones) are ordered.
-    The nearest values outside the bracket are kept, so the answer is exact for every n.
+    row of `share * n`.  An approximate quantile sketch brackets the rank.  A second scan
+    counts the values: one group for all below the bracket, one for all above, one per
+    value inside (at most about `4 n / BOUND_ACCURACY` of them).  Only these groups are
+    ordered; the outer two stand for their value nearest to the bracket, so the answer is
+    exact for every n.
     """
     margin = 2.0 / BOUND_ACCURACY
     values = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
@@ -29,26 +31,29 @@ def order_statistic(
         ).alias("b")
     )
     low, high = bounds.select(F.col("b")[0]).scalar(), bounds.select(F.col("b")[1]).scalar()
-    outside = values.agg(
-        F.count("x").alias("n"),
-        F.count_if(F.col("x") < low).alias("below"),
-        F.max(F.when(F.col("x") < low, F.col("x"))).alias("previous"),
-        F.min(F.when(F.col("x") > high, F.col("x"))).alias("next"),
+    side = F.when(F.col("x") < low, -1).when(F.col("x") > high, 1).otherwise(0)
+    groups = (
+        values.select("x", side.alias("side"))
+        .groupBy("side", F.when(F.col("side") == 0, F.col("x")).alias("inside"))
+        .agg(F.count("*").alias("c"), F.min("x").alias("least"), F.max("x").alias("most"))
     )
-    inside = values.where(F.col("x").between(low, high)).groupBy("x").agg(F.count("x").alias("c"))
-    upto = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = inside.withColumn("upto", F.sum("c").over(upto))
-    where = position(F.col("n"))
-    low_rank = F.floor(where)
+    ordered = Window.orderBy("side", "inside")
+    ranked = groups.select(
+        F.when(F.col("side") < 0, F.col("most")).otherwise(F.col("least")).alias("x"),
+        F.sum("c").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("upto"),
+        F.sum("c").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n"),
+    )
+    rank = position(F.col("n"))
+    low_rank = F.floor(rank)
     high_rank = F.least(low_rank + 1, F.col("n") - 1)
 
-    def at(rank: Column) -> Column:
-        needed = outside.select(rank - F.col("below")).scalar()
-        hit = ranked.agg(F.min(F.when(F.col("upto") > needed, F.col("x")))).scalar()
-        return F.when(rank < F.col("below"), F.col("previous")).otherwise(F.coalesce(hit, F.col("next")))
+    def at(wanted: Column) -> Column:
+        return F.min(F.when(F.col("upto") > wanted, F.struct("upto", "x")))["x"]
 
-    return outside.select(
-        "n", where.alias("position"), at(low_rank).alias("low_value"), at(high_rank).alias("high_value"))
+    return ranked.agg(
+        F.max("n").alias("n"), F.max(rank).alias("position"),
+        at(low_rank).alias("low_value"), at(high_rank).alias("high_value"),
+    )
 
 
 def exact_quantile(df: DataFrame, column: str, share: float) -> DataFrame:

@@ -77,10 +77,12 @@ def round_robin_clusters(df: DataFrame) -> DataFrame:
 
 
 def template_clusters(df: DataFrame, text: str = "message") -> DataFrame:
-    """Group messages by their masked template; the least message stands as the example."""
+    """Group messages by their masked template, with the first and last time it was seen.
+
+    All aggregates have fixed width, so the rows are hashed rather than sorted.
+    """
     return df.groupBy(message_template(F.col(text)).alias("template")).agg(
-        F.count("*").alias("logs"), F.min(text).alias("example")
-    )
+        F.count("*").alias("logs"), F.min("event_ts").alias("first_seen"), F.max("event_ts").alias("last_seen"))
 
 
 def log_rate_anomalies(

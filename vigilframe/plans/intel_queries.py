@@ -92,7 +92,7 @@ _ERROR = """CASE WHEN type IS NULL THEN 'Invalid message format'
 REPLIES_SQL = V.with_views("v_messages", f"""+
     checked AS (SELECT *, {_ERROR} AS error FROM v_messages),
     gated AS (SELECT *, coalesce(sum(CASE WHEN type = 'register' AND error IS NULL THEN 1 ELSE 0 END)
-        OVER (PARTITION BY worker_id ORDER BY event_ts, event_id ROWS UNBOUNDED PRECEDING), 0) > 0 AS registered FROM checked)
+        OVER (PARTITION BY worker_id ORDER BY event_ts), 0) > 0 AS registered FROM checked)
     SELECT event_id, event_ts, type, worker_id, worker_type, host, data,
       CASE WHEN error IS NOT NULL OR (type IN ('heartbeat','send_data') AND NOT registered) THEN 'error' ELSE 'success' END AS status,
       CASE WHEN error IS NOT NULL THEN error
@@ -101,17 +101,16 @@ REPLIES_SQL = V.with_views("v_messages", f"""+
            WHEN type = 'heartbeat' THEN 'Heartbeat received from ' || worker_id
            ELSE 'Data received from ' || worker_id END AS message
     FROM gated""")
-_ORDER = ("event_ts", "event_id")
 
 
 @query("message_routing", REPLIES_SQL)
 def message_routing(spark, sf):
-    return messages.replies(V.v_messages(spark, sf), _ORDER)
+    return messages.replies(V.v_messages(spark, sf))
 
 
 @query("registration_gate", f"SELECT event_id, worker_id, substr(data, 1, 100) AS preview FROM ({REPLIES_SQL}) WHERE type = 'send_data' AND status = 'success'")
 def registration_gate(spark, sf):
-    return messages.accepted_data(V.v_messages(spark, sf), _ORDER).select("event_id", "worker_id", "preview")
+    return messages.accepted_data(V.v_messages(spark, sf)).select("event_id", "worker_id", "preview")
 
 
 _STATUS = V.with_views("v_messages", f"""+

@@ -67,7 +67,7 @@ def round_robin_clusters(spark, sf):
     SELECT trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(message,
         '\b[0-9]{1,3}(\.[0-9]{1,3}){3}\b', '<ip>', 'g'), '\b0x[0-9a-fA-F]+\b', '<hex>', 'g'),
         '\b[0-9a-fA-F]{16,}\b', '<hex>', 'g'), '[0-9]+', '<n>', 'g'), '\s+', ' ', 'g')) AS template,
-      count(*) AS logs, min(message) AS example
+      count(*) AS logs, min(event_ts) AS first_seen, max(event_ts) AS last_seen
     FROM v_logs GROUP BY 1"""))
 def template_clusters(spark, sf):
     return logs.template_clusters(V.v_logs(spark, sf))

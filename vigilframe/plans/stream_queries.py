@@ -85,7 +85,7 @@ def message_routing_stream(spark, sf):
     """The registration gate as micro-batches over a kept table of first registrations."""
     known, out = run_folder(spark, "registry"), run_folder(spark, "replies")
     stream = stream_view(V.v_messages, spark, sf)
-    runs.run_batches(stream, spark, "gate", registry.gate_batches(spark, known, out, ("event_ts", "event_id")))
+    runs.run_batches(stream, spark, "gate", registry.gate_batches(known, out))
     return spark.read.parquet(out).drop("batch")
 
 

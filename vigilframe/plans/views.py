@@ -143,10 +143,10 @@ def v_assets(spark: SparkSession, sf: str) -> DataFrame:
     named = (
         table(spark, sf, "customer")
         .groupBy(host_of("c_custkey").alias("asset"))
-        .agg(F.min("c_name").alias("name"), heavy.alias("heavy"), F.count("*").alias("customers"))
+        .agg(heavy.alias("heavy"), F.count("*").alias("customers"))
         .where("customers >= 20")
         .select(
-            "asset", "name",
+            "asset", F.concat(F.lit("Asset "), "asset").alias("name"),
             F.when(F.col("heavy") >= 0.45, "high").when(F.col("heavy") >= 0.38, "medium")
             .otherwise("low").alias("criticality"),
         )
@@ -169,44 +169,47 @@ IPV4 = r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b"
 URL_HOST = r"^[a-z]+://([^/:?#]+)"
 
 
+def _document_rows(spark: SparkSession, sf: str) -> DataFrame:
+    text = F.lit(None).cast("string")
+    return table(spark, sf, "documents").select(
+        F.concat(F.lit("d"), F.col("doc_id")).alias("log_id"), F.col("doc_id").alias("num_id"),
+        F.nullif(F.regexp_extract("text", IPV4, 0), F.lit("")).alias("ip"),
+        text.alias("domain"), text.alias("url"), F.sha2("text", 256).alias("hash"),
+        host_of("doc_id").alias("host"), (F.col("lang") == "en").alias("listed"),
+    )
+
+
+def _page_rows(spark: SparkSession, sf: str) -> DataFrame:
+    text = F.lit(None).cast("string")
+    return table(spark, sf, "pages").select(
+        F.concat(F.lit("p"), F.col("page_id")).alias("log_id"), F.col("page_id").alias("num_id"), text.alias("ip"),
+        F.nullif(F.regexp_extract("url", URL_HOST, 1), F.lit("")).alias("domain"), "url", text.alias("hash"),
+        host_of("page_id").alias("host"), F.col("url").contains("/en/").alias("listed"),
+    )
+
+
 def v_beat_logs(spark: SparkSession, sf: str) -> DataFrame:
     """Log corpus with observables: every document (ip, hash) and every page (url, domain).
 
     `listed` marks the English rows, whose observables make up the indicator feeds.
     """
-    docs = table(spark, sf, "documents").select(
-        F.concat(F.lit("d"), F.col("doc_id")).alias("log_id"), F.col("doc_id").alias("num_id"),
-        F.nullif(F.regexp_extract("text", IPV4, 0), F.lit("")).alias("ip"),
-        F.lit(None).cast("string").alias("domain"), F.lit(None).cast("string").alias("url"),
-        F.sha2("text", 256).alias("hash"), host_of("doc_id").alias("host"),
-        (F.col("lang") == "en").alias("listed"),
-    )
-    pages = table(spark, sf, "pages").select(
-        F.concat(F.lit("p"), F.col("page_id")).alias("log_id"), F.col("page_id").alias("num_id"),
-        F.lit(None).cast("string").alias("ip"),
-        F.nullif(F.regexp_extract("url", URL_HOST, 1), F.lit("")).alias("domain"), "url",
-        F.lit(None).cast("string").alias("hash"), host_of("page_id").alias("host"),
-        F.col("url").contains("/en/").alias("listed"),
-    )
-    return docs.unionByName(pages)
+    return _document_rows(spark, sf).unionByName(_page_rows(spark, sf))
 
 
-def v_feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """The observables of the listed rows as two feeds: documents (ip, hash), pages (domain, url)."""
+def _feed(rows: DataFrame, kinds: list[str]) -> DataFrame:
     level = F.when(F.col("num_id") % 4 == 0, "critical").when(F.col("num_id") % 4 == 1, "high").when(
         F.col("num_id") % 4 == 2, "medium").otherwise("low")
-    listed = v_beat_logs(spark, sf).where("listed")
-
-    def feed(prefix: str, kinds: list[str]) -> DataFrame:
-        pairs = F.array(*[F.struct(F.lit(k).alias("type"), F.col(k).alias("indicator")) for k in kinds])
-        return (
-            listed.where(F.col("log_id").startswith(prefix))
-            .select(F.inline(pairs), level.alias("threat_level"),
-                    F.concat(F.lit("seen in "), F.col("log_id")).alias("description"))
-            .where("indicator IS NOT NULL")
-        )
+    pairs = F.array(*[F.struct(F.lit(k).alias("type"), F.col(k).alias("indicator")) for k in kinds])
+    return (
+        rows.where("listed")
+        .select(F.inline(pairs), level.alias("threat_level"), F.concat(F.lit("seen in "), "log_id").alias("description"))
+        .where("indicator IS NOT NULL")
+    )
+
 
-    return feed("d", ["ip", "hash"]), feed("p", ["domain", "url"])
+def v_feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The observables of the listed rows as two feeds: documents (ip, hash), pages (domain, url)."""
+    return _feed(_document_rows(spark, sf), ["ip", "hash"]), _feed(_page_rows(spark, sf), ["domain", "url"])
 
 
 def v_messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -295,7 +298,7 @@ VIEW_SQL: dict[str, str] = {
           CASE WHEN asset='default' THEN 0.4::DOUBLE ELSE 0.3::DOUBLE END AS compliance_weight,
           1.0::DOUBLE AS total_weight
         FROM (SELECT asset, name, CASE WHEN heavy >= 0.45 THEN 'high' WHEN heavy >= 0.38 THEN 'medium' ELSE 'low' END AS criticality
-              FROM (SELECT HOST_C AS asset, min(c_name) AS name, count(*) AS customers,
+              FROM (SELECT HOST_C AS asset, 'Asset ' || HOST_C AS name, count(*) AS customers,
                       CAST(count(*) FILTER (WHERE c_mktsegment IN ('BUILDING','MACHINERY')) AS DOUBLE) / count(*) AS heavy
                     FROM customer GROUP BY 1)
               WHERE customers >= 20

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -77,24 +77,25 @@ def worker_status_changes(messages: DataFrame, timeout_seconds: int = 60, delay:
         outputMode="Append", timeMode="EventTime")
 
 
-def gate_batches(spark: SparkSession, registry: str, out: str, order: tuple[str, ...] = ("event_ts",)):
+def gate_batches(registry: str, out: str, order: str = "event_ts"):
     """`foreachBatch` function that answers every message of a micro-batch.
 
-    The first registration of each worker is kept as a table below `registry`, one folder
-    per batch.  A replayed batch overwrites its own folders, so replies are written once.
+    The first registration of each worker is kept as a table below `registry`; every batch
+    writes the next version from the last one.  A replayed batch overwrites its own
+    folders, so replies are written once.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         fresh = first_registrations(batch, order)
         if batch_id > 0:
-            earlier = session.read.schema(f"worker_id string, registered {fresh.schema['registered'].dataType.simpleString()}, batch bigint").parquet(registry).where(
-                F.col("batch") < batch_id).drop("batch")
+            # The folder of the batch before holds the whole registry so far.
+            earlier = session.read.schema(fresh.schema).parquet(f"{registry}/batch={batch_id - 1}")
             fresh = fresh.unionByName(earlier).groupBy("worker_id").agg(F.min("registered").alias("registered"))
         fresh.write.mode("overwrite").parquet(f"{registry}/batch={batch_id}")
         gate = session.read.parquet(f"{registry}/batch={batch_id}")
         checked = validate(batch).join(gate, "worker_id", "left")
-        registered = F.coalesce(F.col("registered") <= F.struct(*order), F.lit(False))
+        registered = F.coalesce(F.col("registered") <= F.col(order), F.lit(False))
         checked.withColumn("reply", reply(registered)).select(
             *batch.columns, F.col("reply.status").alias("status"), F.col("reply.message").alias("message"),
         ).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
