@@ -12,23 +12,15 @@ from vigilframe.session import run_folder
 from vigilframe.streaming import registry, runs, windows
 
 
-class _Streams:
-    """Makes the table views read their tables as streams."""
-
-    def __init__(self, spark):
-        self.spark = spark
-
-    def __enter__(self):
-        self.batch_table = V.table
-        V.table = lambda spark, sf, name: runs.table_stream(spark, sf, name)
-
-    def __exit__(self, *_):
-        V.table = self.batch_table
+def table_stream(spark, sf, name):
+    """A table file as a stream, with instants as watermarks require them."""
+    raw = spark.readStream.schema(V.TABLES[name]).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    return V.with_instants(raw, name)
 
 
 def stream_view(view, spark, sf):
-    with _Streams(spark):
-        return view(spark, sf)
+    """A dataset view whose tables are read as streams."""
+    return view(spark, sf, table_stream)
 
 
 @query("hourly_counts_stream", V.with_views("v_logs", """

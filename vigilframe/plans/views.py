@@ -16,19 +16,39 @@ CHECK_NAMES = {
 }
 
 
+# Declared columns of the benchmark tables in use: no inference job per read.
+TABLES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+TIMES = {"events": ["ts"], "orders": ["o_orderdate"], "lineitem": ["l_shipdate"]}
+
+
+def with_instants(df: DataFrame, name: str) -> DataFrame:
+    """Zone-less times become instants."""
+    times = TIMES.get(name, [])
+    return df.withColumns({c: F.col(c).cast("timestamp") for c in times}) if times else df
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
-    zoneless = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
-    for column in zoneless:
-        df = df.withColumn(column, F.col(column).cast("timestamp"))
-    return df
+    return with_instants(spark.read.schema(TABLES[name]).parquet(f"{sf}/{name}.parquet"), name)
 
 
 def host_of(key: str) -> Column:
     return F.concat(F.lit("host-"), F.floor(F.sqrt(F.col(key) % 2500)).cast("int").cast("string"))
 
 
-def v_logs(spark: SparkSession, sf: str) -> DataFrame:
+def v_logs(spark: SparkSession, sf: str, read=table) -> DataFrame:
     user = F.concat(F.lit("user"), F.col("user_id"))
     peer = F.concat(
         F.lit("10.0."), F.floor(F.col("user_id") / 256).cast("int"), F.lit("."), F.col("user_id") % 256
@@ -42,7 +62,7 @@ def v_logs(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.concat(F.col("event_type"), F.lit(" by "), user))
     )
     source = F.when(F.col("event_type") == "error", "/var/log/auth.log").otherwise("/var/log/syslog")
-    return table(spark, sf, "events").select(
+    return read(spark, sf, "events").select(
         "event_id", F.col("ts").alias("event_ts"), message.alias("message"),
         F.col("event_type").alias("log_type"), source.alias("source"),
         host_of("event_id").alias("host"), "user_id",
@@ -82,8 +102,8 @@ def v_metrics(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def v_anomalies(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").where("event_type = 'error'").select(
+def v_anomalies(spark: SparkSession, sf: str, read=table) -> DataFrame:
+    return read(spark, sf, "events").where("event_type = 'error'").select(
         "event_id", F.col("ts").alias("event_ts"), host_of("event_id").alias("host"),
         (F.col("value") / 500).alias("anomaly_score"),
     )
@@ -169,9 +189,9 @@ IPV4 = r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b"
 URL_HOST = r"^[a-z]+://([^/:?#]+)"
 
 
-def _document_rows(spark: SparkSession, sf: str) -> DataFrame:
+def _document_rows(spark: SparkSession, sf: str, read=table) -> DataFrame:
     text = F.lit(None).cast("string")
-    return table(spark, sf, "documents").select(
+    return read(spark, sf, "documents").select(
         F.concat(F.lit("d"), F.col("doc_id")).alias("log_id"), F.col("doc_id").alias("num_id"),
         F.nullif(F.regexp_extract("text", IPV4, 0), F.lit("")).alias("ip"),
         text.alias("domain"), text.alias("url"), F.sha2("text", 256).alias("hash"),
@@ -179,21 +199,21 @@ def _document_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _page_rows(spark: SparkSession, sf: str) -> DataFrame:
+def _page_rows(spark: SparkSession, sf: str, read=table) -> DataFrame:
     text = F.lit(None).cast("string")
-    return table(spark, sf, "pages").select(
+    return read(spark, sf, "pages").select(
         F.concat(F.lit("p"), F.col("page_id")).alias("log_id"), F.col("page_id").alias("num_id"), text.alias("ip"),
         F.nullif(F.regexp_extract("url", URL_HOST, 1), F.lit("")).alias("domain"), "url", text.alias("hash"),
         host_of("page_id").alias("host"), F.col("url").contains("/en/").alias("listed"),
     )
 
 
-def v_beat_logs(spark: SparkSession, sf: str) -> DataFrame:
+def v_beat_logs(spark: SparkSession, sf: str, read=table) -> DataFrame:
     """Log corpus with observables: every document (ip, hash) and every page (url, domain).
 
     `listed` marks the English rows, whose observables make up the indicator feeds.
     """
-    return _document_rows(spark, sf).unionByName(_page_rows(spark, sf))
+    return _document_rows(spark, sf, read).unionByName(_page_rows(spark, sf, read))
 
 
 def _feed(rows: DataFrame, kinds: list[str]) -> DataFrame:
@@ -212,10 +232,10 @@ def v_feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return _feed(_document_rows(spark, sf), ["ip", "hash"]), _feed(_page_rows(spark, sf), ["domain", "url"])
 
 
-def v_messages(spark: SparkSession, sf: str) -> DataFrame:
+def v_messages(spark: SparkSession, sf: str, read=table) -> DataFrame:
     kind = F.col("event_type")
     bad_type = F.when(F.col("event_id") % 5 == 0, "reboot")
-    return table(spark, sf, "events").select(
+    return read(spark, sf, "events").select(
         "event_id", F.col("ts").alias("event_ts"),
         F.when(kind == "signup", "register").when(kind.isin("click", "view"), "heartbeat")
         .when(kind == "purchase", "send_data").otherwise(bad_type).alias("type"),
