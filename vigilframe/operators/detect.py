@@ -38,12 +38,18 @@ def detect(
 def detect_all(
     df: DataFrame, features: list[str], keys: list[str],
     algorithms: tuple[str, ...] = ("isolation_forest", "local_outlier_factor"), contamination: float = 0.05,
+    lof_as_score: bool = False,
 ) -> DataFrame:
-    """The anomalies of several algorithms, one below the other, with an `algorithm` column."""
+    """The anomalies of several algorithms, one below the other, with an `algorithm` column.
+
+    Outlier-factor rows carry no score unless `lof_as_score` asks for the factor.
+    """
     out = None
     for algorithm in algorithms:
-        found = detect(df, features, keys, algorithm, contamination).drop("lof").withColumn(
-            "algorithm", F.lit(algorithm))
+        found = detect(df, features, keys, algorithm, contamination).withColumn("algorithm", F.lit(algorithm))
+        if lof_as_score and "lof" in found.columns:
+            found = found.withColumn("anomaly_score", F.col("lof"))
+        found = found.drop("lof")
         out = found if out is None else out.unionByName(found, allowMissingColumns=True)
     return out
 

@@ -84,7 +84,7 @@ def path_tags(df: DataFrame, application_prefix: str = "/opt/worker/logs/") -> D
     system, application = F.col("source").startswith("/var/log/"), F.col("source").startswith(application_prefix)
     return df.withColumns({
         "tags": F.when(system, F.array(F.lit("system")))
-        .when(application, F.array(F.lit("security-solution"))).otherwise(F.array().cast("array<string>")),
+        .when(application, F.array(F.lit("application"))).otherwise(F.array().cast("array<string>")),
         "source_type": F.when(system, "syslog").when(application, "application"),
         "environment": F.when(system | application, "security"),
     })

@@ -68,11 +68,14 @@ def risk_scores(
     thresholds: dict[str, float] | None = None,
     intel: DataFrame | None = None,
     intel_weight: float = 0.0,
+    aliases: DataFrame | None = None,
 ) -> DataFrame:
     """Score every host seen in any input.
 
     `compliance` holds the failed checks only.  `weights="per_asset"` takes the weights of
     the asset row.  `intel` adds one point per indicator contact, weighted by `intel_weight`.
+    `aliases(host, asset)`, one row per host, names the asset key of hosts listed under
+    another name, such as their address.
     """
     limits = {**CAPS, **(caps or {})}
     parts = {
@@ -85,7 +88,11 @@ def risk_scores(
     sums = component_sums(parts).select(
         "host", *[F.least(F.col(n) / limits[n], F.lit(1.0)).alias(f"{n}_score") for n in parts]
     )
-    joined = with_asset(sums, assets)
+    if aliases is None:
+        joined = with_asset(sums, assets)
+    else:
+        named = sums.join(aliases.withColumnRenamed("asset", "asset_key"), "host", "left")
+        joined = with_asset(named.withColumn("asset_key", F.coalesce("asset_key", "host")), assets, "asset_key")
     chosen = WEIGHTS if weights == "global" else weights
 
     def weight(name: str) -> Column:
@@ -104,6 +111,15 @@ def risk_scores(
     )
 
 
+def distinct_anomalies(anomalies: DataFrame) -> DataFrame:
+    """Anomalies stored again by overlapping detection cycles count once.
+
+    The key is host, time and, where present, algorithm; the score is the highest stored.
+    """
+    keys = [k for k in ("host", "event_ts", "algorithm") if k in anomalies.columns]
+    return anomalies.groupBy(*keys).agg(F.max("anomaly_score").alias("anomaly_score"))
+
+
 def risk_by_asset(scores: DataFrame) -> DataFrame:
     """Latest and mean score per asset over all scoring runs."""
     return scores.groupBy("asset").agg(

@@ -198,7 +198,7 @@ def typed_schema(spark, sf):
 
 
 @query("path_tags", V.with_views("v_logs", """
-    SELECT event_id, source, CASE WHEN log_type = 'error' THEN 'system' WHEN log_type = 'signup' THEN 'security-solution' ELSE '' END AS tags,
+    SELECT event_id, source, CASE WHEN log_type = 'error' THEN 'system' WHEN log_type = 'signup' THEN 'application' ELSE '' END AS tags,
       CASE WHEN log_type = 'error' THEN 'syslog' WHEN log_type = 'signup' THEN 'application' END AS source_type,
       CASE WHEN log_type IN ('error', 'signup') THEN 'security' END AS environment
     FROM (SELECT event_id, log_type, CASE log_type WHEN 'error' THEN source WHEN 'signup' THEN '/opt/worker/logs/worker.log'

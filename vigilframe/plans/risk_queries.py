@@ -88,6 +88,14 @@ def risk_with_intel(spark, sf):
         *inputs(spark, sf), V.v_assets(spark, sf), V.EVENTS_AS_OF, intel=contacts, intel_weight=0.1))
 
 
+@query("distinct_anomalies", V.with_views("v_anomalies", """
+    SELECT host, event_ts, max(anomaly_score) AS anomaly_score FROM v_anomalies GROUP BY 1, 2"""))
+def distinct_anomalies(spark, sf):
+    """Two detection cycles stored every anomaly; each counts once."""
+    stored = V.v_anomalies(spark, sf)
+    return risk.distinct_anomalies(stored.unionByName(stored))
+
+
 @query("asset_universe", V.with_views("v_anomalies v_vulns v_compliance_hosts", f"""
     SELECT host FROM v_anomalies UNION SELECT host FROM v_vulns
     UNION SELECT host FROM v_compliance_hosts WHERE status='FAIL'"""))

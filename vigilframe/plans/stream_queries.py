@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vigilframe.operators import intel
+from vigilframe.operators import intel, prepare
 from vigilframe.plans import views as V
-from vigilframe.plans.catalog import query
-from vigilframe.plans.intel_queries import _BEAT, _MATCH, REPLIES_SQL
+from vigilframe.plans.catalog import query, rounded
+from vigilframe.plans.intel_queries import _AVGS, _BEAT, _DIGITS, _MATCH, REPLIES_SQL
 from vigilframe.session import run_folder
 from vigilframe.streaming import registry, runs, windows
 
@@ -31,6 +31,17 @@ def hourly_counts_stream(spark, sf):
     return runs.run_once(windows.hourly_counts(stream_view(V.v_logs, spark, sf)), spark, "hourly-counts")
 
 
+@query("sliding_metrics_stream", V.with_views("v_features", f"""
+    SELECT * FROM (
+      SELECT time_bucket(INTERVAL 5 MINUTES, event_ts) - i * INTERVAL 5 MINUTES AS window_start, host, {_AVGS}, count(*) AS samples
+      FROM v_features, range(12) t(i) GROUP BY 1, 2)
+    WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(event_ts) FROM v_features) - INTERVAL 5 MINUTES"""))
+def sliding_metrics_stream(spark, sf):
+    """The one-hour look-back every five minutes as a stream; closed windows only."""
+    rows = prepare.metric_features(stream_view(V.v_metrics, spark, sf))
+    return rounded(runs.run_once(windows.sliding_metrics(rows), spark, "sliding"), **_DIGITS)
+
+
 @query("uptime_sessions_stream", V.with_views("v_messages", """+
     s AS (SELECT worker_id, event_ts, lag(event_ts) OVER (PARTITION BY worker_id ORDER BY event_ts) AS prev
           FROM v_messages WHERE type IN ('register', 'heartbeat')),

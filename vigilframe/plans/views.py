@@ -75,8 +75,8 @@ def v_lines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def v_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "events")
+def v_metrics(spark: SparkSession, sf: str, read=table) -> DataFrame:
+    e = read(spark, sf, "events")
     value, kind = F.col("value"), F.col("event_type")
     cpu = F.when(
         kind == "click",

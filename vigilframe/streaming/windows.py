@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilframe.operators.intel import INDICATOR_TYPES
+from vigilframe.operators.prepare import METRIC_FEATURES
 
 
 def hourly_counts(logs: DataFrame, delay: str = "1 hour") -> DataFrame:
@@ -16,6 +17,17 @@ def hourly_counts(logs: DataFrame, delay: str = "1 hour") -> DataFrame:
     )
 
 
+def sliding_metrics(metrics: DataFrame, width: str = "1 hour", slide: str = "5 minutes", delay: str = "5 minutes") -> DataFrame:
+    """Mean of every metric per host over a look-back that moves on by `slide`, emitted when closed."""
+    window = F.window("event_ts", width, slide).alias("w")
+    means = [F.avg(f).alias(f) for f in METRIC_FEATURES]
+    return (
+        metrics.withWatermark("event_ts", delay).groupBy(window, "host")
+        .agg(*means, F.count("*").alias("samples"))
+        .select(F.col("w.start").alias("window_start"), "host", *METRIC_FEATURES, "samples")
+    )
+
+
 def uptime_sessions(messages: DataFrame, timeout: str = "60 seconds", delay: str = "1 minute") -> DataFrame:
     """Heartbeat sessions per worker, emitted when closed."""
     signals = messages.where("type IN ('register', 'heartbeat')")
