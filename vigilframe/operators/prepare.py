@@ -111,4 +111,6 @@ def anomaly_documents(df: DataFrame, keep: list[str] | None = None) -> DataFrame
 def deduplicate(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key set; the surviving row is the least one, whatever the partitioning."""
     others = [c for c in df.columns if c not in keys]
+    if len(others) == 1:  # one plain column aggregates by hashing, a struct needs a sort
+        return df.groupBy(*keys).agg(F.min(others[0]).alias(others[0]))
     return df.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_row")).select(*keys, "_row.*")

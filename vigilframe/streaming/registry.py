@@ -64,6 +64,18 @@ class WorkerRegistry(StatefulProcessor):
         pass
 
 
+def fold_signals(batches):
+    """Map-side combine: per Arrow batch and worker only the newest signal and registration.
+
+    The state needs no more than these, so a worker that sends a third of all messages
+    still brings a few rows per task to its shuffle.
+    """
+    for batch in batches:
+        newest = batch.groupby("worker_id")["us"].idxmax()
+        registered = batch[batch["message_type"] == "register"].groupby("worker_id")["us"].idxmax()
+        yield batch.loc[sorted(set(newest) | set(registered))]
+
+
 def worker_status_changes(messages: DataFrame, timeout_seconds: int = 60, delay: str = "0 seconds") -> DataFrame:
     """Status changes per worker.  The session needs the RocksDB state store provider."""
     signals = (
@@ -72,7 +84,8 @@ def worker_status_changes(messages: DataFrame, timeout_seconds: int = 60, delay:
         .select("worker_id", "event_ts", F.col("type").alias("message_type"), "worker_type",
                 F.coalesce("host", F.lit("unknown")).alias("host"), F.unix_micros("event_ts").alias("us"))
     )
-    return signals.groupBy("worker_id").transformWithStateInPandas(
+    folded = signals.mapInPandas(fold_signals, signals.schema)
+    return folded.groupBy("worker_id").transformWithStateInPandas(
         statefulProcessor=WorkerRegistry(timeout_seconds * 1000), outputStructType=CHANGES,
         outputMode="Append", timeMode="EventTime")
 
