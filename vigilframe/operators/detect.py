@@ -14,7 +14,7 @@ from vigilframe.operators.iforest import PSI, PSI_LIMIT, ForestSpec, fit_forests
 from vigilframe.operators.lof import factor_dispersion, lof_anomalies
 from vigilframe.operators.neighbours import neighbourhood
 from vigilframe.operators.prepare import fill_features
-from vigilframe.session import materialize, spread
+from vigilframe.session import materialize
 
 # Fixed parameter grids, searched in nested order.
 IFOREST_GRID = {
@@ -74,7 +74,7 @@ def tune_iforest(
     A sub-sample share beyond `psi_limit` rows is held at the limit; `psi` tells the size used.
     """
     points = grid_points(grid or IFOREST_GRID)
-    filled = spread(materialize(fill_features(df.select(*keys, *features), features)))
+    filled = materialize(fill_features(df.select(*keys, *features), features))
     n = filled.count()
 
     def psi_of(share) -> int:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from vigilframe.functions.stats import below_quantile, inverse_min_max
 from vigilframe.operators.prepare import fill_features
-from vigilframe.session import materialize, spread
+from vigilframe.session import materialize
 
 TREES = 100
 PSI = 256
@@ -191,7 +191,7 @@ def iforest_anomalies(
     """
     used = [f"filled_{f}" for f in features]
     both = df.withColumns({u: F.col(f) for u, f in zip(used, features)})
-    rows = spread(materialize(fill_features(both, used)))
+    rows = materialize(fill_features(both, used))
     forests = fit_forests(rows, used, keys, [ForestSpec(0, psi)], trees, seed)
     if not forests:
         return df.limit(0).withColumn("anomaly_score", F.lit(None).cast("double"))

@@ -1,9 +1,7 @@
-"""Session defaults, checkpoint folder and lineage cuts."""
+"""Session defaults, shared folder and written stages."""
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,44 +28,33 @@ def build_session(app: str = "vigilframe", master: str | None = None, **settings
     return builder.getOrCreate()
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and written stages.
+DEFAULT_ROOT = "/tmp/vigilframe-stages"  # resolved by Hadoop's default file system
 
-    The cluster names it in `spark.checkpoint.dir`.  Only a local master (tests) may
-    fall back to a fresh temporary folder; on a cluster a missing setting is an error,
-    since executors could not read each other's files from there.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="vigilframe-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+
+def checkpoint_root(spark: SparkSession) -> str:
+    """Shared folder for written stages and stream state: `spark.checkpoint.dir`, else `DEFAULT_ROOT`."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_ROOT).rstrip("/")
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new, unused folder below the checkpoint root (stream state, written stages)."""
-    return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
+    folder = f"{checkpoint_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return folder
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute `df` once and read it back from the reliable checkpoint folder.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Compute `df` once and read it back as Parquet from the shared folder.
 
-    For stages that several later jobs scan again: lost executors then re-read files
-    instead of replaying the whole lineage.
+    For stages that several later jobs scan again: lost executors then re-read files instead of
+    replaying the whole lineage, and each reader takes only the columns it needs.
     """
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(checkpoint_root(df.sparkSession))
-    return df.checkpoint(eager=True)
-
+    folder = run_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
-def spread(stage: DataFrame) -> DataFrame:
-    """Use all cores for costly work on a materialized stage that has fewer partitions than cores.
 
-    Small inputs come as one file and hence one task; large ones are left as they are.
-    """
-    cores = stage.sparkSession.sparkContext.defaultParallelism
-    return materialize(stage.repartition(cores)) if stage.rdd.getNumPartitions() < cores else stage
+def clear_stages(spark: SparkSession) -> None:
+    """Remove the folders that this application has written below the checkpoint root."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
