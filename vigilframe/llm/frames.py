@@ -27,3 +27,9 @@ def ascii_lower(text: Column) -> Column:
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under internal names, so that no other column can clash."""
     return df.select(*[F.col(f"`{name}`").alias(alias) for alias, name in columns.items()])
+
+
+def small_by(df: DataFrame, weight: Column, rows: int = BROADCAST_ROWS, total: int = 4_000_000) -> DataFrame:
+    """Like `small`, for rows with arrays: the sum of `weight` (their lengths) must not be above `total` either."""
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(weight), F.lit(0)).alias("w")).first()
+    return F.broadcast(df) if size["n"] <= rows and size["w"] <= total else df

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from vigilframe.llm.frames import WORD, pick, small
 from vigilframe.session import materialize
 
-DOCS_A_BLOCK = 1024
+DOCS_A_BLOCK = 64
 
 
 def word_count(text: Column) -> Column:

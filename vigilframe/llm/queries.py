@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vigilframe.llm import mixing, postings
+from vigilframe.llm import mixing, postings, substrings
 from vigilframe.plans.catalog import query
 from vigilframe.session import materialize
 
@@ -44,3 +44,17 @@ def op9_benchmark_postings(spark, sf):
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op6_substring_sketch", r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    win AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+    later AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM win) WHERE doc_id > first),
+    gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 50)) AS p FROM later)),
+    word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+    kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (doc_id)""")
+def op6_substring_sketch(spark, sf):
+    cut = substrings.dedup_substrings(table(spark, sf, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
