@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vigilframe.llm import mixing, postings, substrings
+from vigilframe.llm import jaccard, ledger, lines, mixing, postings, secrets, substrings
 from vigilframe.plans.catalog import query
 from vigilframe.session import materialize
 
@@ -58,3 +58,71 @@ def op9_benchmark_postings(spark, sf):
 def op6_substring_sketch(spark, sf):
     cut = substrings.dedup_substrings(table(spark, sf, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+LINE_CUT = r"""
+    l AS (SELECT doc_id, lang, source, n_chars, text, pieces, list_filter(range(1, len(pieces) + 1), lambda i: regexp_matches(pieces[i], '[^\x20\x09-\x0D]')) AS idx
+      FROM (SELECT *, string_split(text, chr(10)) AS pieces FROM docs)),
+    lwin AS (SELECT doc_id, i, struct_pack(a := pieces[idx[i]], b := pieces[idx[i + 1]], c := pieces[idx[i + 2]]) AS s
+      FROM (SELECT doc_id, pieces, idx, unnest(range(1, len(idx) - 1)) AS i FROM l)),
+    llater AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(struct_pack(d := doc_id, i := i)) OVER (PARTITION BY s) AS first FROM lwin)
+      WHERE doc_id > first.d OR (doc_id = first.d AND i > first.i)),
+    lgone AS (SELECT doc_id, list(DISTINCT p) AS gone FROM (SELECT doc_id, unnest(range(i, i + 3)) AS p FROM llater) GROUP BY 1),
+    lcut AS (SELECT l.doc_id, lang, source, n_chars, len(idx) AS n_lines, coalesce(len(gone), 0) AS n_removed,
+        CASE WHEN gone IS NULL THEN text WHEN len(gone) = len(idx) THEN ''
+          ELSE array_to_string(list_transform(list_filter(range(1, len(pieces) + 1), lambda i: NOT list_contains(list_transform(gone, lambda p: idx[p]), i)), lambda i: pieces[i]), chr(10)) END AS text
+      FROM l LEFT JOIN lgone USING (doc_id))"""
+
+
+@query("op10_line_winnowing", f"""
+    WITH docs AS (SELECT * FROM documents), {LINE_CUT}
+    SELECT doc_id, coalesce(n_lines, 0) AS n_lines, n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM lcut""")
+def op10_line_winnowing(spark, sf):
+    cut = lines.dedup_lines(table(spark, sf, "documents"))
+    return cut.select("doc_id", "lines.n_lines", "lines.n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op2_jaccard_blocks", r"""
+    WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    often AS (SELECT s FROM s GROUP BY 1 HAVING count(*) > 1),
+    r AS (SELECT doc_id, s FROM s SEMI JOIN often USING (s)),
+    link AS (SELECT a.doc_id AS a, b.doc_id AS b FROM r AS a JOIN r AS b ON a.s = b.s AND a.doc_id < b.doc_id
+      JOIN n AS na ON na.doc_id = a.doc_id JOIN n AS nb ON nb.doc_id = b.doc_id
+      GROUP BY 1, 2, na.n, nb.n HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))),
+    edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, edge.b FROM reach JOIN edge ON reach.b = edge.a)
+    SELECT a AS doc_id, coalesce(n, 0) AS n_shingles, component_id FROM (SELECT a, min(b) AS component_id FROM reach GROUP BY 1) LEFT JOIN n ON n.doc_id = a""")
+def op2_jaccard_blocks(spark, sf):
+    return jaccard.near_duplicates(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op7_rule_ledger", r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    l AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1),
+    win AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+    twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM win) WHERE n > 1),
+    r AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY 1),
+    m AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+        length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+        length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_upper
+      FROM d LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)),
+    f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+    SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+      CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+      NOT (base_failed OR 100 * n_symbols > 50 * n_words OR 100 * n_upper > 50 * word_chars
+        OR word_chars > 25 * n_words OR word_chars < 2 * n_words) AS kept
+    FROM f""")
+def op7_rule_ledger(spark, sf):
+    book = ledger.ledger(table(spark, sf, "documents").select("doc_id", "text"))
+    return ledger.verdicts(book, ledger.POLICIES["v2"]).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        F.expr(f"failed_bits & {ledger.mask(ledger.BASE_RULES)} != 0").alias("base_failed"), "kept")
+
+
+@query("op8_secret_layers")
+def op8_secret_layers(spark, sf):
+    return secrets.digest(secrets.scan(table(spark, sf, "documents").select("doc_id", "text")))

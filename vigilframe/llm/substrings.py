@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 
 from vigilframe.llm import tokens as T
 from vigilframe.llm.frames import pick, small_by
+from vigilframe.llm.sketch import estimated_repeated, repeated_cells
 from vigilframe.session import materialize
 
 GRAM = 10
-BIN = 16  # bits of a sketch cell's place in its bin
 POS = 24
 OUTLINE = "doc_id bigint, key bigint, key2 bigint, n_words int, grams array<bigint>, starts array<int>, lengths array<int>, bodies array<bigint>"
 
@@ -97,66 +97,14 @@ def outline(size: int):
     return run
 
 
-def cells(grams: np.ndarray, row: int, bits: int) -> np.ndarray:
-    return T.mix(grams.view(T.U) ^ T.U(row * 0x5851F42D4C957F2D + 1)) >> T.U(64 - bits)
-
-
-def partial_sketch(bits: int, depth: int):
-    """The partition's sketch, as its touched cells: (bin, cells, counts up to 2)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = [[] for _ in range(depth)]
-        pending = 0
-
-        def packed():
-            for row in range(depth):
-                if not held[row]:
-                    continue
-                cell, count = np.unique(np.concatenate(held[row]), return_counts=True)
-                held[row].clear()
-                bins = (cell >> T.U(BIN)).astype(np.int64)
-                border = np.flatnonzero(np.r_[True, np.diff(bins) != 0, True]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(bins[border[:-1]] * depth + row),
-                    pa.ListArray.from_arrays(border, pa.array((cell & T.U((1 << BIN) - 1)).astype(np.int32))),
-                    pa.ListArray.from_arrays(border, pa.array(np.minimum(count, 2).astype(np.int8))),
-                ], ["bin", "cells", "counts"])
-
-        for batch in batches:
-            grams = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            for row in range(depth):
-                held[row].append(cells(grams, row, bits))
-            pending += len(grams)
-            if pending > 2_000_000:
-                yield from packed()
-                pending = 0
-        yield from packed()
-    return run
-
-
-def merged_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum of the partitions' sketches per bin, as a bitmap of the cells that count 2 or more."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for number, cell, count in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-            total = sums.setdefault(number, np.zeros(1 << BIN, np.uint8))
-            places = cell.values.to_numpy()
-            total[places] = np.minimum(total[places] + count.values.to_numpy(), 2)
-    for number, total in sums.items():
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([number]), pa.array([np.packbits(total >= 2).tobytes()], pa.binary())], ["bin", "repeated"])
-
-
-def repeated_segments(bits: int, depth: int, sketch):
+def repeated_segments(bits: int, sketch):
     """Flat rows of the segments whose gram is estimated to occur at least twice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.frombuffer(sketch.value, np.uint8).reshape(depth, -1)
+        marks = sketch.value
         for batch in batches:
             doc, key, grams, starts, lengths, bodies = batch.columns
             flat = grams.flatten().to_numpy(zero_copy_only=False)
-            keep = np.ones(len(flat), bool)
-            for row in range(depth):
-                cell = cells(flat, row, bits)
-                keep &= (marks[row][(cell >> T.U(3)).astype(np.int64)] >> (7 - (cell & T.U(7)).astype(np.uint8))) & 1 == 1
+            keep = estimated_repeated(flat, marks, bits)
             owner = np.repeat(np.arange(len(doc)), grams.value_lengths().to_numpy(zero_copy_only=False))[keep]
             owner, keep = pa.array(owner), pa.array(keep)
             yield pa.RecordBatch.from_arrays(
@@ -223,7 +171,6 @@ def dedup_substrings(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 50, depth: int = 2, max_bits: int = 1 << 30,
 ) -> DataFrame:
     """Per row: doc_id, n_words, n_removed and the kept words joined by one space (`kept`)."""
-    spark = docs.sparkSession
     texts = pick(docs, doc_id=doc_id, text=text)
     lines = materialize(texts.mapInArrow(outline(size), OUTLINE), "outline")
     same = ["key", "key2", "n_words"]
@@ -234,15 +181,9 @@ def dedup_substrings(
     single = lines.filter("doc_id IS NOT NULL AND size(grams) > 0").join(
         small_by(copies.select("doc_id", "key"), F.lit(1)), ["doc_id", "key"], "left_anti")
 
-    total = lines.agg(F.sum(F.size("grams"))).first()[0] or 0
-    bits = min(max(BIN + 2, int(8 * total).bit_length()), max_bits.bit_length() - 1)
-    merged = single.select("grams").mapInArrow(partial_sketch(bits, depth), "bin bigint, cells array<int>, counts array<tinyint>")
-    bitmap = np.zeros((depth, 1 << (bits - BIN), 1 << (BIN - 3)), np.uint8)
-    for x in merged.repartition("bin").mapInArrow(merged_sketch, "bin bigint, repeated binary").toLocalIterator():
-        bitmap[x["bin"] % depth, x["bin"] // depth] = np.frombuffer(x["repeated"], np.uint8)
-    sketch = spark.sparkContext.broadcast(bitmap.tobytes())
+    bits, sketch = repeated_cells(single.select("grams"), lines.agg(F.sum(F.size("grams"))).first()[0] or 0, depth, max_bits)
     segments = materialize(single.select("doc_id", "key", "grams", "starts", "lengths", "bodies").mapInArrow(
-        repeated_segments(bits, depth, sketch), "doc_id bigint, key bigint, gram bigint, body bigint, start int, length int"), "segments")
+        repeated_segments(bits, sketch), "doc_id bigint, key bigint, gram bigint, body bigint, start int, length int"), "segments")
 
     classes = materialize(segments.groupBy("gram", "body").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n")), "classes")
