@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vigilframe.llm import jaccard, ledger, lines, mixing, postings, secrets, substrings
+from vigilframe.llm import jaccard, ledger, lines, mixing, postings, quality, samples, secrets, substrings, toxicity
 from vigilframe.plans.catalog import query
 from vigilframe.session import materialize
 
@@ -126,3 +126,27 @@ def op7_rule_ledger(spark, sf):
 @query("op8_secret_layers")
 def op8_secret_layers(spark, sf):
     return secrets.digest(secrets.scan(table(spark, sf, "documents").select("doc_id", "text")))
+
+
+def by_label(spark, sf, name, folds, out):
+    labels = table(spark, sf, "labels").select("doc_id", F.col(name).alias("label"))
+    return labels.filter(samples.fold(F.col("doc_id"), folds) != out)
+
+
+def judged(scored, folds, out):
+    return scored.select(
+        "doc_id", (samples.fold(F.col("doc_id"), folds) == out).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@query("op1_toxic_sentences")
+def op1_toxic_sentences(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return judged(toxicity.score(docs, toxicity.train(docs, by_label(spark, sf, "toxic", 4, 2))), 4, 2)
+
+
+@query("op5_quality_unlabelled")
+def op5_quality_unlabelled(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    rest = docs.filter(samples.fold(F.col("doc_id"), 5) != 0)
+    return judged(quality.score(docs, quality.train(rest, by_label(spark, sf, "quality", 5, 0))), 5, 0)
