@@ -1 +1,74 @@
-STAGES = []
+"""A corpus from raw documents: language, repeated lines, near-duplicates, benchmark texts, mixture.
+
+Every stage takes (spark, docs, sf_dir), works on all its predecessor kept and returns the columns of
+`documents`; the last adds those of the mixture.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vigilframe.llm import jaccard, language, lines, mixing, postings, queries
+from vigilframe.llm.frames import small
+from vigilframe.plans.catalog import query
+from vigilframe.session import materialize
+
+LEAST_SHARE = 0.3  # of a language in a document; below it, no learned language fits
+
+
+def spoken(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or in which no learned language reaches `LEAST_SHARE`, go."""
+    found = language.predict(docs.withColumn("words", F.col("text")), queries.language_model(docs), "words")
+    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select(*docs.columns)
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later runs of repeated lines are deleted; documents that lose every line go."""
+    cut = lines.dedup_lines(docs)
+    changed = F.col("lines.n_removed") > 0
+    return cut.filter(~changed | (F.col("lines.n_removed") < F.col("lines.n_lines"))).withColumn(
+        "n_chars", F.when(changed, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the smallest id stays; rows without an id stay."""
+    found = jaccard.near_duplicates(docs)
+    copies = materialize(found.filter("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
+    return docs.join(small(copies), "doc_id", "left_anti").select(*docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Contaminated documents go."""
+    found = postings.contamination(docs, queries.table(spark, sf_dir, "benchmark"))
+    bad = materialize(found.filter("contaminated").select("key").distinct(), "contaminated")
+    return docs.withColumn("key", F.xxhash64("doc_id", "text")).join(small(bad), "key", "left_anti").select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its source's target, the words the mix takes of it, and the shards of its draws."""
+    mix = mixing.mix_sources(docs.withColumn("size", mixing.word_count(F.col("text"))))
+    return mix.select(
+        *docs.columns, "size", "mix.source_size", "mix.target",
+        (F.col("size") * F.size("mix.draws")).cast("bigint").alias("taken"),
+        F.transform("mix.draws", lambda d: d["shard"]).alias("shards"))
+
+
+STAGES = [
+    ("language", spoken),
+    ("line_dedup", without_repeated_lines),
+    ("near_duplicates", without_near_duplicates),
+    ("decontamination", without_benchmark),
+    ("mixing", mixed),
+]
+ORACLE_SQL = None  # the language stage is a trained model
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = queries.table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
+
+
+query("pipeline")(run)

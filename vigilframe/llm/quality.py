@@ -6,8 +6,8 @@ Trusted positives P and unlabelled web text U give, with the class prior pi, the
 
 which needs no negatives.  It is minimised for a logistic model over measurements of the text, each cut into
 bins at the quantiles of U.  Where the second part turns negative, its gradient is reversed, as in the
-published algorithm.  pi is estimated as the positives' share among the labelled training rows.  P and U are
-bounded samples: `positives` and `unlabelled` rows, smallest id hashes first.
+published algorithm.  pi is estimated as the positives' share among the labelled training rows; it also
+sets the level of the scores (see `matched`).  P and U are bounded samples: `positives` and `unlabelled` rows, smallest id hashes first.
 
 Defined results: NULL and empty texts are measured as empty and get a score; without positives every score
 is pi or 0; rows are independent; other columns are kept, one named `score` is replaced.
@@ -110,7 +110,8 @@ def sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(positives: list[str], unlabelled: list[str], prior: float, steps: int = 600, rate: float = 0.05, penalty: float = 2e-4) -> Model:
+def fit(positives: list[str], unlabelled: list[str], prior: float, steps: int = 600, rate: float = 0.05, penalty: float = 2e-4,
+        threshold: float = 0.3) -> Model:
     p, u = (measured(pa.array(x, pa.large_string())) for x in (positives, unlabelled))
     if not len(p) or not len(u) or prior in (0.0, 1.0):
         return Model([np.zeros(0)] * 18, np.zeros(18), 30.0 if prior == 1 else float(np.log(max(prior, 1e-9) / max(1 - prior, 1e-9))))
@@ -134,6 +135,21 @@ def fit(positives: list[str], unlabelled: list[str], prior: float, steps: int =
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         model.weights -= step[:-1]
         model.bias -= step[-1]
+    return matched(model, bu, prior, threshold)
+
+
+def matched(model: Model, unlabelled: np.ndarray, prior: float, threshold: float) -> Model:
+    """Move the bias so that about the prior's share of U scores above the threshold.
+
+    The clipped risk leaves the level of the scores open; their order is what it learns.  The border is the
+    widest gap between neighbouring margins of U where the share above is near the prior.
+    """
+    margins = np.sort(model.bias + model.weights[unlabelled].sum(1))
+    low, high = (int(len(margins) * (1 - prior) * x) for x in (0.75, 1.25))
+    near = margins[low:min(high, len(margins) - 1) + 2]
+    if len(near) > 1:
+        at = int(np.argmax(np.diff(near)))
+        model.bias += np.log(threshold / (1 - threshold)) - (near[at] + near[at + 1]) / 2
     return model
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vigilframe.llm import jaccard, ledger, lines, mixing, postings, quality, samples, secrets, substrings, toxicity
+from vigilframe.llm import jaccard, language, ledger, lines, mixing, postings, quality, samples, secrets, substrings, toxicity
 from vigilframe.plans.catalog import query
 from vigilframe.session import materialize
 
@@ -150,3 +150,16 @@ def op5_quality_unlabelled(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     rest = docs.filter(samples.fold(F.col("doc_id"), 5) != 0)
     return judged(quality.score(docs, quality.train(rest, by_label(spark, sf, "quality", 5, 0))), 5, 0)
+
+
+def language_model(docs):
+    """Trained on the rows outside fold 2 of 4 that have a language."""
+    known = docs.filter((samples.fold(F.col("doc_id"), 4) != 2) & F.col("lang").isNotNull())
+    return language.train(docs, known.select("doc_id", F.col("lang").alias("label")))
+
+
+@query("op3_language_chains")
+def op3_language_chains(spark, sf):
+    docs = table(spark, sf, "documents")
+    found = language.predict(docs.select("doc_id", "text"), language_model(docs.select("doc_id", "text", "lang")))
+    return found.select("doc_id", (samples.fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
