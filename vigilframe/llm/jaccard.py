@@ -1,10 +1,11 @@
 """N-gram Jaccard join: blocks of a sparse document by n-gram product, with size-derived bounds.
 
-Documents are sets of hashed shingles; equal sets fold to the smallest id.  Two sets of n and m shingles
-that link share at least `percent` % of the larger one, so they share one of each one's first
-n - ceil(n * percent / 100) + 1 shingles in any common order.  The order puts rare shingles first: merged
-partition sketches give the frequency of shingles and of words, and an error in them only costs time.
-Shingles estimated unique are dropped.
+Documents are sets of hashed shingles; equal sets fold to the smallest id.  Two sets that link share at
+least a = ceil(n * percent / 100) of the n shingles of each, so in any common order their first k shared
+shingles are among the first n - a + k of both, for every k up to a.  The order puts rare shingles first:
+merged partition sketches give the frequency of shingles and of words, and an error in them only costs time.
+With k(n) growing with n, a document can only link if k(its smallest partner's size) of its first shingles
+occur elsewhere; a count-min sketch, then exact counts, drop the others before any set is moved.
 
 A block is all documents that share a first shingle with the block's smallest id (its pivot).  Every link
 lies within some block.  First each document is compared with the pivot it shares most with, which is
@@ -55,18 +56,32 @@ def shingles(data: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray,
     return words, offsets, hashes, np.r_[0, np.cumsum(lengths)]
 
 
-def frequencies(size: int):
-    """The partition's counts of words and shingles by cell, in bins."""
+def folded(hashes: np.ndarray) -> tuple[np.uint64, np.uint64]:
+    """128 bits of a set."""
+    return np.bitwise_xor.reduce(T.mix(hashes)), np.add.reduce(T.mix(hashes ^ T.SECOND))
+
+
+def outlines(size: int):
+    """A row per document (set size and hash), then the partition's counts of words and shingles by cell, in bins."""
+    names = ["doc_id", "n", "one", "two", "bin", "counts"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = [np.zeros(1 << WORD_BITS, np.int32), np.zeros(1 << SHINGLE_BITS, np.int32)]
         for batch in batches:
-            for _, _, data, rows in T.slices(batch.column(0)):
-                words, _, hashes, _ = shingles(data, rows, size)
+            for row, stop, data, rows in T.slices(batch.column(1)):
+                words, _, hashes, border = shingles(data, rows, size)
                 for total, values, bits in ((counts[0], words, WORD_BITS), (counts[1], hashes, SHINGLE_BITS)):
                     total += np.bincount((values >> T.U(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.int32)
+                own = [np.unique(hashes[border[r]:border[r + 1]]) for r in range(stop - row)]
+                both = np.array([folded(x) for x in own], T.U).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(row, stop - row), pa.array([len(x) for x in own], pa.int64()),
+                    pa.array(T.signed(both[:, 0].copy())), pa.array(T.signed(both[:, 1].copy())),
+                    pa.nulls(stop - row, pa.int64()), pa.nulls(stop - row, pa.binary())], names)
         cells = np.concatenate(counts).reshape(-1, BIN_CELLS)
+        none = pa.nulls(len(cells), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(cells))), pa.array([x.tobytes() for x in cells], pa.binary())], ["bin", "counts"])
+            [none, none, none, none, pa.array(np.arange(len(cells))), pa.array([x.tobytes() for x in cells], pa.binary())], names)
     return run
 
 
@@ -80,54 +95,63 @@ def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([total.tobytes()], pa.binary())], ["bin", "counts"])
 
 
-def ordering(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+def ordering(partial: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Cost of a word cell, and count of a frequent shingle's cell (0 for the others)."""
-    bins = np.zeros(((1 << WORD_BITS) + (1 << SHINGLE_BITS)) // BIN_CELLS * BIN_CELLS, np.int64).reshape(-1, BIN_CELLS)
-    partial = texts.select("text").mapInArrow(frequencies(size), "bin bigint, counts binary")
+    bins = np.zeros((1 << WORD_BITS) + (1 << SHINGLE_BITS), np.int64).reshape(-1, BIN_CELLS)
     for x in partial.repartition("bin").mapInArrow(summed, "bin bigint, counts binary").toLocalIterator():
         bins[x["bin"]] = np.frombuffer(x["counts"], np.int64)
-    flat = bins.ravel()
-    words, hot = flat[:1 << WORD_BITS], flat[1 << WORD_BITS:]
+    words, hot = np.split(bins.ravel(), [1 << WORD_BITS])
     return (16 * np.log2(words + 1)).astype(np.int64), np.where(hot > 8 * hot.mean() + 8, hot, 0)
 
 
-def prefixes(size: int, percent: int, order):
+def shared_firsts(n: int) -> int:
+    """k(n): so many shared shingles are looked for among the first ones; grows with n."""
+    return 1 + n * 8 // 100
+
+
+def first_shingles(batches: Iterator[pa.RecordBatch], size: int, percent: int, order):
+    """For every document (batch, row, set size, its first shingles in order, how many of them hold one shared shingle)."""
+    word_cost, hot = order
+    for batch in batches:
+        for row, stop, data, rows in T.slices(batch.column(1)):
+            words, offsets, hashes, border = shingles(data, rows, size)
+            cost = hot[(hashes >> T.U(64 - SHINGLE_BITS)).astype(np.int64)] << 16
+            if len(hashes):
+                sums = np.r_[0, np.cumsum(word_cost[(words >> T.U(64 - WORD_BITS)).astype(np.int64)])]
+                first = T.row_of(border)
+                first = np.arange(len(hashes)) - border[first] + offsets[first]
+                cost += sums[np.minimum(first + size, len(words))] - sums[first]
+            for r in range(stop - row):
+                own, at = np.unique(hashes[border[r]:border[r + 1]], return_index=True)
+                if len(own):
+                    free = len(own) - -(-len(own) * percent // 100)
+                    ranked = np.argsort(cost[border[r]:border[r + 1]][at], kind="stable")
+                    yield batch, row + r, len(own), own[ranked[:free + shared_firsts(len(own))]], free + 1
+
+
+def listed_firsts(size: int, percent: int, order):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word_cost, hot = order.value
-        for batch in batches:
-            for row, stop, data, rows in T.slices(batch.column(1)):
-                words, offsets, hashes, border = shingles(data, rows, size)
-                cost = hot[(hashes >> T.U(64 - SHINGLE_BITS)).astype(np.int64)] << 16
-                if len(hashes):
-                    sums = np.r_[0, np.cumsum(word_cost[(words >> T.U(64 - WORD_BITS)).astype(np.int64)])]
-                    first = T.row_of(border)
-                    first = np.arange(len(hashes)) - border[first] + offsets[first]
-                    cost += sums[np.minimum(first + size, len(words))] - sums[first]
-                firsts, n, one, two = [], [], [], []
-                for r in range(stop - row):
-                    own, at = np.unique(hashes[border[r]:border[r + 1]], return_index=True)
-                    n.append(len(own))
-                    one.append(np.bitwise_xor.reduce(T.mix(own)) if len(own) else 0)
-                    two.append(np.add.reduce(T.mix(own ^ T.SECOND)) if len(own) else 0)
-                    keep = len(own) - -(-len(own) * percent // 100) + 1 if len(own) else 0
-                    firsts.append(own[np.argsort(cost[border[r]:border[r + 1]][at], kind="stable")[:keep]])
-                lengths = np.r_[0, np.cumsum([len(x) for x in firsts])].astype(np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(row, stop - row), pa.array(np.array(n, np.int64)),
-                    pa.array(T.signed(np.array(one, T.U))), pa.array(T.signed(np.array(two, T.U))),
-                    pa.ListArray.from_arrays(lengths, pa.array(T.signed(np.concatenate(firsts))))],
-                    ["doc_id", "n", "one", "two", "firsts"])
+        held, total = [], 0
+        for _, _, _, own, _ in first_shingles(batches, size, percent, order.value):
+            held.append(own)
+            total += len(own)
+            if total > 1_000_000:
+                yield pa.RecordBatch.from_arrays([pa.array([T.signed(np.concatenate(held))])], ["firsts"])
+                held, total = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([T.signed(np.concatenate(held))])], ["firsts"])
     return run
 
 
-def repeated_firsts(bits: int, sketch):
+def repeated_firsts(size: int, percent: int, order, bits: int, sketch):
+    """The first shingles that may occur elsewhere, of the documents with enough of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            flat = batch.column(2).flatten()
-            keep = estimated_repeated(flat.to_numpy(zero_copy_only=False), sketch.value, bits)
-            owner = np.repeat(np.arange(len(batch)), batch.column(2).value_lengths().to_numpy(zero_copy_only=False))[keep]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(owner)), batch.column(1).take(pa.array(owner)), flat.filter(pa.array(keep))], ["doc", "n", "shingle"])
+        for batch, row, n, own, base in first_shingles(batches, size, percent, order.value):
+            keep = np.flatnonzero(estimated_repeated(own, sketch.value, bits))
+            if len(keep) >= shared_firsts(-(-n * percent // 100)):
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).take(pa.array(np.full(len(keep), row))), pa.array(np.full(len(keep), n)),
+                    pa.array(T.signed(own[keep])), pa.array(keep < base)], ["doc", "n", "shingle", "base"])
     return run
 
 
@@ -138,7 +162,7 @@ def sets(size: int):
             for row, stop, data, rows in T.slices(batch.column(1)):
                 _, _, hashes, border = shingles(data, rows, size)
                 own = [np.unique(hashes[border[r]:border[r + 1]]) for r in range(stop - row)]
-                ok = [len(x) == n and int(T.signed(np.bitwise_xor.reduce(T.mix(x), keepdims=True))[0]) == one for x, n, one in zip(
+                ok = [len(x) == n and int(folded(x)[0].astype(np.int64)) == one for x, n, one in zip(
                     own, batch.column(3)[row:stop].to_pylist(), batch.column(4)[row:stop].to_pylist())]
                 chosen = np.flatnonzero(ok)
                 yield pa.RecordBatch.from_arrays(
@@ -254,19 +278,26 @@ def near_duplicates(
     """Per row: doc_id, n_shingles and component_id, the smallest id reachable by links."""
     spark = docs.sparkSession
     texts = pick(docs, doc_id=doc_id, text=text)
-    order = spark.sparkContext.broadcast(ordering(texts, size))
     outline = materialize(texts.mapInArrow(
-        prefixes(size, percent, order), "doc_id bigint, n bigint, one bigint, two bigint, firsts array<bigint>"), "prefixes")
+        outlines(size), "doc_id bigint, n bigint, one bigint, two bigint, bin bigint, counts binary"), "outline")
+    order = spark.sparkContext.broadcast(ordering(outline.filter("bin IS NOT NULL").select("bin", "counts")))
+    outline = outline.filter("bin IS NULL").select("doc_id", "n", "one", "two")
     known = outline.filter("n > 0 AND doc_id IS NOT NULL")
     same = ["n", "one", "two"]
     heads = materialize(known.groupBy(*same).agg(F.min("doc_id").alias("doc")), "heads")
-    others = known.select("doc_id", *same).join(heads, same).filter(F.col("doc_id") > F.col("doc")).select("doc_id", "one").distinct()
-    single = known.join(small_by(materialize(others, "copies"), F.lit(1)), ["doc_id", "one"], "left_anti")
-
-    bits, sketch = repeated_cells(single.select("firsts"), single.agg(F.sum(F.size("firsts"))).first()[0] or 0, 1, max_bits)
-    postings = single.select("doc_id", "n", "firsts").mapInArrow(
-        repeated_firsts(bits, sketch), "doc bigint, n bigint, shingle bigint")
-    postings = materialize(postings, "postings")
+    copies = known.select("doc_id").distinct().join(heads.select(F.col("doc").alias("doc_id")), "doc_id", "left_anti")
+    single = texts.filter("doc_id IS NOT NULL").join(small(materialize(copies, "copies")), "doc_id", "left_anti").select("doc_id", "text")
+
+    total = int((known.agg(F.sum("n")).first()[0] or 0) * (100 - percent + 8) / 100)
+    bits, sketch = repeated_cells(
+        single.mapInArrow(listed_firsts(size, percent, order), "firsts array<bigint>"), total, 1, max_bits)
+    postings = materialize(single.mapInArrow(
+        repeated_firsts(size, percent, order, bits, sketch), "doc bigint, n bigint, shingle bigint, base boolean"), "postings")
+    often = postings.groupBy("shingle").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high").select("shingle")
+    partner = F.ceil(F.col("n") * percent / 100)
+    enough = materialize(postings.join(often, "shingle", "left_semi").groupBy("doc", "n").agg(F.count(F.lit(1)).alias("k")).filter(
+        F.col("k") >= 1 + F.floor(partner * 8 / 100)).select("doc", "n"), "enough")
+    postings = postings.filter("base").join(small(enough), ["doc", "n"], "left_semi")
     blocks = postings.groupBy("shingle").agg(F.min(F.struct("doc", "n")).alias("pivot"), F.max("doc").alias("last")).filter("pivot.doc < last")
     members = postings.join(blocks.select("shingle", "pivot"), "shingle").groupBy("doc", "n", "pivot").agg(F.count(F.lit(1)).alias("shared"))
     members = materialize(members.select("doc", "n", F.col("pivot.doc").alias("pivot"), F.col("pivot.n").alias("pivot_n"), "shared"), "members")
@@ -304,6 +335,6 @@ def near_duplicates(
     more = materialize(product, "links")
     if more.limit(1).count():
         found = components(stars.unionByName(more))
-    rows = outline.select("doc_id", "n", "one", "two").join(heads, same, "left")
+    rows = outline.join(heads, same, "left")
     rows = with_components(rows, found)
     return rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
