@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -33,3 +36,15 @@ def small_by(df: DataFrame, weight: Column, rows: int = BROADCAST_ROWS, total: i
     """Like `small`, for rows with arrays: the sum of `weight` (their lengths) must not be above `total` either."""
     size = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(weight), F.lit(0)).alias("w")).first()
     return F.broadcast(df) if size["n"] <= rows and size["w"] <= total else df
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Smaller Arrow batches for the jobs run inside, as two tasks of an executor hold several at once."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

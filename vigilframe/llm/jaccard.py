@@ -24,16 +24,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilframe.llm import tokens as T
-from vigilframe.llm.frames import pick, small, small_by
+from vigilframe.llm.frames import arrow_batches, pick, small
 from vigilframe.llm.sketch import estimated_repeated, repeated_cells
 from vigilframe.session import materialize
 
 WORD_BITS, SHINGLE_BITS, BIN_CELLS = 18, 19, 1 << 14
-CHUNK = 400_000  # shingles of a chunk, each document counting BASE more
+CHUNK = 200_000  # shingles of a chunk, each document counting BASE more
 BASE = 400
 COLUMNS, DENSE_FROM = 2048, 24
 
@@ -216,8 +216,13 @@ def multiply(percent: int):
         docs, comps = table.column("doc").to_numpy(), table.column("component").to_numpy()
         own = [np.frombuffer(x.as_buffer(), T.U) for x in table.column("shingles")]
         n = np.array([len(x) for x in own], np.float64)
-        shared = overlaps(np.concatenate(own), np.repeat(np.arange(len(own)), n.astype(np.int64)), len(own)).astype(np.float64)
-        a, b = np.nonzero(100 * shared >= percent * (n[:, None] + n[None, :] - shared))
+        shared = overlaps(np.concatenate(own), np.repeat(np.arange(len(own)), n.astype(np.int64)), len(own))
+        found = []
+        for low in range(0, len(own), 128):
+            part = shared[low:low + 128].astype(np.float64)
+            a, b = np.nonzero(100 * part >= percent * (n[low:low + 128, None] + n[None, :] - part))
+            found.append((a + low, b))
+        a, b = (np.concatenate(x) for x in zip(*found))
         wanted = comps[a] != comps[b]
         parent = {int(c): int(c) for c in comps}
 
@@ -276,8 +281,11 @@ def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 75, max_bits: int = 1 << 28,
 ) -> DataFrame:
     """Per row: doc_id, n_shingles and component_id, the smallest id reachable by links."""
-    spark = docs.sparkSession
-    texts = pick(docs, doc_id=doc_id, text=text)
+    with arrow_batches(docs.sparkSession):
+        return linked_rows(docs.sparkSession, pick(docs, doc_id=doc_id, text=text), size, percent, max_bits)
+
+
+def linked_rows(spark: SparkSession, texts: DataFrame, size: int, percent: int, max_bits: int) -> DataFrame:
     outline = materialize(texts.mapInArrow(
         outlines(size), "doc_id bigint, n bigint, one bigint, two bigint, bin bigint, counts binary"), "outline")
     order = spark.sparkContext.broadcast(ordering(outline.filter("bin IS NOT NULL").select("bin", "counts")))
@@ -289,8 +297,7 @@ def near_duplicates(
     single = texts.filter("doc_id IS NOT NULL").join(small(materialize(copies, "copies")), "doc_id", "left_anti").select("doc_id", "text")
 
     total = int((known.agg(F.sum("n")).first()[0] or 0) * (100 - percent + 8) / 100)
-    bits, sketch = repeated_cells(
-        single.mapInArrow(listed_firsts(size, percent, order), "firsts array<bigint>"), total, 1, max_bits)
+    bits, sketch = repeated_cells(single, total, 1, max_bits, listed_firsts(size, percent, order))
     postings = materialize(single.mapInArrow(
         repeated_firsts(size, percent, order, bits, sketch), "doc bigint, n bigint, shingle bigint, base boolean"), "postings")
     often = postings.groupBy("shingle").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high").select("shingle")

@@ -63,13 +63,15 @@ def merged_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             [pa.array([number]), pa.array([np.packbits(total >= 2).tobytes()], pa.binary())], ["bin", "repeated"])
 
 
-def repeated_cells(values: DataFrame, total: int, depth: int, max_bits: int) -> tuple[int, Broadcast]:
-    """Bitmaps of the cells that count two or more, from one column of arrays; about eight cells a value.
+def repeated_cells(values: DataFrame, total: int, depth: int, max_bits: int, prepare=iter) -> tuple[int, Broadcast]:
+    """Bitmaps of the cells that count two or more, from one column of arrays (or what `prepare` makes of
+    the batches); about eight cells a value.
 
     The driver holds `depth` bitmaps of at most `max_bits` bits, whatever the input.
     """
     bits = min(max(BIN + 2, int(8 * total).bit_length()), max_bits.bit_length() - 1)
-    merged = values.mapInArrow(partial_sketch(bits, depth), "bin bigint, cells array<int>, counts array<tinyint>")
+    count = partial_sketch(bits, depth)
+    merged = values.mapInArrow(lambda batches: count(prepare(batches)), "bin bigint, cells array<int>, counts array<tinyint>")
     bitmap = np.zeros((depth, 1 << (bits - BIN), 1 << (BIN - 3)), np.uint8)
     for x in merged.repartition("bin").mapInArrow(merged_sketch, "bin bigint, repeated binary").toLocalIterator():
         bitmap[x["bin"] % depth, x["bin"] // depth] = np.frombuffer(x["repeated"], np.uint8)
