@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -38,13 +35,17 @@ def small_by(df: DataFrame, weight: Column, rows: int = BROADCAST_ROWS, total: i
     return F.broadcast(df) if size["n"] <= rows and size["w"] <= total else df
 
 
-@contextmanager
-def arrow_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
-    """Smaller Arrow batches for the jobs run inside, as two tasks of an executor hold several at once."""
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """`df`, after lowering the session's Arrow batches to 8 MB where they are larger.
+
+    Two tasks of an executor hold several batches each, inside and outside the JVM; a batch of long texts
+    of the default 64 MB would count several times.  The setting is read when a plan runs, so it stays.
+    """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, size)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    now = str(df.sparkSession.conf.get(key)).lower().rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        df.sparkSession.conf.set(key, str(BATCH_BYTES))
+    return df

@@ -10,7 +10,8 @@ occur elsewhere; a count-min sketch, then exact counts, drop the others before a
 A block is all documents that share a first shingle with the block's smallest id (its pivot).  Every link
 lies within some block.  First each document is compared with the pivot it shares most with, which is
 linear.  Components of these links are then folded, and only blocks that still hold several components
-are multiplied: cut into chunks of bounded size, incidence matrix times its transpose, accumulated over
+are multiplied, first by the first shingles alone, which leaves the members that can have a partner, then by the
+whole sets of those: cut into chunks of bounded size, incidence matrix times its transpose, accumulated over
 column blocks, pairs below the size bound discarded.  A task returns a spanning forest of its links, so
 no pairs of a group are written.
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilframe.llm import tokens as T
-from vigilframe.llm.frames import arrow_batches, pick, small
+from vigilframe.llm.frames import bounded_batches, pick, small
 from vigilframe.llm.sketch import estimated_repeated, repeated_cells
 from vigilframe.session import materialize
 
@@ -211,6 +212,25 @@ def overlaps(flat: np.ndarray, owner: np.ndarray, m: int) -> np.ndarray:
     return out
 
 
+def partners(percent: int):
+    """Members of a block with a possible partner in another component, by the shared first shingles alone."""
+    def run(table: pa.Table) -> pa.Table:
+        n, comps = table.column("n").to_numpy(), table.column("component").to_numpy()
+        own = [x.values.to_numpy() for x in table.column("firsts")]
+        shared = overlaps(np.concatenate(own), np.repeat(np.arange(len(own)), [len(x) for x in own]), len(own))
+        least = 1 + n * 8 // 100
+        keep = np.zeros(len(n), bool)
+        for low in range(0, len(n), 128):
+            part = slice(low, low + 128)
+            a, b = np.nonzero(
+                (shared[part] >= np.minimum(least[part, None], least)) & (comps[part, None] != comps)
+                & (100 * np.minimum(n[part, None], n) >= percent * np.maximum(n[part, None], n)))
+            keep[a + low] = True
+            keep[b] = True
+        return table.select(["pivot", "i", "j", "doc", "component"]).filter(pa.array(keep))
+    return run
+
+
 def multiply(percent: int):
     def run(table: pa.Table) -> pa.Table:
         docs, comps = table.column("doc").to_numpy(), table.column("component").to_numpy()
@@ -281,8 +301,7 @@ def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 75, max_bits: int = 1 << 28,
 ) -> DataFrame:
     """Per row: doc_id, n_shingles and component_id, the smallest id reachable by links."""
-    with arrow_batches(docs.sparkSession):
-        return linked_rows(docs.sparkSession, pick(docs, doc_id=doc_id, text=text), size, percent, max_bits)
+    return linked_rows(docs.sparkSession, bounded_batches(pick(docs, doc_id=doc_id, text=text)), size, percent, max_bits)
 
 
 def linked_rows(spark: SparkSession, texts: DataFrame, size: int, percent: int, max_bits: int) -> DataFrame:
@@ -304,6 +323,7 @@ def linked_rows(spark: SparkSession, texts: DataFrame, size: int, percent: int,
     partner = F.ceil(F.col("n") * percent / 100)
     enough = materialize(postings.join(often, "shingle", "left_semi").groupBy("doc", "n").agg(F.count(F.lit(1)).alias("k")).filter(
         F.col("k") >= 1 + F.floor(partner * 8 / 100)).select("doc", "n"), "enough")
+    firsts = postings.join(small(enough.select("doc")), "doc", "left_semi").select("doc", "shingle")
     postings = postings.filter("base").join(small(enough), ["doc", "n"], "left_semi")
     blocks = postings.groupBy("shingle").agg(F.min(F.struct("doc", "n")).alias("pivot"), F.max("doc").alias("last")).filter("pivot.doc < last")
     members = postings.join(blocks.select("shingle", "pivot"), "shingle").groupBy("doc", "n", "pivot").agg(F.count(F.lit(1)).alias("shared"))
@@ -334,10 +354,13 @@ def linked_rows(spark: SparkSession, texts: DataFrame, size: int, percent: int,
     open_ones = groups.filter("low < high OR (apart_low IS NOT NULL AND (apart_low <> own OR apart_high <> own))").select(
         "pivot", F.ceil(F.col("weight") / CHUNK).cast("int").alias("chunks"))
     dealt = state.join(materialize(open_ones, "open"), "pivot").select(
-        "pivot", "doc", "component", "chunks", F.pmod(F.xxhash64("doc", "pivot"), "chunks").cast("int").alias("own"))
-    dealt = dealt.select("pivot", "doc", "component", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("with"))
-    dealt = dealt.select("pivot", "doc", "component", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
-    blocks_in = dealt.join(own.select("doc", "shingles"), "doc")
+        "pivot", "doc", "n", "component", "chunks", F.pmod(F.xxhash64("doc", "pivot"), "chunks").cast("int").alias("own"))
+    dealt = dealt.select("pivot", "doc", "n", "component", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("with"))
+    dealt = dealt.select("pivot", "doc", "n", "component", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
+    firsts = firsts.groupBy("doc").agg(F.collect_set("shingle").alias("firsts"))
+    possible = dealt.join(firsts, "doc").groupBy("pivot", "i", "j").applyInArrow(
+        partners(percent), "pivot bigint, i int, j int, doc bigint, component bigint")
+    blocks_in = materialize(possible, "possible").join(own.select("doc", "shingles"), "doc")
     product = blocks_in.groupBy("pivot", "i", "j").applyInArrow(multiply(percent), "a bigint, b bigint")
     more = materialize(product, "links")
     if more.limit(1).count():

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from vigilframe.llm import samples
 from vigilframe.llm import tokens as T
+from vigilframe.llm.frames import bounded_batches
 
 LONGEST = 64
 PAIRS, TRIPLES, LEXICON = 1 << 16, 1 << 17, 1 << 16
@@ -203,7 +204,7 @@ def labelled(model):
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """The other columns of `docs` with `lang_pred`, `score`, and `shares` by learned language."""
     rest = [c for c in docs.columns if c != text and c not in RESULTS]
-    rows = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
+    rows = bounded_batches(docs).select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
     out = rows.mapInArrow(labelled(sent), f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double, shares array<double>")
     return out.select(*[F.col(f"row.`{c}`") for c in rest], *RESULTS)

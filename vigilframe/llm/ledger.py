@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilframe.llm import tokens as T
+from vigilframe.llm.frames import bounded_batches
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_lines")
 WINDOW = 5
@@ -87,7 +88,7 @@ def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     """The other columns of `docs`, the measurements, and `failed_bits`."""
     rest = [c for c in docs.columns if c != text and c not in (*MEASURES, "failed_bits")]
-    rows = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
+    rows = bounded_batches(docs).select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, " + ", ".join(f"{m} bigint" for m in MEASURES)
     book = rows.mapInArrow(measure, schema)
     bits = " + ".join(f"CASE WHEN {rule} THEN {1 << i}L ELSE 0L END" for i, rule in enumerate(RULES.values()))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilframe.llm import tokens as T
-from vigilframe.llm.frames import pick, small_by
+from vigilframe.llm.frames import bounded_batches, pick, small_by
 from vigilframe.session import materialize
 
 NEWLINE = np.zeros(256, bool)
@@ -73,7 +73,7 @@ def fingerprints(run_length: int):
 
 def repeated_runs(docs: DataFrame, doc_id: str, text: str, run: int) -> DataFrame:
     """Maximal later runs: doc_id, key of the text, first line, lines, and where the first place is."""
-    texts = pick(docs, doc_id=doc_id, text=text).filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    texts = bounded_batches(pick(docs, doc_id=doc_id, text=text)).filter("doc_id IS NOT NULL AND text IS NOT NULL")
     prints = materialize(texts.mapInArrow(
         fingerprints(run), "doc_id bigint, key bigint, line int, fingerprint bigint, one bigint, two bigint"), "fingerprints")
     often = prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("fingerprint")

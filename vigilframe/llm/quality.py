@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from vigilframe.llm import samples
 from vigilframe.llm import tokens as T
-from vigilframe.llm.frames import pick
+from vigilframe.llm.frames import bounded_batches, pick
 
 BINS = 10
 NEWLINE = np.zeros(256, bool)
@@ -166,7 +166,7 @@ def scored(model):
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The other columns of `docs` with `score`, the chance of the positive class."""
     rest = [c for c in docs.columns if c not in (text, "score")]
-    rows = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
+    rows = bounded_batches(docs).select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
     out = rows.mapInArrow(scored(sent), f"row {rows.schema['row'].dataType.simpleString()}, score double")
     return out.select(*[F.col(f"row.`{c}`") for c in rest], "score")

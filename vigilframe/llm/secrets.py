@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigilframe.llm.frames import bounded_batches
+
 KINDS = ("assign", "access", "hex")
 MOST_BYTES = 8 << 20
 
@@ -178,7 +180,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """The other columns of `docs` with `base_spans`, `spans` (kind, start, end in code points) and `truncated`."""
     results = ("base_spans", "spans", "truncated")
     rest = [c for c in docs.columns if c != text and c not in results]
-    rows = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
+    rows = bounded_batches(docs).select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
     span = "array<struct<kind:string,start:bigint,end:bigint>>"
     out = rows.mapInArrow(scanned, f"row {rows.schema['row'].dataType.simpleString()}, base_spans {span}, spans {span}, truncated boolean")
     return out.select(*[F.col(f"row.`{c}`") for c in rest], *results)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilframe.llm import tokens as T
-from vigilframe.llm.frames import pick, small_by
+from vigilframe.llm.frames import bounded_batches, pick, small_by
 from vigilframe.llm.sketch import estimated_repeated, repeated_cells
 from vigilframe.session import materialize
 
@@ -171,7 +171,7 @@ def dedup_substrings(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 50, depth: int = 2, max_bits: int = 1 << 30,
 ) -> DataFrame:
     """Per row: doc_id, n_words, n_removed and the kept words joined by one space (`kept`)."""
-    texts = pick(docs, doc_id=doc_id, text=text)
+    texts = bounded_batches(pick(docs, doc_id=doc_id, text=text))
     lines = materialize(texts.mapInArrow(outline(size), OUTLINE), "outline")
     same = ["key", "key2", "n_words"]
     first = materialize(lines.filter("doc_id IS NOT NULL").groupBy(*same).agg(

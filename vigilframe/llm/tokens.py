@@ -1,7 +1,7 @@
 """Word, line and window arithmetic on Arrow text columns with numpy, shared by the operators of this folder.
 
 A word is a maximal run of bytes other than space and 0x09-0x0D, which is the same on UTF-8 bytes as on
-characters.  Texts are worked through in slices of about a megabyte, so memory follows the longest
+characters.  Texts are worked through in slices of about half a megabyte, so memory follows the longest
 single text and not the batch.  NULL texts have no words.
 """
 
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE = 1 << 20
+SLICE = 1 << 19
 U = np.uint64
 
 SPACE = np.zeros(256, bool)

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from vigilframe.llm import samples
 from vigilframe.llm import tokens as T
+from vigilframe.llm.frames import bounded_batches
 
 FLOOR = 1e-6
 BEGINNINGS = (4, 5)
@@ -152,7 +153,7 @@ def scored(model):
 def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """The other columns of `docs` with `score` and the offending `sentences` (start, end in code points, score)."""
     rest = [c for c in docs.columns if c != text and c not in RESULTS]
-    rows = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
+    rows = bounded_batches(docs).select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
     out = rows.mapInArrow(scored(sent), f"row {rows.schema['row'].dataType.simpleString()}, score double, "
                                         "sentences array<struct<start:bigint,end:bigint,score:double>>")
