@@ -73,3 +73,9 @@ def test_missing_column_and_empty(spark):
 def test_risk_by_asset(spark):
     df = spark.sql("SELECT * FROM VALUES ('a', timestamp '2024-01-01', 0.2D), ('a', timestamp '2024-01-02', 0.4D) t(asset, event_ts, score)")
     assert rows(risk.risk_by_asset(df)) == [("a", 0.4, pytest.approx(0.3), 2)]
+
+
+def test_missing_host_is_unknown(spark):
+    df = spark.createDataFrame([("a", 1.0), (None, 2.0), ("unknown", 3.0)], "host string, points double")
+    assert sorted(r.host for r in risk.asset_universe(df).collect()) == ["a", "unknown"]
+    assert {r.host: r.p for r in risk.component_sums({"p": df}).collect()} == {"a": 1.0, "unknown": 5.0}

@@ -24,7 +24,9 @@ def severity_at_least(severity: Column, threshold: str = "medium", mode: str = "
     "medium" it keeps "unknown" and drops "critical" and "high".
     """
     if mode == "ordinal":
-        return severity_rank(severity) >= F.lit(SEVERITY_RANK.get(threshold.lower(), 0))
+        if threshold.lower() not in SEVERITY_RANK:
+            raise ValueError(f"unknown severity threshold: {threshold}")
+        return severity_rank(severity) >= F.lit(SEVERITY_RANK[threshold.lower()])
     if mode == "lexical":
         return F.coalesce(F.lower(severity), F.lit("")) >= F.lit(threshold.lower())
     raise ValueError(f"unknown severity mode: {mode}")

@@ -21,11 +21,11 @@ def risk_level(score: Column, thresholds: dict[str, float] | None = None) -> Col
 
 
 def asset_universe(*frames: DataFrame) -> DataFrame:
-    """Distinct hosts over all frames."""
+    """Distinct hosts over all frames; rows without a host belong to `unknown`."""
     hosts = frames[0].select("host")
     for frame in frames[1:]:
         hosts = hosts.unionByName(frame.select("host"))
-    return hosts.distinct()
+    return hosts.select(F.coalesce("host", F.lit("unknown")).alias("host")).distinct()
 
 
 def component_sums(parts: dict[str, DataFrame]) -> DataFrame:
@@ -36,7 +36,7 @@ def component_sums(parts: dict[str, DataFrame]) -> DataFrame:
     """
     stacked = None
     for name, frame in parts.items():
-        tagged = frame.select("host", F.lit(name).alias("component"), F.col("points").cast("double"))
+        tagged = frame.select(F.coalesce("host", F.lit("unknown")).alias("host"), F.lit(name).alias("component"), F.col("points").cast("double"))
         stacked = tagged if stacked is None else stacked.unionByName(tagged)
     return stacked.groupBy("host").agg(*[
         F.coalesce(F.sum(F.when(F.col("component") == n, F.col("points"))), F.lit(0.0)).alias(n) for n in parts
