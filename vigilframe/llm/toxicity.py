@@ -71,16 +71,29 @@ class Model:
         self.near[(self.features >> T.U(48)).astype(np.int64)] = True
 
 
-def bags(texts: list[str]):
-    """Cue hashes with document and sentence of each, for a list of texts."""
-    out, first = [], 0
+def bags(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Cue hashes with document and sentence of each, slice by slice; no document lies in two slices."""
+    first = 0
     for row, stop, data, rows in T.slices(pa.array(texts, pa.large_string())):
         data = T.LOWER[data]
         ends = np.cumsum(END[data])
         hashes, owners, places = cues(data, rows)
-        out.append((hashes, owners + row, ends[places] + first))
+        yield hashes, owners + row, ends[places] + first
         first += int(ends[-1]) + 1 if len(ends) else 1
-    return [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, T.U), np.zeros(0, int), np.zeros(0, int)]
+
+
+def counted(texts: list[str], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All cue hashes in order, and how many documents of either label hold each; memory follows the vocabulary."""
+    feature, with_it = np.zeros(0, T.U), np.zeros((2, 0), np.int64)
+    for hashes, doc, _ in bags(texts):
+        values, at = np.unique(hashes, return_inverse=True)
+        pairs = np.unique(at.astype(np.int64) * len(y) + doc)
+        f, d = pairs // len(y), pairs % len(y)
+        here = np.stack([np.bincount(f[y[d] == k], minlength=len(values)) for k in (0, 1)])
+        feature, back = np.unique(np.concatenate([feature, values]), return_inverse=True)
+        both = np.concatenate([with_it, here], axis=1)
+        with_it = np.stack([np.bincount(back, x, minlength=len(feature)).astype(np.int64) for x in both])
+    return feature, with_it
 
 
 def fit(rows: list[tuple[str, int]], totals: dict, steps: int = 150, rate: float = 0.15, penalty: float = 1e-4) -> Model | None:
@@ -89,11 +102,8 @@ def fit(rows: list[tuple[str, int]], totals: dict, steps: int = 150, rate: float
         return None
     weight = np.array([totals[label] / max(1, sum(1 for _, x in rows if x == label)) for label in (0, 1)])[y]
     weight /= weight.sum()
-    hashes, doc, sentence = bags([t for t, _ in rows])
-    feature, at = np.unique(hashes, return_inverse=True)
-    pairs = np.unique(at.astype(np.int64) * len(rows) + doc)
-    f, d = pairs // len(rows), pairs % len(rows)
-    with_it = np.stack([np.bincount(f[y[d] == k], minlength=len(feature)) for k in (0, 1)])
+    texts = [t for t, _ in rows]
+    feature, with_it = counted(texts, y)
     n = np.bincount(y, minlength=2)[:, None]
     share = (with_it.sum(0) / n.sum())[None, :]
     expected = np.stack([n * share, n * (1 - share)])
@@ -102,10 +112,12 @@ def fit(rows: list[tuple[str, int]], totals: dict, steps: int = 150, rate: float
     chosen = np.flatnonzero((gain >= LEAST_GAIN) & (with_it[1] / n[1] > with_it[0] / n[0]))
     if not len(chosen):
         return None
-    new = np.full(len(feature), -1)
-    new[chosen] = np.arange(len(chosen))
-    keep = new[at] >= 0
-    pair = np.unique(np.stack([sentence[keep], new[at[keep]], doc[keep]], 1), axis=0)
+    feature, held = feature[chosen], []
+    for hashes, doc, sentence in bags(texts):
+        at = np.minimum(np.searchsorted(feature, hashes), len(feature) - 1)
+        hit = feature[at] == hashes
+        held.append(np.unique(np.stack([sentence[hit], at[hit], doc[hit]], 1), axis=0))
+    pair = np.concatenate(held)
     ids, s = np.unique(pair[:, 0], return_inverse=True)
     f, s_doc = pair[:, 1], np.zeros(len(ids), np.int64)
     s_doc[s] = pair[:, 2]
@@ -122,7 +134,7 @@ def fit(rows: list[tuple[str, int]], totals: dict, steps: int = 150, rate: float
         g2, b2 = g2 + grad**2, b2 + slope.sum() ** 2
         w -= rate * grad / np.sqrt(g2)
         bias -= rate * slope.sum() / np.sqrt(b2)
-    return Model(feature[chosen], w, float(bias))
+    return Model(feature, w, float(bias))
 
 
 def scored(model):
