@@ -93,6 +93,9 @@ def test_registry_and_grids(spark):
     got = {r["grid_idx"]: r for r in tuned.collect()}
     assert len(got) == 8 and got[0]["objective"] == got[1]["objective"] and got[2]["psi"] == 150
     assert detect.best_params(tuned, "isolation_forest").count() == 1
+    both = detect.detect_all(df, ["a"], ["id"])
+    assert both.where("algorithm = 'local_outlier_factor' AND anomaly_score = 0").count() > 0
+    assert both.where("anomaly_score IS NULL").count() == 0
     grid = {r["grid_idx"]: r["objective"] for r in detect.tune_lof(df, ["a"]).collect()}
     assert len(grid) == 4 and grid[0] == grid[1] and grid[2] == grid[3]
     x = np.array([[(i / 50) ** 2] for i in range(300)])

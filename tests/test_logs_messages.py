@@ -52,6 +52,15 @@ def test_rate_spike(spark):
     assert [r["bucket"].hour for r in found] == [4] and found[0]["n"] == 90
 
 
+def test_rate_counts_absent_hours(spark):
+    """Hours long ago do not judge a later one, and empty hours lower the mean."""
+    busy = "SELECT timestamp '2024-01-01' + make_interval(0,0,0,0,cast(id as int)) AS event_ts, 'h' AS host FROM range(30)"
+    lone = "SELECT timestamp '2024-01-20' + make_interval(0,0,0,0,cast(id div 9 as int)) AS event_ts, 'h' AS host FROM range(18)"
+    found = logs.log_rate_anomalies(spark.sql(f"{busy} UNION ALL {lone}")).collect()
+    assert [(r["bucket"].day, r["bucket"].hour) for r in found] == [(20, 1)]  # the first of them has a flat past
+    assert found[0]["mean"] == 9 / 24 and found[0]["dev"] == pytest.approx(9 / 24**0.5)
+
+
 MSG = "event_id int, event_ts string, type string, worker_id string, worker_type string, host string, data string"
 
 
@@ -133,6 +142,9 @@ def test_alerts(spark):
     alert = alerts.anomaly_alerts(found, ["event_ts", "event_id"]).collect()
     assert len(alert) == 1 and alert[0]["subject"] == "ALERT: 7 security anomalies detected"
     assert alert[0]["body"].count("Host: h") == 5 and "Score: 0.40" in alert[0]["body"]
+    assert alert[0]["body"].count("\n   Details: {}\n") == 5
+    detailed = found.withColumn("details", F.struct(F.col("event_id").alias("cpu_usage")))
+    assert '\n   Details: {"cpu_usage":3}\n' in alerts.anomaly_alerts(detailed, ["event_ts", "event_id"]).first()["body"]
     vulns = frame(spark, [(1, "2024-01-01 00:00:00", "h", None, None, "low", "d")],
                   "id int, event_ts string, host string, port int, service string, severity string, description string")
     assert alerts.vulnerability_alerts(vulns, ["id"]).count() == 0

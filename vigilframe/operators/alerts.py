@@ -28,12 +28,16 @@ def _lines(entry: Column) -> Column:
 
 
 def anomaly_alerts(df: DataFrame, order: list[str], period: str = "day", threshold: int = 3) -> DataFrame:
-    """One alert per period with at least `threshold` anomalies, listing its first five."""
+    """One alert per period with at least `threshold` anomalies, listing its first five.
+
+    The `details` of an anomaly, where there are any, are listed as JSON.
+    """
+    details = F.coalesce(F.to_json("details"), F.lit("{}")) if "details" in df.columns else F.lit("{}")
     df = df.withColumn("period", F.date_trunc(period, "event_ts"))
     counts = df.groupBy("period").agg(F.count("*").alias("anomalies")).where(F.col("anomalies") >= threshold)
     entry = F.format_string(
-        "%d. Host: %s\n   Score: %.2f\n   Timestamp: %s\n", F.col("position"), F.coalesce("host", F.lit("unknown")),
-        F.coalesce("anomaly_score", F.lit(0.0)), F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss"),
+        "%d. Host: %s\n   Score: %.2f\n   Timestamp: %s\n   Details: %s\n", F.col("position"), F.coalesce("host", F.lit("unknown")),
+        F.coalesce("anomaly_score", F.lit(0.0)), F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss"), details,
     )
     listed = first_rows(df, ["period"], order).groupBy("period").agg(_lines(entry).alias("listing"))
     subject = F.format_string("ALERT: %d security anomalies detected", "anomalies")

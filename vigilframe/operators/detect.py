@@ -42,7 +42,7 @@ def detect_all(
 ) -> DataFrame:
     """The anomalies of several algorithms, one below the other, with an `algorithm` column.
 
-    Outlier-factor rows carry no score unless `lof_as_score` asks for the factor.
+    Outlier-factor rows carry score 0 unless `lof_as_score` asks for the factor.
     """
     out = None
     for algorithm in algorithms:
@@ -50,6 +50,8 @@ def detect_all(
         if lof_as_score and "lof" in found.columns:
             found = found.withColumn("anomaly_score", F.col("lof"))
         found = found.drop("lof")
+        if "anomaly_score" not in found.columns:
+            found = found.withColumn("anomaly_score", F.lit(0.0))
         out = found if out is None else out.unionByName(found, allowMissingColumns=True)
     return out
 

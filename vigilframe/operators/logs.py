@@ -88,18 +88,25 @@ def template_clusters(df: DataFrame, text: str = "message") -> DataFrame:
 def log_rate_anomalies(
     df: DataFrame, keys: tuple[str, ...] = ("host",), trailing: int = 24, z: float = 3.0
 ) -> DataFrame:
-    """Hours whose count is `z` deviations above the mean of the trailing hours of that key.
+    """Hours whose count is `z` deviations above the mean of the `trailing` hours before, of that key.
 
-    Rows are counted per hour before the window, so a window group holds at most one row
-    per hour however hot the key.
+    Hours without rows count as 0, by arithmetic; an hour is judged once its key has been
+    seen `trailing` hours earlier.  Rows are counted per hour before the window, so a window
+    group holds at most one row per hour however hot the key.
     """
-    frame = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(-trailing, -1)
-    counts = hourly_counts(df, keys).withColumns({
-        "mean": F.avg("n").over(frame), "dev": F.stddev_samp("n").over(frame), "seen": F.count("n").over(frame),
+    order = Window.partitionBy(*keys).orderBy("hour")
+    frame = order.rangeBetween(-trailing, -1)
+    none = F.lit(0).cast("bigint")
+    counts = hourly_counts(df, keys).withColumn("hour", F.floor(F.unix_seconds("bucket") / 3600)).withColumns({
+        "total": F.coalesce(F.sum("n").over(frame), none),
+        "squares": F.coalesce(F.sum(F.col("n") * F.col("n")).over(frame), none),
+        "since": F.min("hour").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
     })
+    spread = trailing * F.col("squares") - F.col("total") * F.col("total")
     return (
-        counts.withColumn("z", F.try_divide(F.col("n") - F.col("mean"), F.col("dev")))
-        .where((F.col("seen") >= trailing) & (F.col("z") >= z))
+        counts.withColumns({"mean": F.col("total") / trailing, "dev": F.sqrt(spread / (trailing * (trailing - 1)))})
+        .withColumn("z", F.try_divide(F.col("n") - F.col("mean"), F.col("dev")))
+        .where((F.col("hour") - F.col("since") >= trailing) & (F.col("z") >= z))
         .select(*keys, "bucket", "n", "mean", "dev", "z")
     )
 

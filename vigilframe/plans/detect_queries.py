@@ -119,8 +119,7 @@ def iforest_grid(spark, sf):
 def union_anomalies(spark, sf):
     """Anomalies of both algorithms as stored rows."""
     found = detect.detect_all(metrics(spark, sf), FEATURES, ["event_id"])
-    docs = prepare.anomaly_documents(found, ["event_id", "algorithm"])
-    return docs.drop("details").withColumn("anomaly_score", F.coalesce("anomaly_score", F.lit(0.0)))
+    return prepare.anomaly_documents(found, ["event_id", "algorithm"]).drop("details")
 
 
 # ---------------------------------------------------------------------------------- classification

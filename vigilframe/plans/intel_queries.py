@@ -174,7 +174,8 @@ ANOMALY_ALERT_SQL = V.with_views("v_anomalies", f"""+
             row_number() OVER (PARTITION BY date_trunc('day', event_ts) ORDER BY event_ts, event_id) AS position FROM v_anomalies),
     c AS (SELECT period, count(*) AS anomalies FROM r GROUP BY 1 HAVING count(*) >= 3),
     l AS (SELECT period, string_agg(position || '. Host: ' || host || {_NL} || '   Score: ' || printf('%.2f', anomaly_score) || {_NL}
-            || '   Timestamp: ' || strftime(event_ts, '%Y-%m-%d %H:%M:%S') || {_NL}, {_NL} ORDER BY position) AS listing
+            || '   Timestamp: ' || strftime(event_ts, '%Y-%m-%d %H:%M:%S') || {_NL}
+            || '   Details: {{"event_id":' || event_id || '}}' || {_NL}, {_NL} ORDER BY position) AS listing
           FROM r WHERE position <= 5 GROUP BY 1)
     SELECT c.period, anomalies, 'ALERT: ' || anomalies || ' security anomalies detected' AS subject,
       'Security Alert: Anomalies Detected' || {_NL} || {_NL} || anomalies || ' anomalies were detected in the last monitoring period.'
@@ -185,7 +186,8 @@ ANOMALY_ALERT_SQL = V.with_views("v_anomalies", f"""+
 @query("alert_text", ANOMALY_ALERT_SQL)
 def alert_text(spark, sf):
     """Daily anomaly alerts with subject and full body."""
-    return alerts.anomaly_alerts(V.v_anomalies(spark, sf), ["event_ts", "event_id"])
+    found = V.v_anomalies(spark, sf).withColumn("details", F.struct("event_id"))
+    return alerts.anomaly_alerts(found, ["event_ts", "event_id"])
 
 
 @query("anomaly_alert", f"SELECT period, anomalies, subject FROM ({ANOMALY_ALERT_SQL})")

@@ -75,10 +75,12 @@ def template_clusters(spark, sf):
 
 @query("log_rate_anomalies", V.with_views("v_logs", """+
     c AS (SELECT host, date_trunc('hour', event_ts) AS bucket, count(*) AS n FROM v_logs GROUP BY 1, 2),
-    w AS (SELECT *, avg(n) OVER f AS mean, stddev_samp(n) OVER f AS dev, count(n) OVER f AS seen FROM c
-          WINDOW f AS (PARTITION BY host ORDER BY bucket ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING))
+    w AS (SELECT *, coalesce(sum(n) OVER f, 0) AS total, coalesce(sum(n * n) OVER f, 0) AS squares,
+            min(bucket) OVER (PARTITION BY host) AS since FROM c
+          WINDOW f AS (PARTITION BY host ORDER BY bucket RANGE BETWEEN INTERVAL 12 HOURS PRECEDING AND INTERVAL 1 HOUR PRECEDING)),
+    s AS (SELECT *, CAST(total AS DOUBLE) / 12 AS mean, sqrt(CAST(12 * squares - total * total AS DOUBLE) / 132) AS dev FROM w)
     SELECT host, bucket, n, round(mean, 6) AS mean, round(dev, 6) AS dev, round((n - mean) / dev, 6) AS z
-    FROM w WHERE seen >= 12 AND dev > 0 AND (n - mean) / dev >= 2.0"""))
+    FROM s WHERE bucket >= since + INTERVAL 12 HOURS AND dev > 0 AND (n - mean) / dev >= 2.0"""))
 def log_rate_anomalies(spark, sf):
     return rounded(logs.log_rate_anomalies(V.v_logs(spark, sf), trailing=12, z=2.0))
 

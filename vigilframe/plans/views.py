@@ -158,13 +158,13 @@ def v_compliance_hosts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def v_assets(spark: SparkSession, sf: str) -> DataFrame:
-    """Asset dimension: every host with at least twenty customers, plus the `default` row."""
+    """Asset dimension: every host of a number below forty, plus the `default` row for the others."""
     heavy = F.count_if(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")) / F.count("*")
     named = (
         table(spark, sf, "customer")
         .groupBy(host_of("c_custkey").alias("asset"))
-        .agg(heavy.alias("heavy"), F.count("*").alias("customers"))
-        .where("customers >= 20")
+        .agg(heavy.alias("heavy"))
+        .where("try_cast(substr(asset, 6) AS INT) < 40")
         .select(
             "asset", F.concat(F.lit("Asset "), "asset").alias("name"),
             F.when(F.col("heavy") >= 0.45, "high").when(F.col("heavy") >= 0.38, "medium")
@@ -318,10 +318,10 @@ VIEW_SQL: dict[str, str] = {
           CASE WHEN asset='default' THEN 0.4::DOUBLE ELSE 0.3::DOUBLE END AS compliance_weight,
           1.0::DOUBLE AS total_weight
         FROM (SELECT asset, name, CASE WHEN heavy >= 0.45 THEN 'high' WHEN heavy >= 0.38 THEN 'medium' ELSE 'low' END AS criticality
-              FROM (SELECT HOST_C AS asset, 'Asset ' || HOST_C AS name, count(*) AS customers,
+              FROM (SELECT HOST_C AS asset, 'Asset ' || HOST_C AS name,
                       CAST(count(*) FILTER (WHERE c_mktsegment IN ('BUILDING','MACHINERY')) AS DOUBLE) / count(*) AS heavy
                     FROM customer GROUP BY 1)
-              WHERE customers >= 20
+              WHERE TRY_CAST(substr(asset, 6) AS INTEGER) < 40
               UNION ALL SELECT 'default', 'Default Asset', 'low')""".replace("HOST_C", _host("c_custkey")),
     "v_beat_logs": f"""
         SELECT 'd' || doc_id AS log_id, doc_id AS num_id,
