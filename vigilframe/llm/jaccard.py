@@ -10,8 +10,8 @@ occur elsewhere; a count-min sketch, then exact counts, drop the others before a
 A block is all documents that share a first shingle with the block's smallest id (its pivot).  Every link
 lies within some block.  First each document is compared with the pivot it shares most with, which is
 linear.  Components of these links are then folded, and only blocks that still hold several components
-are multiplied, first by the first shingles alone, which leaves the members that can have a partner, then by the
-whole sets of those: cut into chunks of bounded size, incidence matrix times its transpose, accumulated over
+are multiplied, first by the first shingles alone, which leaves the members that can have a partner (`may_link`), then by
+the whole sets of those: cut into chunks of bounded size, incidence matrix times its transpose, accumulated over
 column blocks, pairs below the size bound discarded.  A task returns a spanning forest of its links, so
 no pairs of a group are written.
 
@@ -37,6 +37,7 @@ WORD_BITS, SHINGLE_BITS, BIN_CELLS = 18, 19, 1 << 14
 CHUNK = 200_000  # shingles of a chunk, each document counting BASE more
 BASE = 400
 COLUMNS, DENSE_FROM = 2048, 24
+SHARE = 20  # percent of a set that k(n) asks for
 
 
 def shingles(data: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -105,9 +106,24 @@ def ordering(partial: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return (16 * np.log2(words + 1)).astype(np.int64), np.where(hot > 8 * hot.mean() + 8, hot, 0)
 
 
-def shared_firsts(n: int) -> int:
-    """k(n): so many shared shingles are looked for among the first ones; grows with n."""
-    return 1 + n * 8 // 100
+def least_shared(n, percent: int):
+    """a(n): shingles that a set of n shares with any set it links with."""
+    return -(-n * percent // 100)
+
+
+def shared_firsts(n, percent: int):
+    """k(n): so many shared shingles are looked for among the first ones; grows with n, up to a(n)."""
+    return np.minimum(1 + n * SHARE // 100, least_shared(n, percent))
+
+
+def may_link(n, m, shared, percent: int):
+    """Whether sets of n and m shingles can link that have `shared` of their first ones in common.
+
+    Of the set whose first ones end earlier in the common order, those that the other lacks there it lacks
+    altogether, so at most max(a(n) - k(n), a(m) - k(m)) + shared are common to both.
+    """
+    rest = [least_shared(x, percent) - shared_firsts(x, percent) for x in (n, m)]
+    return (100 + percent) * (np.maximum(*rest) + shared) >= percent * (n + m)
 
 
 def first_shingles(batches: Iterator[pa.RecordBatch], size: int, percent: int, order):
@@ -125,9 +141,9 @@ def first_shingles(batches: Iterator[pa.RecordBatch], size: int, percent: int, o
             for r in range(stop - row):
                 own, at = np.unique(hashes[border[r]:border[r + 1]], return_index=True)
                 if len(own):
-                    free = len(own) - -(-len(own) * percent // 100)
+                    free = len(own) - least_shared(len(own), percent)
                     ranked = np.argsort(cost[border[r]:border[r + 1]][at], kind="stable")
-                    yield batch, row + r, len(own), own[ranked[:free + shared_firsts(len(own))]], free + 1
+                    yield batch, row + r, len(own), own[ranked[:free + shared_firsts(len(own), percent)]], free + 1
 
 
 def listed_firsts(size: int, percent: int, order):
@@ -149,7 +165,7 @@ def repeated_firsts(size: int, percent: int, order, bits: int, sketch):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, row, n, own, base in first_shingles(batches, size, percent, order.value):
             keep = np.flatnonzero(estimated_repeated(own, sketch.value, bits))
-            if len(keep) >= shared_firsts(-(-n * percent // 100)):
+            if len(keep) >= shared_firsts(least_shared(n, percent), percent):
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).take(pa.array(np.full(len(keep), row))), pa.array(np.full(len(keep), n)),
                     pa.array(T.signed(own[keep])), pa.array(keep < base)], ["doc", "n", "shingle", "base"])
@@ -218,12 +234,13 @@ def partners(percent: int):
         n, comps = table.column("n").to_numpy(), table.column("component").to_numpy()
         own = [x.values.to_numpy() for x in table.column("firsts")]
         shared = overlaps(np.concatenate(own), np.repeat(np.arange(len(own)), [len(x) for x in own]), len(own))
-        least = 1 + n * 8 // 100
+        least = shared_firsts(n, percent)
         keep = np.zeros(len(n), bool)
         for low in range(0, len(n), 128):
             part = slice(low, low + 128)
             a, b = np.nonzero(
                 (shared[part] >= np.minimum(least[part, None], least)) & (comps[part, None] != comps)
+                & may_link(n[part, None], n, shared[part], percent)
                 & (100 * np.minimum(n[part, None], n) >= percent * np.maximum(n[part, None], n)))
             keep[a + low] = True
             keep[b] = True
@@ -315,14 +332,15 @@ def linked_rows(spark: SparkSession, texts: DataFrame, size: int, percent: int,
     copies = known.select("doc_id").distinct().join(heads.select(F.col("doc").alias("doc_id")), "doc_id", "left_anti")
     single = texts.filter("doc_id IS NOT NULL").join(small(materialize(copies, "copies")), "doc_id", "left_anti").select("doc_id", "text")
 
-    total = int((known.agg(F.sum("n")).first()[0] or 0) * (100 - percent + 8) / 100)
+    total = int((known.agg(F.sum("n")).first()[0] or 0) * (100 - percent + SHARE) / 100)
     bits, sketch = repeated_cells(single, total, 1, max_bits, listed_firsts(size, percent, order))
     postings = materialize(single.mapInArrow(
         repeated_firsts(size, percent, order, bits, sketch), "doc bigint, n bigint, shingle bigint, base boolean"), "postings")
     often = postings.groupBy("shingle").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high").select("shingle")
     partner = F.ceil(F.col("n") * percent / 100)
+    least = F.least(1 + F.floor(partner * SHARE / 100), F.ceil(partner * percent / 100))
     enough = materialize(postings.join(often, "shingle", "left_semi").groupBy("doc", "n").agg(F.count(F.lit(1)).alias("k")).filter(
-        F.col("k") >= 1 + F.floor(partner * 8 / 100)).select("doc", "n"), "enough")
+        F.col("k") >= least).select("doc", "n"), "enough")
     firsts = postings.join(small(enough.select("doc")), "doc", "left_semi").select("doc", "shingle")
     postings = postings.filter("base").join(small(enough), ["doc", "n"], "left_semi")
     blocks = postings.groupBy("shingle").agg(F.min(F.struct("doc", "n")).alias("pivot"), F.max("doc").alias("last")).filter("pivot.doc < last")
