@@ -180,11 +180,11 @@ def sets(size: int):
                 _, _, hashes, border = shingles(data, rows, size)
                 own = [np.unique(hashes[border[r]:border[r + 1]]) for r in range(stop - row)]
                 ok = [len(x) == n and int(folded(x)[0].astype(np.int64)) == one for x, n, one in zip(
-                    own, batch.column(3)[row:stop].to_pylist(), batch.column(4)[row:stop].to_pylist())]
+                    own, batch.column(2)[row:stop].to_pylist(), batch.column(3)[row:stop].to_pylist())]
                 chosen = np.flatnonzero(ok)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(chosen + row)), batch.column(2).take(pa.array(chosen + row)),
-                     pa.array([own[i].tobytes() for i in chosen], pa.binary())], ["doc", "best", "shingles"])
+                    [batch.column(0).take(pa.array(chosen + row)), pa.array([own[i].tobytes() for i in chosen], pa.binary())],
+                    ["doc", "shingles"])
     return run
 
 
@@ -347,23 +347,30 @@ def linked_rows(spark: SparkSession, texts: DataFrame, size: int, percent: int,
     members = postings.join(blocks.select("shingle", "pivot"), "shingle").groupBy("doc", "n", "pivot").agg(F.count(F.lit(1)).alias("shared"))
     members = materialize(members.select("doc", "n", F.col("pivot.doc").alias("pivot"), F.col("pivot.n").alias("pivot_n"), "shared"), "members")
 
-    fits = (F.col("doc") != F.col("pivot")) & (100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n"))
-    best = members.groupBy("doc", "n").agg(F.max(F.when(fits, F.struct("shared", (-F.col("pivot")).alias("p")))).alias("best"))
-    wanted = best.select("doc", "n", (-F.col("best.p")).alias("best")).join(heads.select("doc", "n", "one"), ["doc", "n"])
-    wanted = materialize(wanted.withColumnRenamed("doc", "doc_id"), "wanted")
-    own = texts.join(small(wanted), "doc_id").select("doc_id", "text", "best", "n", "one").mapInArrow(
-        sets(size), "doc bigint, best bigint, shingles binary")
-    own = materialize(own, "sets")
-
-    pivots = own.select(F.col("doc").alias("best"), F.col("shingles").alias("other"))
-    pivots = pivots.join(wanted.select("best").filter("best IS NOT NULL").distinct(), "best", "left_semi")
-    stars = materialize(own.filter("best IS NOT NULL").join(pivots, "best").select("doc", "best", "shingles", "other").mapInArrow(
+    def own(chosen: DataFrame, name: str) -> DataFrame:
+        chosen = materialize(chosen.distinct().join(heads.select("doc", "n", "one"), "doc").withColumnRenamed("doc", "doc_id"), f"of-{name}")
+        rows = texts.join(small(chosen), "doc_id").select("doc_id", "text", "n", "one")
+        return materialize(rows.mapInArrow(sets(size), "doc bigint, shingles binary"), name)
+
+    # What a document shares with a pivot among the shingles for which no smaller id stands bounds their overlap;
+    # where it is not all they share, both lie in the block of a smaller pivot too.
+    bound = F.ceil(F.greatest("n", "pivot_n") * percent / 100) - 1 + F.col("shared")
+    fits = (
+        (F.col("doc") != F.col("pivot")) & (100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n"))
+        & ((100 + percent) * bound >= percent * (F.col("n") + F.col("pivot_n"))))
+    members = members.withColumn("fits", fits)
+    best = members.groupBy("doc").agg(F.max(F.when(F.col("fits"), F.struct("shared", (-F.col("pivot")).alias("p")))).alias("best"))
+    wanted = materialize(best.select("doc", (-F.col("best.p")).alias("best")), "wanted")
+    pairs = wanted.filter("best IS NOT NULL")
+    compared = own(pairs.select("doc").unionByName(pairs.select(F.col("best").alias("doc"))), "star-sets")
+    others = compared.select(F.col("doc").alias("best"), F.col("shingles").alias("other")).join(pairs.select("best").distinct(), "best", "left_semi")
+    stars = materialize(compared.join(pairs, "doc").join(others, "best").select("doc", "best", "shingles", "other").mapInArrow(
         linked(percent), "a bigint, b bigint"), "stars")
     found = components(stars)
 
-    state = with_components(members.join(wanted.select(F.col("doc_id").alias("doc"), "best"), "doc"), found)
-    state = materialize(state.select("pivot", "doc", "n", "best", "component"), "state")
-    apart = (F.col("doc") != F.col("pivot")) & ((F.col("best").isNull()) | (F.col("best") != F.col("pivot")))
+    state = with_components(members.join(wanted, "doc"), found)
+    state = materialize(state.select("pivot", "doc", "n", "best", "fits", "component"), "state")
+    apart = F.col("fits") & ((F.col("best").isNull()) | (F.col("best") != F.col("pivot")))
     of_pivot = F.max(F.when(F.col("doc") == F.col("pivot"), F.col("component")))
     rest = F.when(F.col("doc") != F.col("pivot"), F.col("component"))
     groups = state.groupBy("pivot").agg(
@@ -378,7 +385,8 @@ def linked_rows(spark: SparkSession, texts: DataFrame, size: int, percent: int,
     firsts = firsts.groupBy("doc").agg(F.collect_set("shingle").alias("firsts"))
     possible = dealt.join(firsts, "doc").groupBy("pivot", "i", "j").applyInArrow(
         partners(percent), "pivot bigint, i int, j int, doc bigint, component bigint")
-    blocks_in = materialize(possible, "possible").join(own.select("doc", "shingles"), "doc")
+    possible = materialize(possible, "possible")
+    blocks_in = possible.join(own(possible.select("doc"), "block-sets"), "doc")
     product = blocks_in.groupBy("pivot", "i", "j").applyInArrow(multiply(percent), "a bigint, b bigint")
     more = materialize(product, "links")
     if more.limit(1).count():
