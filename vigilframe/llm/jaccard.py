@@ -229,8 +229,15 @@ def overlaps(flat: np.ndarray, owner: np.ndarray, m: int) -> np.ndarray:
 
 
 def partners(percent: int):
-    """Members of a block with a possible partner in another component, by the shared first shingles alone."""
+    """Members of a block with a possible partner in another component, by the shared first shingles alone.
+
+    A pair that lies in several blocks counts in that of the smallest pivot.
+    """
     def run(table: pa.Table) -> pa.Table:
+        pivot = table.column("pivot")[0].as_py()
+        below = [x.values.to_numpy() for x in table.column("pivots")]
+        below = [x[x < pivot] for x in below]
+        met = overlaps(np.concatenate(below), np.repeat(np.arange(len(below)), [len(x) for x in below]), len(below))
         n, comps = table.column("n").to_numpy(), table.column("component").to_numpy()
         own = [x.values.to_numpy() for x in table.column("firsts")]
         shared = overlaps(np.concatenate(own), np.repeat(np.arange(len(own)), [len(x) for x in own]), len(own))
@@ -240,7 +247,7 @@ def partners(percent: int):
             part = slice(low, low + 128)
             a, b = np.nonzero(
                 (shared[part] >= np.minimum(least[part, None], least)) & (comps[part, None] != comps)
-                & may_link(n[part, None], n, shared[part], percent)
+                & may_link(n[part, None], n, shared[part], percent) & (met[part] == 0)
                 & (100 * np.minimum(n[part, None], n) >= percent * np.maximum(n[part, None], n)))
             keep[a + low] = True
             keep[b] = True
@@ -378,11 +385,13 @@ def linked_rows(spark: SparkSession, texts: DataFrame, size: int, percent: int,
         F.min(F.when(apart, F.col("component"))).alias("apart_low"), F.max(F.when(apart, F.col("component"))).alias("apart_high"))
     open_ones = groups.filter("low < high OR (apart_low IS NOT NULL AND (apart_low <> own OR apart_high <> own))").select(
         "pivot", F.ceil(F.col("weight") / CHUNK).cast("int").alias("chunks"))
-    dealt = state.join(materialize(open_ones, "open"), "pivot").select(
+    open_ones = materialize(open_ones, "open")
+    dealt = state.join(open_ones, "pivot").select(
         "pivot", "doc", "n", "component", "chunks", F.pmod(F.xxhash64("doc", "pivot"), "chunks").cast("int").alias("own"))
     dealt = dealt.select("pivot", "doc", "n", "component", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("with"))
     dealt = dealt.select("pivot", "doc", "n", "component", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
-    firsts = firsts.groupBy("doc").agg(F.collect_set("shingle").alias("firsts"))
+    pivots = state.join(open_ones.select("pivot"), "pivot", "left_semi").groupBy("doc").agg(F.collect_set("pivot").alias("pivots"))
+    firsts = firsts.groupBy("doc").agg(F.collect_set("shingle").alias("firsts")).join(pivots, "doc")
     possible = dealt.join(firsts, "doc").groupBy("pivot", "i", "j").applyInArrow(
         partners(percent), "pivot bigint, i int, j int, doc bigint, component bigint")
     possible = materialize(possible, "possible")
