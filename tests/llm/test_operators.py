@@ -90,6 +90,29 @@ def test_lines(docs, nothing):
     assert lines.dedup_lines(nothing).count() == 0
 
 
+def test_lines_of_many_words(spark):
+    a, b, c, d = prose(11, 51), prose(12, 50), prose(13, 30), prose(14, 21)
+    texts = [f"x\n{a}\ny\n{b}", f"{a}", f"z\n{b}\nw", f"{c}\n{d}\nu\nv", f"t\n{c}\n \n{d}", "short", "short", "one\ntwo",
+             "one\n\ntwo", "two", f"{a}\nx", "short\ntwo\none", f"s\n{a}\ny\nr\n{a}", f"{c}\n{c}"]
+    where, gone = {}, {}
+    for i, t in enumerate(texts):  # brute force, documents and lines in order
+        w = [x for x in t.split("\n") if x.strip()]
+        for p in range(len(w)):
+            for n in (1, 2, 3):
+                part = tuple(w[p:p + n])
+                many = sum(len(words(x)) for x in part) > 50
+                if len(part) == n and (n == 3 or many or len(w) == n):
+                    key = (part, n < 3 and not many)
+                    if where.setdefault(key, (i, p)) < (i, p):
+                        gone.setdefault(i, set()).update(range(p, p + n))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    cut = {r.doc_id: r for r in lines.dedup_lines(rows).collect()}
+    assert {i: r.lines.n_removed for i, r in cut.items() if r.lines.n_removed} == {i: len(x) for i, x in gone.items()}
+    assert [cut[i].text for i in (1, 2, 4, 6, 8, 9, 10, 12)] == ["", texts[2], "t\n ", "", "", "two", "x", "s\nr"]
+    old = {r.doc_id: r.lines.n_removed for r in lines.dedup_lines(rows, long_words=None).collect()}
+    assert not any(old.values())
+
+
 def test_mixing(docs, nothing):
     sized = docs.withColumn("size", mixing.word_count(docs["text"]))
     rows = mixing.mix_sources(sized).collect()
