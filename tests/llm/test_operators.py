@@ -162,6 +162,31 @@ def test_secrets(spark, nothing):
     assert secrets.scan(nothing).count() == 0
 
 
+def test_secrets_in_bytes(spark):
+    import base64
+    import gzip
+    import zlib
+
+    secret = b'token = "0123456789abcdef0123"'
+    noise = random.Random(5).randbytes(3000)
+    b64 = lambda x: base64.b64encode(x).decode()
+    members = gzip.compress(b"first ") + gzip.compress(secret[:12]) + b"\0\0" + gzip.compress(secret[12:])
+    percent = "".join(f"%{b:02X}" for b in gzip.compress(secret))
+    far = b"\n".join(b"line %d" % i for i in range(2_000_000)) + b"\n" + secret  # past the first piece
+    layers = [gzip.compress(gzip.compress(secret)), zlib.compress(gzip.compress(b64(secret).encode())), b"\0tar\0" + secret + b"\0",
+              "Z\u00fcrich ".encode("latin-1") + secret, members, noise + gzip.compress(secret), gzip.compress(far)]
+    texts = [f"x {b64(x)} y" for x in layers] + [f"x {percent} y", "x " + b64(gzip.compress(b"a" * (17 << 20) + b"\n" + secret)) + " y"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r for r in secrets.digest(secrets.scan(rows)).collect()}
+    for i, text in enumerate(texts):
+        assert f"assign:2:{len(text) - 2}" in found[i].spans.split(","), i
+        assert found[i].truncated == (i == 8)  # a token of 17 MB is cut; what follows it is searched
+    deep = secret
+    for _ in range(120):
+        deep = gzip.compress(deep)
+    assert secrets.scan_text(b64(deep).encode())[2]
+
+
 def test_models(spark, docs, nothing):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = {r.doc_id: r for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}

@@ -1,14 +1,16 @@
 """Secret scans with a recursive decoding worklist.
 
 A text is a layer.  Every layer is searched for the secret kinds; encoded runs in it (URL escapes, Unicode
-escapes, base64, and compressed data inside base64) are decoded to further layers until nothing new comes
-up.  A layer seen before (same bytes) is not searched again for the same place, which ends cycles.  Spans of
+escapes, base64, and gzip or zlib streams anywhere in it, all members) are decoded to further layers until
+nothing new comes up.  Layers are bytes, text or not.  A layer seen before (same 128-bit hash) is not
+searched again for the same place, which ends cycles.  Spans of
 a decoded layer are mapped character by character to the text where the decoding keeps places (URL and
 Unicode escapes), and to the whole encoded run otherwise.
 
-Work is bounded by the text: decoded layers of base64 are shorter than their source, escapes as well, and
-unpacking stops at `MOST_BYTES`; a stream longer than that is searched as far as it was unpacked, and the
-document is marked `truncated`.
+A stream is unpacked to its end.  Beyond `PIECE` bytes it is a layer piece by piece, cut behind bytes that no
+pattern and no encoding of text holds, so memory follows the depth and not the stream.  A document is marked
+`truncated` where this leaves something out: a token longer than a piece, a stream inside a piece that goes
+on in the next, or layers nested deeper than `DEEPEST`.
 
 Defined results: NULL text is empty; repeated rows get a row each; other columns are kept, those named like
 a result are replaced.
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -30,7 +33,8 @@ from pyspark.sql import functions as F
 from vigilframe.llm.frames import bounded_batches
 
 KINDS = ("assign", "access", "hex")
-MOST_BYTES = 8 << 20
+PIECE, OVERLAP = 8 << 20, 1 << 20
+DEEPEST = 100
 
 # The patterns and least lengths of the three kinds.
 ASSIGN = re.compile(rb"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -43,6 +47,9 @@ BASE64_RUN = np.zeros(256, bool)
 BASE64_RUN[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_=")] = True
 BASE64_LEAST = 16
 BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}={0,2}")
+STREAM = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
+BREAK = np.ones(256, bool)  # bytes that no pattern above or below holds
+BREAK[32:127] = BREAK[list(b"\x01\x08\x1f\x8b\x9c\xda")] = False
 URL_ESCAPE = re.compile(rb"%([0-9A-Fa-f]{2})")
 UNICODE_ESCAPE = re.compile(rb"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 
@@ -93,16 +100,41 @@ def character(m: re.Match) -> bytes | None:
     return chr(code).encode()
 
 
-def unpacked(data: bytes) -> tuple[bytes, bool] | None:
-    """Content of a gzip or zlib stream, and whether it was longer than allowed."""
-    if not (data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] == 0x78 and data[1] in (0x01, 0x5E, 0x9C, 0xDA))):
-        return None
-    unpack = zlib.decompressobj(47)
-    try:
-        out = unpack.decompress(data, MOST_BYTES)
-    except zlib.error:
-        return None
-    return (out, bool(unpack.unconsumed_tail)) if out else None
+def members(data: bytes, at: int) -> Iterator[tuple[bytes, int, bool]]:
+    """The streams that follow each other from `at`: output, end of the last whole stream (or 0), out of data."""
+    end, view = 0, memoryview(data)
+    while STREAM.match(data, at):
+        unpack, rest = zlib.decompressobj(47), view[at:]
+        while not unpack.eof:
+            try:
+                out = unpack.decompress(rest, PIECE)
+            except zlib.error:
+                return
+            rest = unpack.unconsumed_tail
+            short = not out and not rest and not unpack.eof
+            yield out, end, short
+            if short:
+                return
+        end = at = len(data) - len(unpack.unused_data)
+        yield b"", end, False
+        while at < len(data) and not data[at]:  # padding between members
+            at += 1
+
+
+def unpacked(data: bytes, at: int) -> Iterator[tuple[bytes, int, bool, bool]]:
+    """Content of the streams from `at` in pieces: bytes, end of the streams (or 0), cut or out of data, more to come."""
+    held, end, last, short = b"", 0, 0, False
+    for out, end, short in members(data, at):
+        held += out
+        while len(held) >= 2 * PIECE:
+            if not last:
+                *_, (_, last, _) = members(data, at)
+            stops = np.flatnonzero(BREAK[np.frombuffer(held, np.uint8, PIECE)])
+            stop = int(stops[-1]) + 1 if len(stops) else PIECE
+            yield held[:stop], last, not len(stops), True
+            held = held[stop if len(stops) else stop - OVERLAP:]
+    if held or short:
+        yield held, end, short, False
 
 
 def decoded_base64(run: bytes) -> bytes | None:
@@ -115,46 +147,64 @@ def decoded_base64(run: bytes) -> bytes | None:
         return None
 
 
-def texty(data: bytes) -> bool:
-    """Whether decoded bytes look like text worth searching."""
-    try:
-        data.decode()
-    except UnicodeDecodeError:
-        return False
-    return not re.search(rb"[\x00-\x08\x0e-\x1f\x7f]", data)
+def same(place: int, n: int) -> np.ndarray:
+    return np.broadcast_to(np.int64(place), n)
+
 
+def through(places: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """places[at], without writing out what is the same everywhere."""
+    if not places.strides[0]:
+        return same(places[0], len(at))
+    return places[at] if at.strides[0] else same(places[at[0]], len(at))
 
-def layers(data: bytes) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, bool]]:
-    """Further layers of one layer: bytes, start and end of each byte's source in it, truncated."""
+
+def layers(data: bytes, more: bool) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, bool, bool]]:
+    """Further layers of one layer: bytes, start and end of each byte's source in it, cut, more to come.
+
+    `more`: the layer is a piece that another follows.
+    """
     if b"%" in data and (new := substituted(data, URL_ESCAPE, lambda m: bytes([int(m[1], 16)]))):
-        yield *new, False
+        yield *new, False, more
     if (b"\\" in data or b"&#" in data) and (new := substituted(data, UNICODE_ESCAPE, character)):
-        yield *new, False
+        yield *new, False, more
     for low, high in long_runs(data, BASE64_RUN, BASE64_LEAST):
         for m in BASE64.finditer(data, int(low), int(high)):
-            out, cut = decoded_base64(m[0]), False
-            if out is not None and (packed := unpacked(out)):
-                out, cut = packed
-            if out and texty(out):
-                yield out, np.full(len(out), m.start()), np.full(len(out), m.end()), cut
+            if out := decoded_base64(m[0]):
+                yield out, same(m.start(), len(out)), same(m.end(), len(out)), False, False
+    at = 0
+    while m := STREAM.search(data, at):
+        at, end = m.start() + 1, 0
+        for piece, end, cut, goes_on in unpacked(data, m.start()):
+            yield piece, same(m.start(), len(piece)), same(end or len(data), len(piece)), cut and (more or goes_on), goes_on
+        at = max(at, end)
 
 
 def scan_text(data: bytes) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]], bool]:
-    """Byte spans of the text itself, byte spans of all layers, and whether unpacking was cut short."""
+    """Byte spans of the text itself, byte spans of all layers, and whether anything was left out."""
+    def mark(layer, place):
+        return hashlib.blake2b(layer, digest_size=16).digest(), place
+
     base = base_spans(data)
     found, truncated = set(base), False
-    work, seen = [(data, None, None)], {(data, 0)}
+    work, seen = [(layers(data, False), None, None)], {mark(data, 0)}
     while work:
-        layer, begin, end = work.pop()
-        for new, b, e, cut in layers(layer):
-            truncated |= cut
-            if begin is not None:
-                b, e = begin[b], end[e - 1]
-            if (new, int(b[0])) in seen:
-                continue
-            seen.add((new, int(b[0])))
-            found |= {(int(b[s]), int(e[t - 1]), kind) for s, t, kind in base_spans(new)}
-            work.append((new, b, e))
+        further, begin, end = work[-1]
+        step = next(further, None)
+        if step is None:
+            work.pop()
+            continue
+        new, b, e, cut, more = step
+        truncated |= cut
+        if begin is not None:
+            b, e = through(begin, b), through(end, e - 1)
+        if not new or mark(new, int(b[0])) in seen:
+            continue
+        seen.add(mark(new, int(b[0])))
+        found |= {(int(b[s]), int(e[t - 1]), kind) for s, t, kind in base_spans(new)}
+        if len(work) < DEEPEST:
+            work.append((layers(new, more), b, e))
+        else:
+            truncated |= next(layers(new, more), None) is not None
     return base, sorted(found, key=lambda x: (x[0], KINDS.index(x[2]), x[1])), truncated
 
 
@@ -187,11 +237,11 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def digest(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """Counts per kind and the spans as text."""
+    """Counts per kind, the spans as text, and whether anything was left out."""
     def joined(spans):
         return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
     def count(kind):
         return F.size(F.filter("base_spans", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
 
-    return found.select(doc_id, *[count(k) for k in KINDS], F.sha2(joined("base_spans"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+    return found.select(doc_id, *[count(k) for k in KINDS], F.sha2(joined("base_spans"), 256).alias("base_sha256"), joined("spans").alias("spans"), "truncated")
