@@ -79,6 +79,21 @@ def test_average_path_and_samples(spark):
     assert (forests[0].feature >= 0).sum(axis=1).max() <= 63
 
 
+def test_every_row_can_be_drawn_and_shares_have_no_limit(spark):
+    df = spark.range(20_000).select("id", F.rand(1).alias("a"))
+    few = iforest._samples(df, ["a"], ["id"], [iforest.ForestSpec(0, 8)], 4, 42, 20_000)
+    assert {r["count"] for r in few.groupBy("tree").count().collect()} == {8}
+    common = F.pmod(F.xxhash64("key", F.lit(-1)), F.lit(2**31)) < 0.032 * 2**31  # of all trees, by one hash
+    assert few.where(~common).count() > 20
+    tuned = detect.tune_iforest(df, ["a"], ["id"], {"n_estimators": [3], "max_samples": [64, 0.5], "contamination": [0.05], "max_features": [1.0]})
+    got = {r["grid_idx"]: r for r in tuned.collect()}
+    assert got[0]["psi"] == 64 and got[1]["psi"] == 10_000
+    forests = iforest.fit_forests(df, ["a"], ["id"], [iforest.ForestSpec(0, 64), iforest.ForestSpec(1, 10_000)], 3)
+    x = df.toPandas()[["a"]].to_numpy()
+    for i, forest in forests.items():
+        assert got[i]["objective"] == pytest.approx(forest.scores(forest.path_lengths(x)).std(), rel=1e-9)
+
+
 def test_constant_rows(spark):
     df = spark.range(50).select("id", F.lit(1.0).alias("a"))
     assert iforest.iforest_anomalies(df, ["a"], ["id"]).count() == 0  # all scores tie

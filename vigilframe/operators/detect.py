@@ -4,13 +4,11 @@ from __future__ import annotations
 
 import itertools
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilframe.functions.stats import first_best
-from vigilframe.operators.iforest import PSI, PSI_LIMIT, ForestSpec, fit_forests, iforest_anomalies
+from vigilframe.operators.iforest import PSI, ForestSpec, iforest_anomalies, table_scores
 from vigilframe.operators.lof import factor_dispersion, lof_anomalies
 from vigilframe.operators.neighbours import neighbourhood
 from vigilframe.operators.prepare import fill_features
@@ -67,13 +65,12 @@ def _grid_frame(df: DataFrame, points: list[dict]) -> DataFrame:
 
 def tune_iforest(
     df: DataFrame, features: list[str], keys: list[str], grid: dict[str, list] | None = None, seed: int = 42,
-    psi_limit: int = PSI_LIMIT,
 ) -> DataFrame:
     """Objective (deviation of the scores) of every grid point, in grid order.
 
     A smaller forest is a prefix of the larger one and the contamination only shifts all
     scores, so few distinct forests are grown, in one job, and all scored in one pass.
-    A sub-sample share beyond `psi_limit` rows is held at the limit; `psi` tells the size used.
+    A sub-sample share is that share of the rows at every size; `psi` tells the rows per tree.
     """
     points = grid_points(grid or IFOREST_GRID)
     filled = materialize(fill_features(df.select(*keys, *features), features))
@@ -81,31 +78,14 @@ def tune_iforest(
 
     def psi_of(share) -> int:
         wanted = PSI if share == "auto" else int(share * n) if isinstance(share, float) else int(share)
-        return max(1, min(wanted, n, psi_limit))
+        return max(1, min(wanted, n))
 
     shapes = sorted({(psi_of(p["max_samples"]), p["max_features"]) for p in points})
     specs = [ForestSpec(i, psi, share) for i, (psi, share) in enumerate(shapes)]
     counts = sorted({p["n_estimators"] for p in points})
-    forests = fit_forests(filled, features, keys, specs, max(counts), seed)
-    shared = df.sparkSession.sparkContext.broadcast(forests)
-    names = [f"s{f}_{c}" for f in forests for c in counts]
-
-    @F.pandas_udf(", ".join(f"{name} double" for name in names))
-    def score(*columns: pd.Series) -> pd.DataFrame:
-        x = np.column_stack([c.to_numpy() for c in columns])
-        out = {}
-        for index, forest in shared.value.items():
-            lengths = forest.path_lengths(x)
-            for count in counts:
-                out[f"s{index}_{count}"] = forest.scores(lengths[:, :count])
-        return pd.DataFrame(out)
-
-    deviations = filled.select(score(*features).alias("s")).agg(
-        *[F.stddev_pop(f"s.{name}").alias(name) for name in names])
-    long = deviations.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("forest"), F.lit(specs[i].psi).alias("psi"), F.lit(c).alias("n"),
-                 F.col(f"s{i}_{c}").alias("objective")) for i in forests for c in counts
-    ])))
+    scores = table_scores(filled, features, keys, specs, counts, n, seed)
+    sizes = df.sparkSession.createDataFrame([(s.forest, s.psi) for s in specs], "forest int, psi int")
+    long = scores.groupBy("forest", "n").agg(F.stddev_pop("score").alias("objective")).join(sizes, "forest")
     plan = [(i, shapes.index((psi_of(p["max_samples"]), p["max_features"])), p["n_estimators"])
             for i, p in enumerate(points)]
     keyed = _grid_frame(df, points).join(

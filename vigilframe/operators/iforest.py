@@ -1,17 +1,20 @@
 """Isolation forest (Liu, Ting & Zhou 2008) on Spark.
 
-Every tree is grown in its own task from its own small sub-sample, drawn by hashing in one
-pass over the rows.  The grown trees, at most `trees * (2 * psi - 1)` nodes, travel to the
-scoring tasks, which compute path lengths on Arrow batches.
+Every tree is grown in its own task from its own sub-sample, drawn by hashing in one pass over
+all rows.  The grown trees, at most `trees * (2 * psi - 1)` nodes, travel to the scoring tasks,
+which compute path lengths on Arrow batches.  Forests of large sub-samples stay in a table, one
+row per tree, and meet the rows in blocks.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +24,7 @@ from vigilframe.session import materialize
 
 TREES = 100
 PSI = 256
-PSI_LIMIT = 4096  # largest sub-sample one task grows a tree from
+BLOCK = 8192  # rows scored at once by a tree of a table
 HASH_RANGE = 2**31
 NODES = "forest int, tree int, node int, feature int, cut double, low int, high int, length double"
 
@@ -78,26 +81,34 @@ def average_path(n: int) -> float:
     return 2.0 * (math.log(n - 1.0) + np.euler_gamma) - 2.0 * (n - 1.0) / n
 
 
-def grow_tree(x: np.ndarray, rng: np.random.Generator, allowed: np.ndarray) -> list[tuple]:
-    """Nodes `(feature, cut, low, high, length)`; random cuts until alone or too deep."""
+def grow_tree(x: np.ndarray, rng: np.random.Generator, allowed: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Columns `feature, cut, low, high, length` of the nodes; random cuts, level by level, until alone or too deep."""
     limit = math.ceil(math.log2(max(len(x), 2)))
-    nodes: list[tuple] = [()]
-    pending = [(0, np.arange(len(x)), 0)]
-    while pending:
-        node, rows, depth = pending.pop()
-        part = x[rows]
-        low, high = (part.min(axis=0), part.max(axis=0)) if len(rows) else (None, None)
-        usable = allowed[high[allowed] > low[allowed]] if len(rows) > 1 and depth < limit else []
-        if not len(usable):
-            nodes[node] = (-1, 0.0, 0, 0, depth + average_path(len(rows)))
-            continue
-        feature = int(rng.choice(usable))
-        cut = float(rng.uniform(low[feature], high[feature]))
-        side = part[:, feature] <= cut
-        nodes[node] = (feature, cut, len(nodes), len(nodes) + 1, 0.0)
-        pending += [(len(nodes), rows[side], depth + 1), (len(nodes) + 1, rows[~side], depth + 1)]
-        nodes += [(), ()]
-    return nodes
+    levels, base, depth = [], 0, 0
+    sizes = np.array([len(x)])
+    while len(sizes):
+        k = len(sizes)
+        seg = np.repeat(np.arange(k), sizes)
+        feature, cut = np.full(k, -1), np.zeros(k)
+        if depth < limit and len(x):
+            starts, part = np.cumsum(sizes) - sizes, x[:, allowed]
+            least, most = np.minimum.reduceat(part, starts), np.maximum.reduceat(part, starts)
+            chosen = np.where(most > least, rng.random(least.shape), -1.0).argmax(axis=1)
+            at = np.arange(k), chosen
+            drawn = least[at] + rng.random(k) * (most[at] - least[at])
+            inner = most[at] > least[at]
+            feature[inner], cut[inner] = allowed[chosen][inner], np.where(drawn < most[at], drawn, least[at])[inner]
+        inner = feature >= 0
+        child = base + k + 2 * (np.cumsum(inner) - 1)
+        means = {n: average_path(n) for n in np.unique(sizes).tolist()}
+        length = np.where(inner, 0.0, depth + np.array([means[n] for n in sizes.tolist()]))
+        levels.append((feature, cut, np.where(inner, child, 0), np.where(inner, child + 1, 0), length))
+        base, depth = base + k, depth + 1
+        held = inner[seg]
+        x, seg = x[held], seg[held]
+        place = child[seg] - base + (x[np.arange(len(x)), feature[seg]] > cut[seg])
+        x, sizes = x[np.argsort(place, kind="stable")], np.bincount(place, minlength=2 * int(inner.sum()))
+    return tuple(np.concatenate(column) for column in zip(*levels))
 
 
 def _drawn_in(forest: int, rate: float):
@@ -109,18 +120,13 @@ def _samples(df: DataFrame, features: list[str], keys: list[str], specs: list[Fo
     """Exactly psi rows (or all) per forest and tree.
 
     A row joins the draws in which its hash falls below a rate slightly above psi / n; the
-    survivors, few per tree, are ranked by hash.  For large tables a first hash keeps a
-    pool many times larger than all samples together, so most rows cost one comparison.
+    survivors are ranked by hash.  Every row takes part in every draw, whatever n is.
     """
     base = df.select(F.xxhash64(*keys, F.lit(seed)).alias("key"), *features)
-    most = sum(s.psi for s in specs) * trees
-    pool = min(1.0, 20.0 * most / max(n, 1))
-    if pool < 1.0:
-        base = base.where(F.pmod(F.xxhash64("key", F.lit(-1)), F.lit(HASH_RANGE)) < F.lit(pool * HASH_RANGE))
     draws = None
     for spec in specs:
         wanted = spec.psi + 6 * math.sqrt(spec.psi) + 10
-        rate = min(1.0, wanted / max(n * pool, 1.0)) * HASH_RANGE
+        rate = min(1.0, wanted / max(n, 1)) * HASH_RANGE
         drawn = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), _drawn_in(spec.forest, rate))
         part = base.select(F.lit(spec.forest).alias("forest"), F.explode(drawn).alias("tree"), "key", *features)
         order = Window.partitionBy("forest", "tree").orderBy(
@@ -130,20 +136,28 @@ def _samples(df: DataFrame, features: list[str], keys: list[str], specs: list[Fo
     return draws
 
 
+def _grower(features: list[str], specs: list[ForestSpec], seed: int):
+    by_id = {s.forest: s for s in specs}
+
+    def grow(pdf: pd.DataFrame) -> tuple[int, int, tuple[np.ndarray, ...]]:
+        forest, tree = int(pdf["forest"].iloc[0]), int(pdf["tree"].iloc[0])
+        rng = np.random.default_rng([seed, tree, forest])
+        share = max(1, int(by_id[forest].max_features * len(features)))
+        allowed = np.sort(rng.permutation(len(features))[:share])
+        return forest, tree, grow_tree(pdf.sort_values("rank")[features].to_numpy(np.float64), rng, allowed)
+    return grow
+
+
 def fit_forests(
     df: DataFrame, features: list[str], keys: list[str], specs: list[ForestSpec], trees: int = TREES, seed: int = 42
 ) -> dict[int, Forest]:
     """Grow all trees of all forests in one job, one task group per tree; features hold no NULL."""
     n = df.count()
-    by_id = {s.forest: s for s in specs}
+    by_id, grower = {s.forest: s for s in specs}, _grower(features, specs, seed)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        forest, tree = int(pdf["forest"].iloc[0]), int(pdf["tree"].iloc[0])
-        rng = np.random.default_rng([seed, tree, forest])
-        share = max(1, int(by_id[forest].max_features * len(features)))
-        allowed = np.sort(rng.permutation(len(features))[:share])
-        x = pdf.sort_values("rank")[features].to_numpy()
-        nodes = pd.DataFrame(grow_tree(x, rng, allowed), columns=["feature", "cut", "low", "high", "length"])
+        forest, tree, columns = grower(pdf)
+        nodes = pd.DataFrame(dict(zip(["feature", "cut", "low", "high", "length"], columns)))
         nodes.insert(0, "node", np.arange(len(nodes)))
         nodes.insert(0, "tree", tree)
         nodes.insert(0, "forest", forest)
@@ -168,6 +182,55 @@ def fit_forests(
     return out
 
 
+def table_scores(
+    df: DataFrame, features: list[str], keys: list[str], specs: list[ForestSpec], counts: list[int], n: int, seed: int = 42
+) -> DataFrame:
+    """`score` of every row in the first trees of every forest: forest, n (of `counts`), score.
+
+    Trees of any size: they are written as one row each and never pass the driver.  Features hold
+    no NULL; `n` is the number of rows.
+    """
+    grower, kinds, psi = _grower(features, specs, seed), ("i4", "f8", "i4", "i4", "f8"), {s.forest: min(s.psi, n) for s in specs}
+
+    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        forest, tree, columns = grower(pdf)
+        return pd.DataFrame({"forest": [forest], "tree": [tree], "nodes": [b"".join(c.astype(k).tobytes() for c, k in zip(columns, kinds))]})
+
+    def blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        task, number = TaskContext.get().partitionId(), 0
+        for pdf in frames:
+            x = pdf[features].to_numpy(np.float64)
+            for at in range(0, len(x), BLOCK):
+                yield pd.DataFrame({"task": [task], "number": [number], "x": [x[at:at + BLOCK].tobytes()]})
+                number += 1
+
+    def paths(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            out = []
+            for nodes, x in zip(pdf["nodes"], pdf["x"]):
+                size, at, columns = len(nodes) // 28, 0, []
+                for kind in kinds:
+                    columns.append(np.frombuffer(nodes, kind, size, at)[None])
+                    at += size * int(kind[1])
+                out.append(Forest(0, *columns).path_lengths(np.frombuffer(x).reshape(-1, len(features)))[:, 0].tobytes())
+            yield pdf[["forest", "tree", "task", "number"]].assign(lengths=out)
+
+    def judge(pdf: pd.DataFrame) -> pd.DataFrame:
+        forest, out = int(pdf["forest"].iloc[0]), []
+        pdf = pdf.sort_values("tree")
+        lengths = np.stack([np.frombuffer(x) for x in pdf["lengths"]], axis=1)
+        for count in counts:
+            score = Forest(psi[forest], *[None] * 5).scores(lengths[:, pdf["tree"].to_numpy() < count])
+            out.append(pd.DataFrame({"forest": forest, "n": count, "score": score}))
+        return pd.concat(out)
+
+    drawn = _samples(df, features, keys, specs, max(counts), seed, n)
+    grown = materialize(drawn.groupBy("forest", "tree").applyInPandas(grow, "forest int, tree int, nodes binary"), "trees")
+    held = materialize(df.select(*features).mapInPandas(blocks, "task int, number int, x binary"), "blocks")
+    met = grown.repartition("forest", "tree").crossJoin(held).mapInPandas(paths, "forest int, tree int, task int, number int, lengths binary")
+    return met.groupBy("forest", "task", "number").applyInPandas(judge, "forest int, n int, score double")
+
+
 def forest_scores(df: DataFrame, features: list[str], forest: Forest) -> DataFrame:
     """Add `sample_score`, negated: the lower, the more anomalous; features hold no NULL."""
     shared = df.sparkSession.sparkContext.broadcast(forest)
