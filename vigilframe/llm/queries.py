@@ -1,10 +1,11 @@
-"""The queries op1 to op10 over the whole tables, with SQL twins where SQL can say it."""
+"""The queries of the numbered operators over the whole tables, with SQL twins where SQL can say it."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from vigilframe.llm import jaccard, language, ledger, lines, mixing, postings, quality, samples, secrets, substrings, toxicity
+from vigilframe.llm import bytepairs, jaccard, language, ledger, lines, mixing, postings, quality, samples, secrets, substrings, toxicity
 from vigilframe.plans.catalog import query
 from vigilframe.session import materialize
 
@@ -163,3 +164,13 @@ def op3_language_chains(spark, sf):
     docs = table(spark, sf, "documents")
     found = language.predict(docs.select("doc_id", "text"), language_model(docs.select("doc_id", "text", "lang")))
     return found.select("doc_id", (samples.fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op12_byte_bpe")
+def op12_byte_bpe(spark, sf):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = bytepairs.encode(table(spark, sf, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
+    back = bytepairs.decode(coded.select("doc_id", "ids"), path)
+    return back.select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
