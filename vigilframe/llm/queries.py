@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from vigilframe.llm import bytepairs, jaccard, language, ledger, lines, mixing, postings, quality, samples, secrets, substrings, toxicity
+from vigilframe.llm import alignment, bytepairs, collocations, jaccard, language, ledger, lines, mixing, postings, quality, samples, secrets, substrings, toxicity
 from vigilframe.plans.catalog import query
 from vigilframe.session import materialize
 
@@ -166,6 +166,30 @@ def op3_language_chains(spark, sf):
     return found.select("doc_id", (samples.fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+@query("op11_collocations", r"""
+    WITH piece AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM (SELECT coalesce(lang, 'und') AS lang,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)),
+    w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece),
+    f AS (SELECT lang, k, phrase, count(*) AS a FROM (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+        FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS sizes(k) WHERE len(w) >= k)) GROUP BY 1, 2, 3),
+    total AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY 1),
+    c AS (SELECT *, string_split(phrase, ' ') AS parts FROM f WHERE k > 1 AND a >= 10),
+    inner_pair AS (SELECT lang, unnest([array_to_string(parts[1:2], ' '), array_to_string(parts[2:3], ' ')]) AS phrase, a AS longer FROM c WHERE k = 3),
+    longest AS (SELECT lang, phrase, max(longer) AS longer FROM inner_pair GROUP BY 1, 2),
+    kept AS (SELECT c.* FROM c LEFT JOIN longest USING (lang, phrase) WHERE k = 3 OR longer IS NULL OR 100 * longer < 50 * a),
+    cut AS (SELECT lang, phrase, k, a, at, array_to_string(parts[1:at], ' ') AS head, array_to_string(parts[at + 1:k], ' ') AS tail
+        FROM (SELECT *, unnest(range(1, k)) AS at FROM kept)),
+    scored AS (SELECT cut.lang, cut.phrase, cut.a, at, h.a AS l, t.a AS r,
+        CAST((1000000 * CAST(cut.a AS HUGEINT) * cut.a) // (CAST(h.a AS HUGEINT) * t.a) AS BIGINT) AS score
+        FROM cut JOIN f AS h ON h.lang = cut.lang AND h.phrase = head AND h.k = at JOIN f AS t ON t.lang = cut.lang AND t.phrase = tail AND t.k = cut.k - at),
+    least_cut AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, at) = 1)
+    SELECT lang, rank, phrase, a, l, r, n, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least_cut) JOIN total USING (lang)
+    WHERE rank <= 2000""")
+def op11_collocations(spark, sf):
+    return collocations.collocations(table(spark, sf, "documents").select("text", "lang"))
+
+
 @query("op12_byte_bpe")
 def op12_byte_bpe(spark, sf):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -174,3 +198,11 @@ def op12_byte_bpe(spark, sf):
     return back.select(
         "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op13_align_tokenizers")
+def op13_align_tokenizers(spark, sf):
+    found = alignment.align(
+        table(spark, sf, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN, digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
