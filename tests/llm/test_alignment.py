@@ -77,29 +77,37 @@ def test_runs(steps_a, steps_b):
     a, b = [sum(steps_a[:i + 1]) for i in range(len(steps_a))], [sum(steps_b[:i + 1]) for i in range(len(steps_b))]
     end = max([*a, *b, 0]) + 1
     a, b = [*a, end], [*b, end]
-    runs, groups, link_a, link_b = alignment.diagonal_runs(a, b)
+    runs, groups, links = (x.tolist() for x in alignment.diagonal_runs(a, b))
     single = [(s + t, u + t) for s, u, n in runs for t in range(n)]
-    spans = sorted([(i, i + 1, j, j + 1) for i, j in single] + groups)
+    spans = sorted([(i, i + 1, j, j + 1) for i, j in single] + [tuple(g) for g in groups])
     common = sorted(set(a) & set(b))
     assert [(a[y - 1], b[v - 1]) for x, y, u, v in spans] == [(e, e) for e in common]
     assert [s[0] for s in spans] == [0, *[s[1] for s in spans]][:-1]
     overlaps = {(i, j) for i in range(len(a)) for j in range(len(b)) if max([0, *a][i], [0, *b][j]) < min(a[i], b[j])}
-    found = single + list(zip(link_a, link_b))
+    found = single + list(zip(*links))
     assert len(found) == len(overlaps) and set(found) == overlaps
 
 
-def test_encoders_alike(brute):
-    """Ids from pre-tokens and words equal those of whole texts."""
-    odd = alignment.odd_classes()
-    a = alignment.ByteLevel(open(A, encoding="utf-8").read(), public_tokenizers.PATTERN, odd)
+def test_encoders_alike():
+    """Ids from words and pre-tokens equal those of whole texts, or the text has no tokens."""
+    a = alignment.ByteLevel(open(A, encoding="utf-8").read(), public_tokenizers.PATTERN, alignment.odd_classes())
     b = alignment.Pieces(open(B, "rb").read())
     assert b.by_word
-    some = [t for t in texts(1, 2000) if t]
-    for t, x, y in zip(some, a.packed(some), b.packed(some)):
-        whole = b.library.encode(t)
-        if "▁" not in t:
-            assert x == b"".join(i.to_bytes(4, "little") for i in a.library.encode(" " + t, add_special_tokens=False).ids), t
-            assert y == b"".join(i.to_bytes(4, "little") for i in whole), t
+    some = [t for t in texts(1, 3000) if t]
+    some += ["".join(random.Random(i).choices(["a", " ", "\n", "\t", " b", "\xa0", "."], k=9)) for i in range(2000)]
+    encoder, kept = alignment.Encoder(a, b), 0
+    for t, (x, y) in zip(some, encoder.packed(some)):
+        whole_a, whole_b = a.library.encode(" " + t, add_special_tokens=False).ids, b.library.encode(t)
+        joined = [b"".join(k.bytes[i] for i in ids) == (" " + t).encode() for k, ids in ((a, whole_a), (b, whole_b))]
+        if all(joined):
+            kept += 1
+            assert x == b"".join(i.to_bytes(4, "little") for i in whole_a), t
+            assert y == b"".join(i.to_bytes(4, "little") for i in whole_b), t
+        else:
+            assert (x, y) == (b"", b""), t
+    assert 4000 < kept < len(some)
+    b.by_word = False  # a vocabulary with pieces across spaces encodes whole texts
+    assert alignment.Encoder(a, b).packed(some[:300]) == encoder.packed(some[:300])
 
 
 @pytest.mark.parametrize("chunk_bytes", [200, 1 << 20])

@@ -11,9 +11,10 @@ distinct pairs once with its own sums, a document keeps places in that list.  Th
 go back to the chunk, so the shuffles carry a row per chunk and pair and not per link.  Only the best count of each id
 of B is broadcast, which the size of B's vocabulary bounds.
 
-Tokenizers are read on the driver and sent as bytes.  They encode pre-tokens of A, and words of B with the spaces
-before them, each once and not at every occurrence: A never merges across its pre-tokens, and B's vocabulary is checked
-to hold no piece that goes on behind a space, else B encodes whole texts.
+Tokenizers are read on the driver and sent as bytes.  They encode words with the spaces before them, each once and not at
+every occurrence.  B may be cut there because its vocabulary is checked to hold no piece that goes on behind a space, else
+it encodes whole texts; A because its pre-tokens end there too, but for texts with certain runs of white space, which A
+encodes by its pre-tokens.  Whether the tokens of a word join to its bytes is also found once.
 
 Defined results: NULL and empty texts, and texts whose tokens of A or B do not join to the space and the text, have no
 tokens, zeros and empty groups; text that is not UTF-8 is read with U+FFFD for the bad bytes; very long texts are aligned
@@ -27,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilframe.llm.frames import bounded_batches
-from vigilframe.llm.pretokens import Cutter, Known, odd_classes, texts_of
+from vigilframe.llm.pretokens import Cutter, Known, held, odd_classes, texts_of, uncollected
 from vigilframe.session import materialize
 
 CHUNK = 4 << 20
@@ -53,8 +55,12 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class ByteLevel:
-    """Tokenizer A: ids of space and text, from pre-tokens."""
+    """Tokenizer A."""
 
     def __init__(self, description: str, pattern: str, odd):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -67,20 +73,19 @@ class ByteLevel:
             self.bytes[i] = bytes(letter[c] for c in token) if all(c in letter for c in token) else token.encode()
         self.cutter, self.known = Cutter(pattern, odd), Known(self.encode)
 
+    def ids(self, pieces: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+
     def encode(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+        return list(map(packed, self.ids(pieces)))
 
-    def packed(self, texts: list[str]) -> list[bytes]:
-        out = [[] for _ in texts]
-        for part in self.cutter.portions([" " + t for t in texts]):
-            self.known.learn([p for _, pieces in part for p in pieces])
-            for i, pieces in part:
-                out[i].append(b"".join(map(self.known.__getitem__, pieces)))
-        return [b"".join(x) for x in out]
+    def of_text(self, text: str) -> bytes:
+        """Packed ids of a whole text, by its pre-tokens."""
+        return b"".join(b"".join(self.known.of(pieces)) for part in self.cutter.portions([text]) for _, pieces in part)
 
 
 class Pieces:
-    """Tokenizer B: ids of the text, before which the library itself puts a space."""
+    """Tokenizer B, which itself puts a space before a text."""
 
     def __init__(self, model: bytes):
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
@@ -89,53 +94,86 @@ class Pieces:
                       for i, p in enumerate(names)]
         probe = b"".join(self.bytes[i] for i in self.library.encode(" a  b "))
         self.by_word = probe == b"  a  b " and SPACE in names and not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in names)
-        self.lone = np.array([names.index(SPACE)], "<u4").tobytes() if self.by_word else b""
-        self.known = Known(self.encode)
+        self.lone = [names.index(SPACE)] if self.by_word else []
+
+    def ids(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of texts; the empty one stands for a lone space."""
+        return [x if p else self.lone for p, x in zip(pieces, self.library.encode(pieces, num_threads=1))]
 
-    def encode(self, pieces: list[str]) -> list[bytes]:
-        ids = self.library.encode(pieces, num_threads=1)
-        return [np.array(x, "<u4").tobytes() if p or not self.by_word else self.lone for p, x in zip(pieces, ids)]
 
-    @staticmethod
-    def words(text: str) -> list[str]:
-        """Words with the spaces before them, less one space, which the library adds."""
-        if "  " not in text and text[0] != " " and text[-1] != " ":
-            return text.split(" ")
-        return [w[1:] for w in re.findall(" +[^ ]*", " " + text)]
+def words(text: str) -> list[str]:
+    """Words with the spaces before them, less one space, which both tokenizers get before it."""
+    if "  " not in text and text[0] != " " and text[-1] != " ":
+        return text.split(" ")
+    return [w[1:] for w in re.findall(" +[^ ]*", " " + text)]
 
-    def packed(self, texts: list[str]) -> list[bytes]:
-        if not self.by_word:
-            return [self.encode([t])[0] if t else b"" for t in texts]
-        cut = [self.words(t) if t else [] for t in texts]
-        self.known.learn([w for words in cut for w in words])
-        return [b"".join(map(self.known.__getitem__, words)) for words in cut]
+
+class Encoder:
+    """Ids of both tokenizers for space and text."""
+
+    ACROSS = re.compile(r"[^\S ] (?:\s|\Z)")  # white space that a pre-token of A may hold across the border of words
+
+    def __init__(self, a: ByteLevel, b: Pieces):
+        self.a, self.b, self.known = a, b, Known(self.encode)
+
+    def joins(self, a: list[int], b: list[int], text: str) -> bool:
+        whole, of_a, of_b = (" " + text).encode(), self.a.bytes, self.b.bytes
+        return b"".join([of_a[i] for i in a]) == whole and b"".join([of_b[i] for i in b]) == whole
+
+    def encode(self, pieces: list[str]) -> list[tuple]:
+        """(ids of A, ids of B) of words; (None, None) where they do not join to the word."""
+        found = zip(self.a.ids([" " + p for p in pieces]), self.b.ids(pieces), pieces)
+        return [(packed(a), packed(b)) if self.joins(a, b, p) else (None, None) for a, b, p in found]
+
+    def packed(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """(ids of A, ids of B) of texts, both empty where they do not join to the text."""
+        cut = [words(t) if t and self.b.by_word else [] for t in texts]
+        found, at, out = self.known.of([w for some in cut for w in some]), 0, []
+        for text, some in zip(texts, cut):
+            pairs = found[at:at + len(some)]
+            at += len(some)
+            if not text:
+                out.append((b"", b""))
+                continue
+            whole = bool(some) and (None, None) not in pairs
+            b = b"".join([p[1] for p in pairs]) if whole else b""
+            if not some or (whole and self.ACROSS.search(text)):
+                a, b = self.a.of_text(" " + text), b if some else packed(self.b.ids([text])[0])
+                whole = self.joins(*(np.frombuffer(x, "<u4").tolist() for x in (a, b)), text)
+            else:
+                a = b"".join([p[0] for p in pairs]) if whole else b""
+            out.append((a, b) if whole else (b"", b""))
+        return out
 
 
 def diagonal_runs(ends_a: list[int], ends_b: list[int]):
-    """(runs, groups, links): one-to-one stretches (place in A, in B, length), irregular groups (first and end in A, in
-    B) and the places linked inside those groups.  Both lists ascend and end with the same offset."""
+    """Arrays (runs, groups, links): one-to-one stretches (place in A, in B, length), irregular groups (first and end in A,
+    in B) and the places linked inside those groups.  Both lists ascend and end with the same offset."""
     runs, groups, link_a, link_b = [], [], [], []
     i, j, n = 0, 0, len(ends_a)
     while i < n:
-        start, step = i, 1
-        while ends_a[i:i + step] == ends_b[j:j + step]:
-            i += step
-            j += step
-            if i >= n:
-                break
-            step *= 2
-        if i >= n:  # the last slices were shorter than the step, and equal
-            runs.append((start, j - (i - start), n - start))
-            break
-        while step > 1:
-            step //= 2
-            if ends_a[i:i + step] == ends_b[j:j + step]:
+        a, b = ends_a[i], ends_b[j]
+        if a == b:
+            start, shift = i, j - i
+            i, j, step = i + 1, j + 1, 2
+            while ends_a[i:i + step] == ends_b[j:j + step]:
                 i += step
                 j += step
-        if i > start:
-            runs.append((start, j - (i - start), i - start))
+                if i >= n:  # the last slices were shorter than the step, and equal
+                    break
+                step *= 2
+            else:
+                while step > 1:
+                    step //= 2
+                    if ends_a[i:i + step] == ends_b[j:j + step]:
+                        i += step
+                        j += step
+            if i >= n:
+                runs += (start, start + shift, n - start)
+                break
+            runs += (start, start + shift, i - start)
+            a, b = ends_a[i], ends_b[j]
         first_a, first_b = i, j
-        a, b = ends_a[i], ends_b[j]
         while True:
             link_a.append(i)
             link_b.append(j)
@@ -149,8 +187,9 @@ def diagonal_runs(ends_a: list[int], ends_b: list[int]):
                 break
         i += 1
         j += 1
-        groups.append((first_a, i, first_b, j))
-    return runs, groups, link_a, link_b
+        groups += (first_a, i, first_b, j)
+    return (np.array(runs, np.int64).reshape(-1, 3), np.array(groups, np.int64).reshape(-1, 4),
+            np.array([link_a, link_b], np.int64))
 
 
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -163,28 +202,23 @@ class Aligner:
     """Aligns lists of texts; the results of a text are its counts, its groups and its distinct id pairs."""
 
     def __init__(self, a: ByteLevel, b: Pieces):
-        self.a, self.b = a, b
+        self.encoder = Encoder(a, b)
         self.length_a, self.length_b = (np.array([len(x) for x in t.bytes], np.int64) for t in (a, b))
         self.bits_b = max(len(b.bytes) - 1, 1).bit_length()
         self.bits = self.bits_b + max(len(a.bytes) - 1, 1).bit_length()
         # Ids as they are written: those of A before another of A or the bar, those of B before another of B or a new group.
-        self.written = [f"{i}{mark}" for i in range(len(a.bytes)) for mark in ",|"] + [f"{i}{mark}" for i in range(len(b.bytes)) for mark in ",;"]
+        self.written = pa.array([f"{i}{mark}" for i in range(len(a.bytes)) for mark in ",|"]
+                                + [f"{i}{mark}" for i in range(len(b.bytes)) for mark in ",;"], pa.large_string())
 
     def run(self, texts: list[str]):
         """(n_a, n_b, n_groups, n_links, groups) by text, and (text, pair, count) of the distinct pairs, ordered."""
-        ids_a, ids_b = [], []
-        for text, a, b in zip(texts, self.a.packed(texts), self.b.packed(texts)):
-            a, b = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-            whole = b" " + text.encode() if text else b""
-            same = all(b"".join([t.bytes[i] for i in x.tolist()]) == whole for t, x in ((self.a, a), (self.b, b)))
-            ids_a.append(a if same else a[:0])
-            ids_b.append(b if same else b[:0])
-        n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
-        a, b = (np.concatenate(ids).astype(np.int64) if ids else np.zeros(0, np.int64) for ids in (ids_a, ids_b))
+        ids = [[np.frombuffer(x, "<u4") for x in both] for both in zip(*self.encoder.packed(texts))] or [[], []]
+        n_a, n_b = (np.array([len(x) for x in some], np.int64) for some in ids)
+        a, b = (np.concatenate([np.zeros(0, "<u4"), *some]).astype(np.int64) for some in ids)
         # Texts lie one behind the other: each ends at a common place, so no group crosses two texts.
         ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
-        runs, groups, link_a, link_b = diagonal_runs(ends_a.tolist(), ends_b.tolist())
-        runs, groups = (np.array(x, np.int64).reshape(-1, w) for x, w in ((runs, 3), (groups, 4)))
+        with uncollected():
+            runs, groups, (link_a, link_b) = diagonal_runs(ends_a.tolist(), ends_b.tolist())
         last_a, last_b = np.zeros(len(a) + 1, bool), np.zeros(len(b) + 1, bool)
         run_a, run_b = spread(runs[:, 0], runs[:, 2]), spread(runs[:, 1], runs[:, 2])
         for last, single, ends in ((last_a, run_a, groups[:, 1]), (last_b, run_b, groups[:, 3])):
@@ -193,14 +227,14 @@ class Aligner:
         last_a, last_b = last_a[:-1], last_b[:-1]
         border_a, border_b = np.append(0, np.cumsum(n_a)), np.append(0, np.cumsum(n_b))
         group_at = np.append(0, np.cumsum(last_a))[border_a]
-        text_of_link = np.searchsorted(border_a, np.concatenate([run_a, np.array(link_a, np.int64)]), "right") - 1
-        pair = np.concatenate([a[run_a] << self.bits_b | b[run_b], a[link_a] << self.bits_b | b[link_b]]) if len(a) else a
+        text_of_link = np.searchsorted(border_a, np.concatenate([run_a, link_a]), "right") - 1
+        pair = np.concatenate([a[run_a] << self.bits_b | b[run_b], a[link_a] << self.bits_b | b[link_b]])
         n_links = np.bincount(text_of_link, minlength=len(texts))
         keys, counts = np.unique(text_of_link << self.bits | pair, return_counts=True)
-        order, written = self.order(a, b, last_a, last_b), self.written
-        at = (border_a + border_b).tolist()
-        codes = order.tolist()
-        said = ["".join([written[c] for c in codes[at[t]:at[t + 1]]])[:-1] for t in range(len(texts))]
+        written = self.written.take(pa.array(self.order(a, b, last_a, last_b)))
+        offsets, data = (np.frombuffer(x, kind) if x is not None and x.size else np.zeros(1, kind) for x, kind in zip(written.buffers()[1:], (np.int64, np.uint8)))
+        at, data = offsets[border_a + border_b].tolist(), data.tobytes()
+        said = [data[s:max(s, e - 1)].decode() for s, e in zip(at[:-1], at[1:])]
         return n_a, n_b, np.diff(group_at), n_links, said, keys >> self.bits, keys & ((1 << self.bits) - 1), counts
 
     def order(self, a, b, last_a, last_b) -> np.ndarray:
@@ -232,9 +266,9 @@ def unsqueezed(packed: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
 DOC = "row {row}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, n_pairs int, links binary"
 
 
-def chunks(description, model, pattern: str, odd, digest: bool, chunk_bytes: int):
+def chunks(description, model, mark: str, pattern: str, odd, digest: bool, chunk_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(ByteLevel(description.value, pattern, odd), Pieces(model.value))
+        aligner = held(("aligner", mark), lambda: Aligner(ByteLevel(description.value, pattern, odd), Pieces(model.value)))
         chunk, size, parts, rows = TaskContext.get().partitionId() << 32, 0, [], []
 
         def flush():
@@ -345,7 +379,8 @@ def align(docs: DataFrame, path_a: str, path_b: str, pattern: str, text: str = "
     packed = F.struct(F.lit(0).alias("c"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)])
     rows = bounded_batches(docs).select(F.col(f"`{text}`").alias("text"), packed.alias("row"))
     shape = ", ".join(f"{n}: {t}" for n, t in (f.split(" ", 1) for f in DOC.format(row=rows.schema["row"].dataType.simpleString()).split(", ")))
-    run = chunks(spark.sparkContext.broadcast(description), spark.sparkContext.broadcast(model), pattern, odd_classes(), digest, chunk_bytes)
+    mark = hashlib.sha256(f"{description}{pattern}".encode() + model).hexdigest()
+    run = chunks(spark.sparkContext.broadcast(description), spark.sparkContext.broadcast(model), mark, pattern, odd_classes(), digest, chunk_bytes)
     table = materialize(rows.mapInArrow(run, f"chunk bigint, seq int, doc struct<{shape}>, pairs array<bigint>, sums array<bigint>"), "alignments")
     judged = pair_counts(table, bits_b, vocabulary_b).select("pair", "n", "best")
     known = listed(table).select("chunk", "place", "pair").join(judged, "pair")

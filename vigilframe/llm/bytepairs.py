@@ -18,6 +18,7 @@ decode to nothing; other columns are kept, one named like the added column is re
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilframe.llm.pretokens import Cutter, Known, mapped, odd_classes, read_ranks, texts_of
+from vigilframe.llm.pretokens import Cutter, Known, held, mapped, odd_classes, read_ranks, texts_of
 
 
 class RankQueue:
@@ -168,16 +169,17 @@ class Merger:
         return out
 
 
-def encoder(ranks, pattern: str, odd, into: str):
+def encoder(ranks, mark: str, pattern: str, odd, into: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Known(Merger(ranks.value).packed)
+        known = held(("merger", mark), lambda: Known(Merger(ranks.value).packed))
         cutter = Cutter(pattern, odd)
         for batch in batches:
             out = [[] for _ in range(batch.num_rows)]
             for part in cutter.portions(texts_of(batch.column(0))):
-                known.learn([p for _, pieces in part for p in pieces])
+                found, at = known.of([p for _, pieces in part for p in pieces]), 0
                 for i, pieces in part:
-                    out[i].append(b"".join(map(known.__getitem__, pieces)))
+                    out[i].append(b"".join(found[at:at + len(pieces)]))
+                    at += len(pieces)
             out = [b"".join(x) for x in out]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(out, pa.binary())], ["row", into])
     return run
@@ -199,8 +201,10 @@ def decoder(ranks, into: str):
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", into: str = "ids") -> DataFrame:
     """`docs` with the packed ids of `text` by the rank file at `path`, which only the driver reads."""
-    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(path))  # bounded by the vocabulary
-    return mapped(docs, F.col(f"`{text}`"), encoder(ranks, pattern, odd_classes(), into), f"{into} binary")
+    read = read_ranks(path)
+    ranks = docs.sparkSession.sparkContext.broadcast(read)  # bounded by the vocabulary
+    mark = hashlib.sha256(repr(sorted(read.items())).encode()).hexdigest()
+    return mapped(docs, F.col(f"`{text}`"), encoder(ranks, mark, pattern, odd_classes(), into), f"{into} binary")
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:

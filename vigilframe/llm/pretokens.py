@@ -3,12 +3,13 @@
 A text is cut by the vocabulary's pattern before any merge.  The installed `regex` module knows newer Unicode tables
 than the tokenizer libraries, so letters and digits that only the newer tables know are found once on the driver, by
 asking the library itself, and texts that hold any of them are cut by a pattern with the library's classes.  Texts of
-ASCII alone are cut by the standard module, whose patterns of plain ranges are faster.
+code points below 256 are cut by the standard module, whose patterns of plain ranges are faster.
 """
 
 from __future__ import annotations
 
 import base64
+import contextlib
 import functools
 import gc
 import re
@@ -25,7 +26,7 @@ from vigilframe.llm.frames import bounded_batches
 
 LONG_TEXT = 1 << 20  # characters; longer texts are cut and worked through in portions
 PORTION = 1 << 16    # pre-tokens
-ASCII_CLASSES = {r"\p{L}": "A-Za-z", r"\p{N}": "0-9", r"\s": "\t-\r "}
+CLASSES = (r"\p{L}", r"\p{N}", r"\s")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -49,7 +50,7 @@ def odd_classes() -> dict[str, tuple[list, list]]:
     """By class, the ranges of code points that `regex` puts into it and the library does not, and the other way round."""
     every = [chr(p) for p in range(128, 0x110000) if not 0xD800 <= p < 0xE000]
     out = {}
-    for name in ASCII_CLASSES:
+    for name in CLASSES:
         own = regex.compile(name)
         library = tiktoken.Encoding("classes", pat_str=name, mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={})
         ours, theirs = set(), set()
@@ -65,19 +66,32 @@ def in_set(spans: list[tuple[int, int]]) -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in spans)
 
 
+@contextlib.contextmanager
+def uncollected():
+    """No garbage collection: with many live pieces and no cycles it would only walk them again and again."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 class Cutter:
     """Cuts texts into the pre-tokens of `pattern` as the tokenizer libraries do."""
 
     def __init__(self, pattern: str, odd: dict[str, tuple[list, list]]):
-        ascii_form, exact = pattern, pattern.replace(r"\S", r"[^\s]")
-        for name, plain in ASCII_CLASSES.items():
-            ascii_form = self.replaced(ascii_form, name, plain)
+        low_form, exact = pattern, pattern.replace(r"\S", r"[^\s]")
+        low = "".join(map(chr, range(256)))  # the libraries agree on these
+        for name in CLASSES:
+            low_form = self.replaced(low_form, name, in_set(ranges([ord(c) for c in regex.findall(name, low)])))
             less, more = odd[name]
             if less or more:
                 whole = f"[{name}--[{in_set(less)}]]" if less else name
                 whole = f"[{whole}||[{in_set(more)}]]" if more else whole
                 exact = exact.replace(name, whole)
-        self.ascii = re.compile(ascii_form)
+        self.low = re.compile(low_form)
         self.usual = regex.compile(pattern)
         self.exact = regex.compile(exact, regex.V1)
         every = [s for less, more in odd.values() for s in (*less, *more)]
@@ -103,8 +117,11 @@ class Cutter:
         return "".join(out)
 
     def chosen(self, text: str):
-        if text.isascii():
-            return self.ascii
+        try:
+            text.encode("latin-1")
+            return self.low
+        except UnicodeEncodeError:
+            pass
         return self.exact if self.odd and self.odd.search(text) else self.usual
 
     def portions(self, texts: list[str | None]) -> Iterator[list[tuple[int, list[str]]]]:
@@ -123,27 +140,36 @@ class Cutter:
 
 
 class Known(dict):
-    """Results by piece.  `learn` computes those of new pieces together; beyond `room` bytes all go and it starts anew."""
+    """Results by piece.  Those of new pieces are computed together; beyond `room` bytes all go and it starts anew."""
 
-    def __init__(self, compute: Callable[[list[str]], list[bytes]], room: int = 64 << 20):
+    def __init__(self, compute: Callable[[list[str]], list], room: int = 128 << 20):
         super().__init__()
         self.compute, self.room, self.held = compute, room, 0
 
-    def learn(self, pieces: list[str]) -> None:
-        if self.held > self.room:
-            self.clear()
-            self.held = 0
-        new = list(set(pieces).difference(self))
-        if new:
-            on = gc.isenabled()
-            gc.disable()  # many live pieces and no cycles: collections would walk them again and again
-            try:
-                found = self.compute(new)
-                self.update(zip(new, found))
-            finally:
-                if on:
-                    gc.enable()
-            self.held += sum(map(len, new)) + sum(map(len, found)) + 100 * len(new)
+    def of(self, pieces: list[str]) -> list:
+        """The results of the pieces, none of which is empty."""
+        found = list(map(self.get, pieces))
+        if not all(found):
+            if self.held > self.room:
+                self.clear()
+                self.held, found = 0, [None] * len(pieces)
+            new = list({p for p, f in zip(pieces, found) if not f})
+            with uncollected():
+                self.update(zip(new, self.compute(new)))
+            self.held += sum(map(len, new)) * 4 + 200 * len(new)  # about what Python takes for them
+            found = list(map(self.__getitem__, pieces))
+        return found
+
+
+_last: dict = {}
+
+
+def held(key: tuple, make: Callable):
+    """What `make` gives for the key.  A Python worker keeps the last one, as tasks that follow ask for the same."""
+    if _last.get("key") != key:
+        _last.clear()
+        _last.update(key=key, value=make())
+    return _last["value"]
 
 
 def groups(texts: list[str | None], limit: int) -> Iterator[tuple[int, list[str]]]:

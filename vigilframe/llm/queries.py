@@ -177,12 +177,12 @@ def op3_language_chains(spark, sf):
     inner_pair AS (SELECT lang, unnest([array_to_string(parts[1:2], ' '), array_to_string(parts[2:3], ' ')]) AS phrase, a AS longer FROM c WHERE k = 3),
     longest AS (SELECT lang, phrase, max(longer) AS longer FROM inner_pair GROUP BY 1, 2),
     kept AS (SELECT c.* FROM c LEFT JOIN longest USING (lang, phrase) WHERE k = 3 OR longer IS NULL OR 100 * longer < 50 * a),
-    cut AS (SELECT lang, phrase, k, a, at, array_to_string(parts[1:at], ' ') AS head, array_to_string(parts[at + 1:k], ' ') AS tail
-        FROM (SELECT *, unnest(range(1, k)) AS at FROM kept)),
-    scored AS (SELECT cut.lang, cut.phrase, cut.a, at, h.a AS l, t.a AS r,
+    cut AS (SELECT lang, phrase, k, a, k1, array_to_string(parts[1:k1], ' ') AS head, array_to_string(parts[k1 + 1:k], ' ') AS tail
+        FROM (SELECT *, unnest(range(1, k)) AS k1 FROM kept)),
+    scored AS (SELECT cut.lang, cut.phrase, cut.a, k1, h.a AS l, t.a AS r,
         CAST((1000000 * CAST(cut.a AS HUGEINT) * cut.a) // (CAST(h.a AS HUGEINT) * t.a) AS BIGINT) AS score
-        FROM cut JOIN f AS h ON h.lang = cut.lang AND h.phrase = head AND h.k = at JOIN f AS t ON t.lang = cut.lang AND t.phrase = tail AND t.k = cut.k - at),
-    least_cut AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, at) = 1)
+        FROM cut JOIN f AS h ON h.lang = cut.lang AND h.phrase = head AND h.k = k1 JOIN f AS t ON t.lang = cut.lang AND t.phrase = tail AND t.k = cut.k - k1),
+    least_cut AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k1) = 1)
     SELECT lang, rank, phrase, a, l, r, n, score
     FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least_cut) JOIN total USING (lang)
     WHERE rank <= 2000""")
