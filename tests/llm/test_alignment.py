@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -71,13 +72,14 @@ def texts(seed, n):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.integers(1, 3), max_size=60), st.lists(st.integers(1, 3), max_size=60))
-def test_runs(steps_a, steps_b):
-    """Any two ascending lists with the same end: groups are the stretches between common ends, links the overlaps."""
+@given(st.lists(st.integers(1, 3), max_size=60), st.lists(st.integers(1, 3), max_size=60), st.sampled_from([1, 100]), st.integers(0, 40))
+def test_runs(steps_a, steps_b, scale, alike):
+    """Any two lists of lengths with one sum: groups are the stretches between common ends, links the overlaps."""
+    steps_a, steps_b = ([scale * s for s in steps_a[:alike] + steps] for steps in (steps_a, steps_b))
     a, b = [sum(steps_a[:i + 1]) for i in range(len(steps_a))], [sum(steps_b[:i + 1]) for i in range(len(steps_b))]
     end = max([*a, *b, 0]) + 1
     a, b = [*a, end], [*b, end]
-    runs, groups, links = (x.tolist() for x in alignment.diagonal_runs(a, b))
+    runs, groups, links = (x.tolist() for x in alignment.diagonal_runs(np.diff([0, *a]), np.diff([0, *b])))
     single = [(s + t, u + t) for s, u, n in runs for t in range(n)]
     spans = sorted([(i, i + 1, j, j + 1) for i, j in single] + [tuple(g) for g in groups])
     common = sorted(set(a) & set(b))

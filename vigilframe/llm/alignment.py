@@ -1,8 +1,8 @@
 """Alignment of two tokenizers by diagonal run skipping, with corpus-wide counts of the linked id pairs.
 
 Both tokenizers cut the same bytes, a space and the text, so their tokens are two ascending arrays of end offsets.
-While the arrays agree at the current shift (index in B less index in A), tokens correspond one to one; an exponential
-probe compares slices of doubling length and jumps over such a stretch.  Where they part, the shorter side is advanced
+While the arrays agree at the current shift (index in B less index in A), tokens correspond one to one; exponential
+probing compares slices of doubling length and jumps over such a stretch.  Where they part, the shorter side is advanced
 until both end at one place: an irregular group, resolved locally, after which the shift is the new one.  A step inside
 an irregular group links the two tokens that overlap there, a token of a stretch is linked to its partner.
 
@@ -26,6 +26,7 @@ itself is left out.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import os
 import re
 import struct
@@ -122,8 +123,21 @@ class Encoder:
 
     def encode(self, pieces: list[str]) -> list[tuple]:
         """(ids of A, ids of B) of words; (None, None) where they do not join to the word."""
-        found = zip(self.a.ids([" " + p for p in pieces]), self.b.ids(pieces), pieces)
-        return [(packed(a), packed(b)) if self.joins(a, b, p) else (None, None) for a, b, p in found]
+        both = self.a.ids([" " + p for p in pieces]), self.b.ids(pieces)
+        whole, wanted = "".join([" " + p for p in pieces]).encode(), np.array([len(p.encode()) + 1 for p in pieces])
+        borders, flat, whole_words = [], [], True
+        for ids, words_of in zip(both, (self.a.bytes, self.b.bytes)):
+            every = list(itertools.chain.from_iterable(ids))
+            border = np.cumsum([0, *map(len, ids)])
+            length = np.append(0, np.cumsum([len(words_of[i]) for i in every]))[border]
+            whole_words &= bool((np.diff(length) == wanted).all()) and b"".join([words_of[i] for i in every]) == whole
+            borders.append((4 * border).tolist())
+            flat.append(np.array(every, "<u4").tobytes())
+        (of_a, of_b), (a, b) = borders, flat
+        out = [(a[s:e], b[u:v]) for s, e, u, v in zip(of_a[:-1], of_a[1:], of_b[:-1], of_b[1:])]
+        if whole_words:
+            return out
+        return [pair if self.joins(x, y, p) else (None, None) for pair, x, y, p in zip(out, *both, pieces)]
 
     def packed(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """(ids of A, ids of B) of texts, both empty where they do not join to the text."""
@@ -146,45 +160,51 @@ class Encoder:
         return out
 
 
-def diagonal_runs(ends_a: list[int], ends_b: list[int]):
+def diagonal_runs(lengths_a: np.ndarray, lengths_b: np.ndarray):
     """Arrays (runs, groups, links): one-to-one stretches (place in A, in B, length), irregular groups (first and end in A,
-    in B) and the places linked inside those groups.  Both lists ascend and end with the same offset."""
-    runs, groups, link_a, link_b = [], [], [], []
-    i, j, n = 0, 0, len(ends_a)
+    in B) and the places linked inside those groups.  The tokens of both sides join to texts of one length.
+
+    Behind a common end the arrays of ends agree as long as the lengths do.  So a probe compares slices of the lengths, as
+    two integers whose lowest differing bit names the first place where they part.
+    """
+    wide = max(lengths_a.max(initial=0), lengths_b.max(initial=0)) > 255
+    size, bits = (4, 5) if wide else (1, 3)
+    a, b = (x.astype("<u4" if wide else np.uint8).tobytes() for x in (lengths_a, lengths_b))
+    of_a, of_b = (memoryview(x).cast("I" if wide else "B") for x in (a, b))
+    number, runs, groups, link_a, link_b = int.from_bytes, [], [], [], []
+    i, j, n = 0, 0, len(lengths_a)
     while i < n:
-        a, b = ends_a[i], ends_b[j]
-        if a == b:
-            start, shift = i, j - i
-            i, j, step = i + 1, j + 1, 2
-            while ends_a[i:i + step] == ends_b[j:j + step]:
+        start, shift, step = i, j - i, 8
+        while True:
+            parted = number(a[size * i:size * (i + step)], "little") ^ number(b[size * j:size * (j + step)], "little")
+            if parted:
+                step = (parted & -parted).bit_length() - 1 >> bits
                 i += step
                 j += step
-                if i >= n:  # the last slices were shorter than the step, and equal
-                    break
-                step *= 2
-            else:
-                while step > 1:
-                    step //= 2
-                    if ends_a[i:i + step] == ends_b[j:j + step]:
-                        i += step
-                        j += step
-            if i >= n:
-                runs += (start, start + shift, n - start)
                 break
+            i += step
+            j += step
+            if i >= n:  # the last slices were equal, and shorter than the step
+                i = n
+                break
+            step *= 2
+        if i > start:
             runs += (start, start + shift, i - start)
-            a, b = ends_a[i], ends_b[j]
+            if i == n:
+                break
         first_a, first_b = i, j
-        while True:
-            link_a.append(i)
-            link_b.append(j)
-            if a < b:
+        ahead = of_a[i] - of_b[j]  # the end in A less the end in B
+        link_a.append(i)
+        link_b.append(j)
+        while ahead:
+            if ahead < 0:
                 i += 1
-                a = ends_a[i]
-            elif b < a:
-                j += 1
-                b = ends_b[j]
+                ahead += of_a[i]
             else:
-                break
+                j += 1
+                ahead -= of_b[j]
+            link_a.append(i)
+            link_b.append(j)
         i += 1
         j += 1
         groups += (first_a, i, first_b, j)
@@ -216,9 +236,8 @@ class Aligner:
         n_a, n_b = (np.array([len(x) for x in some], np.int64) for some in ids)
         a, b = (np.concatenate([np.zeros(0, "<u4"), *some]).astype(np.int64) for some in ids)
         # Texts lie one behind the other: each ends at a common place, so no group crosses two texts.
-        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
         with uncollected():
-            runs, groups, (link_a, link_b) = diagonal_runs(ends_a.tolist(), ends_b.tolist())
+            runs, groups, (link_a, link_b) = diagonal_runs(self.length_a[a], self.length_b[b])
         last_a, last_b = np.zeros(len(a) + 1, bool), np.zeros(len(b) + 1, bool)
         run_a, run_b = spread(runs[:, 0], runs[:, 2]), spread(runs[:, 1], runs[:, 2])
         for last, single, ends in ((last_a, run_a, groups[:, 1]), (last_b, run_b, groups[:, 3])):

@@ -142,7 +142,7 @@ class Cutter:
 class Known(dict):
     """Results by piece.  Those of new pieces are computed together; beyond `room` bytes all go and it starts anew."""
 
-    def __init__(self, compute: Callable[[list[str]], list], room: int = 128 << 20):
+    def __init__(self, compute: Callable[[list[str]], list], room: int = 160 << 20):
         super().__init__()
         self.compute, self.room, self.held = compute, room, 0
 
