@@ -1,6 +1,7 @@
 """Alignment against brute force over the libraries' own ids of whole texts."""
 
 import hashlib
+import json
 import random
 import re
 from collections import Counter
@@ -90,9 +91,19 @@ def test_runs(steps_a, steps_b, scale, alike):
     assert len(found) == len(overlaps) and set(found) == overlaps
 
 
-def test_encoders_alike():
+def test_ranks_only_where_they_are_the_same():
+    description = json.loads(open(A, encoding="utf-8").read())
+    assert alignment.as_ranks(json.dumps(description))
+    merges = description["model"]["merges"]
+    for change in ({"merges": [merges[1], merges[0], *merges[2:]]}, {"merges": merges[1:]}, {"ignore_merges": True}):
+        assert not alignment.as_ranks(json.dumps(description | {"model": description["model"] | change}))
+    assert not alignment.as_ranks(json.dumps(description | {"normalizer": {"type": "NFC"}}))
+
+
+@pytest.mark.parametrize("by_ranks", [False, True])
+def test_encoders_alike(by_ranks):
     """Ids from words and pre-tokens equal those of whole texts, or the text has no tokens."""
-    a = alignment.ByteLevel(open(A, encoding="utf-8").read(), public_tokenizers.PATTERN, alignment.odd_classes())
+    a = alignment.ByteLevel(open(A, encoding="utf-8").read(), public_tokenizers.PATTERN, alignment.odd_classes(), by_ranks)
     b = alignment.Pieces(open(B, "rb").read())
     assert b.by_word
     some = [t for t in texts(1, 3000) if t]
@@ -108,6 +119,10 @@ def test_encoders_alike():
         else:
             assert (x, y) == (b"", b""), t
     assert 4000 < kept < len(some)
+    rng = random.Random(3)
+    letters = [t for t in map(str.strip, a.library.decode_batch([[i] for i in range(50_000)])) if t.isalpha()]
+    glued = ["".join(rng.choices(letters, k=3)) for _ in range(20_000)]
+    assert a.ids(glued) == [e.ids for e in a.library.encode_batch_fast(glued, add_special_tokens=False)]
     b.by_word = False  # a vocabulary with pieces across spaces encodes whole texts
     assert alignment.Encoder(a, b).packed(some[:300]) == encoder.packed(some[:300])
 

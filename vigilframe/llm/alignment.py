@@ -11,7 +11,9 @@ distinct pairs once with its own sums, a document keeps places in that list.  Th
 go back to the chunk, so the shuffles carry a row per chunk and pair and not per link.  Only the best count of each id
 of B is broadcast, which the size of B's vocabulary bounds.
 
-Tokenizers are read on the driver and sent as bytes.  They encode words with the spaces before them, each once and not at
+Tokenizers are read on the driver and sent as bytes.  If A's ids are in the order of its merges and each of its tokens is
+encoded as itself, merging by pairs and merging by the ranks of joined bytes come to the same: a pair joined within a span
+is then the one that the span's own derivation joins.  The driver checks this, and tasks use the faster rank form.  They encode words with the spaces before them, each once and not at
 every occurrence.  B may be cut there because its vocabulary is checked to hold no piece that goes on behind a space, else
 it encodes whole texts; A because its pre-tokens end there too, but for texts with certain runs of white space, which A
 encodes by its pre-tokens.  Whether the tokens of a word join to its bytes is also found once.
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import json
 import os
 import re
 import struct
@@ -35,6 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -60,21 +64,50 @@ def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def as_ranks(description: str) -> bool:
+    """Whether the tokenizer may be used by ranks: plain byte-level BPE, ids in the order of merges, tokens encoded as themselves."""
+    form = json.loads(description)
+    model, before = form["model"], form.get("pre_tokenizer") or {}
+    plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    if form.get("normalizer") or model.get("type", "BPE") != "BPE" or any(before.get(k) != v for k, v in plain.items()):
+        return False
+    if any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")):
+        return False
+    letter, vocabulary = byte_letters(), model["vocab"]
+    made = [vocabulary.get("".join(m if isinstance(m, list) else m.split(" "))) for m in model["merges"]]
+    singles = sorted(vocabulary[c] for c in letter if c in vocabulary)
+    if len(singles) != 256 or None in made or singles + made != sorted(vocabulary.values()):
+        return False
+    texts, ids = [], []
+    for token, i in vocabulary.items():
+        word = bytes(letter[c] for c in token)
+        if word.decode("utf-8", "ignore").encode() == word:
+            texts.append(word.decode())
+            ids.append([i])
+    library = tokenizers.Tokenizer.from_str(description)
+    library.encode_special_tokens = True
+    return [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)] == ids
+
+
 class ByteLevel:
     """Tokenizer A."""
 
-    def __init__(self, description: str, pattern: str, odd):
+    def __init__(self, description: str, pattern: str, odd, by_ranks: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.library = tokenizers.Tokenizer.from_str(description)
         self.library.encode_special_tokens = True
         letter = byte_letters()
         vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.ranked = tiktoken.Encoding("ranked", pat_str=pattern, special_tokens={}, mergeable_ranks={
+            bytes(letter[c] for c in t): i for t, i in json.loads(description)["model"]["vocab"].items()}) if by_ranks else None
         self.bytes = [b""] * (max(vocabulary.values(), default=-1) + 1)
         for token, i in vocabulary.items():
             self.bytes[i] = bytes(letter[c] for c in token) if all(c in letter for c in token) else token.encode()
         self.cutter, self.known = Cutter(pattern, odd), Known(self.encode)
 
     def ids(self, pieces: list[str]) -> list[list[int]]:
+        if self.ranked:
+            return list(map(self.ranked.encode_ordinary, pieces))
         return [e.ids for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def encode(self, pieces: list[str]) -> list[bytes]:
@@ -285,9 +318,9 @@ def unsqueezed(packed: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
 DOC = "row {row}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, n_pairs int, links binary"
 
 
-def chunks(description, model, mark: str, pattern: str, odd, digest: bool, chunk_bytes: int):
+def chunks(description, model, mark: str, pattern: str, odd, by_ranks: bool, digest: bool, chunk_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = held(("aligner", mark), lambda: Aligner(ByteLevel(description.value, pattern, odd), Pieces(model.value)))
+        aligner = held(("aligner", mark), lambda: Aligner(ByteLevel(description.value, pattern, odd, by_ranks), Pieces(model.value)))
         chunk, size, parts, rows = TaskContext.get().partitionId() << 32, 0, [], []
 
         def flush():
@@ -399,7 +432,8 @@ def align(docs: DataFrame, path_a: str, path_b: str, pattern: str, text: str = "
     rows = bounded_batches(docs).select(F.col(f"`{text}`").alias("text"), packed.alias("row"))
     shape = ", ".join(f"{n}: {t}" for n, t in (f.split(" ", 1) for f in DOC.format(row=rows.schema["row"].dataType.simpleString()).split(", ")))
     mark = hashlib.sha256(f"{description}{pattern}".encode() + model).hexdigest()
-    run = chunks(spark.sparkContext.broadcast(description), spark.sparkContext.broadcast(model), mark, pattern, odd_classes(), digest, chunk_bytes)
+    run = chunks(spark.sparkContext.broadcast(description), spark.sparkContext.broadcast(model), mark, pattern, odd_classes(),
+                 as_ranks(description), digest, chunk_bytes)
     table = materialize(rows.mapInArrow(run, f"chunk bigint, seq int, doc struct<{shape}>, pairs array<bigint>, sums array<bigint>"), "alignments")
     judged = pair_counts(table, bits_b, vocabulary_b).select("pair", "n", "best")
     known = listed(table).select("chunk", "place", "pair").join(judged, "pair")
