@@ -32,7 +32,7 @@ from vigilframe.llm import tokens as T
 from vigilframe.llm.frames import bounded_batches, pick, small
 from vigilframe.session import materialize
 
-CHUNK = 4 << 20   # bytes of text
+CHUNK = 8 << 20   # bytes of text
 SHARD = 2 << 20   # n-grams of a shard, copies in different chunks included
 BUCKETS = 1024    # of word ids
 PARTS = 256       # of a language's ranking
@@ -42,8 +42,22 @@ GAPS = STOPS.copy()
 GAPS[[32, 9]] = True
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    """Numbers below 2^32, as compressed byte planes."""
+    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), "zstd", asbytes=True)
+
+
+def unsqueezed(packed: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, 4 * n, "zstd", asbytes=True), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(n).astype(np.int64)
+
+
 def chunks(chunk_bytes: int):
-    """Batches (text, lang) to rows (chunk, stream, n_words, langs, words, counts)."""
+    """Batches (text, lang) to rows (chunk, stream, n_words, langs, words, counts).
+
+    The stream holds twice the place of each word in the chunk's list, plus one where a piece begins.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, size, words, langs, breaks, names = TaskContext.get().partitionId() << 32, 0, [], [], [], {}
@@ -53,11 +67,15 @@ def chunks(chunk_bytes: int):
             n = max(len(word.dictionary), 1)
             key = np.concatenate(langs) * n + word.indices.to_numpy(zero_copy_only=False)
             distinct, place, count = np.unique(key, return_inverse=True, return_counts=True)
-            stream = np.where(np.concatenate(breaks), -1 - place, 1 + place).astype("<i4")
+            order = np.argsort(-count, kind="stable")  # frequent words first: small places, which squeeze well
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            distinct, count = distinct[order], count[order]
+            stream = 2 * rank[place] + np.concatenate(breaks)
             listed = word.dictionary.take(pa.array(distinct % n))
             known = list(names)
             return pa.RecordBatch.from_arrays([
-                pa.array([chunk]), pa.array([pa.compress(stream.tobytes(), "zstd", asbytes=True)], pa.binary()), pa.array([len(stream)]),
+                pa.array([chunk]), pa.array([squeezed(stream)], pa.binary()), pa.array([len(stream)]),
                 pa.array([[known[i] for i in (distinct // n).tolist()]], pa.list_(pa.string())),
                 pa.ListArray.from_arrays(pa.array([0, len(listed)], pa.int32()), listed), pa.array([count], pa.list_(pa.int64()))],
                 ["chunk", "stream", "n_words", "langs", "words", "counts"])
@@ -103,11 +121,11 @@ def filters(width: int, shard_bits: int):
                     ids.append(batch.column(3).slice(start, stop - start).to_numpy())
                     continue
                 n = int(batch.column(3)[start].as_py())
-                stream = np.frombuffer(pa.decompress(batch.column(4)[start].as_py(), 4 * n, "zstd", asbytes=True), "<i4").astype(np.int64)
-                id_of = np.zeros(int(np.abs(stream).max()) + 1, np.int64)
+                stream = unsqueezed(batch.column(4)[start].as_py(), n)
+                id_of = np.zeros(int(stream.max() >> 1) + 1, np.int64)
                 if places:
-                    id_of[np.concatenate(places) + 1] = np.concatenate(ids)
-                found = list(Q.shards(grams(id_of[np.abs(stream)], stream < 0, width), width, shard_bits))
+                    id_of[np.concatenate(places)] = np.concatenate(ids)
+                found = list(Q.shards(grams(id_of[stream >> 1], (stream & 1) > 0, width), width, shard_bits))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([s for s, _ in found], pa.int32()), pa.array([f for _, f in found], pa.binary())], ["shard", "filter"])
     return run

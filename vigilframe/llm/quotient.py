@@ -3,8 +3,8 @@
 Three ids of `width` bits (0 stands for a missing first word) are packed and put through an invertible permutation, four
 Feistel rounds over two halves, so keys spread evenly whatever the ids are.  The highest bits of a permuted key name the
 shard, the next are the quotient, all others the remainder.  A filter of n keys holds its runs in order: a bit string
-with a one per key and a zero at the end of each quotient's run, the full remainders in whole bytes, and one byte per
-counter, with counters above 254 written out behind.  As remainders are kept in full and the permutation can be undone,
+with a one per key and a zero at the end of each quotient's run, the full remainders byte plane by byte plane, and one byte
+per counter, with counters above 254 written out behind; planes that hold little are squeezed by a general compressor.  As remainders are kept in full and the permutation can be undone,
 a filter gives back exactly the n-grams and counts put in.  Filters are sorted, so merging two is one ordered pass.
 """
 
@@ -14,12 +14,13 @@ import struct
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 
 from vigilframe.llm import tokens as T
 
 U = np.uint64
 ROUNDS = np.arange(1, 5, dtype=U) * T.STEP  # a number for each round
-HEADER = struct.Struct("<BBBBqq")
+HEADER = struct.Struct("<BBBBqqq")
 WIDEST = 32  # bits of a word id
 
 
@@ -77,13 +78,13 @@ def merged(filters: list[Grams], width: int) -> Grams:
 
 def low_bytes(values: np.ndarray, bits: int) -> bytes:
     n = (bits + 7) // 8
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n].tobytes()
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n].T).tobytes()
 
 
 def from_low_bytes(data: bytes, bits: int, n: int) -> np.ndarray:
     size = (bits + 7) // 8
     out = np.zeros((n, 8), np.uint8)
-    out[:, :size] = np.frombuffer(data, np.uint8, n * size).reshape(n, size)
+    out[:, :size] = np.frombuffer(data, np.uint8, n * size).reshape(size, n).T
     return out.view("<u8").reshape(n).astype(U)
 
 
@@ -97,14 +98,15 @@ def write(grams: Grams, width: int, shard_bits: int) -> bytes:
     runs = np.zeros(n + (1 << q), np.uint8)
     runs[np.arange(n) + quotient] = 1
     large = grams.count[grams.count > 254]
-    return b"".join([
-        HEADER.pack(width, shard_bits, q, 0, n, len(large)), np.packbits(runs).tobytes(), low_bytes(inside & mask(rest), rest),
-        low_bytes(grams.right, h), np.minimum(grams.count, 255).astype(np.uint8).tobytes(), large.astype("<i8").tobytes()])
+    body = b"".join([
+        np.packbits(runs).tobytes(), low_bytes(inside & mask(rest), rest), low_bytes(grams.right, h),
+        np.minimum(grams.count, 255).astype(np.uint8).tobytes(), large.astype("<i8").tobytes()])
+    return HEADER.pack(width, shard_bits, q, 0, n, len(large), len(body)) + pa.compress(body, "zstd", asbytes=True)
 
 
 def read(data: bytes, shard: int) -> Grams:
-    width, shard_bits, q, _, n, n_large = HEADER.unpack_from(data)
-    h, at = half(width), HEADER.size
+    width, shard_bits, q, _, n, n_large, size = HEADER.unpack_from(data)
+    data, h, at = pa.decompress(data[HEADER.size:], size, "zstd", asbytes=True), half(width), 0
     rest = h - shard_bits - q
 
     def part(size: int) -> bytes:
