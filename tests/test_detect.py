@@ -42,6 +42,32 @@ def test_lof_equals_brute_force(spark, cell_points):
     np.testing.assert_allclose(smaller.orderBy("id").toPandas()["lof"].to_numpy(), brute_lof(x, 3), rtol=1e-9)
 
 
+@pytest.mark.parametrize("first_levels,cell_points", [(1, 4), (2, 8), (3, 30)])
+def test_lof_with_two_tiers(spark, monkeypatch, first_levels, cell_points):
+    """Cells of a second tier, thin ones among them, give the exact factors."""
+    monkeypatch.setattr(neighbours, "MAX_LEVELS", first_levels)
+    monkeypatch.setattr(neighbours, "SAMPLE_PER_CELL", 2)  # poor samples: uneven and empty cells
+    rng = np.random.default_rng(8)
+    x = np.round(np.vstack([rng.normal(0, 1, (160, 3)), rng.normal(5, 0.2, (70, 3)), np.zeros((40, 3)), [[40, 40, 40], [41, 40, 40], [-90, 0, 0]]]), 2)
+    df = spark.createDataFrame(pd.DataFrame(x, columns=list("abc")).assign(id=range(len(x)))).repartition(3)
+    for k in (3, 12):
+        got = df.join(_factors(df, k, cell_points), ["a", "b", "c"])
+        np.testing.assert_allclose(got.orderBy("id").toPandas()["lof"].to_numpy(), brute_lof(x, k), rtol=1e-9)
+
+
+def _factors(df, k, cell_points):
+    hood = neighbours.neighbourhood(df, ["a", "b", "c"], k, cell_points)
+    return hood.points.join(lof.point_factors(hood).select("pid", "lof"), "pid").select("a", "b", "c", "lof")
+
+
+def test_thin_cells_take_the_box_around():
+    boxes = pd.DataFrame({"cell": [0, 1, 2, 5], "rows": [9, 2, 1, 1], "lo0": [0.0, 5.0, 9.0, 20.0], "hi0": [4.0, 6.0, 9.0, 21.0]})
+    low, high = neighbours.around(boxes, 1, 3)
+    assert low.ravel().tolist() == [0, 0, 0, 0] and high.ravel().tolist() == [4, 6, 9, 21]
+    low, high = neighbours.around(boxes, 1, 50)  # nowhere enough: the box around all
+    assert set(low.ravel()) == {0} and set(high.ravel()) == {21}
+
+
 def test_lof_grid_interior_and_small_tables(spark):
     grid = spark.sql("SELECT a.id * 1.0D AS a, b.id * 1.0D AS b FROM range(12) a JOIN range(12) b")
     inner = lof.lof_scores(grid, ["a", "b"], 4).where("a BETWEEN 3 AND 8 AND b BETWEEN 3 AND 8")
@@ -70,28 +96,106 @@ def test_iforest_finds_planted_rows(spark):
     assert sorted(found["id"]) == sorted(again["id"])  # independent of the partitioning
 
 
-def test_average_path_and_samples(spark):
+def brute_paths(x, r, spec, tree, n, seed):
+    """A tree grown and walked node by node, from the same draws."""
+    draws, out = iforest.Draws(seed, spec.forest, tree), np.zeros(len(x))
+    allowed = draws.features(x.shape[1], spec.max_features)
+    a, b = draws.sample(n)
+    psi = min(spec.psi, n)
+    some = np.array([(a * int(v) + b) % n < psi for v in r])
+    assert some.sum() == psi
+
+    def walk(rows, node, depth):
+        inside = x[rows[some[rows]]]
+        free = [f for f in allowed if len(inside) and inside[:, f].max() > inside[:, f].min()]
+        if depth == math.ceil(math.log2(max(psi, 2))) or not free:
+            out[rows] = depth + iforest.average_path(len(inside))
+            return
+        digits = draws.hexadecimal(f"n{node}")
+        f = free[int(int(digits[:13], 16) / 16**13 * len(free))]
+        low, high = inside[:, f].min(), inside[:, f].max()
+        cut = low + int(digits[13:26], 16) / 16**13 * (high - low)
+        cut = cut if cut < high else low
+        walk(rows[x[rows, f] <= cut], 2 * node, depth + 1)
+        walk(rows[x[rows, f] > cut], 2 * node + 1, depth + 1)
+
+    walk(np.arange(len(x)), 1, 0)
+    return out
+
+
+def test_average_path_and_trees(spark):
     assert iforest.average_path(1) == 0 and iforest.average_path(2) == 1
     assert iforest.average_path(256) == pytest.approx(10.244770, abs=1e-5)
     df = spark.range(2000).select("id", F.rand(1).alias("a"))
-    forests = iforest.fit_forests(df, ["a"], ["id"], [iforest.ForestSpec(0, 64)], trees=10)
-    assert forests[0].feature.shape[0] == 10 and forests[0].psi == 64
-    assert (forests[0].feature >= 0).sum(axis=1).max() <= 63
-
-
-def test_every_row_can_be_drawn_and_shares_have_no_limit(spark):
-    df = spark.range(20_000).select("id", F.rand(1).alias("a"))
-    few = iforest._samples(df, ["a"], ["id"], [iforest.ForestSpec(0, 8)], 4, 42, 20_000)
+    rows_ = iforest.ranked(df, ["id"], ["a"], 42)
+    forest = iforest.fit_forests(rows_, ["a"], [iforest.ForestSpec(0, 64)], 10, 42, 2000)[0]
+    assert forest.feature.shape[0] == 10 and forest.psi == 64
+    assert (forest.feature >= 0).sum(axis=1).max() <= 63
+
+
+def test_order_and_samples(spark):
+    """Places are a permutation whatever the partitions; every tree draws exactly psi rows, from all rows."""
+    df = spark.range(5000).select("id", (F.col("id") % 10).cast("double").alias("a"))
+    order = [r["r"] for r in iforest.ranked(df, ["id"], ["a"], 42).orderBy("r").collect()]
+    assert order == list(range(5000))
+    one, two = (iforest.ranked(d, ["id"], ["a"], 42).orderBy("r").collect() for d in (df, df.repartition(7)))
+    assert one == two
+    spec = iforest.ForestSpec(3, 8)
+    rows_ = iforest.ranked(df.withColumn("b", F.col("id").cast("double")), ["id"], ["b"], 42)
+    few = iforest.sampled(rows_, [spec], ["b"], 40, 42, 5000)
     assert {r["count"] for r in few.groupBy("tree").count().collect()} == {8}
-    common = F.pmod(F.xxhash64("key", F.lit(-1)), F.lit(2**31)) < 0.032 * 2**31  # of all trees, by one hash
-    assert few.where(~common).count() > 20
+    assert few.select("b").distinct().count() > 250  # of 320 draws
+    place = {r["r"]: r["b"] for r in rows_.collect()}
+    for tree in range(5):
+        a, b = iforest.Draws(42, 3, tree).sample(5000)
+        wanted = {place[v] for v in range(5000) if (a * v + b) % 5000 < 8}
+        assert {r["b"] for r in few.where(F.col("tree") == tree).collect()} == wanted
+
+
+@pytest.mark.parametrize("leaf_rows", [5, 60, 10_000])
+def test_ways_of_growing_agree(spark, monkeypatch, leaf_rows):
+    """Shipped models, whole tables in batches of trees, and growth by levels against plain recursion."""
+    rng = np.random.default_rng(4)
+    x = np.round(np.vstack([rng.normal(0, 1, (180, 3)), np.zeros((25, 3)), rng.normal(6, 3, (20, 3))]), 1)
+    n, features = len(x), ["a", "b", "c"]
+    df = spark.createDataFrame(pd.DataFrame(x, columns=features).assign(id=range(n)))
+    specs = [iforest.ForestSpec(0, 16), iforest.ForestSpec(1, 112, 0.7)]
+    ordered = iforest.ranked(df, ["id"], features, 7)
+    kept = ordered.orderBy("r").toPandas()
+    expected = {}
+    for spec in specs:
+        paths = np.stack([brute_paths(kept[features].to_numpy(), kept["r"].to_numpy(), spec, t, n, 7) for t in range(6)])
+        for count in (4, 6):
+            expected[spec.forest, count] = np.sort(iforest.scores(paths[:count].sum(axis=0), count, spec.psi))
+    monkeypatch.setattr(iforest, "LEAF_ROWS", leaf_rows)
+    monkeypatch.setattr(iforest, "TREE_BATCH", 3)
+    for light in (True, False):
+        monkeypatch.setattr(iforest, "travelling", lambda *a: light)
+        got = iforest.forest_totals(ordered, features, specs, [4, 6], 7, n).toPandas()
+        for (forest, count), wanted in expected.items():
+            mine = got[(got["forest"] == forest) & (got["n"] == count)]["score"]
+            np.testing.assert_allclose(np.sort(mine), wanted, rtol=1e-9)
+
+
+def test_shares_have_no_limit(spark):
+    df = spark.range(20_000).select("id", F.rand(1).alias("a"))
     tuned = detect.tune_iforest(df, ["a"], ["id"], {"n_estimators": [3], "max_samples": [64, 0.5], "contamination": [0.05], "max_features": [1.0]})
     got = {r["grid_idx"]: r for r in tuned.collect()}
     assert got[0]["psi"] == 64 and got[1]["psi"] == 10_000
-    forests = iforest.fit_forests(df, ["a"], ["id"], [iforest.ForestSpec(0, 64), iforest.ForestSpec(1, 10_000)], 3)
-    x = df.toPandas()[["a"]].to_numpy()
-    for i, forest in forests.items():
-        assert got[i]["objective"] == pytest.approx(forest.scores(forest.path_lengths(x)).std(), rel=1e-9)
+    kept = iforest.ranked(df, ["id"], ["a"], 42).toPandas()
+    for i, psi in enumerate((64, 10_000)):
+        spec = iforest.ForestSpec(i, psi)
+        total = sum(brute_paths(kept[["a"]].to_numpy(), kept["r"].to_numpy(), spec, t, 20_000, 42) for t in range(3))
+        assert got[i]["objective"] == pytest.approx(iforest.scores(total, 3, psi).std(), rel=1e-9)
+
+
+def test_iforest_keeps_repeated_rows_and_columns(spark):
+    """Rows of one key stay apart, and rows without features or keys take part."""
+    data = [(1, 0.0, "x"), (1, 0.1, "y"), (None, None, "z")] + [(2, 50.0, "far")] + [(3 + i % 4, (i % 10) / 10, "in") for i in range(60)]
+    df = spark.createDataFrame(data, "id int, a double, note string")
+    found = iforest.iforest_anomalies(df, ["a"], ["id"], 0.02).collect()
+    assert [(r["id"], r["a"], r["note"]) for r in found] == [(2, 50.0, "far")]
+    assert iforest.iforest_anomalies(df.limit(0), ["a"], ["id"]).count() == 0
 
 
 def test_constant_rows(spark):
@@ -125,11 +229,35 @@ def test_exact_quantile(spark, values, share):
     assert got == pytest.approx(float(np.quantile(values, share)))
 
 
-def test_quantile_with_narrow_bracket(spark, monkeypatch):
-    monkeypatch.setattr(stats, "BOUND_ACCURACY", 50)
-    df = spark.range(5000).select((F.pmod(F.col("id") * 7919, F.lit(5000)) / 3).alias("x"))
-    got = stats.exact_quantile(df, "x", 0.05).first()[0]
-    assert got == pytest.approx(float(np.quantile(np.arange(5000) / 3, 0.05)))
+HUGE = st.floats(allow_nan=False, allow_infinity=True)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.sampled_from([0.0, -0.0, 1.0, -1.0, 5e-324, -5e-324, 1.7e308, -1.7e308]), HUGE), min_size=1, max_size=60), st.data())
+def test_order_statistics(spark, values, data):
+    """Ties, negative, tiny, huge and infinite values, and NULL, which is no value."""
+    ranks = data.draw(st.lists(st.integers(0, len(values) - 1), min_size=1, max_size=4))
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "x double").repartition(3)
+    assert stats.order_statistics(df, "x", lambda n: ranks) == (len(values), [sorted(values)[r] for r in ranks])
+
+
+def test_order_statistics_over_many_rows(spark):
+    df = spark.range(200_000).select((F.pmod(F.col("id") * 7919, F.lit(200_000)) / 3 - 30_000).alias("x"))
+    expected = np.arange(200_000) / 3 - 30_000
+    assert stats.quantile(df, "x", 0.05) == pytest.approx(float(np.quantile(expected, 0.05)), rel=1e-12)
+    close = spark.range(50_000).select((1 + F.col("id") * F.lit(2.0**-52)).alias("x"))  # neighbours among doubles
+    assert stats.order_statistics(close, "x", lambda n: [0, 31_337, n - 1])[1] == [1.0, 1 + 31_337 * 2.0**-52, 1 + 49_999 * 2.0**-52]
+
+
+def test_order_statistics_special(spark):
+    nothing = spark.createDataFrame([], "x double")
+    assert stats.quantile(nothing, "x", 0.5) is None and stats.exact_quantile(nothing, "x", 0.5).first()[0] is None
+    assert stats.below_quantile(nothing, "x", 0.5).count() == 0
+    odd = spark.createDataFrame([(float("nan"),), (1.0,), (float("-inf"),)], "x double")
+    n, found = stats.order_statistics(odd, "x", lambda n: [0, 1, 2])
+    assert n == 3 and found[:2] == [float("-inf"), 1.0] and math.isnan(found[2])  # NaN is the greatest, as in Spark
+    plan = stats.below_quantile(spark.range(100), "id", 0.1)._jdf.queryExecution().toString()
+    assert "Window" not in plan and "percentile" not in plan
 
 
 def test_min_max_ties(spark):

@@ -1,73 +1,100 @@
-"""Exact order statistics and score scaling that never sort a whole table in one task."""
+"""Exact order statistics by radix selection, and score scaling; no table is ever sorted."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rank error of the approximate bounds is n / BOUND_ACCURACY.
-BOUND_ACCURACY = 200_000
+DIGIT = 16  # bits of a pass: at most 65,536 counts for each rank that is looked for
 
 
-def order_statistic(
-    df: DataFrame, column: str, share: float, position: Callable[[Column], Column]
-) -> DataFrame:
-    """One row `(n, position, low_value, high_value)` of exact order statistics.
+def order_keys(x: np.ndarray) -> np.ndarray:
+    """64-bit integers in the order of the doubles: both zeros are one value, NaN is the greatest, as in Spark."""
+    bits = np.where(np.isnan(x), np.nan, x + 0.0).view(np.int64)
+    return bits ^ ((bits >> 63) & np.int64(0x7FFFFFFFFFFFFFFF))
 
-    `position(n)` is the zero-based, possibly fractional rank, which must lie within one
-    row of `share * n`.  An approximate quantile sketch brackets the rank.  A second scan
-    counts the values: one group for all below the bracket, one for all above, one per
-    value inside (at most about `4 n / BOUND_ACCURACY` of them).  Only these groups are
-    ordered; the outer two stand for their value nearest to the bracket, so the answer is
-    exact for every n.
+
+def key_value(key: int) -> float:
+    bits = np.int64(key)
+    return float((bits ^ ((bits >> np.int64(63)) & np.int64(0x7FFFFFFFFFFFFFFF))).view(np.float64))
+
+
+def _digit_counts(shift: int, prefixes: list[int] | None):
+    """Rows whose higher bits are one of `prefixes` (all, if None), counted by the bits from `shift` up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = order_keys(batch.column(0).to_numpy(zero_copy_only=False))
+            if prefixes is not None:
+                keys = keys[np.isin(keys >> np.int64(shift + DIGIT), prefixes)]
+            if not len(keys):
+                continue
+            keys = np.sort(keys)
+            digits, first, counts = np.unique(keys >> np.int64(shift), return_index=True, return_counts=True)
+            last = first + counts - 1
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (digits, counts, keys[first], keys[last])], ["digits", "n", "least", "most"])
+    return run
+
+
+def order_statistics(df: DataFrame, column: str, ranks: Callable[[int], list[int]]) -> tuple[int, list[float]]:
+    """The number n of values that are not NULL, and the values at the zero-based ranks `ranks(n)`, exact for every n.
+
+    Doubles become 64-bit keys in the same order.  A pass counts the keys by their next 16 bits, with the least and the most
+    key of each count, and keeps only the counts that hold a wanted rank; once such a count has one key, or after four
+    passes, its value is known.  Only counts reach the driver, 65,536 for each rank at most, whatever the table.
     """
-    margin = 2.0 / BOUND_ACCURACY
     values = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
-    bounds = values.agg(
-        F.percentile_approx(
-            "x", [max(share - margin, 0.0), min(share + margin, 1.0)], BOUND_ACCURACY
-        ).alias("b")
-    )
-    low, high = bounds.select(F.col("b")[0]).scalar(), bounds.select(F.col("b")[1]).scalar()
-    side = F.when(F.col("x") < low, -1).when(F.col("x") > high, 1).otherwise(0)
-    groups = (
-        values.select("x", side.alias("side"))
-        .groupBy("side", F.when(F.col("side") == 0, F.col("x")).alias("inside"))
-        .agg(F.count("*").alias("c"), F.min("x").alias("least"), F.max("x").alias("most"))
-    )
-    ordered = Window.orderBy("side", "inside")
-    ranked = groups.select(
-        F.when(F.col("side") < 0, F.col("most")).otherwise(F.col("least")).alias("x"),
-        F.sum("c").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("upto"),
-        F.sum("c").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n"),
-    )
-    rank = position(F.col("n"))
-    low_rank = F.floor(rank)
-    high_rank = F.least(low_rank + 1, F.col("n") - 1)
-
-    def at(wanted: Column) -> Column:
-        return F.min(F.when(F.col("upto") > wanted, F.struct("upto", "x")))["x"]
-
-    return ranked.agg(
-        F.max("n").alias("n"), F.max(rank).alias("position"),
-        at(low_rank).alias("low_value"), at(high_rank).alias("high_value"),
-    )
+    shift, prefixes, n, found, wanted = 64 - DIGIT, None, 0, {}, {}
+    while True:
+        counted = values.mapInArrow(_digit_counts(shift, prefixes), "digits bigint, n bigint, least bigint, most bigint")
+        rows = counted.groupBy("digits").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most")).collect()
+        rows.sort(key=lambda r: r["digits"])
+        if prefixes is None:
+            n = sum(r["n"] for r in rows)
+            wanted = {None: {rank: rank for rank in ranks(n) if 0 <= rank < n}}  # by prefix: rank and what is left of it
+        following: dict = {}
+        for prefix, left in wanted.items():
+            inside = [r for r in rows if prefix is None or r["digits"] >> DIGIT == prefix]
+            upto = np.cumsum([r["n"] for r in inside])
+            for rank, rest in left.items():
+                at = int(np.searchsorted(upto, rest, "right"))
+                row = inside[at]
+                if row["least"] == row["most"]:
+                    found[rank] = key_value(row["least"])
+                else:
+                    following.setdefault(row["digits"], {})[rank] = rest - int(upto[at] - row["n"])
+        if not following:
+            return n, [found[rank] for rank in ranks(n) if 0 <= rank < n]
+        wanted, prefixes, shift = following, sorted(following), shift - DIGIT
+
+
+def quantile(df: DataFrame, column: str, share: float) -> float | None:
+    """The linearly interpolated quantile; None without values."""
+
+    def around(n: int) -> list[int]:
+        low = int((n - 1) * share)
+        return [low, min(low + 1, n - 1)]
+
+    n, values = order_statistics(df, column, around)
+    if not n:
+        return None
+    low, high = values
+    place = (n - 1) * share
+    return low if low == high else low + (high - low) * (place - int(place))
 
 
 def exact_quantile(df: DataFrame, column: str, share: float) -> DataFrame:
-    """One row with column `quantile`: the linearly interpolated quantile."""
-    stat = order_statistic(df, column, share, lambda n: (n - 1) * F.lit(float(share)))
-    fraction = F.col("position") - F.floor("position")
-    return stat.select(
-        (F.col("low_value") + (F.col("high_value") - F.col("low_value")) * fraction).alias("quantile")
-    )
+    """One row with column `quantile`."""
+    return df.sparkSession.createDataFrame([(quantile(df, column, share),)], "quantile double")
 
 
 def below_quantile(df: DataFrame, column: str, share: float) -> DataFrame:
     """Rows strictly below the exact quantile; if every value ties none qualifies."""
-    return df.where(F.col(column) < exact_quantile(df, column, share).scalar())
+    return df.where(F.col(column) < F.lit(quantile(df, column, share)).cast("double"))
 
 
 def inverse_min_max(df: DataFrame, column: str, out: str) -> DataFrame:

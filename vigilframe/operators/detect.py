@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilframe.functions.stats import first_best
-from vigilframe.operators.iforest import PSI, ForestSpec, iforest_anomalies, table_scores
+from vigilframe.operators.iforest import PSI, ForestSpec, forest_totals, iforest_anomalies, ranked
 from vigilframe.operators.lof import factor_dispersion, lof_anomalies
 from vigilframe.operators.neighbours import neighbourhood
 from vigilframe.operators.prepare import fill_features
@@ -69,12 +69,13 @@ def tune_iforest(
     """Objective (deviation of the scores) of every grid point, in grid order.
 
     A smaller forest is a prefix of the larger one and the contamination only shifts all
-    scores, so few distinct forests are grown, in one job, and all scored in one pass.
+    scores, so few distinct forests are grown and scored.
     A sub-sample share is that share of the rows at every size; `psi` tells the rows per tree.
     """
     points = grid_points(grid or IFOREST_GRID)
-    filled = materialize(fill_features(df.select(*keys, *features), features))
-    n = filled.count()
+    filled = fill_features(df.select(*keys, *features), features)
+    rows = materialize(ranked(filled, keys, features, seed), "ranked")
+    n = rows.count()
 
     def psi_of(share) -> int:
         wanted = PSI if share == "auto" else int(share * n) if isinstance(share, float) else int(share)
@@ -83,7 +84,7 @@ def tune_iforest(
     shapes = sorted({(psi_of(p["max_samples"]), p["max_features"]) for p in points})
     specs = [ForestSpec(i, psi, share) for i, (psi, share) in enumerate(shapes)]
     counts = sorted({p["n_estimators"] for p in points})
-    scores = table_scores(filled, features, keys, specs, counts, n, seed)
+    scores = forest_totals(rows, features, specs, counts, seed, n)
     sizes = df.sparkSession.createDataFrame([(s.forest, s.psi) for s in specs], "forest int, psi int")
     long = scores.groupBy("forest", "n").agg(F.stddev_pop("score").alias("objective")).join(sizes, "forest")
     plan = [(i, shapes.index((psi_of(p["max_samples"]), p["max_features"])), p["n_estimators"])

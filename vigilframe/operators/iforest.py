@@ -1,21 +1,30 @@
-"""Isolation forest (Liu, Ting & Zhou 2008) on Spark.
+"""Isolation forest (Liu, Ting & Zhou 2008) on Spark, from numbers that any engine can repeat.
 
-Every tree is grown in its own task from its own sub-sample, drawn by hashing in one pass over
-all rows.  The grown trees, at most `trees * (2 * psi - 1)` nodes, travel to the scoring tasks,
-which compute path lengths on Arrow batches.  Forests of large sub-samples stay in a table, one
-row per tree, and meet the rows in blocks.
+Everything random is drawn by SHA-256 of the seed, the forest, the tree and the node, so a forest depends on neither the
+partitioning nor the way it is grown, and SQL can grow the same one.  Nodes are numbered as in a heap: the root is 1, the
+children of k are 2k and 2k + 1.  A node takes one of its features that are not constant in the tree's sub-sample and cuts
+between the least and the most value there.
+
+The sub-samples come from one random order of all rows: `ranked` gives every row its place r by the hash of its keys, and
+tree t takes the rows with (a * r + b) mod n < psi for its own a, without a common divisor with n, and b.  So every tree
+draws exactly psi rows, from all rows, and no row is tested against all trees.
+
+Two ways lead to the same path lengths.  Forests of bounded sub-samples are grown by one task per tree and sent to the
+rows.  Forests of larger sub-samples, such as a share of the table, are never gathered: rows carry their node, each level
+is one aggregate of least and most value by forest, tree and node, and rows outside a tree's sub-sample travel with the
+others.  As soon as a node has at most `LEAF_ROWS` rows one task finishes the tree below it.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigilframe.functions.stats import below_quantile, inverse_min_max
@@ -24,9 +33,12 @@ from vigilframe.session import materialize
 
 TREES = 100
 PSI = 256
-BLOCK = 8192  # rows scored at once by a tree of a table
-HASH_RANGE = 2**31
-NODES = "forest int, tree int, node int, feature int, cut double, low int, high int, length double"
+LEAF_ROWS = 1 << 17      # rows of a node that one task finishes
+MODEL_NODES = 1 << 21    # nodes of all forests that are sent to the rows at once
+TREE_BATCH = 20          # trees that one task finishes over the same rows
+BUCKETS = 16 ** 4        # of the order of rows
+DIGITS = 16.0 ** 13      # a draw has 13 hexadecimal digits
+NODES = "forest int, tree int, node bigint, feature int, cut double, length double"
 
 
 @dataclass(frozen=True)
@@ -38,209 +50,332 @@ class ForestSpec:
     max_features: float = 1.0
 
 
-@dataclass
-class Forest:
-    """Node tables, one row per tree: split feature (-1 at a leaf), cut, children, path length."""
+def average_path(n: int) -> float:
+    """Mean path length of an unsuccessful search among n rows."""
+    if n <= 1:
+        return 0.0
+    if n == 2:
+        return 1.0
+    return 2.0 * (math.log(n - 1.0) + np.euler_gamma) - 2.0 * (n - 1.0) / n
 
-    psi: int
-    feature: np.ndarray
-    cut: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
-    length: np.ndarray
-
-    def path_lengths(self, x: np.ndarray) -> np.ndarray:
-        """Path length of every row in every tree, summed up tree by tree (rows x trees)."""
-        out = np.empty((len(x), len(self.feature)))
-        rows = np.arange(len(x))
+
+def depth_limit(psi: int) -> int:
+    return math.ceil(math.log2(max(psi, 2)))
+
+
+def scores(totals: np.ndarray, trees: int, psi: int) -> np.ndarray:
+    """Negated anomaly score, close to -1 for outliers, from the summed path lengths.
+
+    Sums are rounded to nine digits, so that their order does not matter.
+    """
+    return -np.power(2.0, -np.round(totals, 9) / trees / max(average_path(psi), 1e-12))
+
+
+class Draws:
+    """The random numbers of one tree."""
+
+    def __init__(self, seed: int, forest: int, tree: int):
+        self.name = f"{seed}-{forest}-{tree}-"
+
+    def hexadecimal(self, what: str) -> str:
+        return hashlib.sha256((self.name + what).encode()).hexdigest()
+
+    def number(self, what: str) -> float:
+        return int(self.hexadecimal(what)[:13], 16) / DIGITS
+
+    def of_nodes(self, nodes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Two numbers below 1 for each node: which feature, and where to cut."""
+        digits = [self.hexadecimal(f"n{node}") for node in nodes]
+        return tuple(np.array([int(d[at:at + 13], 16) for d in digits], np.float64) / DIGITS for at in (0, 13))
+
+    def features(self, n: int, share: float) -> np.ndarray:
+        """The features that the tree may use, in order."""
+        order = sorted(range(n), key=lambda j: self.hexadecimal(f"f{j}"))
+        return np.array(sorted(order[:max(1, int(share * n))]))
+
+    def sample(self, n: int) -> tuple[int, int]:
+        """a and b of the tree's sub-sample: the rows with (a * r + b) mod n < psi."""
+        a = max(1, int(self.number("a") * n))
+        while math.gcd(a, n) != 1:
+            a += 1
+        return a, int(self.number("b") * n)
+
+
+def inside(r: np.ndarray, a: int, b: int, n: int, psi: int) -> np.ndarray:
+    """Whether the rows at the places r are in the sub-sample, for tables of at most `LEAF_ROWS` rows."""
+    return (a * r.astype(np.int64) + b) % n < psi
+
+
+def cuts(x: np.ndarray, sizes: np.ndarray, nodes: np.ndarray, allowed: np.ndarray, draws: Draws) -> tuple[np.ndarray, np.ndarray]:
+    """(feature or -1, cut) of nodes from the sampled rows, which lie node by node."""
+    starts, part = np.cumsum(sizes) - sizes, x[:, allowed]
+    return node_cuts(np.minimum.reduceat(part, starts), np.maximum.reduceat(part, starts), nodes, allowed, draws)
+
+
+def node_cuts(least: np.ndarray, most: np.ndarray, nodes: np.ndarray, allowed: np.ndarray, draws: Draws) -> tuple[np.ndarray, np.ndarray]:
+    """(feature or -1, cut) from the least and most values of the allowed features."""
+    free = most > least
+    number = free.sum(axis=1)
+    feature, cut = np.full(len(nodes), -1), np.zeros(len(nodes))
+    inner = np.flatnonzero(number)
+    which, where = draws.of_nodes(nodes[inner].tolist())
+    wanted = np.minimum((which * number[inner]).astype(np.int64), number[inner] - 1)
+    chosen = (np.cumsum(free[inner], axis=1) == (wanted + 1)[:, None]).argmax(axis=1)
+    low, high = least[inner, chosen], most[inner, chosen]
+    drawn = low + where * (high - low)
+    feature[inner], cut[inner] = allowed[chosen], np.where(drawn < high, drawn, low)
+    return feature, cut
+
+
+def grow(x: np.ndarray, allowed: np.ndarray, draws: Draws, limit: int) -> pd.DataFrame:
+    """The nodes of a tree over its sub-sample: node, feature, cut, length (of a leaf)."""
+    node, depth, levels = np.ones(len(x), np.int64), 0, []
+    while len(x):
+        nodes, sizes = np.unique(node, return_counts=True)
+        feature, cut = (np.full(len(nodes), -1), np.zeros(len(nodes))) if depth == limit else cuts(x, sizes, nodes, allowed, draws)
+        length = np.where(feature < 0, depth + np.array([average_path(s) for s in sizes.tolist()]), 0.0)
+        levels.append(pd.DataFrame({"node": nodes, "feature": feature, "cut": cut, "length": length}))
+        at = np.repeat(np.arange(len(nodes)), sizes)
+        held = feature[at] >= 0
+        x, at = x[held], at[held]
+        node = 2 * nodes[at] + (x[np.arange(len(x)), feature[at]] > cut[at])
+        order = np.argsort(node, kind="stable")
+        x, node, depth = x[order], node[order], depth + 1
+    return pd.concat(levels)
+
+
+def lengths(x: np.ndarray, sampled: np.ndarray, allowed: np.ndarray, draws: Draws, limit: int, root: int = 1, depth: int = 0) -> np.ndarray:
+    """Path lengths of all rows below the node `root`, grown from those that are sampled."""
+    out, rows = np.zeros(len(x)), np.arange(len(x))
+    node = np.full(len(x), root, np.int64)
+    while len(rows):
+        order = np.argsort(node, kind="stable")
+        rows, node = rows[order], node[order]
+        some = sampled[rows]
+        nodes, at = np.unique(node, return_inverse=True)
+        sizes = np.bincount(at[some], minlength=len(nodes))
+        feature, cut = (np.full(len(nodes), -1), np.zeros(len(nodes))) if depth == limit else cuts(x[rows[some]], sizes, nodes, allowed, draws)
+        leaf = feature[at] < 0
+        means = {s: average_path(s) for s in np.unique(sizes).tolist()}
+        out[rows[leaf]] = depth + np.array([means[s] for s in sizes.tolist()])[at[leaf]]
+        rows, at = rows[~leaf], at[~leaf]
+        node = 2 * nodes[at] + (x[rows, feature[at]] > cut[at])
+        depth += 1
+    return out
+
+
+def ranked(df: DataFrame, keys: list[str], features: list[str], seed: int) -> DataFrame:
+    """The features and `r`, the row's place in a random order: by the hash of the keys, then by the features.
+
+    Places are counted within 65,536 buckets of the hash, after the rows of the buckets before.
+    """
+    digest = F.sha2(F.concat_ws("-", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]), 256)
+    base = df.select(digest.alias("digest"), *features).withColumn("bucket", F.conv(F.substring("digest", 1, 4), 16, 10).cast("int"))
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # over one row a bucket, 65,536 at most
+    starts = base.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).select(
+        "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy("digest", *features)) - 1
+    return base.withColumn("place", place).join(F.broadcast(starts), "bucket").select((F.col("before") + F.col("place")).alias("r"), *features)
+
+
+class Forest:
+    """Node tables of a forest, one row per tree: split feature (-1 at a leaf), cut, children, path length."""
+
+    def __init__(self, psi: int, nodes: pd.DataFrame):
+        self.psi = psi
+        trees = nodes["tree"].max() + 1
+        nodes = nodes.sort_values(["tree", "node"])
+        row = nodes["tree"].to_numpy()
+        column = nodes.groupby("tree").cumcount().to_numpy()
+        shape = (trees, int(column.max()) + 1)
+        place = {key: c for key, c in zip(zip(row.tolist(), nodes["node"].tolist()), column.tolist())}
+
+        def table(values, fill, kind):
+            out = np.full(shape, fill, kind)
+            out[row, column] = values
+            return out
+
+        children = [[place.get((t, 2 * k + side), 0) for t, k in zip(row.tolist(), nodes["node"].tolist())] for side in (0, 1)]
+        self.feature = table(nodes["feature"].to_numpy(), -1, np.int32)
+        self.cut, self.length = table(nodes["cut"].to_numpy(), 0.0, float), table(nodes["length"].to_numpy(), 0.0, float)
+        self.low, self.high = (table(c, 0, np.int32) for c in children)
+
+    def totals(self, x: np.ndarray, counts: list[int]) -> list[np.ndarray]:
+        """Path lengths of every row, summed over the first trees of each count."""
+        out, total, rows = {}, np.zeros(len(x)), np.arange(len(x))
         for tree in range(len(self.feature)):
             feature, cut = self.feature[tree], self.cut[tree]
-            node = np.zeros(len(x), dtype=np.int32)
+            node = np.zeros(len(x), np.int32)
             while True:
                 split = feature[node]
                 inner = split >= 0
                 if not inner.any():
                     break
                 goes_low = x[rows, np.maximum(split, 0)] <= cut[node]
-                step = np.where(goes_low, self.low[tree][node], self.high[tree][node])
-                node = np.where(inner, step, node)
-            out[:, tree] = self.length[tree][node]
-        return out
+                node = np.where(inner, np.where(goes_low, self.low[tree][node], self.high[tree][node]), node)
+            total = total + self.length[tree][node]
+            out[tree + 1] = total
+        return [out[c] for c in counts]
 
-    def scores(self, lengths: np.ndarray) -> np.ndarray:
-        """Negated anomaly score: close to -1 for outliers."""
-        return -np.power(2.0, -lengths.mean(axis=1) / max(average_path(self.psi), 1e-12))
 
+def sampled(rows: DataFrame, specs: list[ForestSpec], features: list[str], trees: int, seed: int, n: int) -> DataFrame:
+    """The sub-samples of all trees: forest, tree and the features; exactly psi rows (or all) each.
 
-def average_path(n: int) -> float:
-    """Mean path length of an unsuccessful search among n rows."""
-    if n <= 1:
-        return 0.0
-    if n == 2:
-        return 1.0
-    return 2.0 * (math.log(n - 1.0) + np.euler_gamma) - 2.0 * (n - 1.0) / n
-
-
-def grow_tree(x: np.ndarray, rng: np.random.Generator, allowed: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Columns `feature, cut, low, high, length` of the nodes; random cuts, level by level, until alone or too deep."""
-    limit = math.ceil(math.log2(max(len(x), 2)))
-    levels, base, depth = [], 0, 0
-    sizes = np.array([len(x)])
-    while len(sizes):
-        k = len(sizes)
-        seg = np.repeat(np.arange(k), sizes)
-        feature, cut = np.full(k, -1), np.zeros(k)
-        if depth < limit and len(x):
-            starts, part = np.cumsum(sizes) - sizes, x[:, allowed]
-            least, most = np.minimum.reduceat(part, starts), np.maximum.reduceat(part, starts)
-            chosen = np.where(most > least, rng.random(least.shape), -1.0).argmax(axis=1)
-            at = np.arange(k), chosen
-            drawn = least[at] + rng.random(k) * (most[at] - least[at])
-            inner = most[at] > least[at]
-            feature[inner], cut[inner] = allowed[chosen][inner], np.where(drawn < most[at], drawn, least[at])[inner]
-        inner = feature >= 0
-        child = base + k + 2 * (np.cumsum(inner) - 1)
-        means = {n: average_path(n) for n in np.unique(sizes).tolist()}
-        length = np.where(inner, 0.0, depth + np.array([means[n] for n in sizes.tolist()]))
-        levels.append((feature, cut, np.where(inner, child, 0), np.where(inner, child + 1, 0), length))
-        base, depth = base + k, depth + 1
-        held = inner[seg]
-        x, seg = x[held], seg[held]
-        place = child[seg] - base + (x[np.arange(len(x)), feature[seg]] > cut[seg])
-        x, sizes = x[np.argsort(place, kind="stable")], np.bincount(place, minlength=2 * int(inner.sum()))
-    return tuple(np.concatenate(column) for column in zip(*levels))
-
-
-def _drawn_in(forest: int, rate: float):
-    return lambda tree: F.pmod(F.xxhash64("key", F.lit(forest), tree), F.lit(HASH_RANGE)) < F.lit(rate)
-
-
-def _samples(df: DataFrame, features: list[str], keys: list[str], specs: list[ForestSpec],
-             trees: int, seed: int, n: int) -> DataFrame:
-    """Exactly psi rows (or all) per forest and tree.
-
-    A row joins the draws in which its hash falls below a rate slightly above psi / n; the
-    survivors are ranked by hash.  Every row takes part in every draw, whatever n is.
+    The places in the sub-sample are solved for r, so only they meet the rows.
     """
-    base = df.select(F.xxhash64(*keys, F.lit(seed)).alias("key"), *features)
-    draws = None
+    places = []
     for spec in specs:
-        wanted = spec.psi + 6 * math.sqrt(spec.psi) + 10
-        rate = min(1.0, wanted / max(n, 1)) * HASH_RANGE
-        drawn = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), _drawn_in(spec.forest, rate))
-        part = base.select(F.lit(spec.forest).alias("forest"), F.explode(drawn).alias("tree"), "key", *features)
-        order = Window.partitionBy("forest", "tree").orderBy(
-            F.xxhash64("key", F.lit(spec.forest), "tree"), "key")
-        part = part.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= spec.psi)
-        draws = part if draws is None else draws.unionByName(part)
-    return draws
-
-
-def _grower(features: list[str], specs: list[ForestSpec], seed: int):
-    by_id = {s.forest: s for s in specs}
-
-    def grow(pdf: pd.DataFrame) -> tuple[int, int, tuple[np.ndarray, ...]]:
-        forest, tree = int(pdf["forest"].iloc[0]), int(pdf["tree"].iloc[0])
-        rng = np.random.default_rng([seed, tree, forest])
-        share = max(1, int(by_id[forest].max_features * len(features)))
-        allowed = np.sort(rng.permutation(len(features))[:share])
-        return forest, tree, grow_tree(pdf.sort_values("rank")[features].to_numpy(np.float64), rng, allowed)
-    return grow
+        for tree in range(trees):
+            a, b = Draws(seed, spec.forest, tree).sample(n)
+            places.append((spec.forest, tree, pow(a, -1, n) if n > 1 else 0, b, min(spec.psi, n)))
+    spark = rows.sparkSession
+    wide = "CAST({} AS DECIMAL(19, 0))"
+    back = f"CAST(pmod({wide.format('inverse')} * {wide.format(f'j + {n} - b')}, {wide.format(n)}) AS BIGINT)"
+    drawn = spark.createDataFrame(places, "forest int, tree int, inverse bigint, b bigint, psi bigint").selectExpr(
+        "*", "explode(sequence(0L, psi - 1)) AS j").selectExpr("forest", "tree", f"{back} AS r")
+    return rows.join(F.broadcast(drawn), "r").select("forest", "tree", *features)  # at most MODEL_NODES rows
 
 
 def fit_forests(
-    df: DataFrame, features: list[str], keys: list[str], specs: list[ForestSpec], trees: int = TREES, seed: int = 42
+    rows: DataFrame, features: list[str], specs: list[ForestSpec], trees: int, seed: int, n: int
 ) -> dict[int, Forest]:
-    """Grow all trees of all forests in one job, one task group per tree; features hold no NULL."""
-    n = df.count()
-    by_id, grower = {s.forest: s for s in specs}, _grower(features, specs, seed)
-
-    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        forest, tree, columns = grower(pdf)
-        nodes = pd.DataFrame(dict(zip(["feature", "cut", "low", "high", "length"], columns)))
-        nodes.insert(0, "node", np.arange(len(nodes)))
-        nodes.insert(0, "tree", tree)
-        nodes.insert(0, "forest", forest)
-        return nodes
-
-    drawn = _samples(df, features, keys, specs, trees, seed, n)
-    grown = drawn.groupBy("forest", "tree").applyInPandas(grow, NODES).toPandas()
-    out = {}
-    for forest, nodes in grown.groupby("forest"):
-        shape = (nodes["tree"].nunique(), int(nodes["node"].max()) + 1)
-        row = nodes["tree"].rank(method="dense").to_numpy().astype(int) - 1
-        column = nodes["node"].to_numpy()
-
-        def grid(name: str, fill, kind, shape=shape, row=row, column=column, nodes=nodes) -> np.ndarray:
-            table = np.full(shape, fill, dtype=kind)
-            table[row, column] = nodes[name].to_numpy()
-            return table
-
-        out[int(forest)] = Forest(
-            min(by_id[int(forest)].psi, n), grid("feature", -1, np.int32), grid("cut", 0.0, np.float64),
-            grid("low", 0, np.int32), grid("high", 0, np.int32), grid("length", 0.0, np.float64))
-    return out
+    """Grow all trees of all forests in one job, one task group of psi rows per tree.  `rows` come from `ranked`."""
+    if not n:
+        return {}
+    if 2 * trees * sum(min(s.psi, n) for s in specs) > MODEL_NODES:
+        raise ValueError("forests of so many nodes do not travel; use forest_totals")
+    share = {s.forest: s.max_features for s in specs}
+
+    def grow_one(pdf: pd.DataFrame) -> pd.DataFrame:
+        forest, tree = int(pdf["forest"].iloc[0]), int(pdf["tree"].iloc[0])
+        draws = Draws(seed, forest, tree)
+        nodes = grow(pdf[features].to_numpy(np.float64), draws.features(len(features), share[forest]), draws, depth_limit(len(pdf)))
+        return nodes.assign(forest=forest, tree=tree)[["forest", "tree", "node", "feature", "cut", "length"]]
 
+    grown = sampled(rows, specs, features, trees, seed, n).groupBy("forest", "tree").applyInPandas(grow_one, NODES).toPandas()
+    return {s.forest: Forest(min(s.psi, n), grown[grown["forest"] == s.forest]) for s in specs}
 
-def table_scores(
-    df: DataFrame, features: list[str], keys: list[str], specs: list[ForestSpec], counts: list[int], n: int, seed: int = 42
-) -> DataFrame:
-    """`score` of every row in the first trees of every forest: forest, n (of `counts`), score.
 
-    Trees of any size: they are written as one row each and never pass the driver.  Features hold
-    no NULL; `n` is the number of rows.
-    """
-    grower, kinds, psi = _grower(features, specs, seed), ("i4", "f8", "i4", "i4", "f8"), {s.forest: min(s.psi, n) for s in specs}
+def travelling(spec: ForestSpec, trees: int, n: int) -> bool:
+    return 2 * trees * min(spec.psi, n) <= MODEL_NODES // 4
 
-    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        forest, tree, columns = grower(pdf)
-        return pd.DataFrame({"forest": [forest], "tree": [tree], "nodes": [b"".join(c.astype(k).tobytes() for c, k in zip(columns, kinds))]})
 
-    def blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        task, number = TaskContext.get().partitionId(), 0
+def model_totals(rows: DataFrame, features: list[str], forests: dict[int, Forest], counts: list[int]) -> DataFrame:
+    """forest, n (of `counts`) and score of every row, from forests that travel."""
+    shared = rows.sparkSession.sparkContext.broadcast(forests)
+
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             x = pdf[features].to_numpy(np.float64)
-            for at in range(0, len(x), BLOCK):
-                yield pd.DataFrame({"task": [task], "number": [number], "x": [x[at:at + BLOCK].tobytes()]})
-                number += 1
+            for forest, model in shared.value.items():
+                for n, total in zip(counts, model.totals(x, counts)):
+                    yield pd.DataFrame({"forest": forest, "n": n, "score": scores(total, n, model.psi)})
+
+    return rows.select(*features).mapInPandas(walk, "forest int, n int, score double")
 
-    def paths(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def whole_table_totals(rows: DataFrame, features: list[str], specs: list[ForestSpec], trees: int, counts: list[int], seed: int, n: int) -> DataFrame:
+    """forest, part (first tree of a batch), r and the batch's summed path lengths; the table has `LEAF_ROWS` rows at most."""
+    by_id = {s.forest: s for s in specs}
+    borders = sorted({*range(0, trees, TREE_BATCH), *counts, trees})
+    parts = [(s.forest, first, last) for s in specs for first, last in zip(borders[:-1], borders[1:])]
+
+    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
+        spec, first, last = by_id[int(pdf["forest"].iloc[0])], int(pdf["first"].iloc[0]), int(pdf["last"].iloc[0])
+        x, r, total = pdf[features].to_numpy(np.float64), pdf["r"].to_numpy(), np.zeros(len(pdf))
+        psi = min(spec.psi, n)
+        for tree in range(first, last):
+            draws = Draws(seed, spec.forest, tree)
+            some = inside(r, *draws.sample(n), n, psi)
+            total += lengths(x, some, draws.features(len(features), spec.max_features), draws, depth_limit(psi))
+        return pd.DataFrame({"forest": spec.forest, "part": first, "r": r, "total": total})
+
+    listed = F.explode(F.array(*[F.struct(F.lit(f).alias("forest"), F.lit(a).alias("first"), F.lit(b).alias("last")) for f, a, b in parts])).alias("p")
+    return rows.select(listed, "r", *features).select("p.*", "r", *features).groupBy("forest", "first", "last").applyInPandas(
+        finish, "forest int, part int, r bigint, total double")
+
+
+def level_totals(rows: DataFrame, features: list[str], specs: list[ForestSpec], trees: int, seed: int, n: int) -> DataFrame:
+    """forest, part (the tree), r and its path length, grown level by level until nodes have `LEAF_ROWS` rows at most."""
+    by_id, limit = {s.forest: s for s in specs}, {s.forest: depth_limit(min(s.psi, n)) for s in specs}
+    drawn = []
+    for spec in specs:
+        for tree in range(trees):
+            drawn.append((spec.forest, tree, *Draws(seed, spec.forest, tree).sample(n), min(spec.psi, n)))
+    sample = rows.sparkSession.createDataFrame(drawn, "forest int, tree int, draw_a bigint, draw_b bigint, draw_psi bigint")
+    kind = "BIGINT" if n < 3_000_000_000 else "DECIMAL(19, 0)"
+    state = rows.select("r", *features, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")).select(
+        "*", F.explode(F.array(*[F.lit(s.forest) for s in specs])).alias("forest")).join(F.broadcast(sample), ["forest", "tree"]).select(
+        "forest", "tree", F.lit(1).cast("bigint").alias("node"), "r",
+        F.expr(f"pmod(CAST(draw_a AS {kind}) * CAST(r AS {kind}) + draw_b, CAST({n} AS {kind})) < draw_psi").alias("some"), *features)
+    node = ["forest", "tree", "node"]
+    done, depth = None, 0
+
+    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
+        spec, tree, root = by_id[int(pdf["forest"].iloc[0])], int(pdf["tree"].iloc[0]), int(pdf["node"].iloc[0])
+        draws = Draws(seed, spec.forest, tree)
+        found = lengths(pdf[features].to_numpy(np.float64), pdf["some"].to_numpy(), draws.features(len(features), spec.max_features),
+                        draws, limit[spec.forest], root, root.bit_length() - 1)
+        return pd.DataFrame({"forest": spec.forest, "part": tree, "r": pdf["r"].to_numpy(), "total": found})
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             out = []
-            for nodes, x in zip(pdf["nodes"], pdf["x"]):
-                size, at, columns = len(nodes) // 28, 0, []
-                for kind in kinds:
-                    columns.append(np.frombuffer(nodes, kind, size, at)[None])
-                    at += size * int(kind[1])
-                out.append(Forest(0, *columns).path_lengths(np.frombuffer(x).reshape(-1, len(features)))[:, 0].tobytes())
-            yield pdf[["forest", "tree", "task", "number"]].assign(lengths=out)
-
-    def judge(pdf: pd.DataFrame) -> pd.DataFrame:
-        forest, out = int(pdf["forest"].iloc[0]), []
-        pdf = pdf.sort_values("tree")
-        lengths = np.stack([np.frombuffer(x) for x in pdf["lengths"]], axis=1)
-        for count in counts:
-            score = Forest(psi[forest], *[None] * 5).scores(lengths[:, pdf["tree"].to_numpy() < count])
-            out.append(pd.DataFrame({"forest": forest, "n": count, "score": score}))
-        return pd.concat(out)
-
-    drawn = _samples(df, features, keys, specs, max(counts), seed, n)
-    grown = materialize(drawn.groupBy("forest", "tree").applyInPandas(grow, "forest int, tree int, nodes binary"), "trees")
-    held = materialize(df.select(*features).mapInPandas(blocks, "task int, number int, x binary"), "blocks")
-    met = grown.repartition("forest", "tree").crossJoin(held).mapInPandas(paths, "forest int, tree int, task int, number int, lengths binary")
-    return met.groupBy("forest", "task", "number").applyInPandas(judge, "forest int, n int, score double")
-
-
-def forest_scores(df: DataFrame, features: list[str], forest: Forest) -> DataFrame:
-    """Add `sample_score`, negated: the lower, the more anomalous; features hold no NULL."""
-    shared = df.sparkSession.sparkContext.broadcast(forest)
+            for (forest, tree), some in pdf.groupby(["forest", "tree"]):
+                draws = Draws(seed, int(forest), int(tree))
+                allowed = draws.features(len(features), by_id[int(forest)].max_features)
+                least, most = (some[[f"{side}_{f}" for f in features]].to_numpy(np.float64)[:, allowed] for side in ("least", "most"))
+                feature, at = node_cuts(least, most, some["node"].to_numpy(), allowed, draws)
+                feature[some["node"].map(lambda k: int(k).bit_length() - 1).to_numpy() >= limit[int(forest)]] = -1
+                mean = [average_path(int(s)) for s in some["sampled"]]
+                out.append(some[node].assign(n_rows=some["n_rows"], feature=feature, cut=at, mean=mean))
+            yield pd.concat(out) if out else pd.DataFrame(columns=[*node, "n_rows", "feature", "cut", "mean"])
+
+    while True:
+        state = materialize(state, f"forest-level-{depth}")
+        ends = [F.min(F.when(F.col("some"), F.col(f))).alias(f"least_{f}") for f in features] + [
+            F.max(F.when(F.col("some"), F.col(f))).alias(f"most_{f}") for f in features]
+        sizes = state.groupBy(*node).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("some").alias("sampled"), *ends)
+        found = materialize(sizes.mapInPandas(cut, "forest int, tree int, node bigint, n_rows bigint, feature int, cut double, mean double"), "forest-cuts")
+        met = state.join(found, node)
+        small = F.col("n_rows") <= LEAF_ROWS
+        below = met.filter(small).groupBy(*node).applyInPandas(finish, "forest int, part int, r bigint, total double")
+        leaf = met.filter(~small & (F.col("feature") < 0)).select("forest", F.col("tree").alias("part"), "r", (F.lit(depth) + F.col("mean")).alias("total"))
+        done = below.unionByName(leaf) if done is None else done.unionByName(below).unionByName(leaf)
+        inner = ~small & (F.col("feature") >= 0)
+        if found.filter(inner).isEmpty():
+            return done
+        value = F.element_at(F.array(*features), F.col("feature") + 1)
+        state = met.filter(inner).select("forest", "tree", (2 * F.col("node") + (value > F.col("cut")).cast("bigint")).alias("node"), "r", "some", *features)
+        depth += 1
+
+
+def forest_totals(
+    rows: DataFrame, features: list[str], specs: list[ForestSpec], counts: list[int], seed: int, n: int
+) -> DataFrame:
+    """`score` of every row in the first trees of every forest: forest, n (of `counts`), score.
 
-    @F.pandas_udf("double")
-    def score(*columns: pd.Series) -> pd.Series:
-        x = np.column_stack([c.to_numpy(dtype=np.float64) for c in columns])
-        return pd.Series(shared.value.scores(shared.value.path_lengths(x)))
+    `rows` come from `ranked` and are scanned several times; features hold no NULL.
+    """
+    trees = max(counts)
+    light = [s for s in specs if travelling(s, trees, n)]
+    heavy = [s for s in specs if not travelling(s, trees, n)]
+    out = None
+    for spec in light:  # one model at a time is on the driver
+        part = model_totals(rows, features, fit_forests(rows, features, [spec], trees, seed, n), counts)
+        out = part if out is None else out.unionByName(part)
+    if heavy:
+        total = whole_table_totals(rows, features, heavy, trees, counts, seed, n) if n <= LEAF_ROWS else level_totals(rows, features, heavy, trees, seed, n)
+        sums = materialize(total.groupBy("forest", "r").agg(*[F.sum(F.when(F.col("part") < c, F.col("total"))).alias(f"first_{c}") for c in counts]), "path-lengths")
+        mean = F.create_map(*[F.lit(x) for s in heavy for x in (s.forest, max(average_path(min(s.psi, n)), 1e-12))])[F.col("forest")]
+        score = [F.struct(F.lit(c).alias("n"), score_of(F.col(f"first_{c}"), c, mean).alias("score")) for c in counts]
+        part = sums.select("forest", F.explode(F.array(*score)).alias("s")).select("forest", "s.n", "s.score")
+        out = part if out is None else out.unionByName(part)
+    return out
 
-    return df.withColumn("sample_score", score(*features))
+
+def score_of(total: Column, trees: int, mean: Column) -> Column:
+    return -F.pow(F.lit(2.0), -F.round(total, 9) / trees / mean)
 
 
 def iforest_anomalies(
@@ -249,15 +384,23 @@ def iforest_anomalies(
 ) -> DataFrame:
     """Rows below the contamination quantile, with `anomaly_score` scaled over all rows.
 
-    The input is read once: fitting and scoring work on a materialized copy of the rows,
-    in which `filled_*` stand for the features with 0 for NULL.
+    The input is read once and written with a number per row; the order, the fit and the scores read only the features of
+    that copy (0 for NULL), and the flagged numbers fetch their rows.
     """
     used = [f"filled_{f}" for f in features]
-    both = df.withColumns({u: F.col(f) for u, f in zip(used, features)})
-    rows = materialize(fill_features(both, used))
-    forests = fit_forests(rows, used, keys, [ForestSpec(0, psi)], trees, seed)
-    if not forests:
+    both = df.withColumns({u: F.col(f) for u, f in zip(used, features)}).withColumn("row_number_", F.monotonically_increasing_id())
+    rows = materialize(fill_features(both, used), "forest-rows")
+    n = rows.count()
+    if not n:
         return df.limit(0).withColumn("anomaly_score", F.lit(None).cast("double"))
-    scored = materialize(forest_scores(rows, used, forests[0]).drop(*used))
+    forest = fit_forests(ranked(rows, keys, used, seed), used, [ForestSpec(0, psi)], trees, seed, n)[0]
+    shared = df.sparkSession.sparkContext.broadcast(forest)
+
+    @F.pandas_udf("double")
+    def score(*columns: pd.Series) -> pd.Series:
+        x = np.column_stack([c.to_numpy(dtype=np.float64) for c in columns])
+        return pd.Series(scores(shared.value.totals(x, [trees])[0], trees, shared.value.psi))
+
+    scored = materialize(rows.select("row_number_", score(*used).alias("sample_score")), "forest-scores")
     flagged = below_quantile(inverse_min_max(scored, "sample_score", "anomaly_score"), "sample_score", contamination)
-    return flagged.drop("sample_score")
+    return rows.drop(*used).join(flagged.drop("sample_score"), "row_number_").drop("row_number_")

@@ -1,11 +1,17 @@
 """Exact k nearest neighbours of every row of a low-dimensional feature table.
 
 Identical rows are folded into one weighted point first, so copies cost nothing however
-many there are.  Points are cut into cells by a tree of median splits.  Round one searches
-the own cell and yields an upper bound of the k-th distance; round two visits only the
-other cells whose bounding box lies within that bound.  Each task compares one bounded
-chunk of queries with one bounded chunk of points and returns at most k rows per query.
-The split sample steers load alone: any split gives the same, exact answer.
+many there are.  Points are cut into cells by a tree of median splits.  Its first tier, of
+at most `MAX_LEVELS` levels, is grown on the driver from a bounded sample; where more are
+needed, the executors grow a second tier below each of its cells from a sample of that cell,
+so cells stay small whatever the table.  Round one searches the own cell and yields an upper
+bound of the k-th distance; round two visits only the other cells whose bounding box lies
+within that bound.  Boxes are nested: a query first meets the boxes of the first tier, which
+the driver holds, and only those of the cells below the ones it touches, which lie in a
+table.  A cell with too few rows for a bound takes that of the smallest box around it that
+has enough.  Each task compares one bounded chunk of queries with one bounded chunk of points
+and returns at most k rows per query.  The split samples steer load alone: any split gives
+the same, exact answer.
 """
 
 from __future__ import annotations
@@ -20,8 +26,9 @@ from pyspark.sql import functions as F
 
 from vigilframe.session import materialize
 
-CELL_POINTS = 2048  # wanted points per cell
-MAX_LEVELS = 16  # at most 65,536 cells, so tree and boxes stay a few megabytes
+CELL_POINTS = 512  # wanted points per cell
+MAX_LEVELS = 16  # of the first tier: at most 65,536 cells, so tree and boxes stay a few megabytes
+SALTS = 16  # tasks that the visits of one cell of the first tier are dealt to
 SAMPLE_PER_CELL = 16
 QUERY_CHUNK = 1024
 POINT_CHUNK = 4096
@@ -63,20 +70,62 @@ def split_tree(sample: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray]
     return dims, cuts
 
 
-def _cell_of(points: DataFrame, features: list[str], levels: int, sample: np.ndarray) -> DataFrame:
+def descend(x: np.ndarray, dims: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """The leaf of each row in a complete binary tree."""
+    node, row = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
+    for _ in range(int(len(dims) + 1).bit_length() - 1):
+        node = 2 * node + 1 + (x[row, dims[node]] > cuts[node])
+    return node - len(dims)
+
+
+def _first_tier(points: DataFrame, features: list[str], levels: int, sample: np.ndarray) -> DataFrame:
     dims, cuts = split_tree(sample, levels)
 
     @F.pandas_udf("bigint")
     def locate(*columns: pd.Series) -> pd.Series:
-        x = np.column_stack([c.to_numpy() for c in columns])
-        node, row = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
-        for _ in range(levels):
-            node = 2 * node + 1 + (x[row, dims[node]] > cuts[node])
-        return pd.Series(node - len(dims))
+        return pd.Series(descend(np.column_stack([c.to_numpy() for c in columns]), dims, cuts))
 
     return points.withColumn("cell", locate(*features))
 
 
+def _grouped(frames):
+    """(key, rows) of stretches of one `cell`, of frames in the order of cells; a cell may come in several stretches."""
+    for frame in frames:
+        cell = frame["cell"].to_numpy()
+        border = np.flatnonzero(np.diff(cell)) + 1
+        for low, high in zip([0, *border.tolist()], [*border.tolist(), len(frame)]):
+            if low < high:
+                yield cell[low], frame.iloc[low:high]
+
+
+def _second_tier(points: DataFrame, features: list[str], levels: int, size: int, cells: int) -> DataFrame:
+    """`cell` cut into 2^levels cells each, by a tree that is grown from a sample of the cell in a task of its own."""
+    wanted, names = SAMPLE_PER_CELL * 2**levels, list(points.columns)
+    share = min(1.0, 2.0 * wanted * cells / size) * 2**31
+    order = Window.partitionBy("cell").orderBy(F.xxhash64("pid"))
+    sample = points.where(F.pmod(F.xxhash64("pid", F.lit(1)), F.lit(2**31)) < F.lit(share)).select(
+        "cell", *features, F.row_number().over(order).alias("place")).where(F.col("place") <= 2 * wanted)
+
+    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        dims, cuts = split_tree(pdf[features].to_numpy(np.float64), levels)
+        return pd.DataFrame({"cell": [pdf["cell"].iloc[0]], "dims": [dims], "cuts": [cuts]})
+
+    def locate(frames):
+        tree = (None, None, None)
+        for cell, rows in _grouped(frames):
+            if rows["pid"].iloc[0] < 0:  # the tree comes before the cell's points
+                tree = (cell, np.asarray(rows["dims"].iloc[0]), np.asarray(rows["cuts"].iloc[0]))
+                rows = rows.iloc[1:]
+            if len(rows):
+                below = descend(rows[features].to_numpy(np.float64), *tree[1:]) if tree[0] == cell else 0
+                yield rows[["pid", *features, "m"]].assign(cell=cell * 2**levels + below)[names]
+
+    trees = sample.groupBy("cell").applyInPandas(grow, "cell bigint, dims array<bigint>, cuts array<double>").select(
+        "*", F.lit(-1).cast("bigint").alias("pid"), F.lit(0).cast("bigint").alias("m"), *[F.lit(0.0).alias(f) for f in features])
+    both = trees.unionByName(points, allowMissingColumns=True).repartition("cell").sortWithinPartitions("cell", "pid")
+    return both.mapInPandas(locate, points.schema)
+
+
 def _kernel(features: list[str], k: int):
     """Search of one query chunk in one point chunk; ties in distance go to the lower id."""
 
@@ -137,29 +186,112 @@ def nearest(edges: DataFrame, k: int) -> DataFrame:
         "qid", "pid", "d2", F.least("w", F.lit(k) - F.col("before")).alias("w"))
 
 
-def _visits(queries: DataFrame, features: list[str], boxes: pd.DataFrame) -> DataFrame:
-    """Queries repeated for every other cell whose box their ball may touch."""
-    low = boxes[[f"lo{i}" for i in range(len(features))]].to_numpy()
-    high = boxes[[f"hi{i}" for i in range(len(features))]].to_numpy()
+def _touched(x: np.ndarray, limit: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, box) pairs of the boxes that the balls of squared radius `limit` around the rows may touch."""
+    rows, boxes = [], []
+    step = max(1, (1 << 22) // max(1, len(low)))
+    for start in range(0, len(x), step):
+        part = slice(start, start + step)
+        d2 = np.zeros((len(x[part]), len(low)))
+        for dim in range(x.shape[1]):
+            value = x[part, dim, None]
+            gap = np.maximum(np.maximum(low[None, :, dim] - value, value - high[None, :, dim]), 0.0)
+            d2 += gap**2
+        row, box = np.nonzero(d2 <= limit[part, None])
+        rows.append(row + start)
+        boxes.append(box)
+    return (np.concatenate(rows), np.concatenate(boxes)) if rows else (np.zeros(0, np.int64),) * 2
+
+
+def _boxes(celled: DataFrame, features: list[str], cell) -> DataFrame:
+    """Bounding boxes and numbers of rows of cells."""
+    return celled.groupBy(cell.alias("cell")).agg(
+        *[F.min(f).alias(f"lo{i}") for i, f in enumerate(features)], *[F.max(f).alias(f"hi{i}") for i, f in enumerate(features)],
+        F.sum("m").alias("rows"))
+
+
+def _corners(boxes: pd.DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(boxes[[f"{side}{i}" for i in range(n)]].to_numpy(np.float64) for side in ("lo", "hi"))
+
+
+def around(boxes: pd.DataFrame, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each box the corners of the smallest box around it, going up the tree, with more than k rows (else of all)."""
+    low, high = _corners(boxes, n)
+    cell, rows = boxes["cell"].to_numpy(), boxes["rows"].to_numpy()
+    out_low, out_high = low.copy(), high.copy()
+    thin, up = rows <= k, 0
+    while thin.any() and up < 64:
+        up += 1
+        above, at = np.unique(cell >> up, return_inverse=True)
+        total = np.bincount(at, rows)
+        lows, highs = np.full((len(above), n), np.inf), np.full((len(above), n), -np.inf)
+        np.minimum.at(lows, at, low)
+        np.maximum.at(highs, at, high)
+        out_low[thin], out_high[thin] = lows[at[thin]], highs[at[thin]]
+        thin &= (total[at] <= k) & (len(above) > 1)
+    return out_low, out_high
+
+
+def _visits(queries: DataFrame, features: list[str], celled: DataFrame, below: int, k: int) -> DataFrame:
+    """Queries repeated for every other cell whose box their ball may touch; `below` levels lie in the second tier."""
+    n, names = len(features), list(queries.columns)
+    top = F.shiftright("cell", below)
+    boxes = _boxes(celled, features, top).toPandas().sort_values("cell")  # of the first tier: bounded
+    low, high = _corners(boxes, n)
+    far_low, far_high = around(boxes, n, k)
     cells = boxes["cell"].to_numpy()
 
+    def bounded(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """The rows, and the bounds of their balls; a row without one reaches to the corners of the box around its cell."""
+        x, limit = batch[features].to_numpy(np.float64), batch["limit2"].to_numpy(np.float64).copy()
+        open_ = np.flatnonzero(~np.isfinite(limit))
+        if len(open_):
+            at = np.searchsorted(cells, batch["cell"].to_numpy()[open_] >> below)
+            gap = np.maximum(np.abs(x[open_] - far_low[at]), np.abs(x[open_] - far_high[at]))
+            limit[open_] = (gap**2).sum(axis=1) * (1 + 1e-9)
+        return x, limit
+
     def expand(batches):
         for batch in batches:
-            x, limit = batch[features].to_numpy(), batch["limit2"].to_numpy()
-            own = batch["cell"].to_numpy()
-            for start in range(0, len(x), 128):
-                part = slice(start, start + 128)
-                d2 = np.zeros((len(x[part]), len(cells)))
-                for dim in range(x.shape[1]):
-                    value = x[part, dim, None]
-                    gap = np.maximum(np.maximum(low[None, :, dim] - value, value - high[None, :, dim]), 0.0)
-                    d2 += gap**2
-                row, column = np.nonzero((d2 <= limit[part, None]) & (own[part, None] != cells[None, :]))
-                out = batch.iloc[part].iloc[row].copy()
-                out["cell"] = cells[column]
-                yield out
-
-    return queries.mapInPandas(expand, queries.schema)
+            x, limit = bounded(batch)
+            row, box = _touched(x, limit, low, high)
+            out = batch.iloc[row].copy()
+            out["limit2"] = limit[row]
+            out["home"], out["cell"] = out["cell"].to_numpy(), cells[box]
+            yield (out[out["home"] != out["cell"]] if not below else out)[[*batch.columns, "home"]]
+
+    shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in queries.schema.fields)
+    met = queries.mapInPandas(expand, f"{shape}, home bigint")
+    if not below:
+        return met.drop("home")
+    leaves = _boxes(celled, features, F.col("cell")).select(
+        top.alias("cell"), F.col("cell").alias("leaf"), *[f"{side}{i}" for i in range(n) for side in ("lo", "hi")],
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    met = met.withColumn("salt", F.pmod(F.hash("qid"), F.lit(SALTS)))
+
+    def descend_boxes(frames):
+        held, parts = None, []
+        for cell, rows in _grouped(frames):
+            if cell != held:
+                held, parts = cell, []
+            of_box = rows["leaf"].to_numpy() >= 0
+            if of_box.any():
+                parts.append(rows[of_box])
+            asked = rows[~of_box]
+            if not len(asked) or not parts:
+                continue
+            here = pd.concat(parts)
+            row, box = _touched(asked[features].to_numpy(np.float64), asked["limit2"].to_numpy(np.float64), *_corners(here, n))
+            out = asked.iloc[row].assign(cell=here["leaf"].to_numpy()[box].astype(np.int64))
+            yield out[out["home"] != out["cell"]][names]
+
+    ends = [f"{side}{i}" for i in range(n) for side in ("lo", "hi")]
+    salted = (F.col("cell") * SALTS + F.col("salt")).alias("cell")
+    none = F.lit(-1).cast("bigint")
+    asked = met.select(salted, *[c for c in met.columns if c not in ("cell", "salt")], none.alias("leaf"), *[F.lit(0.0).alias(e) for e in ends])
+    offered = leaves.select(salted, "leaf", *ends, none.alias("qid"), none.alias("home"), F.lit(0.0).alias("limit2"), *[F.lit(0.0).alias(f) for f in features])
+    both = offered.unionByName(asked).repartition("cell").sortWithinPartitions("cell", F.col("leaf") < 0)
+    return both.mapInPandas(descend_boxes, queries.schema)
 
 
 def neighbourhood(rows: DataFrame, features: list[str], k: int, cell_points: int = CELL_POINTS) -> Neighbourhood:
@@ -171,17 +303,20 @@ def neighbourhood(rows: DataFrame, features: list[str], k: int, cell_points: int
     )
     size = points.agg(F.count("*").alias("points"), F.coalesce(F.sum("m"), F.lit(0)).alias("rows")).first()
     k = max(min(k, size["rows"] - 1), 0)
-    levels = min(max(math.ceil(math.log2(max(size["points"], 1) / cell_points)), 0), MAX_LEVELS)
-    sample = np.empty((0, len(features)))
+    levels = max(math.ceil(math.log2(max(size["points"], 1) / cell_points)), 0)
+    first, below = min(levels, MAX_LEVELS), max(levels - MAX_LEVELS, 0)
+    celled = points.withColumn("cell", F.lit(0).cast("bigint"))
     if levels:
-        wanted = SAMPLE_PER_CELL * 2**levels
+        wanted = SAMPLE_PER_CELL * 2**first
         share = F.lit(min(1.0, 1.5 * wanted / size["points"]) * 2**31)
         sample = (
             points.where(F.pmod(F.xxhash64("pid"), F.lit(2**31)) < share).limit(2 * wanted)
             .select(*features).toPandas().to_numpy()
         )
-    celled = points.withColumn("cell", F.lit(0).cast("bigint")) if not levels else materialize(
-        _cell_of(points, features, levels, sample))
+        celled = _first_tier(points, features, first, sample)
+        if below:
+            celled = _second_tier(materialize(celled), features, below, size["points"], 2**first)
+        celled = materialize(celled)
     own = celled.select(F.col("pid").alias("qid"), "cell", *features, F.lit(float("inf")).alias("limit2"))
     first = nearest(_compare(own, celled, features, k), k)
     if levels == 0:
@@ -189,12 +324,8 @@ def neighbourhood(rows: DataFrame, features: list[str], k: int, cell_points: int
     first = materialize(first)
     bound = first.groupBy("qid").agg(
         F.when(F.sum("w") >= k, F.max("d2")).otherwise(F.lit(float("inf"))).alias("limit2"))
-    boxes = celled.groupBy("cell").agg(
-        *[F.min(f).alias(f"lo{i}") for i, f in enumerate(features)],
-        *[F.max(f).alias(f"hi{i}") for i, f in enumerate(features)],
-    ).toPandas()
     bounded = own.drop("limit2").join(bound, "qid", "left").withColumn(
         "limit2", F.coalesce("limit2", F.lit(float("inf"))))
-    visits = materialize(_visits(bounded, features, boxes))
+    visits = materialize(_visits(bounded, features, celled, below, k))
     second = _compare(visits, celled, features, k)
     return Neighbourhood(points, materialize(nearest(first.unionByName(second), k)), size["rows"], k)

@@ -102,24 +102,100 @@ def lof_grid(spark, sf):
         F.format_string("%.6e", "objective").alias("objective"))
 
 
-@query("iforest_anomalies")
+def _number(name: str, at: int = 1) -> str:
+    return f"('0x' || substr(sha256({name}), {at}, 13))::BIGINT / 4503599627370496.0"
+
+
+def _path(n: str) -> str:
+    return f"CASE WHEN {n} <= 1 THEN 0.0 WHEN {n} = 2 THEN 1.0 ELSE 2.0 * (ln({n} - 1.0) + 0.5772156649015329) - 2.0 * ({n} - 1.0) / {n} END"
+
+
+# The forests grown level by level over all rows of all trees, for the SQL side only.
+def _forest_sql(forests: str, trees: int, levels: int, source: str) -> str:
+    """CTEs up to `total` (forest, psi, tree, r, path) for a table `forests` of (forest, psi, k), with `nn` in reach."""
+    k = range(len(FEATURES))
+    fill = ", ".join(f"coalesce({f}, 0.0) AS f{i}" for i, f in enumerate(FEATURES))
+    values = "[" + ", ".join(f"f{i}" for i in k) + "]"
+    parts = [f"""+
+    p AS MATERIALIZED (SELECT event_id, r, {values} AS x FROM (SELECT *, row_number() OVER (ORDER BY sha256('42-' || event_id), {', '.join(f'f{i}' for i in k)}) - 1 AS r
+      FROM (SELECT event_id, {fill} FROM {source}))),
+    nn AS MATERIALIZED (SELECT count(*) AS n FROM p),
+    forests AS MATERIALIZED ({forests}),
+    named AS (SELECT *, '42-' || forest || '-' || tree || '-' AS name, ceil(log2(greatest(psi, 2))) AS deepest FROM forests, nn, (SELECT unnest(range({trees})) AS tree)),
+    c AS MATERIALIZED (SELECT *, list_filter(range(least_a, least_a + 1000), lambda v: gcd(v, n) = 1)[1] AS a,
+        list_sort(list_transform(list_sort(list_transform(range({len(FEATURES)}), lambda j: {{'h': sha256(name || 'f' || j), 'j': j}}))[1:k], lambda s: s.j)) AS allowed
+      FROM (SELECT *, greatest(1, floor({_number("name || 'a'")} * n)::BIGINT) AS least_a, floor({_number("name || 'b'")} * n)::BIGINT AS b FROM named)),
+    s0 AS MATERIALIZED (SELECT forest, tree, 1::BIGINT AS node, r, (a * r + b) % n < psi AS sampled FROM p, c)"""]
+    for i in range(levels + 1):
+        low, high = ("[" + ", ".join(f"{end}(x[{j + 1}]) FILTER (sampled)" for j in k) + "]" for end in ("min", "max"))
+        parts.append(f"""
+    t{i} AS MATERIALIZED (SELECT forest, tree, node, count(*) FILTER (sampled) AS n_sampled, {low} AS lo, {high} AS hi FROM s{i} JOIN p USING (r) GROUP BY 1, 2, 3),
+    g{i} AS (SELECT t{i}.*, {_number("name || 'n' || node")} AS u, {_number("name || 'n' || node", 14)} AS v,
+        CASE WHEN deepest > {i} THEN list_filter(allowed, lambda j: hi[j + 1] > lo[j + 1]) ELSE [] END AS free FROM t{i} JOIN c USING (forest, tree)),
+    h{i} AS (SELECT *, free[least(floor(u * len(free))::BIGINT, len(free) - 1) + 1] + 1 AS j FROM g{i}),
+    w{i} AS MATERIALIZED (SELECT forest, tree, node, n_sampled, j, CASE WHEN lo[j] + v * (hi[j] - lo[j]) < hi[j] THEN lo[j] + v * (hi[j] - lo[j]) ELSE lo[j] END AS cut FROM h{i}),
+    l{i} AS (SELECT forest, tree, r, {i} + {_path("n_sampled")} AS path FROM s{i} JOIN w{i} USING (forest, tree, node) WHERE j IS NULL)""")
+        if i < levels:
+            parts.append(f"""
+    s{i + 1} AS MATERIALIZED (SELECT forest, tree, 2 * node + (x[j] > cut)::BIGINT AS node, r, sampled FROM s{i} JOIN w{i} USING (forest, tree, node) JOIN p USING (r) WHERE j IS NOT NULL)""")
+    union = " UNION ALL ".join(f"SELECT * FROM l{i}" for i in range(levels + 1))
+    return ",".join(parts) + f""",
+    total AS MATERIALIZED ({union})"""
+
+
+_ANOMALIES = _forest_sql(f"SELECT 0 AS forest, least(256, n) AS psi, {len(FEATURES)} AS k FROM nn", 100, 8, "v_features") + f""",
+    scored AS MATERIALIZED (SELECT r, -pow(2.0, -round(sum(path), 9) / 100 / greatest({_path("any_value(psi)")}, 1e-12)) AS score FROM total, forests GROUP BY r),
+    flagged AS (SELECT event_id, round(1 - (score - (SELECT min(score) FROM scored)) / ((SELECT max(score) FROM scored) - (SELECT min(score) FROM scored)), 6) AS anomaly_score
+      FROM scored JOIN p USING (r) WHERE score < (SELECT quantile_cont(score, 0.05) FROM scored))
+    """
+
+
+@query("iforest_anomalies", V.with_views("v_features", _ANOMALIES + "SELECT event_id, event_ts, host, anomaly_score FROM flagged JOIN v_features USING (event_id)"))
 def iforest_anomalies(spark, sf):
     """The five percent most isolated metric rows."""
     found = iforest.iforest_anomalies(metrics(spark, sf), FEATURES, ["event_id"])
-    return found.select("event_id", "event_ts", "host", "anomaly_score")
+    return rounded(found.select("event_id", "event_ts", "host", "anomaly_score"))
+
 
+_SHARES = {"1.0": len(FEATURES), "0.7": int(0.7 * len(FEATURES))}
+_POINTS = ", ".join(
+    f"({i}, {p['n_estimators']}, '{p['max_samples']}', {p['max_features']}, {_SHARES[str(p['max_features'])]}, '{p['contamination']}')"
+    for i, p in enumerate(detect.grid_points(detect.IFOREST_GRID)))
 
-@query("iforest_grid")
+
+@query("iforest_grid", V.with_views("v_features", _forest_sql(
+    "SELECT DISTINCT psi, share, k, dense_rank() OVER (ORDER BY psi, share) - 1 AS forest FROM points", 200, 17, _NONEMPTY).replace(
+    "forests AS MATERIALIZED", f"""points AS MATERIALIZED (SELECT *, greatest(1, CASE samples WHEN 'auto' THEN least(256, n) ELSE n // 2 END) AS psi
+      FROM nn, (VALUES {_POINTS}) AS v(grid_idx, trees, samples, share, k, contamination)),
+    forests AS MATERIALIZED""", 1) + f""",
+    sums AS (SELECT forest, r, sum(path) FILTER (tree < 100) AS s100, sum(path) AS s200 FROM total GROUP BY 1, 2),
+    objectives AS (SELECT forest, stddev_pop(-pow(2.0, -round(s100, 9) / 100 / greatest({_path("psi")}, 1e-12))) AS o100,
+        stddev_pop(-pow(2.0, -round(s200, 9) / 200 / greatest({_path("psi")}, 1e-12))) AS o200 FROM sums JOIN forests USING (forest) GROUP BY 1)
+    SELECT grid_idx, trees::VARCHAR AS n_estimators, samples AS max_samples, contamination, share::VARCHAR AS max_features, psi::INTEGER AS psi, round(CASE trees WHEN 100 THEN o100 ELSE o200 END, 6) AS objective
+    FROM points JOIN forests USING (psi, share, k) JOIN objectives USING (forest)"""))
 def iforest_grid(spark, sf):
     tuned = detect.tune_iforest(metrics(spark, sf, True), FEATURES, ["event_id"])
-    return tuned.select("grid_idx", F.to_json("params").alias("params"), "psi", "objective")
+    names = ("n_estimators", "max_samples", "contamination", "max_features")
+    return rounded(tuned.select("grid_idx", *[F.col("params")[n].alias(n) for n in names], "psi", "objective"))
+
+
+_STORED = "'system_metrics' AS anomaly_type, 'vigilframe' AS source"
+
+
+def _union_sql() -> str:
+    """Both algorithms' flagged rows, each side brute force on its own."""
+    lof = _lof_sql(20, "SELECT event_id FROM lof WHERE -lof < (SELECT quantile_cont(-lof, 0.05) FROM lof)")
+    forest = V.with_views("v_features", _ANOMALIES + "SELECT event_id, anomaly_score FROM flagged")
+    return V.with_views("v_features", f"""
+    SELECT event_id, event_ts, host, algorithm, anomaly_score, {_STORED}
+    FROM (SELECT event_id, 'isolation_forest' AS algorithm, anomaly_score FROM ({forest}) UNION ALL SELECT event_id, 'local_outlier_factor', 0.0 FROM ({lof})) JOIN v_features USING (event_id)""")
 
 
-@query("union_anomalies")
+@query("union_anomalies", _union_sql())
 def union_anomalies(spark, sf):
     """Anomalies of both algorithms as stored rows."""
     found = detect.detect_all(metrics(spark, sf), FEATURES, ["event_id"])
-    return prepare.anomaly_documents(found, ["event_id", "algorithm"]).drop("details")
+    return rounded(prepare.anomaly_documents(found, ["event_id", "algorithm"]).drop("details"))
 
 
 # ---------------------------------------------------------------------------------- classification
