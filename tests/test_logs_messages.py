@@ -125,10 +125,29 @@ def test_indicators(spark):
     assert intel.correlation_count(beat, known, "id").first()[0] == 2
     assert [r["id"] for r in intel.clean_logs(beat, known, "id").orderBy("id").collect()] == [2, 3]
     hit = intel.enrich(beat, known, "id").where("type = 'ip'").collect()
-    assert [(r["id"], r["threat_level"], r["description"], r["entries"]) for r in hit] == [(1, "critical", "x", 2)]
+    assert [(r["id"], r["threat_level"], r["description"], r["entries"]) for r in hit] == [(1, "critical", "y", 2)]
     assert intel.indicator_hits(beat, known, "id").where("value = 'd'").first()["hits"] == 2
 
 
+def test_level_and_description_of_one_entry(spark):
+    """Entries (high, b) and (low, a) give (high, b), a pair that a feed holds; NULL texts come last, unknown levels too."""
+    entries = [("ip", "1", "high", "b"), ("ip", "1", "low", "a"), ("ip", "2", "critical", None), ("ip", "2", "critical", "z"), ("ip", "3", None, "n"),
+               ("ip", "3", "weird", "m"), ("ip", "4", "low", None)]
+    known = spark.createDataFrame(entries, "type string, indicator string, threat_level string, description string")
+    got = {r["value"]: (r["threat_level"], r["description"], r["entries"]) for r in intel.listed(known).collect()}
+    assert got == {"1": ("high", "b", 2), "2": ("critical", "z", 2), "3": ("weird", "m", 2), "4": ("low", None, 1)}
+
+
+def test_rows_with_many_addresses(spark):
+    """Every address of a row counts, each once; rows without any stay clean."""
+    known = spark.createDataFrame([("ip", "9.9.9.9", "low", "x"), ("ip", "1.1.1.1", "high", "y")], "type string, indicator string, threat_level string, description string")
+    beat = spark.createDataFrame([(1, ["8.8.8.8", "9.9.9.9", "9.9.9.9"]), (2, []), (3, None), (4, ["1.1.1.1", None, "9.9.9.9"])], "id int, ip array<string>")
+    assert [r["id"] for r in intel.correlate(beat, known, "id").orderBy("id").collect()] == [1, 4]
+    assert intel.enrich(beat, known, "id").count() == 3
+    assert {r["value"]: r["hits"] for r in intel.indicator_hits(beat, known, "id").collect()} == {"9.9.9.9": 2, "1.1.1.1": 1}
+    assert [r["id"] for r in intel.clean_logs(beat, known, "id").orderBy("id").collect()] == [2, 3]
+
+
 def test_correlate_never_loops(spark):
     indicators = spark.createDataFrame([("ip", "a", "low", "")], "type string, indicator string, threat_level string, description string")
     beat = spark.createDataFrame([(1, "a", "b")], "id int, ip string, domain string")
@@ -167,3 +186,53 @@ def test_detections(spark):
     scans = df.select("host", "event_ts", (F.col("event_id") % 4).alias("port"), F.col("event_id").cast("string").alias("service"))
     assert detections.scan_bursts(scans, threshold=4).first()["ports"] == 4
     assert panels.open_services(scans).first()["share"] == 1.0
+
+
+def test_rule_tables_equal_contains(spark, monkeypatch):
+    """Every rule by one automaton, in one part or many, as `contains` rule by rule."""
+    from vigilframe.operators import rule_tables
+
+    texts = ["", None, "aab abba", "Failed password for root", "x.y", "ünï ☃ code", "aaaa", "b"]
+    table = [("r1", "ab"), ("r1", "bb"), ("r2", "a"), ("r2", "a"), ("r3", ""), ("r4", "☃ c"), ("r5", "."), (None, "a"), ("r6", None), ("r7", "zzz"), ("r8", "Failed"), ("r9", "aa"), ("r9", "aaa")]
+    rules = spark.createDataFrame(table, "rule string, needle string")
+    logs_ = spark.createDataFrame(list(enumerate(texts)), "id int, message string")
+    expected = {(i, r) for i, t in enumerate(texts) for r, n in table if r and n is not None and n in (t or "")}
+    for size in (200_000, 3):
+        monkeypatch.setattr(rule_tables, "PART_NEEDLES", size)
+        hits = [(x["id"], x["rule"]) for x in rule_tables.rule_hits(logs_, rules).collect()]
+        assert len(hits) == len(set(hits)) and set(hits) == expected
+        counts = {x["rule"]: x["matches"] for x in rule_tables.rule_counts(logs_, rules).collect()}
+        assert counts == {r: sum(1 for _, q in expected if q == r) for r, _ in table if r}
+    assert rule_tables.tag_rules(logs_, rules.limit(0)).where("size(rules) > 0").count() == 0
+    assert rule_tables.rule_hits(logs_.limit(0), rules).count() == 0
+
+
+def test_status_listings_equal_brute_force(spark):
+    """Requests and signals at random instants, many of them equal, over several buckets."""
+    import random
+
+    rng, data = random.Random(3), []
+    for i in range(400):
+        second = rng.choice([rng.randrange(300), rng.randrange(20_000)])
+        kind = rng.choices(["register", "heartbeat", "get_status", "send_data", "reboot"], [2, 6, 1, 1, 1])[0]
+        worker = None if kind == "get_status" else f"w{rng.randrange(12)}"
+        data.append((i, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=second), kind, worker, f"t{i}" if kind == "register" and i % 5 else None,
+                     rng.choice([None, "h1", "h2"]), "{}"))
+    table = spark.createDataFrame(data, "event_id int, event_ts timestamp, type string, worker_id string, worker_type string, host string, data string")
+    expected = []
+    for i, at, kind, *_ in data:
+        if kind != "get_status":
+            continue
+        seen = [r for r in data if r[1] <= at and r[3]]
+        for w in sorted({r[3] for r in seen}):
+            joins = [(r[1], r[4], r[5] or "unknown") for r in seen if r[3] == w and r[2] == "register" and r[4]]
+            if joins:
+                last = max(r[1] for r in seen if r[3] == w and (r[2] == "heartbeat" or (r[2] == "register" and r[4])))
+                _, name, host = max(joins)
+                expected.append((i, at, w, name, host, last, "offline" if (at - last).total_seconds() > 60 else "online"))
+    assert len({x[-1] for x in expected}) == 2
+    for bucket in (60, 3600):
+        found = messages.status_listings(table, bucket_seconds=bucket)
+        assert sorted(tuple(r) for r in found.collect()) == sorted(expected)
+    assert messages.status_listings(table.where("type <> 'get_status'")).count() == 0
+    assert messages.status_listings(table.where("type = 'get_status'")).count() == 0

@@ -30,22 +30,36 @@ def indicator_counts(df: DataFrame) -> DataFrame:
     return counted.select(F.inline(rows))
 
 
+def typed(kind: str):
+    return lambda value: F.struct(F.lit(kind).alias("type"), value.cast("string").alias("value"))
+
+
 def observables(logs: DataFrame, row_id: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Narrow `(row_id, type, value)` rows of the observables a log row carries."""
+    """Narrow `(row_id, type, value)` rows of the observables a log row carries.
+
+    A column of observables holds one, or an array of them; an array's values count once each.
+    """
     present = [t for t in INDICATOR_TYPES if t in logs.columns]
-    pairs = F.array(*[F.struct(F.lit(t).alias("type"), F.col(t).alias("value")) for t in present])
-    return logs.select(row_id, *keep, F.inline(pairs)).where("value IS NOT NULL")
+    lists = []
+    for t in present:
+        held = F.col(t)
+        many = logs.schema[t].dataType.typeName() == "array"
+        values = F.array_distinct(F.coalesce(held, F.array().cast("array<string>"))) if many else F.array(held)
+        lists.append(F.transform(values, typed(t)))
+    return logs.select(row_id, *keep, F.inline(F.concat(*lists))).where("value IS NOT NULL")
 
 
 def listed(indicators: DataFrame) -> DataFrame:
-    """One row per distinct indicator: its worst level, first description and number of entries.
+    """One row per distinct indicator: level and description of its worst entry, and the number of entries.
 
-    Feeds repeat indicators; folding the copies keeps every join at one partner per value.
+    Of entries of the worst level the one with the first description counts (NULL last), so level and description always
+    stem from one entry of a feed.  Feeds repeat indicators; folding the copies keeps every join at one partner per value.
     """
-    best = F.max(F.struct(severity_rank(F.col("threat_level")).alias("rank"), "threat_level"))
+    worst = F.min(F.struct(
+        (-severity_rank(F.col("threat_level"))).alias("rank"), F.col("description").isNull().alias("none"), "description", "threat_level"))
     return indicators.groupBy("type", F.col("indicator").alias("value")).agg(
-        best["threat_level"].alias("threat_level"), F.min("description").alias("description"),
-        F.count("*").alias("entries"))
+        worst.alias("worst"), F.count("*").alias("entries")).select(
+        "type", "value", F.col("worst.threat_level").alias("threat_level"), F.col("worst.description").alias("description"), "entries")
 
 
 def _hits(logs: DataFrame, indicators: DataFrame, row_id: str) -> DataFrame:

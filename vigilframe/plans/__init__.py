@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("risk_queries", "log_queries", "intel_queries", "detect_queries", "stream_queries")
+MODULES = ("risk_queries", "log_queries", "intel_queries", "detect_queries", "stream_queries", "file_queries")
 
 
 def load_all() -> None:

@@ -30,17 +30,22 @@ def indicator_counts(spark, sf):
     return intel.indicator_counts(_indicators(spark, sf))
 
 
-_MATCH = """EXISTS (SELECT 1 FROM v_indicators i WHERE i.type = 'ip' AND i.indicator = b.ip)
+_MATCH = """EXISTS (SELECT 1 FROM v_indicators i WHERE i.type = 'ip' AND list_contains(b.ip, i.indicator))
       OR EXISTS (SELECT 1 FROM v_indicators i WHERE i.type = 'domain' AND i.indicator = b.domain)
       OR EXISTS (SELECT 1 FROM v_indicators i WHERE i.type = 'url' AND i.indicator = b.url)
       OR EXISTS (SELECT 1 FROM v_indicators i WHERE i.type = 'hash' AND i.indicator = b.hash)"""
-_BEAT = "log_id, host, ip, domain, url, hash"
+_BEAT = "log_id, host, array_to_string(ip, ',') AS ip, domain, url, hash"
+
+
+def beat_columns(rows):
+    """The rows as the SQL side selects them, all addresses in one text."""
+    return rows.select("log_id", "host", F.array_join("ip", ",").alias("ip"), "domain", "url", "hash")
 
 
 @query("intel_matches", V.with_views("v_beat_logs v_indicators", f"SELECT {_BEAT} FROM v_beat_logs b WHERE {_MATCH}"))
 def intel_matches(spark, sf):
     found = intel.correlate(V.v_beat_logs(spark, sf), _indicators(spark, sf), "log_id")
-    return found.select(*_BEAT.split(", "))
+    return beat_columns(found)
 
 
 @query("intel_match_count", V.with_views("v_beat_logs v_indicators", f"SELECT count(*) AS correlations FROM v_beat_logs b WHERE {_MATCH}"))
@@ -51,12 +56,12 @@ def intel_match_count(spark, sf):
 @query("clean_logs", V.with_views("v_beat_logs v_indicators", f"SELECT {_BEAT} FROM v_beat_logs b WHERE NOT ({_MATCH})"))
 def clean_logs(spark, sf):
     left = intel.clean_logs(V.v_beat_logs(spark, sf), _indicators(spark, sf), "log_id")
-    return left.select(*_BEAT.split(", "))
+    return beat_columns(left)
 
 
-_LISTED = """listed AS (SELECT type, indicator AS value, count(*) AS entries, min(description) AS description,
-      arg_max(threat_level, CASE threat_level WHEN 'critical' THEN 4 WHEN 'high' THEN 3 WHEN 'medium' THEN 2 ELSE 1 END) AS threat_level
-      FROM v_indicators GROUP BY 1, 2)"""
+_LISTED = """listed AS (SELECT type, value, entries, worst.d AS description, worst.l AS threat_level
+      FROM (SELECT type, indicator AS value, count(*) AS entries, min(struct_pack(r := CASE threat_level WHEN 'critical' THEN 1 WHEN 'high' THEN 2
+        WHEN 'medium' THEN 3 ELSE 4 END, d := description, l := threat_level)) AS worst FROM v_indicators GROUP BY 1, 2))"""
 
 
 @query("intel_enriched", V.with_views("v_observables v_indicators", f"""+ {_LISTED}
@@ -96,6 +101,7 @@ REPLIES_SQL = V.with_views("v_messages", f"""+
     SELECT event_id, event_ts, type, worker_id, worker_type, host, data,
       CASE WHEN error IS NOT NULL OR (type IN ('heartbeat','send_data') AND NOT registered) THEN 'error' ELSE 'success' END AS status,
       CASE WHEN error IS NOT NULL THEN error
+           WHEN type = 'get_status' THEN NULL
            WHEN type = 'register' THEN 'Worker ' || worker_id || ' registered successfully'
            WHEN NOT registered THEN 'Worker ' || worker_id || ' not registered'
            WHEN type = 'heartbeat' THEN 'Heartbeat received from ' || worker_id
@@ -130,6 +136,20 @@ def worker_status(spark, sf):
     return messages.worker_status(V.v_messages(spark, sf), AS_OF, "12 HOURS")
 
 
+@query("status_listings", V.with_views("v_messages", """+
+    ok AS (SELECT * FROM v_messages WHERE worker_id IS NOT NULL
+           AND ((type = 'register' AND worker_type IS NOT NULL) OR type = 'heartbeat')),
+    asked AS (SELECT event_id, event_ts FROM v_messages WHERE type = 'get_status')
+    SELECT event_id, asked.event_ts, worker_id AS id, arg_max(worker_type, ok.event_ts) FILTER (type = 'register') AS type,
+      arg_max(coalesce(host, 'unknown'), ok.event_ts) FILTER (type = 'register') AS host, max(ok.event_ts) AS last_heartbeat,
+      CASE WHEN asked.event_ts - max(ok.event_ts) > INTERVAL 12 HOURS THEN 'offline' ELSE 'online' END AS status
+    FROM asked JOIN (SELECT event_id AS signal_id, event_ts, worker_id, type, worker_type, host FROM ok) ok ON ok.event_ts <= asked.event_ts
+    GROUP BY event_id, asked.event_ts, worker_id HAVING count(*) FILTER (type = 'register') > 0"""))
+def status_listings(spark, sf):
+    """The answers to all status requests: every worker registered by then."""
+    return messages.status_listings(V.v_messages(spark, sf), "12 HOURS")
+
+
 @query("worker_counts", f"SELECT status, count(*) AS workers FROM ({_STATUS}) GROUP BY 1")
 def worker_counts(spark, sf):
     return messages.status_counts(messages.worker_status(V.v_messages(spark, sf), AS_OF, "12 HOURS"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vigilframe.functions import text, timing
-from vigilframe.operators import detections, logs, messages, prepare
+from vigilframe.operators import detections, logs, messages, prepare, rule_tables
 from vigilframe.plans import views as V
 from vigilframe.plans.catalog import query, rounded
 from vigilframe.schemas import enforce, schema_of
-from vigilframe.sources import parsers
+from vigilframe.session import run_folder
+from vigilframe.sources import indices, parsers, readers, sinks
 from vigilframe.sources.readers import log_rows
 
 AS_OF = V.EVENTS_AS_OF
@@ -312,3 +313,65 @@ def keyword_rules(spark, sf):
     for r in detections.KEYWORD_RULES)))
 def keyword_counts(spark, sf):
     return logs.pattern_counts(V.v_lines(spark, sf), detections.KEYWORD_RULES, "line")
+
+
+_RULES = """rules AS (SELECT 'user-' || c_custkey AS rule, unnest(['user' || c_custkey, '.' || (c_custkey % 256) || ' port']) AS needle FROM customer)"""
+
+
+def customer_rules(spark, sf):
+    """Two needles for every customer key: the name of a user, and the end of a peer address."""
+    key = F.col("c_custkey")
+    needles = F.array(F.concat(F.lit("user"), key), F.concat(F.lit("."), key % 256, F.lit(" port")))
+    return V.table(spark, sf, "customer").select(F.concat(F.lit("user-"), key).alias("rule"), F.explode(needles).alias("needle"))
+
+
+@query("rule_table_hits", V.with_views("v_logs", f"""+ {_RULES}
+    SELECT DISTINCT event_id, rule FROM v_logs JOIN rules ON contains(message, needle)"""))
+def rule_table_hits(spark, sf):
+    """Log rows against a rule table with rules for every customer, in one pass."""
+    return rule_tables.rule_hits(V.v_logs(spark, sf).select("event_id", "message"), customer_rules(spark, sf)).select("event_id", "rule")
+
+
+@query("rule_table_counts", V.with_views("v_logs", f"""+ {_RULES},
+    hits AS (SELECT DISTINCT event_id, rule FROM v_logs JOIN rules ON contains(message, needle))
+    SELECT rule, count(event_id) AS matches FROM (SELECT DISTINCT rule FROM rules) LEFT JOIN hits USING (rule) GROUP BY 1"""))
+def rule_table_counts(spark, sf):
+    return rule_tables.rule_counts(V.v_logs(spark, sf), customer_rules(spark, sf))
+
+
+@query("line_ingest_files", V.with_views("v_lines", rf"""
+    SELECT doc_id, line_no, {_TS} AS event_ts, regexp_replace(line, '\s+$', '') AS message,
+      CASE source WHEN 'src0' THEN 'syslog' WHEN 'src1' THEN 'auth' ELSE 'unknown' END AS log_type, source, 'here' AS host
+    FROM v_lines"""))
+def line_ingest_files(spark, sf):
+    """Lines written to text files with blanks in their folders' names, and read back by the file reader."""
+    folder = run_folder(spark, "text lines")
+    key = F.concat_ws(":", "doc_id", "line_no", F.lit(""))
+    # Bytes that Spark's line reader takes for line ends, and one that is not UTF-8, are put in and taken out again.
+    value = F.concat(F.lit("\t"), key, F.replace(F.col("line"), F.lit("\r"), F.lit("\u2028")), F.lit(" \t"))
+    lines = V.v_lines(spark, sf).select("source", F.concat(value.cast("binary"), F.unhex(F.lit("FF20"))).cast("string").alias("value"))
+    lines.write.partitionBy("source").text(folder)
+    types = {f"{folder}/source={name}/part-*": kind for name, kind in (("src0", "syslog"), ("src1", "auth"))}
+    types[f"{folder}/source=src[!01]*/part-*"] = types[f"{folder}/source=src[01]?*/part-*"] = "unknown"
+    read = readers.ingest_lines(spark, types, AS_OF, "here")
+    parts = F.split("message", ":", 3)
+    # Trimming has taken the blanks at the end; the line behind the key is left as it was in front.
+    return read.select(
+        parts[0].cast("bigint").alias("doc_id"), parts[1].cast("int").alias("line_no"), "event_ts",
+        F.replace(parts[2], F.lit("\u2028"), F.lit("\r")).alias("message"), "log_type",
+        F.regexp_extract("source", "/source=([^/]*)/", 1).alias("source"), "host")
+
+
+@query("index_pattern_scan", V.with_views("v_logs v_features", """
+    SELECT 'filebeat-' || strftime(event_ts, '%Y.%m.%d') AS index_name, event_id, message, NULL::DOUBLE AS cpu_usage FROM v_logs
+    WHERE strftime(event_ts, '%Y.%m.%d') LIKE '2024.01.1%' AND strftime(event_ts, '%Y.%m.%d') <> '2024.01.13'
+    UNION ALL SELECT 'metricbeat-' || strftime(event_ts, '%Y.%m.%d'), event_id, NULL, cpu_usage FROM v_features
+    WHERE strftime(event_ts, '%Y.%m.%d') = '2024.01.05'"""))
+def index_pattern_scan(spark, sf):
+    """Two beats with different columns in one daily table, and a pattern over beats and days."""
+    root = run_folder(spark, "indices")
+    sinks.append_daily(V.v_logs(spark, sf).select("event_id", "event_ts", "message"), root, beat="filebeat")
+    metrics = prepare.metric_features(V.v_metrics(spark, sf), ["event_id"])
+    sinks.append_daily(metrics.select("event_id", "event_ts", "cpu_usage"), root, beat="metricbeat")
+    found = indices.read_indices(spark, root, "filebeat-2024.01.1*,metricbeat-2024.01.05,-*beat-2024.01.13")
+    return found.select("index_name", "event_id", "message", "cpu_usage")

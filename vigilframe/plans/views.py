@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigilframe.operators.intel import observables
+
 EVENTS_AS_OF = "2024-01-31 00:00:00"
 ORDERS_AS_OF = "2001-08-01 00:00:00"
 
@@ -193,7 +195,7 @@ def _document_rows(spark: SparkSession, sf: str, read=table) -> DataFrame:
     text = F.lit(None).cast("string")
     return read(spark, sf, "documents").select(
         F.concat(F.lit("d"), F.col("doc_id")).alias("log_id"), F.col("doc_id").alias("num_id"),
-        F.nullif(F.regexp_extract("text", IPV4, 0), F.lit("")).alias("ip"),
+        F.array_sort(F.array_distinct(F.regexp_extract_all("text", F.lit(IPV4), F.lit(0)))).alias("ip"),
         text.alias("domain"), text.alias("url"), F.sha2("text", 256).alias("hash"),
         host_of("doc_id").alias("host"), (F.col("lang") == "en").alias("listed"),
     )
@@ -202,14 +204,14 @@ def _document_rows(spark: SparkSession, sf: str, read=table) -> DataFrame:
 def _page_rows(spark: SparkSession, sf: str, read=table) -> DataFrame:
     text = F.lit(None).cast("string")
     return read(spark, sf, "pages").select(
-        F.concat(F.lit("p"), F.col("page_id")).alias("log_id"), F.col("page_id").alias("num_id"), text.alias("ip"),
+        F.concat(F.lit("p"), F.col("page_id")).alias("log_id"), F.col("page_id").alias("num_id"), F.lit(None).cast("array<string>").alias("ip"),
         F.nullif(F.regexp_extract("url", URL_HOST, 1), F.lit("")).alias("domain"), "url", text.alias("hash"),
         host_of("page_id").alias("host"), F.col("url").contains("/en/").alias("listed"),
     )
 
 
 def v_beat_logs(spark: SparkSession, sf: str, read=table) -> DataFrame:
-    """Log corpus with observables: every document (ip, hash) and every page (url, domain).
+    """Log corpus with observables: every document (all its ips, hash) and every page (url, domain).
 
     `listed` marks the English rows, whose observables make up the indicator feeds.
     """
@@ -219,12 +221,9 @@ def v_beat_logs(spark: SparkSession, sf: str, read=table) -> DataFrame:
 def _feed(rows: DataFrame, kinds: list[str]) -> DataFrame:
     level = F.when(F.col("num_id") % 4 == 0, "critical").when(F.col("num_id") % 4 == 1, "high").when(
         F.col("num_id") % 4 == 2, "medium").otherwise("low")
-    pairs = F.array(*[F.struct(F.lit(k).alias("type"), F.col(k).alias("indicator")) for k in kinds])
-    return (
-        rows.where("listed")
-        .select(F.inline(pairs), level.alias("threat_level"), F.concat(F.lit("seen in "), "log_id").alias("description"))
-        .where("indicator IS NOT NULL")
-    )
+    texts = (level.alias("threat_level"), F.concat(F.lit("seen in "), "log_id").alias("description"))
+    found = observables(rows.where("listed").select("log_id", "num_id", *kinds), "log_id", ("num_id",))
+    return found.select("type", F.col("value").alias("indicator"), *texts)
 
 
 def v_feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -234,7 +233,7 @@ def v_feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 def v_messages(spark: SparkSession, sf: str, read=table) -> DataFrame:
     kind = F.col("event_type")
-    bad_type = F.when(F.col("event_id") % 5 == 0, "reboot")
+    bad_type = F.when(F.col("event_id") % 5 == 0, "reboot").when(F.col("event_id") % 100 == 3, "get_status")
     return read(spark, sf, "events").select(
         "event_id", F.col("ts").alias("event_ts"),
         F.when(kind == "signup", "register").when(kind.isin("click", "view"), "heartbeat")
@@ -325,13 +324,13 @@ VIEW_SQL: dict[str, str] = {
               UNION ALL SELECT 'default', 'Default Asset', 'low')""".replace("HOST_C", _host("c_custkey")),
     "v_beat_logs": f"""
         SELECT 'd' || doc_id AS log_id, doc_id AS num_id,
-          nullif(regexp_extract(text, '{IPV4}', 0), '') AS ip, NULL::VARCHAR AS domain, NULL::VARCHAR AS url,
+          list_sort(list_distinct(regexp_extract_all(text, '{IPV4}'))) AS ip, NULL::VARCHAR AS domain, NULL::VARCHAR AS url,
           sha256(text) AS hash, {_host('doc_id')} AS host, lang = 'en' AS listed FROM documents
         UNION ALL
         SELECT 'p' || page_id, page_id, NULL, nullif(regexp_extract(url, '{URL_HOST}', 1), ''), url, NULL,
           {_host('page_id')}, contains(url, '/en/') FROM pages""",
     "v_observables": """
-        SELECT log_id, num_id, host, listed, 'ip' AS type, ip AS value FROM v_beat_logs WHERE ip IS NOT NULL
+        SELECT log_id, num_id, host, listed, 'ip' AS type, unnest(ip) AS value FROM v_beat_logs
         UNION ALL SELECT log_id, num_id, host, listed, 'domain', domain FROM v_beat_logs WHERE domain IS NOT NULL
         UNION ALL SELECT log_id, num_id, host, listed, 'url', url FROM v_beat_logs WHERE url IS NOT NULL
         UNION ALL SELECT log_id, num_id, host, listed, 'hash', hash FROM v_beat_logs WHERE hash IS NOT NULL""",
@@ -343,7 +342,8 @@ VIEW_SQL: dict[str, str] = {
     "v_messages": f"""
         SELECT event_id, ts AS event_ts,
           CASE WHEN event_type='signup' THEN 'register' WHEN event_type IN ('click','view') THEN 'heartbeat'
-               WHEN event_type='purchase' THEN 'send_data' WHEN event_id % 5 = 0 THEN 'reboot' END AS type,
+               WHEN event_type='purchase' THEN 'send_data' WHEN event_id % 5 = 0 THEN 'reboot'
+               WHEN event_id % 100 = 3 THEN 'get_status' END AS type,
           'worker-' || user_id AS worker_id,
           CASE WHEN event_type='signup' AND event_id % 11 <> 0
                THEN CASE WHEN event_id % 2 = 0 THEN 'scanner' ELSE 'log_collector' END END AS worker_type,

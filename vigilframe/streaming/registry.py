@@ -1,16 +1,19 @@
-"""Worker registry as keyed stream state, and the registration gate as micro-batches."""
+"""Worker registry and registration gate as keyed stream state."""
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from vigilframe.operators.messages import first_registrations, reply, validate
+from vigilframe.functions.timing import instant
+from vigilframe.operators.messages import reply, validate
 
 CHANGES = "worker_id string, type string, host string, last_heartbeat timestamp, status string"
 _STATE = "type string, host string, joined bigint, last bigint"
+_MESSAGE = "us bigint, body string"
 
 
 class WorkerRegistry(StatefulProcessor):
@@ -43,9 +46,9 @@ class WorkerRegistry(StatefulProcessor):
         for batch in rows:
             registers = batch[batch["message_type"] == "register"]
             if len(registers):
-                newest = registers.loc[registers["us"].idxmax()]
-                if joined is None or newest["us"] >= joined:
-                    kind, host, joined = newest["worker_type"], newest["host"], int(newest["us"])
+                newest = max(zip(registers["us"].tolist(), registers["worker_type"], registers["host"]))
+                if joined is None or newest > (joined, kind, host):
+                    joined, kind, host = newest
             latest = int(batch["us"].max())
             last = latest if last is None else max(last, latest)
         if joined is None:
@@ -72,8 +75,8 @@ def fold_signals(batches):
     """
     for batch in batches:
         newest = batch.groupby("worker_id")["us"].idxmax()
-        registered = batch[batch["message_type"] == "register"].groupby("worker_id")["us"].idxmax()
-        yield batch.loc[sorted(set(newest) | set(registered))]
+        registered = batch[batch["message_type"] == "register"].sort_values(["us", "worker_type", "host"]).groupby("worker_id").tail(1)
+        yield batch.loc[sorted(set(newest) | set(registered.index))]
 
 
 def worker_status_changes(messages: DataFrame, timeout_seconds: int = 60, delay: str = "0 seconds") -> DataFrame:
@@ -90,27 +93,99 @@ def worker_status_changes(messages: DataFrame, timeout_seconds: int = 60, delay:
         outputMode="Append", timeMode="EventTime")
 
 
-def gate_batches(registry: str, out: str, order: str = "event_ts"):
-    """`foreachBatch` function that answers every message of a micro-batch.
+def listed_workers(spark: SparkSession, checkpoint: str, as_of: str, timeout: str = "60 seconds") -> DataFrame:
+    """The registry of a `worker_status_changes` stream as a listing at `as_of`, read from its state after the last batch.
 
-    The first registration of each worker is kept as a table below `registry`; every batch
-    writes the next version from the last one.  A replayed batch overwrites its own
-    folders, so replies are written once.
+    Signals later than `as_of` that the stream has taken in already are part of the state.
     """
+    state = spark.read.format("statestore").option("stateVarName", "worker").load(checkpoint)
+    last = F.timestamp_micros(F.col("value.last"))
+    late = instant(as_of) > last + F.expr(f"INTERVAL {timeout}")
+    return state.select(
+        F.col("key.worker_id").alias("id"), F.col("value.type").alias("type"), F.col("value.host").alias("host"),
+        last.alias("last_heartbeat"), F.when(late, "offline").otherwise("online").alias("status"))
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        fresh = first_registrations(batch, order)
-        if batch_id > 0:
-            # The folder of the batch before holds the whole registry so far.
-            earlier = session.read.schema(fresh.schema).parquet(f"{registry}/batch={batch_id - 1}")
-            fresh = fresh.unionByName(earlier).groupBy("worker_id").agg(F.min("registered").alias("registered"))
-        fresh.write.mode("overwrite").parquet(f"{registry}/batch={batch_id}")
-        gate = session.read.parquet(f"{registry}/batch={batch_id}")
-        checked = validate(batch).join(gate, "worker_id", "left")
-        registered = F.coalesce(F.col("registered") <= F.col(order), F.lit(False))
-        checked.withColumn("reply", reply(registered)).select(
-            *batch.columns, F.col("reply.status").alias("status"), F.col("reply.message").alias("message"),
-        ).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    return handle
+
+class RegistrationGate(StatefulProcessor):
+    """Keeps a worker's first registration, and the messages that wait for one.
+
+    A message is answered at once if a registration of its time or earlier is known.  Else it waits until the watermark has
+    passed it: no registration can then come that counts for it.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.first = handle.getValueState("first", "us bigint")
+        self.waiting = handle.getListState("waiting", _MESSAGE)
+
+    def _answers(self, key, messages: list[tuple[int, str]], registered: bool):
+        if messages:
+            yield pd.DataFrame({
+                "worker_id": key[0], "us": [m[0] for m in messages], "body": [m[1] for m in messages], "registered": registered})
+
+    def handleInputRows(self, key, rows, timerValues):
+        old = self.first.get()[0] if self.first.exists() else None
+        first, fresh = old, []
+        for batch in rows:
+            joins = batch.loc[batch["joins"], "us"]
+            if len(joins):
+                first = int(joins.min()) if first is None else min(first, int(joins.min()))
+            others = batch[~batch["joins"]]
+            fresh += list(zip(others["us"].tolist(), others["body"].tolist()))
+        waiting = fresh
+        if first != old:
+            self.first.update((first,))
+            held = [tuple(m) for m in self.waiting.get()] if self.waiting.exists() else []
+            waiting = held + fresh
+            if held:
+                self.waiting.clear()
+        passed = [m for m in waiting if first is not None and m[0] >= first]
+        waiting = [m for m in waiting if first is None or m[0] < first]
+        if waiting:
+            self.waiting.appendList(waiting)
+            for us in {m[0] // 1000 for m in waiting}:
+                self.handle.registerTimer(us + 1)
+        yield from self._answers(key, passed, True)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if not self.waiting.exists():
+            return
+        passed = timerValues.getCurrentWatermarkInMs()
+        held = [tuple(m) for m in self.waiting.get()]
+        due = [m for m in held if m[0] // 1000 < passed]
+        if due:
+            rest = [m for m in held if m[0] // 1000 >= passed]
+            self.waiting.put(rest) if rest else self.waiting.clear()
+        yield from self._answers(key, due, False)
+
+    def close(self) -> None:
+        pass
+
+
+def gated_replies(messages: DataFrame, delay: str = "0 seconds", salts: int = 8) -> DataFrame:
+    """The reply to every message of a stream, as `messages.replies` gives it for a table.
+
+    Heartbeats and data go through keyed state, spread over `salts` keys a worker, to each of which the worker's
+    registrations go, so a worker that sends a third of all messages does not meet one task.  All other messages are
+    answered at once.  Messages without a registration are answered when the watermark has passed them.  The session needs
+    the RocksDB state store provider.
+    """
+    checked = validate(messages).withWatermark("event_ts", delay).withColumn("us", F.unix_micros("event_ts"))
+    rest = [c for c in messages.columns if c not in ("event_ts", "worker_id")]
+    gated = F.col("error").isNull() & F.col("type").isin("heartbeat", "send_data")
+    joins = F.col("error").isNull() & (F.col("type") == "register")
+    body = F.to_json(F.struct(*rest), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    salt = F.when(joins, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.pmod(F.xxhash64("us", body), F.lit(salts)).cast("int")))
+    keyed = checked.where(gated | joins).select(
+        "worker_id", F.explode(salt).alias("salt"), "event_ts", "us", joins.alias("joins"), F.when(~joins, body).alias("body"))
+    answered = keyed.groupBy("worker_id", "salt").transformWithStateInPandas(
+        statefulProcessor=RegistrationGate(), outputStructType="worker_id string, us bigint, body string, registered boolean",
+        outputMode="Append", timeMode="EventTime")
+    shape = T.StructType([f for f in messages.schema.fields if f.name in rest])
+    back = answered.select(
+        "worker_id", F.timestamp_micros("us").alias("event_ts"), "registered",
+        F.from_json("body", shape, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).alias("m"))
+    back = back.select(*[F.col("m")[c].alias(c) if c in rest else F.col(c) for c in messages.columns], "registered", F.lit(None).cast("string").alias("error"))
+    direct = checked.where(~gated).select(*messages.columns, F.lit(False).alias("registered"), "error")
+    return direct.unionByName(back).withColumn("reply", reply(F.col("registered"))).select(
+        *messages.columns, F.col("reply.status").alias("status"), F.col("reply.message").alias("message"))

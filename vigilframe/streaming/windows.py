@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilframe.operators.intel import INDICATOR_TYPES
+from vigilframe.operators.intel import listed, observables
 from vigilframe.operators.prepare import METRIC_FEATURES
+from vigilframe.session import materialize
 
 
 def hourly_counts(logs: DataFrame, delay: str = "1 hour") -> DataFrame:
@@ -44,16 +45,17 @@ def deduplicate(rows: DataFrame, keys: list[str], delay: str = "1 hour") -> Data
     return rows.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(keys)
 
 
-def match_indicators(logs: DataFrame, indicators: DataFrame) -> DataFrame:
-    """Log rows that carry an indicator, each once, against a static indicator table.
+def match_batches(indicators: DataFrame, row_id: str, out: str):
+    """`foreachBatch` function that writes a batch's log rows with an indicator, each once, below `out`.
 
-    One stream-static join per observable type keeps the stream stateless.
+    The indicators are folded and written once, before the first batch.  Of each batch only observables that are not NULL
+    travel, as (id, type, value), to one join; the ids found fetch their rows.  A replayed batch overwrites its own folder.
     """
-    hit = F.lit(False)
-    out = logs
-    for kind in [t for t in INDICATOR_TYPES if t in logs.columns]:
-        known = indicators.where(F.col("type") == kind).select(
-            F.col("indicator").alias(f"_{kind}"), F.lit(True).alias(f"_hit_{kind}")).distinct()
-        out = out.join(known, out[kind] == known[f"_{kind}"], "left")
-        hit = hit | F.coalesce(F.col(f"_hit_{kind}"), F.lit(False))
-    return out.where(hit).select(*logs.columns)
+    known = materialize(listed(indicators).select("type", "value"), "indicators")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        rows = materialize(batch, "log-batch")
+        hits = observables(rows, row_id).join(known, ["type", "value"], "left_semi").select(row_id).distinct()
+        rows.join(hits, row_id, "left_semi").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return handle
