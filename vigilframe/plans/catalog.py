@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigilframe.session import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -27,8 +29,12 @@ def rounded(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
 
 def query(name: str, sql: str | None = None):
     def register(fn: Query) -> Query:
-        QUERIES[name] = lambda spark, sf: plain(fn(spark, sf))
-        QUERIES[name].__doc__ = fn.__doc__
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            ship(spark)
+            return plain(fn(spark, sf))
+
+        QUERIES[name] = run
+        run.__doc__ = fn.__doc__
         if sql:
             SQL[name] = sql
         return fn
