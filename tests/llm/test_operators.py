@@ -5,10 +5,12 @@ import re
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 
 import corpus_pipeline
+from vigilframe.session import materialize
 from vigilframe.llm import jaccard, language, ledger, lines, mixing, postings, quality, secrets, substrings, toxicity
 
 SF = "/root/testdata/sf0.001"
@@ -198,7 +200,7 @@ def test_models(spark, docs, nothing):
     for name, label, least in (("op1_toxic_sentences", "toxic", 0.9), ("op5_quality_unlabelled", "quality", 0.9)):
         held = [r for r in entry_point.queries()[name](spark, "/root/testdata/sf0.01").collect() if r.held_out and r.doc_id in labels]
         assert sum(r.predicted == labels[r.doc_id][label] for r in held) >= least * len(held)
-    no_model = (toxicity.score(docs, None), language.predict(docs, None), quality.score(docs, quality.fit([], [], 0.5)))
+    no_model = (toxicity.score(docs, None), language.predict(docs, None), quality.score(docs, quality.constant(0.0)))
     assert all(x.count() == len(edge_rows()) for x in no_model)
     assert toxicity.score(nothing, None).count() == language.predict(nothing, None).count() == 0
     model = language.fit([("the house of the rising", "en"), ("das haus der sonne", "de")] * 5, {"en": 5, "de": 5})
@@ -206,8 +208,40 @@ def test_models(spark, docs, nothing):
     assert judged[1].lang_pred == "und" and judged[2].lang_pred == "und" and judged[5].lang_pred in ("de", "en")
 
 
-def test_pipeline_edges(spark, docs):
-    for name, stage in corpus_pipeline.STAGES[:3]:
-        kept = stage(spark, docs.select("doc_id", "text", "lang", "source", "n_chars"), SF)
-        assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
-        assert kept.count() <= len(edge_rows())
+def test_pipeline_edges(spark, docs, nothing):
+    """All five stages on edge rows with clashing column names, one after the other, and on no rows."""
+    given = docs.select("doc_id", "text", "lang", "source", "n_chars").withColumns({
+        c: F.lit(f"my {c}") for c in ("score", "lines", "key", "row", "words", "mix", "lang_pred", "component_id", "n_hit")})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = materialize(stage(spark, given, SF), name)
+        assert kept.columns == given.columns and kept.count() <= given.count(), name
+        assert all(kept.filter(f"`{c}` <> 'my {c}'").isEmpty() for c in given.columns[5:]), name
+        if name in ("near_duplicates", "decontamination"):
+            assert kept.filter("doc_id IS NULL").count() == given.filter("doc_id IS NULL").count(), name
+        given = kept
+    last = corpus_pipeline.STAGES[-1][1](spark, given, SF)
+    assert last.count() == given.count() and last.columns == [*given.columns, *corpus_pipeline.ADDED]
+    clash = corpus_pipeline.STAGES[-1][1](spark, given.withColumn("size", F.lit("x")), SF)
+    assert dict(clash.dtypes)["size"] == "bigint"
+    for name, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, nothing.select("doc_id", "text", "lang", "source", "n_chars"), SF)
+        assert empty.count() == 0 and empty.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"], name
+
+
+def test_pipeline_stages_one_by_one(spark):
+    """Every stage on rows that it alone must drop or change, nulls and repeats among them."""
+    stages = dict(corpus_pipeline.STAGES)
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").filter("size(split(text, ' ')) > 15").first().text
+    run = "\n".join(prose(20 + i, 9) for i in range(4))
+    rows = [(1, run, "en", "a", 7), (2, f"new line\n{run}", "en", "a", 7), (3, run, "en", "a", 7), (4, item, "en", "b", 1),
+            (5, None, None, None, None), (6, "", "en", None, 0), (None, item, "en", "b", 1), (4, item, "en", "b", 1), (7, prose(40, 60), "en", "b", 3)]
+    docs = spark.createDataFrame(rows, schema)
+    cut = {r.doc_id: (r.text, r.n_chars) for r in stages["line_dedup"](spark, docs, SF).collect()}
+    assert cut[2] == ("new line", 8) and 3 not in cut and cut[1] == (run, 7) and cut[5] == (None, None) and cut[6] == ("", 0)
+    near = sorted(str(r.doc_id) for r in stages["near_duplicates"](spark, docs, SF).collect())
+    assert near == ["1", "2", "4", "4", "5", "6", "7", "None"] or near == ["1", "4", "4", "5", "6", "7", "None"]
+    clean = sorted(str(r.doc_id) for r in stages["decontamination"](spark, docs, SF).collect())
+    assert clean == ["1", "2", "3", "5", "6", "7"]
+    mix = stages["mixing"](spark, docs, SF).collect()
+    assert len(mix) == len(rows) and all(r.taken <= 2 * r["size"] for r in mix)
