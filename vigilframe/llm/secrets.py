@@ -1,16 +1,18 @@
 """Secret scans with a recursive decoding worklist.
 
-A text is a layer.  Every layer is searched for the secret kinds; encoded runs in it (URL escapes, Unicode
-escapes, base64, and gzip or zlib streams anywhere in it, all members) are decoded to further layers until
-nothing new comes up.  Layers are bytes, text or not.  A layer seen before (same 128-bit hash) is not
+A text is a layer.  Every layer is searched for the secret kinds; encoded runs in it (URL escapes, Unicode,
+octal and character-reference escapes, base64, and gzip or zlib streams anywhere in it, all members) are
+decoded to further layers until nothing new comes up.  Base64 that goes on over line ends is one run.  As
+other characters of its alphabet may stand before a payload, a run is decoded from each of its first four
+characters, which covers every place where a payload can begin.  Layers are bytes, text or not.  A layer seen before (same 128-bit hash) is not
 searched again for the same place, which ends cycles.  Spans of
 a decoded layer are mapped character by character to the text where the decoding keeps places (URL and
 Unicode escapes), and to the whole encoded run otherwise.
 
 A stream is unpacked to its end.  Beyond `PIECE` bytes it is a layer piece by piece, cut behind bytes that no
 pattern and no encoding of text holds, so memory follows the depth and not the stream.  A document is marked
-`truncated` where this leaves something out: a token longer than a piece, a stream inside a piece that goes
-on in the next, or layers nested deeper than `DEEPEST`.
+`truncated` where this leaves something out: a token longer than a piece, a stream that ends short of its
+data after `NOTED` bytes (chance bytes look like the head of a stream, but seldom yield so many), or layers nested deeper than `DEEPEST`.
 
 Defined results: NULL text is empty; repeated rows get a row each; other columns are kept, those named like
 a result are replaced.
@@ -35,6 +37,7 @@ from vigilframe.llm.frames import bounded_batches
 KINDS = ("assign", "access", "hex")
 PIECE, OVERLAP = 8 << 20, 1 << 20
 DEEPEST = 100
+NOTED = 64
 
 # The patterns and least lengths of the three kinds.
 ASSIGN = re.compile(rb"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -46,12 +49,13 @@ HEX_RUN[list(b"0123456789abcdef")] = True
 BASE64_RUN = np.zeros(256, bool)
 BASE64_RUN[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_=")] = True
 BASE64_LEAST = 16
-BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}={0,2}")
+BASE64 = re.compile(rb"""[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]{0,8}[A-Za-z0-9+/_-]{2,})*={0,2}""")
+WHITE = re.compile(rb"[\r\n \t]+")
 STREAM = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
 BREAK = np.ones(256, bool)  # bytes that no pattern above or below holds
 BREAK[32:127] = BREAK[list(b"\x01\x08\x1f\x8b\x9c\xda")] = False
 URL_ESCAPE = re.compile(rb"%([0-9A-Fa-f]{2})")
-UNICODE_ESCAPE = re.compile(rb"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
+UNICODE_ESCAPE = re.compile(rb"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});|\\u\{([0-9A-Fa-f]{1,6})\}|\\([0-3][0-7]{2})")
 
 
 def long_runs(data: bytes, marks: np.ndarray, least: int) -> np.ndarray:
@@ -93,6 +97,8 @@ def substituted(data: bytes, pattern: re.Pattern, value) -> tuple[bytes, np.ndar
 
 
 def character(m: re.Match) -> bytes | None:
+    if m[7]:  # octal escapes are bytes
+        return bytes([int(m[7], 8)])
     groups = m.groups()
     code = int(next(g for g in groups if g is not None), 10 if groups[4] else 16)
     if code > 0x10FFFF or 0xD800 <= code < 0xE000:
@@ -138,9 +144,9 @@ def unpacked(data: bytes, at: int) -> Iterator[tuple[bytes, int, bool, bool]]:
 
 
 def decoded_base64(run: bytes) -> bytes | None:
+    """The bytes of a run; a last character that is no whole byte is left out."""
     body = run.rstrip(b"=").replace(b"-", b"+").replace(b"_", b"/")
-    if len(body) % 4 == 1:
-        return None
+    body = body[:-1] if len(body) % 4 == 1 else body
     try:
         return base64.b64decode(body + b"=" * (-len(body) % 4), validate=True)
     except binascii.Error:
@@ -167,15 +173,19 @@ def layers(data: bytes, more: bool) -> Iterator[tuple[bytes, np.ndarray, np.ndar
         yield *new, False, more
     if (b"\\" in data or b"&#" in data) and (new := substituted(data, UNICODE_ESCAPE, character)):
         yield *new, False, more
-    for low, high in long_runs(data, BASE64_RUN, BASE64_LEAST):
-        for m in BASE64.finditer(data, int(low), int(high)):
-            if out := decoded_base64(m[0]):
-                yield out, same(m.start(), len(out)), same(m.end(), len(out)), False, False
+    at = 0
+    for low, high in long_runs(data, BASE64_RUN, BASE64_LEAST).tolist():
+        at = max(at, low)
+        while at < high and (m := BASE64.search(data, at)) and m.start() < high:
+            at, run = m.end(), WHITE.sub(b"", m[0])
+            for skip in range(4):
+                if out := decoded_base64(run[skip:]):
+                    yield out, same(m.start() + skip, len(out)), same(m.end(), len(out)), False, False
     at = 0
     while m := STREAM.search(data, at):
         at, end = m.start() + 1, 0
         for piece, end, cut, goes_on in unpacked(data, m.start()):
-            yield piece, same(m.start(), len(piece)), same(end or len(data), len(piece)), cut and (more or goes_on), goes_on
+            yield piece, same(m.start(), len(piece)), same(end or len(data), len(piece)), cut and (more or goes_on or len(piece) >= NOTED), goes_on
         at = max(at, end)
 
 
