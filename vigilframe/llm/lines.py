@@ -16,8 +16,9 @@ dropped before windows are compared.  All groups are minima and counts with part
 skew-splitting joins.
 
 Defined results: NULL text stays NULL; rows with a NULL id are neither changed nor compared; rows of one
-id and text are one document and get the same result; texts that lose all lines become empty; other
-columns are kept.
+id and text are one document and get the same result; texts that lose all lines become empty; very long
+texts are cut as others are, one at a time; an empty table gives an empty table; other columns are kept, one
+named like `into` is replaced.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilframe.llm import tokens as T
-from vigilframe.llm.frames import bounded_batches, pick, small_by
+from vigilframe.llm.frames import bounded_batches, pick, small, small_by
 from vigilframe.session import materialize
 
 NEWLINE = np.zeros(256, bool)
@@ -105,8 +106,9 @@ def repeated_runs(docs: DataFrame, doc_id: str, text: str, run: int, long_words:
         fingerprints(run, long_words),
         "doc_id bigint, key bigint, line int, fingerprint bigint, one bigint, two bigint, size int"), "fingerprints")
     often = prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("fingerprint")
-    match = ["fingerprint", "one", "two", "size"]  # a size below 0: whole documents of so many lines
-    first = prints.join(often, "fingerprint", "left_semi").groupBy(*match).agg(
+    # Grouped by the window alone, whose hashes are spread anew: the windows of a common line do not stay together.
+    match = ["one", "two", "size"]  # a size below 0: whole documents of so many lines
+    first = prints.join(small(materialize(often, "common-lines")), "fingerprint", "left_semi").groupBy(*match).agg(
         F.min(F.struct("doc_id", "line", "key")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     later = prints.join(first.select(*match, "first"), match).filter(
         (F.col("doc_id") > F.col("first.doc_id")) | ((F.col("doc_id") == F.col("first.doc_id")) & (F.col("line") > F.col("first.line"))))

@@ -64,11 +64,15 @@ def op6_substring_sketch(spark, sf):
 LINE_CUT = r"""
     l AS (SELECT doc_id, lang, source, n_chars, text, pieces, list_filter(range(1, len(pieces) + 1), lambda i: regexp_matches(pieces[i], '[^\x20\x09-\x0D]')) AS idx
       FROM (SELECT *, string_split(text, chr(10)) AS pieces FROM docs)),
-    lwin AS (SELECT doc_id, i, struct_pack(a := pieces[idx[i]], b := pieces[idx[i + 1]], c := pieces[idx[i + 2]]) AS s
-      FROM (SELECT doc_id, pieces, idx, unnest(range(1, len(idx) - 1)) AS i FROM l)),
-    llater AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(struct_pack(d := doc_id, i := i)) OVER (PARTITION BY s) AS first FROM lwin)
+    lrow AS (SELECT doc_id, pieces, idx, list_transform(idx, lambda i: len(regexp_extract_all(pieces[i], '[^\x20\x09-\x0D]+'))) AS n FROM l),
+    lsize AS (SELECT doc_id, pieces, idx, n, size, whole, unnest(range(1, len(idx) - size + 2)) AS i
+      FROM lrow, (VALUES (3, false), (1, false), (2, false), (1, true), (2, true)) AS sizes(size, whole) WHERE len(idx) >= size AND (NOT whole OR len(idx) = size)),
+    lwin AS (SELECT doc_id, i, size, struct_pack(a := pieces[idx[i]], b := CASE WHEN size > 1 THEN pieces[idx[i + 1]] END, c := CASE WHEN size > 2 THEN pieces[idx[i + 2]] END,
+        w := whole) AS s FROM lsize
+      WHERE CASE WHEN whole THEN list_sum(n) <= 50 ELSE size = 3 OR list_sum(n[i:i + size - 1]) > 50 END),
+    llater AS (SELECT doc_id, i, size FROM (SELECT doc_id, i, size, min(struct_pack(d := doc_id, i := i)) OVER (PARTITION BY size, s) AS first FROM lwin)
       WHERE doc_id > first.d OR (doc_id = first.d AND i > first.i)),
-    lgone AS (SELECT doc_id, list(DISTINCT p) AS gone FROM (SELECT doc_id, unnest(range(i, i + 3)) AS p FROM llater) GROUP BY 1),
+    lgone AS (SELECT doc_id, list(DISTINCT p) AS gone FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM llater) GROUP BY 1),
     lcut AS (SELECT l.doc_id, lang, source, n_chars, len(idx) AS n_lines, coalesce(len(gone), 0) AS n_removed,
         CASE WHEN gone IS NULL THEN text WHEN len(gone) = len(idx) THEN ''
           ELSE array_to_string(list_transform(list_filter(range(1, len(pieces) + 1), lambda i: NOT list_contains(list_transform(gone, lambda p: idx[p]), i)), lambda i: pieces[i]), chr(10)) END AS text
@@ -79,7 +83,7 @@ LINE_CUT = r"""
     WITH docs AS (SELECT * FROM documents), {LINE_CUT}
     SELECT doc_id, coalesce(n_lines, 0) AS n_lines, n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM lcut""")
 def op10_line_winnowing(spark, sf):
-    cut = lines.dedup_lines(table(spark, sf, "documents"), long_words=None)  # the SQL twin's rule: runs of 3 lines
+    cut = lines.dedup_lines(table(spark, sf, "documents"))
     return cut.select("doc_id", "lines.n_lines", "lines.n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
@@ -134,16 +138,18 @@ def by_label(spark, sf, name, folds, out):
     return labels.filter(samples.fold(F.col("doc_id"), folds) != out)
 
 
-def judged(scored, folds, out):
+def judged(scored, folds, out, *more):
     return scored.select(
         "doc_id", (samples.fold(F.col("doc_id"), folds) == out).alias("held_out"), "score",
-        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), *more)
 
 
 @query("op1_toxic_sentences")
 def op1_toxic_sentences(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return judged(toxicity.score(docs, toxicity.train(docs, by_label(spark, sf, "toxic", 4, 2))), 4, 2)
+    found = toxicity.score(docs, toxicity.train(docs, by_label(spark, sf, "toxic", 4, 2)))
+    spans = F.transform("sentences", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return judged(found, 4, 2, F.array_join(spans, ",").alias("sentences"))
 
 
 @query("op5_quality_unlabelled")
