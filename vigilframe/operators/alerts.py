@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vigilframe.functions.severity import severity_at_least
 
 HEAD = 5
+# Subjects, bodies and this footer are fixed values.
 FOOTER = "\n\nThis is an automated message.\n"
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vigilframe.functions.timing import instant
 from vigilframe.operators.logs import Rule
 
+# Message texts and the address pattern.
 SSH_FAILURE = Rule("ssh_login_failure", ("Failed password for", "Invalid user"))
 SUDO = Rule("sudo_command", ("sudo",))
 PEER = r"from ([0-9]{1,3}(?:\.[0-9]{1,3}){3})"
