@@ -2,7 +2,7 @@
 
 Texts are lower-cased (A-Z), cut into pieces at punctuation and line ends and pieces into words.  Chunks of texts keep
 their words as places in a list of the chunk's distinct words.  These lists are summed to the words' counts; words of at
-least `least` occurrences get ids, and the ids go back to the chunks, so no vocabulary is broadcast unless it is small.
+least `least` occurrences get ids, and the ids go back to the chunks in a join, so no vocabulary need be broadcast.
 Each chunk then counts its n-grams of two and three such words in a counting quotient filter (`quotient.py`), cut by the
 highest bits of the permuted keys into shards, and the sorted filters of a shard are merged.  The number of shards grows
 with the words, so a shard holds about `SHARD` n-grams whatever the corpus.  A phrase can only be as frequent as its
@@ -191,7 +191,7 @@ def frequent_grams(docs: DataFrame, text: str = "text", lang: str = "lang", leas
     shard_bits = min((2 * total // shard_grams).bit_length(), Q.half(width))
     listed = table.select("chunk", F.posexplode(F.arrays_zip("langs", "words")).alias("place", "w"))
     known = listed.select("chunk", "place", F.col("w.langs").alias("lang"), F.col("w.words").alias("word")).join(
-        small(ids.select("lang", "word", "id")), ["lang", "word"])
+        ids.select("lang", "word", "id"), ["lang", "word"])
     both = known.select("chunk", F.lit(0).alias("seq"), "place", "id", F.lit(None).cast("binary").alias("stream")).unionByName(
         table.select("chunk", F.lit(1).alias("seq"), F.lit(0).alias("place"), F.col("n_words").alias("id"), "stream"))
     cut = both.repartition("chunk").sortWithinPartitions("chunk", "seq").mapInArrow(filters(width, shard_bits), "shard int, filter binary")
