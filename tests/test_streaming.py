@@ -199,3 +199,14 @@ def test_cycles_equal_table_jobs(spark, feed, tmp_path):
     handle(last, 3)  # a replayed batch closes nothing twice and keeps its rows once
     assert rows(cycles.results(spark, root, shape).select("as_of", "worker_id", "n", "last"), "as_of", "worker_id") == sorted(expected)
     assert spark.read.parquet(root + "/history").count() == len(feed.all)
+
+
+def test_table_stream_of_a_file_and_of_a_folder(spark, tmp_path):
+    """A table may be one file or a folder of files, and the stream reads either whole."""
+    from vigilframe.plans.stream_queries import table_stream
+
+    pages = spark.createDataFrame([(i, f"http://h{i}/", "x") for i in range(10)], "page_id bigint, url string, html string")
+    pages.repartition(3).write.parquet(str(tmp_path / "many" / "pages.parquet"))
+    pages.toPandas().to_parquet(str(tmp_path / "pages.parquet"))
+    for folder in (tmp_path / "many", tmp_path):
+        assert runs.run_once(table_stream(spark, str(folder), "pages"), spark, "pages").count() == 10
