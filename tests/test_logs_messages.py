@@ -207,6 +207,29 @@ def test_rule_tables_equal_contains(spark, monkeypatch):
     assert rule_tables.rule_hits(logs_.limit(0), rules).count() == 0
 
 
+def test_rule_tables_share_needles(spark, monkeypatch):
+    """Needles of many rules, rules of many needles and of several common ones: Python gives keys, never their rules."""
+    from vigilframe.operators import rule_tables
+
+    monkeypatch.setattr(rule_tables, "HEAVY", 4)
+    monkeypatch.setattr(rule_tables, "WIDE", 3)
+    table = [(f"c{i}", n) for i in range(9) for n in ("port", f"u{i}")] + [(f"d{i}", n) for i in range(6) for n in ("port", "ssh")]
+    table += [("w", f"u{i}") for i in range(9)] + [("e", ""), ("s", "ssh"), ("s", "u1"), ("p", "port")]
+    texts = ["u1 port", "u1 port", "port", "ssh", "u2 ssh port u3", "u1 u2", "", None, "u8 ssh"]
+    rules = spark.createDataFrame(table, "rule string, needle string")
+    logs_ = spark.createDataFrame(list(enumerate(texts)), "id int, message string")
+    expected = sorted((i, r) for i, t in enumerate(texts) for r in {r for r, n in table if n in (t or "")})
+    for size in (200_000, 4):
+        monkeypatch.setattr(rule_tables, "PART_NEEDLES", size)
+        assert sorted((x["id"], x["rule"]) for x in rule_tables.rule_hits(logs_, rules).collect()) == expected
+        counts = {x["rule"]: x["matches"] for x in rule_tables.rule_counts(logs_, rules).collect()}
+        assert counts == {r: sum(q == r for _, q in expected) for r, _ in table}
+        tagged = {x["id"]: x["rules"] for x in rule_tables.tag_rules(logs_, rules).collect()}
+        assert tagged == {i: sorted(r for j, r in expected if j == i) for i in range(len(texts))}
+    keys = rule_tables.with_keys(logs_, rule_tables.keyed_rules(rules), "message", "k").where("id = 0").first()["k"]
+    assert set(keys) >= {"hport"} and not any(k.startswith("rc") or k == "rp" for k in keys)
+
+
 def test_status_listings_equal_brute_force(spark):
     """Requests and signals at random instants, many of them equal, over several buckets."""
     import random
