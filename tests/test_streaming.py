@@ -210,3 +210,14 @@ def test_table_stream_of_a_file_and_of_a_folder(spark, tmp_path):
     pages.toPandas().to_parquet(str(tmp_path / "pages.parquet"))
     for folder in (tmp_path / "many", tmp_path):
         assert runs.run_once(table_stream(spark, str(folder), "pages"), spark, "pages").count() == 10
+
+
+def test_array_files_are_cut_once_a_file(spark, tmp_path):
+    """The array is parsed below the rows of its elements, not again for each of them."""
+    from vigilframe.streaming import drops
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('[{"n": 1}, {"n": 2}]')
+    stream = drops.array_stream(spark, str(tmp_path), drops.Dataset("in", spark.createDataFrame([], "n int").schema))
+    plan = stream._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" in plan and "ArrayType(StringType" not in plan[:plan.index("Generate explode")]

@@ -35,8 +35,9 @@ def array_stream(spark: SparkSession, folder: str, dataset: Dataset, archive: st
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     files = reader.text(f"{folder}/{dataset.pattern}", wholetext=True).where("trim(BOTH ' \t\r\n' FROM value) <> ''")
-    elements = F.from_json("value", "array<string>")
-    found = files.select(F.explode_outer(elements).alias("element"), F.when(elements.isNull(), F.col("value")).alias("file")).where(
+    cut = files.select("value", F.from_json("value", "array<string>").alias("elements"))  # once a file, not once an element
+    cut = cut.select("elements", F.when(F.col("elements").isNull(), F.col("value")).alias("file"))
+    found = cut.select(F.explode_outer("elements").alias("element"), "file").where(
         "element IS NOT NULL OR file IS NOT NULL")
     parsed = found.select("file", F.from_json("element", shape, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}).alias("p"))
     return parsed.select(*[F.col("p")[f.name].alias(f.name) for f in dataset.schema.fields], F.coalesce("file", F.col("p")[BAD]).alias(BAD))
