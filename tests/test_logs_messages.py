@@ -259,3 +259,17 @@ def test_status_listings_equal_brute_force(spark):
         assert sorted(tuple(r) for r in found.collect()) == sorted(expected)
     assert messages.status_listings(table.where("type <> 'get_status'")).count() == 0
     assert messages.status_listings(table.where("type = 'get_status'")).count() == 0
+
+
+def test_status_listings_deal_out_the_answers(spark, monkeypatch):
+    """A state is written out for its requests in pieces, in tasks whose number does not follow the bytes of the states."""
+    data = [(0, 0, "register", "w0", "x"), (1, 0, "register", "w1", "x"), (2, 30, "heartbeat", "w1", None)]
+    data += [(10 + i, i, "get_status", None, None) for i in range(50)]
+    table = spark.createDataFrame(data, "event_id int, s long, type string, worker_id string, worker_type string").select(
+        "*", F.timestamp_seconds("s").alias("event_ts"), F.lit("h").alias("host"), F.lit("{}").alias("data"))
+    whole = sorted(tuple(r) for r in messages.status_listings(table).collect())
+    monkeypatch.setattr(messages, "LISTED", 7, raising=False)
+    found = messages.status_listings(table)
+    assert sorted(tuple(r) for r in found.collect()) == whole and len(whole) == 100
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan[plan.index("Generate explode(sequence(slot"):]
