@@ -219,5 +219,7 @@ def test_array_files_are_cut_once_a_file(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text('[{"n": 1}, {"n": 2}]')
     stream = drops.array_stream(spark, str(tmp_path), drops.Dataset("in", spark.createDataFrame([], "n int").schema))
-    plan = stream._jdf.queryExecution().optimizedPlan().toString()
+    run = stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    run.awaitTermination()
+    plan = run._jsq.explainInternal(True).split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
     assert "Generate explode" in plan and "ArrayType(StringType" not in plan[:plan.index("Generate explode")]
