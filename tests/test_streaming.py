@@ -223,3 +223,23 @@ def test_array_files_are_cut_once_a_file(spark, tmp_path):
     run.awaitTermination()
     plan = run._jsq.explainInternal(True).split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
     assert "Generate explode" in plan and "ArrayType(StringType" not in plan[:plan.index("Generate explode")]
+
+
+def test_gate_keeps_one_timer_for_all_that_wait():
+    """Messages that wait set one timer a key, at the earliest, and what is not due yet sets the next one."""
+    from unittest.mock import MagicMock
+
+    from pyspark.sql import Row
+
+    gate, held = registry.RegistrationGate(), []
+    gate.handle, gate.first, gate.waiting = MagicMock(), MagicMock(), MagicMock()
+    gate.first.get.return_value, gate.waiting.get.side_effect = None, lambda: iter(held)
+    gate.waiting.appendList.side_effect = held.extend
+    sent = [Row(us=1000 * k, body=str(k), joins=False) for k in (7, 5, 9)]
+    assert list(gate.handleInputRows(("w", 0), iter(sent), None)) == []
+    gate.handle.registerTimer.assert_called_once_with(6)
+    now = MagicMock()
+    now.getCurrentWatermarkInMs.return_value = 8
+    assert sorted(r.body for r in gate.handleExpiredTimer(("w", 0), now, None)) == ["5", "7"]
+    gate.waiting.put.assert_called_once_with([(9000, "9")])
+    assert gate.handle.registerTimer.call_args.args == (10,)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -35,33 +34,32 @@ class WorkerRegistry(StatefulProcessor):
 
     def _row(self, key, state, status: str):
         kind, host, _, last = state
-        return pd.DataFrame({
-            "worker_id": [key[0]], "type": [kind], "host": [host],
-            "last_heartbeat": [pd.Timestamp(last, unit="us")], "status": [status]})
+        return Row(worker_id=key[0], type=kind, host=host, us=last, status=status)
 
     def handleInputRows(self, key, rows, timerValues):
-        known = self.worker.get() if self.worker.exists() else None
-        old_last = known[3] if known else None
-        kind, host, joined, last = known if known else (None, None, None, None)
-        for batch in rows:
-            registers = batch[batch["message_type"] == "register"]
-            if len(registers):
-                newest = max(zip(registers["us"].tolist(), registers["worker_type"], registers["host"]))
+        known = self.worker.get()
+        kind, host, joined, last = old = tuple(known) if known else (None, None, None, None)
+        old_last = last
+        for row in rows:
+            if row.message_type == "register":
+                newest = (row.us, row.worker_type, row.host)
                 if joined is None or newest > (joined, kind, host):
                     joined, kind, host = newest
-            latest = int(batch["us"].max())
-            last = latest if last is None else max(last, latest)
+            last = row.us if last is None else max(last, row.us)
         if joined is None:
             return
-        self.worker.update((kind, host, joined, last))
-        if old_last is not None:
-            self.handle.deleteTimer(self._deadline(old_last))
-        self.handle.registerTimer(self._deadline(last))
+        if (kind, host, joined, last) != old:
+            self.worker.update((kind, host, joined, last))
+        if last != old_last:
+            if old_last is not None:
+                self.handle.deleteTimer(self._deadline(old_last))
+            self.handle.registerTimer(self._deadline(last))
         yield self._row(key, (kind, host, joined, last), "online")
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.worker.exists():
-            yield self._row(key, self.worker.get(), "offline")
+        known = self.worker.get()
+        if known:
+            yield self._row(key, tuple(known), "offline")
 
     def close(self) -> None:
         pass
@@ -88,9 +86,10 @@ def worker_status_changes(messages: DataFrame, timeout_seconds: int = 60, delay:
                 F.coalesce("host", F.lit("unknown")).alias("host"), F.unix_micros("event_ts").alias("us"))
     )
     folded = signals.mapInPandas(fold_signals, signals.schema)
-    return folded.groupBy("worker_id").transformWithStateInPandas(
-        statefulProcessor=WorkerRegistry(timeout_seconds * 1000), outputStructType=CHANGES,
+    changes = folded.groupBy("worker_id").transformWithState(
+        statefulProcessor=WorkerRegistry(timeout_seconds * 1000), outputStructType="worker_id string, type string, host string, us bigint, status string",
         outputMode="Append", timeMode="EventTime")
+    return changes.select("worker_id", "type", "host", F.timestamp_micros("us").alias("last_heartbeat"), "status")
 
 
 def listed_workers(spark: SparkSession, checkpoint: str, as_of: str, timeout: str = "60 seconds") -> DataFrame:
@@ -110,7 +109,7 @@ class RegistrationGate(StatefulProcessor):
     """Keeps a worker's first registration, and the messages that wait for one.
 
     A message is answered at once if a registration of its time or earlier is known.  Else it waits until the watermark has
-    passed it: no registration can then come that counts for it.
+    passed it: no registration can then come that counts for it.  One timer stands for all that wait, at the earliest of them.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -119,23 +118,22 @@ class RegistrationGate(StatefulProcessor):
         self.waiting = handle.getListState("waiting", _MESSAGE)
 
     def _answers(self, key, messages: list[tuple[int, str]], registered: bool):
-        if messages:
-            yield pd.DataFrame({
-                "worker_id": key[0], "us": [m[0] for m in messages], "body": [m[1] for m in messages], "registered": registered})
+        for us, body in messages:
+            yield Row(worker_id=key[0], us=us, body=body, registered=registered)
 
     def handleInputRows(self, key, rows, timerValues):
-        old = self.first.get()[0] if self.first.exists() else None
-        first, fresh = old, []
-        for batch in rows:
-            joins = batch.loc[batch["joins"], "us"]
-            if len(joins):
-                first = int(joins.min()) if first is None else min(first, int(joins.min()))
-            others = batch[~batch["joins"]]
-            fresh += list(zip(others["us"].tolist(), others["body"].tolist()))
+        known = self.first.get()
+        first = old = known[0] if known else None
+        fresh = []
+        for row in rows:
+            if row.joins:
+                first = row.us if first is None else min(first, row.us)
+            else:
+                fresh.append((row.us, row.body))
         waiting = fresh
         if first != old:
             self.first.update((first,))
-            held = [tuple(m) for m in self.waiting.get()] if self.waiting.exists() else []
+            held = [tuple(m) for m in self.waiting.get()]
             waiting = held + fresh
             if held:
                 self.waiting.clear()
@@ -143,19 +141,20 @@ class RegistrationGate(StatefulProcessor):
         waiting = [m for m in waiting if first is None or m[0] < first]
         if waiting:
             self.waiting.appendList(waiting)
-            for us in {m[0] // 1000 for m in waiting}:
-                self.handle.registerTimer(us + 1)
+            self.handle.registerTimer(min(waiting)[0] // 1000 + 1)
         yield from self._answers(key, passed, True)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if not self.waiting.exists():
-            return
-        passed = timerValues.getCurrentWatermarkInMs()
         held = [tuple(m) for m in self.waiting.get()]
+        passed = timerValues.getCurrentWatermarkInMs()
         due = [m for m in held if m[0] // 1000 < passed]
         if due:
             rest = [m for m in held if m[0] // 1000 >= passed]
-            self.waiting.put(rest) if rest else self.waiting.clear()
+            if rest:
+                self.waiting.put(rest)
+                self.handle.registerTimer(min(rest)[0] // 1000 + 1)
+            else:
+                self.waiting.clear()
         yield from self._answers(key, due, False)
 
     def close(self) -> None:
@@ -178,7 +177,7 @@ def gated_replies(messages: DataFrame, delay: str = "0 seconds", salts: int = 8)
     salt = F.when(joins, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.pmod(F.xxhash64("us", body), F.lit(salts)).cast("int")))
     keyed = checked.where(gated | joins).select(
         "worker_id", F.explode(salt).alias("salt"), "event_ts", "us", joins.alias("joins"), F.when(~joins, body).alias("body"))
-    answered = keyed.groupBy("worker_id", "salt").transformWithStateInPandas(
+    answered = keyed.groupBy("worker_id", "salt").transformWithState(
         statefulProcessor=RegistrationGate(), outputStructType="worker_id string, us bigint, body string, registered boolean",
         outputMode="Append", timeMode="EventTime")
     shape = T.StructType([f for f in messages.schema.fields if f.name in rest])
