@@ -305,6 +305,41 @@ def test_classifier(spark, training, tmp_path):
     np.testing.assert_allclose(sorted(v for v in unit if v), sorted(weights.values()), rtol=1e-9)
 
 
+def test_wide_classifier(spark, training, tmp_path, monkeypatch):
+    """Words and coefficients as a table: the minimum, predictions, a saved model, a stream; no row is left out."""
+    from vigilframe.operators import wide
+    from vigilframe.streaming import runs
+    monkeypatch.setattr(wide, "PART_ROWS", 7)
+    monkeypatch.setattr(classify, "TOL", 1e-7)
+    third = spark.createDataFrame([(40 + i, f"common lines of host{i % 3} x1 x1", "normal") for i in range(5)] + [(50, None, "normal"), (51, "a", "normal")], training.schema)
+    fresh = spark.createDataFrame([("failed password again",), ("malware found",), ("unheard",), (None,)], "message string")
+    for rows_ in (training, training.unionByName(third)):
+        model = classify.train_classifier(rows_, max_coefficients=0)
+        tf = {(r["id"], r["token"]): r["weight"] for r in classify.tfidf_weights(rows_, "id").collect()}
+        table = {r["token"]: r["weights"] for r in model.weights.collect()}
+        assert set(table) == {token for _, token in tf}
+        ids, words = sorted(r["id"] for r in rows_.collect()), sorted(table)
+        x = np.array([[tf.get((i, w), 0.0) for w in words] for i in ids])
+        classes = {r["id"]: model.classes.index(r["threat_type"]) for r in rows_.collect()}
+        w, y = np.array([table[t] for t in words]), np.array([classes[i] for i in ids])
+        margins = x @ w + np.array(model.intercepts)
+        both = margins if margins.shape[1] > 1 else np.hstack([0 * margins, margins])
+        p = np.exp(both) / np.exp(both).sum(axis=1, keepdims=True)
+        p[np.arange(len(y)), y] -= 1
+        gradient = np.vstack([x.T @ p[:, -w.shape[1]:] + w, p[:, -w.shape[1]:].sum(axis=0)])
+        assert np.abs(gradient).max() < 1e-2 and np.abs(w).max() > 0.1  # at the minimum it is zero
+        sinks.save_model(model, str(tmp_path / f"m{len(ids)}"))
+        again = sinks.load_model(str(tmp_path / f"m{len(ids)}"))
+        found = [r["predicted"] for r in classify.classify(again, fresh).collect()]
+        assert found[:2] == ["brute", "malware"] and found[2] == found[3] == model.classes[int(np.argmax([0.0, *model.intercepts][-len(model.classes):]))]
+    fresh.write.parquet(str(tmp_path / "s"))
+    stream = spark.readStream.schema("message string").parquet(str(tmp_path / "s"))
+    with pytest.raises(ValueError):
+        classify.classify(again, stream)
+    runs.run_batches(stream, spark, "wide", classify.classify_batches(again, str(tmp_path / "out"), ["message"]))
+    assert {r["predicted"] for r in spark.read.parquet(str(tmp_path / "out" / "batch=*")).where("message LIKE '%found' OR message LIKE '%again'").collect()} == {"brute", "malware"}
+
+
 def test_classifier_guards(spark, training):
     with pytest.raises(ValueError):
         classify.train_classifier(training.limit(1))
