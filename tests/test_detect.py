@@ -267,6 +267,15 @@ def test_min_max_ties(spark):
     assert stats.first_best(best, "s", "i").first()["i"] == 1
 
 
+def test_half_a_table_of_few_rows_is_not_grown_by_levels(spark, monkeypatch):
+    """Beyond 131,072 rows as below: a tree's rows are dealt once, not written a level."""
+    monkeypatch.setattr(iforest, "level_totals", lambda *_: pytest.fail("grown by levels"))
+    n = 140_000
+    rows_ = spark.range(n).select(F.col("id").alias("r"), F.pmod(F.xxhash64("id"), F.lit(1000)).cast("double").alias("a"))
+    found = iforest.forest_totals(rows_, ["a"], [iforest.ForestSpec(0, n // 2)], [4], 42, n).agg(F.count("score"), F.min("score"), F.max("score")).first()
+    assert found[0] == n and -1 <= found[1] < found[2] < 0
+
+
 @pytest.fixture(scope="module")
 def training(spark):
     data = [(i, f"failed password for root{i} from host common", "brute") for i in range(12)]

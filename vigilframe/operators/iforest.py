@@ -33,9 +33,10 @@ from vigilframe.session import materialize
 
 TREES = 100
 PSI = 256
-LEAF_ROWS = 1 << 17      # rows of a node that one task finishes
+LEAF_ROWS = 1 << 20      # rows of a node that one task finishes, 40 MB for five features
 MODEL_NODES = 1 << 21    # nodes of all forests that are sent to the rows at once
-TREE_BATCH = 20          # trees that one task finishes over the same rows
+TREE_BATCH = 20          # trees that one task finishes over the same rows, fewer beyond BATCH_ROWS
+BATCH_ROWS = 1 << 17
 BUCKETS = 16 ** 4        # of the order of rows
 DIGITS = 16.0 ** 13      # a draw has 13 hexadecimal digits
 NODES = "forest int, tree int, node bigint, feature int, cut double, length double"
@@ -277,7 +278,7 @@ def model_totals(rows: DataFrame, features: list[str], forests: dict[int, Forest
 def whole_table_totals(rows: DataFrame, features: list[str], specs: list[ForestSpec], trees: int, counts: list[int], seed: int, n: int) -> DataFrame:
     """forest, part (first tree of a batch), r and the batch's summed path lengths; the table has `LEAF_ROWS` rows at most."""
     by_id = {s.forest: s for s in specs}
-    borders = sorted({*range(0, trees, TREE_BATCH), *counts, trees})
+    borders = sorted({*range(0, trees, TREE_BATCH if n <= BATCH_ROWS else TREE_BATCH // 2), *counts, trees})
     parts = [(s.forest, first, last) for s in specs for first, last in zip(borders[:-1], borders[1:])]
 
     def finish(pdf: pd.DataFrame) -> pd.DataFrame:
