@@ -349,6 +349,28 @@ def test_wide_classifier(spark, training, tmp_path, monkeypatch):
     assert {r["predicted"] for r in spark.read.parquet(str(tmp_path / "out" / "batch=*")).where("message LIKE '%found' OR message LIKE '%again'").collect()} == {"brute", "malware"}
 
 
+def test_wide_matrix_is_compact(monkeypatch):
+    """Entries of a word in many rows take some five bytes; counts beyond a byte, texts without words and batches make no difference."""
+    import pyarrow as pa
+    from vigilframe.operators import wide
+    texts = [["common", "common", f"only{i % 7}"] for i in range(500)] + [None, [], ["common"] * 300]
+
+    def block(size):
+        table = pa.table({"row": pa.array(range(len(texts)), pa.int64()), "words": pa.array(texts, pa.list_(pa.string()))})
+        return wide.block_of(len(texts), 1.0, 1)(pa.Table.from_batches(wide.pieces_of(1)(table.to_batches(max_chunksize=size))))
+
+    def seen(cells):
+        found, words = wide.Block(cells), cells.column("tokens")[0].as_py()
+        return {w: (r.tolist(), v.tolist()) for w, r, v in zip(words, *(np.split(x, np.cumsum(found.sizes)[:-1]) for x in (found.rows, found.values)))}
+
+    whole = block(1000)
+    assert seen(whole) == seen(block(13)) and sum(len(whole.column(c)[0].as_py()) for c in ("rows", "tf")) <= 6 * 1001
+    rows_, values = seen(whole)["common"]
+    idf = math.log(504 / 502) + 1
+    assert rows_ == [*range(500), 502] and values == pytest.approx([2 * idf] * 500 + [300 * idf])
+    assert len(seen(whole)) == 8 and wide.PART_ROWS * 1000 <= 1 << 23  # a part's past steps fit one Arrow batch
+
+
 def test_classifier_guards(spark, training):
     with pytest.raises(ValueError):
         classify.train_classifier(training.limit(1))
