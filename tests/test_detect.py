@@ -349,6 +349,15 @@ def test_wide_classifier(spark, training, tmp_path, monkeypatch):
     assert {r["predicted"] for r in spark.read.parquet(str(tmp_path / "out" / "batch=*")).where("message LIKE '%found' OR message LIKE '%again'").collect()} == {"brute", "malware"}
 
 
+def test_spark_ml_fits_small_models_only(spark, monkeypatch):
+    """The last ten steps, two vectors each, lie on the driver, so 160,000 coefficients are too many for it."""
+    frame = spark.range(4).select(F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(20_000)), lambda i: F.concat(F.lit("w"), F.col("id"), F.lit("x"), i))).alias("message"),
+                                  F.concat(F.lit("class"), F.col("id") % 2).alias("threat_type"))
+    monkeypatch.setattr(classify.wide, "train", lambda rows_, n, words, classes, *_: (rows_.count(), n, words, classes))
+    assert classify.train_classifier(frame) == (4, 4, 80_000, ["class0", "class1"])
+    assert 20 * 8 * classify.MODEL_COEFFICIENTS <= 32 << 20
+
+
 def test_wide_matrix_is_compact(monkeypatch):
     """Entries of a word in many rows take some five bytes; counts beyond a byte, texts without words and batches make no difference."""
     import pyarrow as pa
