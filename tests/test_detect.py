@@ -276,6 +276,44 @@ def test_half_a_table_of_few_rows_is_not_grown_by_levels(spark, monkeypatch):
     assert found[0] == n and -1 <= found[1] < found[2] < 0
 
 
+def test_half_a_large_table_is_dealt_packed(spark, monkeypatch):
+    """Up to `WHOLE_LEAVES` times `LEAF_ROWS` rows too: whole, in blocks, with the paths of plain recursion."""
+    monkeypatch.setattr(iforest, "level_totals", lambda *_: pytest.fail("grown by levels"))
+    monkeypatch.setattr(iforest, "LEAF_ROWS", 100)
+    monkeypatch.setattr(iforest, "BLOCK_ROWS", 64)
+    n, rng = 700, np.random.default_rng(3)
+    x = np.where(rng.random((n, 3)) < 0.6, 0.0, rng.exponential(1, (n, 3)))
+    rows_ = spark.createDataFrame(pd.DataFrame(x, columns=list("abc")).assign(r=range(n))).repartition(3)
+    spec = iforest.ForestSpec(0, 3 * n // 4)
+    monkeypatch.setattr(iforest, "travelling", lambda *_: False)
+    got = iforest.forest_totals(rows_, list("abc"), [spec], [2, 5], 42, n).toPandas()
+    paths = np.stack([brute_paths(x, np.arange(n), spec, t, n, 42) for t in range(5)])
+    for count in (2, 5):
+        wanted = np.sort(iforest.scores(paths[:count].sum(axis=0), count, spec.psi))
+        np.testing.assert_allclose(np.sort(got[got["n"] == count]["score"]), wanted, rtol=1e-9)
+
+
+@pytest.mark.parametrize("small", [8, 10_000])
+def test_paths_in_the_order_of_the_features(monkeypatch, small):
+    """Sparse, dense, infinite and missing numbers: large nodes met one by one, small ones by level, lines by their cuts."""
+    monkeypatch.setattr(iforest, "SMALL_ROWS", small)
+    rng, n = np.random.default_rng(6), 400
+    one = np.zeros((n, 3))
+    one[np.arange(n), rng.integers(0, 3, n)] = rng.exponential(1, n)
+    odd = rng.normal(0, 1, (n, 3)).round(1)
+    odd[rng.random((n, 3)) < 0.03] = np.inf
+    for x in (one, rng.normal(0, 1, (n, 3)), odd):
+        for tree in range(3):
+            spec, draws = iforest.ForestSpec(0, n // 2, 0.7), iforest.Draws(1, 0, tree)
+            some = iforest.inside(np.arange(n), *draws.sample(n), n, spec.psi)
+            with np.errstate(all="ignore"):
+                got = iforest.lengths(x, some, draws.features(3, 0.7), draws, iforest.depth_limit(spec.psi))
+                np.testing.assert_allclose(got, brute_paths(x, np.arange(n), spec, tree, n, 1), rtol=1e-12)
+    gaps = np.array([[np.nan], [1.0], [2.0], [np.nan], [3.0]])
+    draws = iforest.Draws(1, 0, 0)
+    assert (iforest.lengths(gaps, np.ones(5, bool), np.array([0]), draws, 3) == iforest.average_path(5)).all()  # not cut beside NaN
+
+
 @pytest.fixture(scope="module")
 def training(spark):
     data = [(i, f"failed password for root{i} from host common", "brute") for i in range(12)]

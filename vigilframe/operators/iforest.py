@@ -12,19 +12,23 @@ draws exactly psi rows, from all rows, and no row is tested against all trees.
 Two ways lead to the same path lengths.  Forests of bounded sub-samples are grown by one task per tree and sent to the
 rows.  Forests of larger sub-samples, such as a share of the table, are never gathered: rows carry their node, each level
 is one aggregate of least and most value by forest, tree and node, and rows outside a tree's sub-sample travel with the
-others.  As soon as a node has at most `LEAF_ROWS` rows one task finishes the tree below it.
+others.  As soon as a node has at most `LEAF_ROWS` rows one task finishes the tree below it.  Tables of at most
+`WHOLE_LEAVES` times as many rows are dealt, packed, to one task for each batch of trees.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigilframe.functions.stats import below_quantile, inverse_min_max
@@ -34,9 +38,13 @@ from vigilframe.session import materialize
 TREES = 100
 PSI = 256
 LEAF_ROWS = 1 << 20      # rows of a node that one task finishes, 40 MB for five features
+WHOLE_LEAVES = 8         # times as many rows of a table whose trees one task grows whole, some 100 bytes a row
 MODEL_NODES = 1 << 21    # nodes of all forests that are sent to the rows at once
-TREE_BATCH = 20          # trees that one task finishes over the same rows, fewer beyond BATCH_ROWS
-BATCH_ROWS = 1 << 17
+TREE_BATCH = 25          # trees that one task grows over the same rows
+BLOCK_ROWS = 1 << 16     # rows that are packed into one
+SMALL_ROWS = 1 << 14     # rows of a node that is met together with others
+FEW = 64                 # nodes of a level that are met one by one, not all at once
+BATCH_BYTES = 16 << 20   # of an Arrow batch of packed rows
 BUCKETS = 16 ** 4        # of the order of rows
 DIGITS = 16.0 ** 13      # a draw has 13 hexadecimal digits
 NODES = "forest int, tree int, node bigint, feature int, cut double, length double"
@@ -86,8 +94,15 @@ class Draws:
 
     def of_nodes(self, nodes: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Two numbers below 1 for each node: which feature, and where to cut."""
-        digits = [self.hexadecimal(f"n{node}") for node in nodes]
-        return tuple(np.array([int(d[at:at + 13], 16) for d in digits], np.float64) / DIGITS for at in (0, 13))
+        name = hashlib.sha256((self.name + "n").encode())
+        digests = []
+        for node in nodes:
+            digest = name.copy()
+            digest.update(b"%d" % node)
+            digests.append(digest.digest())
+        found = np.frombuffer(b"".join(digests), np.uint8).reshape(-1, 32)
+        first, second = (np.ascontiguousarray(found[:, at:at + 8]).view(">u8").ravel().astype(np.uint64) for at in (0, 6))
+        return (first >> 12).astype(np.float64) / DIGITS, ((second << 4) >> 12).astype(np.float64) / DIGITS  # digits 1-13 and 14-26
 
     def features(self, n: int, share: float) -> np.ndarray:
         """The features that the tree may use, in order."""
@@ -122,12 +137,15 @@ def node_cuts(least: np.ndarray, most: np.ndarray, nodes: np.ndarray, allowed: n
     which, where = draws.of_nodes(nodes[inner].tolist())
     wanted = np.minimum((which * number[inner]).astype(np.int64), number[inner] - 1)
     chosen = (np.cumsum(free[inner], axis=1) == (wanted + 1)[:, None]).argmax(axis=1)
-    low, high = least[inner, chosen], most[inner, chosen]
-    drawn = low + where * (high - low)
-    feature[inner], cut[inner] = allowed[chosen], np.where(drawn < high, drawn, low)
+    feature[inner], cut[inner] = allowed[chosen], cut_between(least[inner, chosen], most[inner, chosen], where)
     return feature, cut
 
 
+def cut_between(low: np.ndarray, high: np.ndarray, where: np.ndarray) -> np.ndarray:
+    drawn = low + where * (high - low)
+    return np.where(drawn < high, drawn, low)
+
+
 def grow(x: np.ndarray, allowed: np.ndarray, draws: Draws, limit: int) -> pd.DataFrame:
     """The nodes of a tree over its sub-sample: node, feature, cut, length (of a leaf)."""
     node, depth, levels = np.ones(len(x), np.int64), 0, []
@@ -145,23 +163,239 @@ def grow(x: np.ndarray, allowed: np.ndarray, draws: Draws, limit: int) -> pd.Dat
     return pd.concat(levels)
 
 
+def average_paths(sizes: np.ndarray) -> np.ndarray:
+    n = np.maximum(sizes, 3).astype(np.float64)
+    long = 2.0 * (np.log(n - 1.0) + np.euler_gamma) - 2.0 * (n - 1.0) / n
+    return np.where(sizes <= 1, 0.0, np.where(sizes == 2, 1.0, long))
+
+
+class Table:
+    """Rows in the order of their features, each feature as the number of its value among the distinct ones; -1 is NaN.
+
+    In this order rows that differ in one feature only are sorted by it, so nothing is sorted for a tree.
+    """
+
+    def __init__(self, columns: Iterable[np.ndarray]):
+        """`columns` are met one by one, so that each may be made just then and go when it is coded."""
+        self.values, self.codes, key, width = [], [], None, 1
+        for column in columns:
+            values = np.sort(column)
+            values = values[:len(values) - np.count_nonzero(np.isnan(values))]  # NaN is last
+            values = values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+            code = np.empty(len(column), np.int32)
+            for at in range(0, len(column), BLOCK_ROWS):
+                some = column[at:at + BLOCK_ROWS]
+                code[at:at + BLOCK_ROWS] = np.where(np.isnan(some), -1, np.searchsorted(values, some))
+            del column, some  # before the next is met
+            size = len(values) + 1
+            if key is not None and width * size > 1 << 62:
+                key = np.unique(key, return_inverse=True)[1]
+                width = int(key.max(initial=0)) + 1
+            key, width = (code + 1).astype(np.int64) if key is None else key * size + (code + 1), width * size
+            self.values.append(values)
+            self.codes.append(code)
+        self.order = np.argsort(key).astype(np.int32)  # of a table of at most WHOLE_LEAVES * LEAF_ROWS rows
+        del key
+        for j, code in enumerate(self.codes):
+            self.codes[j] = code[self.order]
+
+
+def part_ends(code: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least and most of each part of `code`; no part is empty."""
+    if len(starts) <= FEW:
+        parts = [code[a:a + k] for a, k in zip(starts.tolist(), sizes.tolist())]
+        return np.array([p.min() for p in parts]), np.array([p.max() for p in parts])
+    return np.minimum.reduceat(code, starts), np.maximum.reduceat(code, starts)
+
+
+class Rows:
+    """Rows of the nodes of a level, node by node: their places in the table, and the codes of the features that still vary."""
+
+    def __init__(self, at: np.ndarray, codes: dict[int, np.ndarray], sizes: np.ndarray):
+        self.at, self.codes, self.sizes = at, codes, sizes
+        self.starts = np.cumsum(sizes) - sizes
+
+    def pick(self, nodes: np.ndarray, features) -> Rows:
+        """The rows of some nodes, with some features."""
+        if nodes.all():
+            return Rows(self.at, {f: self.codes[f] for f in features}, self.sizes)
+        chosen = np.flatnonzero(nodes)
+        if len(chosen) <= FEW:
+            spans = [slice(a, a + k) for a, k in zip(self.starts[chosen].tolist(), self.sizes[chosen].tolist())]
+
+            def of(array):
+                return np.concatenate([array[s] for s in spans]) if len(spans) > 1 else array[spans[0]]
+        else:
+            where = np.flatnonzero(np.repeat(nodes, self.sizes))
+
+            def of(array):
+                return array.take(where)
+        return Rows(of(self.at), {f: of(self.codes[f]) for f in features}, self.sizes[chosen])
+
+    def split(self, feature: np.ndarray, most: np.ndarray) -> Rows:
+        """The children: first those of the rows whose code is at most `most` in the node's feature, then the others."""
+        high = np.empty(len(self.at), bool)
+        if len(feature) <= FEW:
+            rights = np.empty(len(feature), np.int64)
+            for i, (a, k, f, m) in enumerate(zip(self.starts.tolist(), self.sizes.tolist(), feature.tolist(), most.tolist())):
+                np.greater(self.codes[f][a:a + k], m, out=high[a:a + k])
+                rights[i] = np.count_nonzero(high[a:a + k])
+        else:
+            high[:] = False
+            for f in np.unique(feature).tolist():
+                high |= self.codes[f] > np.repeat(np.where(feature == f, most, np.iinfo(np.int32).max).astype(np.int32), self.sizes)
+            upto = np.concatenate([[0], np.cumsum(high, dtype=np.int32)])
+            rights = (upto[self.starts + self.sizes] - upto[self.starts]).astype(np.int64)
+        order = np.concatenate([np.flatnonzero(~high), np.flatnonzero(high)])
+        del high
+        codes = {f: code.take(order) for f, code in self.codes.items()}
+        return Rows(self.at.take(order), codes, np.concatenate([self.sizes - rights, rights]))
+
+    def sorted_keys(self, feature: int, span: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and the numbers node * span + code + 1, in ascending order; the table's order mostly has them so."""
+        keys = self.codes[feature].astype(np.int64) + 1
+        if len(self.sizes) > 1:
+            keys += np.repeat(np.arange(len(self.sizes)) * span, self.sizes)
+        if (keys[1:] >= keys[:-1]).all():
+            return self.at, keys
+        order = np.argsort(keys, kind="stable")
+        return self.at[order], keys[order]
+
+
+def add_line_lengths(total: np.ndarray, values: np.ndarray, feature: int, some: Rows, rest: Rows, nodes: np.ndarray, depth: np.ndarray,
+                     draws: Draws, limit: int) -> None:
+    """Add the path lengths below nodes whose sampled rows differ in one feature only: cuts are searched in the sorted rows."""
+    span = len(values) + 1
+    (at, keys), (rest_at, rest_keys) = some.sorted_keys(feature, span), rest.sorted_keys(feature, span)
+    base = np.arange(len(nodes)) * span
+    spans = np.stack([some.starts, some.starts + some.sizes, rest.starts, rest.starts + rest.sizes])
+    leaves = []
+    while len(nodes):
+        least, most = keys[spans[0]] - base, keys[spans[1] - 1] - base
+        inner = (most > least) & (depth < limit)
+        done = spans[:, ~inner]
+        leaves.append((done, depth[~inner] + average_paths(done[1] - done[0])))
+        spans, nodes, base, depth = spans[:, inner], nodes[inner], base[inner], depth[inner]
+        if not len(nodes):
+            break
+        cut = cut_between(values[least[inner] - 1], values[most[inner] - 1], draws.of_nodes(nodes.tolist())[1])
+        last = base + np.searchsorted(values, cut, "right")
+        middle, rest_middle = keys.searchsorted(last, "right"), rest_keys.searchsorted(last, "right")
+        spans = np.concatenate([np.stack([spans[0], middle, spans[2], rest_middle]), np.stack([middle, spans[1], rest_middle, spans[3]])], axis=1)
+        nodes, base, depth = np.concatenate([2 * nodes, 2 * nodes + 1]), np.concatenate([base, base]), np.concatenate([depth + 1, depth + 1])
+    spans, length = np.concatenate([s for s, _ in leaves], axis=1), np.concatenate([v for _, v in leaves])
+    order = np.argsort(spans[0])
+    spans, length = spans[:, order], length[order]
+    total[at] += np.repeat(length, spans[1] - spans[0])
+    total[rest_at] += np.repeat(length, spans[3] - spans[2])
+
+
+def add_level_lengths(total: np.ndarray, table: Table, some: Rows, rest: Rows, nodes: np.ndarray, depth: np.ndarray, draws: Draws, limit: int) -> None:
+    """Add the path lengths below many nodes, all of them by one level after another, grown from the rows `some`.
+
+    Nodes whose sampled rows differ in one feature at most leave the level with their rows.
+    """
+    while len(nodes):
+        features = list(some.codes)
+        ends = {f: part_ends(some.codes[f], some.starts, some.sizes) for f in features}
+        vary = {f: most > least for f, (least, most) in ends.items()}
+        free = {f: vary[f] & (least >= 0) for f, (least, most) in ends.items()}  # not while a sampled row has NaN, but maybe below
+        leaf = ~np.any([*free.values(), np.zeros(len(nodes), bool)], axis=0) | (depth == limit)
+        line = ~leaf & (sum(vary.values(), np.zeros(len(nodes), np.int64)) == 1)
+        if leaf.any():
+            length = depth[leaf] + average_paths(some.sizes[leaf])
+            for part in (some.pick(leaf, []), rest.pick(leaf, [])):
+                total[part.at] += np.repeat(length, part.sizes)
+        for f in free:
+            chosen = line & free[f]
+            if chosen.any():
+                add_line_lengths(total, table.values[f], f, some.pick(chosen, [f]), rest.pick(chosen, [f]), nodes[chosen], depth[chosen], draws, limit)
+        inner = ~leaf & ~line
+        if not inner.any():
+            return
+        features = [f for f in features if vary[f][inner].any()]
+        least, most = (np.stack([np.where(free[f], table.values[f][ends[f][end]], 0.0)[inner] for f in features], axis=1) for end in (0, 1))
+        some, rest, nodes, depth = some.pick(inner, features), rest.pick(inner, features), nodes[inner], depth[inner]
+        feature, cut = node_cuts(least, most, nodes, np.array(features), draws)
+        last = np.empty(len(nodes), np.int64)
+        for f in np.unique(feature).tolist():
+            last[feature == f] = np.searchsorted(table.values[f], cut[feature == f], "right") - 1
+        some, rest = some.split(feature, last), rest.split(feature, last)
+        nodes, depth = np.concatenate([2 * nodes, 2 * nodes + 1]), np.concatenate([depth + 1, depth + 1])
+
+
+def divided(at: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places that are not `high`, and those that are, mostly neighbours in the table's order."""
+    number, first = np.count_nonzero(high), int(high.argmax()) if len(high) else 0
+    if high[first:first + number].all():
+        return np.concatenate([at[:first], at[first + number:]]), at[first:first + number]
+    return at.take(np.flatnonzero(~high)), at.take(np.flatnonzero(high))
+
+
+def add_lengths(total: np.ndarray, table: Table, sampled: np.ndarray, allowed: np.ndarray, draws: Draws, limit: int, root: int = 1, depth: int = 0) -> None:
+    """Add to `total` the path lengths of all rows of the table below the node `root`, grown from those that are sampled.
+
+    Large nodes are met one by one, as places in the table with the rows of each feature's ends, which a child mostly takes
+    over; small ones in groups, level by level.
+    """
+    codes, groups, held = table.codes, [], 0
+
+    def ends_of(at: np.ndarray, f: int) -> tuple:
+        code = codes[f].take(at)
+        return at[code.argmin()], at[code.argmax()]
+
+    def finish() -> None:
+        nodes, depths, some, rest = zip(*groups)
+        parts = []
+        for ats in (some, rest):
+            at = np.concatenate(ats)
+            parts.append(Rows(at, {f: codes[f].take(at) for f in allowed.tolist()}, np.array([len(a) for a in ats])))
+        groups.clear()
+        add_level_lengths(total, table, *parts, np.array(nodes), np.array(depths), draws, limit)
+
+    some, rest = (np.flatnonzero(inside).astype(np.int32) for inside in (sampled, ~sampled))
+    stack = [(root, depth, some, rest, None)]
+    del some, rest
+    while stack:
+        node, depth, some, rest, ends = stack.pop()
+        if len(some) + len(rest) <= SMALL_ROWS:
+            groups.append((node, depth, some, rest))
+            held += len(some) + len(rest)
+            if held > 8 * SMALL_ROWS:
+                finish()
+                held = 0
+            continue
+        if ends is None:
+            ends = {f: ends_of(some, f) for f in allowed.tolist()}
+        ends = {f: (a, b) for f, (a, b) in ends.items() if codes[f][a] < codes[f][b]}
+        free = [f for f, (a, b) in ends.items() if codes[f][a] >= 0]
+        if depth == limit or not free:
+            total[some] += depth + average_path(len(some))
+            total[rest] += depth + average_path(len(some))
+            continue
+        if len(ends) == 1:
+            f, = free
+            parts = [Rows(at, {f: codes[f].take(at)}, np.array([len(at)])) for at in (some, rest)]
+            add_line_lengths(total, table.values[f], f, *parts, np.array([node]), np.array([depth]), draws, limit)
+            continue
+        which, where = (float(v[0]) for v in draws.of_nodes([node]))
+        f = free[min(int(which * len(free)), len(free) - 1)]
+        values, code = table.values[f], codes[f]
+        cut = cut_between(values[code[ends[f][0]]], values[code[ends[f][1]]], where)
+        last = int(np.searchsorted(values, cut, "right")) - 1
+        some, rest = (divided(at, code.take(at) > last) for at in (some, rest))
+        for high in (0, 1):
+            taken = {g: e if all((code[at] > last) == high for at in e) else ends_of(some[high], g) for g, e in ends.items()}
+            stack.append((2 * node + high, depth + 1, some[high], rest[high], taken))
+    if groups:
+        finish()
+
+
 def lengths(x: np.ndarray, sampled: np.ndarray, allowed: np.ndarray, draws: Draws, limit: int, root: int = 1, depth: int = 0) -> np.ndarray:
     """Path lengths of all rows below the node `root`, grown from those that are sampled."""
-    out, rows = np.zeros(len(x)), np.arange(len(x))
-    node = np.full(len(x), root, np.int64)
-    while len(rows):
-        order = np.argsort(node, kind="stable")
-        rows, node = rows[order], node[order]
-        some = sampled[rows]
-        nodes, at = np.unique(node, return_inverse=True)
-        sizes = np.bincount(at[some], minlength=len(nodes))
-        feature, cut = (np.full(len(nodes), -1), np.zeros(len(nodes))) if depth == limit else cuts(x[rows[some]], sizes, nodes, allowed, draws)
-        leaf = feature[at] < 0
-        means = {s: average_path(s) for s in np.unique(sizes).tolist()}
-        out[rows[leaf]] = depth + np.array([means[s] for s in sizes.tolist()])[at[leaf]]
-        rows, at = rows[~leaf], at[~leaf]
-        node = 2 * nodes[at] + (x[rows, feature[at]] > cut[at])
-        depth += 1
+    table, total, out = Table(x[:, j].copy() for j in range(x.shape[1])), np.zeros(len(x)), np.empty(len(x))
+    add_lengths(total, table, sampled[table.order], allowed, draws, limit, root, depth)
+    out[table.order] = total
     return out
 
 
@@ -199,22 +433,27 @@ class Forest:
         children = [[place.get((t, 2 * k + side), 0) for t, k in zip(row.tolist(), nodes["node"].tolist())] for side in (0, 1)]
         self.feature = table(nodes["feature"].to_numpy(), -1, np.int32)
         self.cut, self.length = table(nodes["cut"].to_numpy(), 0.0, float), table(nodes["length"].to_numpy(), 0.0, float)
-        self.low, self.high = (table(c, 0, np.int32) for c in children)
+        low, high = (table(c, 0, np.int32) for c in children)
+        self.children = np.stack([high, low], axis=2).reshape(trees, -1)  # of node k at 2k and 2k + 1
+        at = np.arange(shape[1], dtype=np.int32)
+        leaf = np.repeat(self.feature < 0, 2, axis=1)
+        self.children = np.where(leaf, np.repeat(at, 2)[None, :], self.children).astype(np.int32)  # a leaf leads to itself
 
     def totals(self, x: np.ndarray, counts: list[int]) -> list[np.ndarray]:
         """Path lengths of every row, summed over the first trees of each count."""
         out, total, rows = {}, np.zeros(len(x)), np.arange(len(x))
+        flat = np.ascontiguousarray(x.T).ravel()  # feature f of row i at f * len(x) + i
         for tree in range(len(self.feature)):
-            feature, cut = self.feature[tree], self.cut[tree]
+            cut, children = self.cut[tree], self.children[tree]
+            start = np.maximum(self.feature[tree], 0).astype(np.int64) * len(x)
             node = np.zeros(len(x), np.int32)
             while True:
-                split = feature[node]
-                inner = split >= 0
-                if not inner.any():
+                goes_low = flat.take(start.take(node) + rows) <= cut.take(node)
+                below = children.take(2 * node + goes_low)
+                if np.array_equal(below, node):
                     break
-                goes_low = x[rows, np.maximum(split, 0)] <= cut[node]
-                node = np.where(inner, np.where(goes_low, self.low[tree][node], self.high[tree][node]), node)
-            total = total + self.length[tree][node]
+                node = below
+            total = total + self.length[tree].take(node)
             out[tree + 1] = total
         return [out[c] for c in counts]
 
@@ -275,25 +514,85 @@ def model_totals(rows: DataFrame, features: list[str], forests: dict[int, Forest
     return rows.select(*features).mapInPandas(walk, "forest int, n int, score double")
 
 
-def whole_table_totals(rows: DataFrame, features: list[str], specs: list[ForestSpec], trees: int, counts: list[int], seed: int, n: int) -> DataFrame:
-    """forest, part (first tree of a batch), r and the batch's summed path lengths; the table has `LEAF_ROWS` rows at most."""
-    by_id = {s.forest: s for s in specs}
-    borders = sorted({*range(0, trees, TREE_BATCH if n <= BATCH_ROWS else TREE_BATCH // 2), *counts, trees})
-    parts = [(s.forest, first, last) for s in specs for first, last in zip(borders[:-1], borders[1:])]
+def packed(rows: DataFrame, features: list[str]) -> DataFrame:
+    """`rows` of at most `WHOLE_LEAVES * LEAF_ROWS` places as binary blocks: r (4 bytes a row) and the features (8 bytes)."""
+    names = ["r", *features]
 
-    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
-        spec, first, last = by_id[int(pdf["forest"].iloc[0])], int(pdf["first"].iloc[0]), int(pdf["last"].iloc[0])
-        x, r, total = pdf[features].to_numpy(np.float64), pdf["r"].to_numpy(), np.zeros(len(pdf))
-        psi = min(spec.psi, n)
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in chain(batches, [None]):
+            if batch is not None and batch.num_rows:
+                held.append([batch[0].to_numpy(zero_copy_only=False).astype("<i4"), *[
+                    batch[j].to_numpy(zero_copy_only=False).astype("<f8") for j in range(1, len(names))]])
+                size += batch.num_rows
+            if held and (batch is None or size >= BLOCK_ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(c).tobytes()], pa.binary()) for c in zip(*held)], names)
+                held, size = [], 0
+
+    return rows.select("r", *[F.col(f).cast("double").alias(f) for f in features]).mapInArrow(pack, ", ".join(f"`{c}` binary" for c in names))
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Arrow batches of at most `BATCH_BYTES` for the plans that run inside; a row here is a block of rows."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def whole_table_scores(rows: DataFrame, features: list[str], specs: list[ForestSpec], trees: int, counts: list[int], seed: int, n: int) -> DataFrame:
+    """forest, n (of `counts`) and score of every row; the table has `WHOLE_LEAVES * LEAF_ROWS` rows at most.
+
+    A task grows a batch of trees over all rows, which come to it in blocks, and gives its sums in blocks of places.
+    """
+    borders = sorted({*range(0, trees, TREE_BATCH), *counts, trees})
+    parts = [(spec, first, last) for spec in specs for first, last in zip(borders[:-1], borders[1:])]
+    size, psis = BLOCK_ROWS, {s.forest: min(s.psi, n) for s in specs}
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, filled, r, columns = None, 0, np.empty(n, np.int32), []
+        for batch in batches:
+            columns = columns or [np.empty(n) for _ in features]
+            for i in range(batch.num_rows):
+                part, block = batch[0][i].as_py(), [np.frombuffer(batch[j][i].as_buffer(), "<f8" if j > 1 else "<i4") for j in range(1, batch.num_columns)]
+                for column, piece in zip([r, *columns], block):
+                    column[filled:filled + len(piece)] = piece
+                filled += len(block[0])
+        if part is None:
+            return
+        spec, first, last = parts[part]
+        columns.reverse()
+        table, psi = Table(columns.pop() for _ in features), psis[spec.forest]
+        r, total = r[table.order], np.zeros(n)
         for tree in range(first, last):
             draws = Draws(seed, spec.forest, tree)
-            some = inside(r, *draws.sample(n), n, psi)
-            total += lengths(x, some, draws.features(len(features), spec.max_features), draws, depth_limit(psi))
-        return pd.DataFrame({"forest": spec.forest, "part": first, "r": r, "total": total})
-
-    listed = F.explode(F.array(*[F.struct(F.lit(f).alias("forest"), F.lit(a).alias("first"), F.lit(b).alias("last")) for f, a, b in parts])).alias("p")
-    return rows.select(listed, "r", *features).select("p.*", "r", *features).groupBy("forest", "first", "last").applyInPandas(
-        finish, "forest int, part int, r bigint, total double")
+            add_lengths(total, table, inside(r, *draws.sample(n), n, psi), draws.features(len(features), spec.max_features), draws, depth_limit(psi))
+        del table
+        placed = np.empty(n, "<f8")
+        placed[r] = total
+        for block, at in enumerate(range(0, n, size)):
+            yield pa.RecordBatch.from_pydict(
+                {"forest": pa.array([spec.forest], pa.int32()), "first": pa.array([first], pa.int32()), "block": pa.array([block], pa.int32()),
+                 "total": pa.array([placed[at:at + size].tobytes()], pa.binary())})
+
+    def score(pdf: pd.DataFrame) -> pd.DataFrame:
+        forest, pdf = int(pdf["forest"].iloc[0]), pdf.sort_values("first")
+        sums, out = 0.0, {}
+        for first, total in zip(pdf["first"].tolist(), pdf["total"]):
+            if first in counts:
+                out[first] = sums
+            sums = sums + np.frombuffer(total, "<f8")
+        out[trees] = sums
+        return pd.concat([pd.DataFrame({"forest": forest, "n": c, "score": scores(out[c], c, psis[forest])}) for c in counts])
+
+    with small_batches(rows.sparkSession):
+        dealt = packed(rows, features).select(F.explode(F.sequence(F.lit(0), F.lit(len(parts) - 1))).alias("part"), "r", *features)
+        grown = materialize(dealt.repartitionById(len(parts), F.col("part")).mapInArrow(finish, "forest int, first int, block int, total binary"), "path-lengths")
+        return materialize(grown.groupBy("forest", "block").applyInPandas(score, "forest int, n int, score double"), "forest-scores")
 
 
 def level_totals(rows: DataFrame, features: list[str], specs: list[ForestSpec], trees: int, seed: int, n: int) -> DataFrame:
@@ -365,8 +664,11 @@ def forest_totals(
     for spec in light:  # one model at a time is on the driver
         part = model_totals(rows, features, fit_forests(rows, features, [spec], trees, seed, n), counts)
         out = part if out is None else out.unionByName(part)
-    if heavy:
-        total = whole_table_totals(rows, features, heavy, trees, counts, seed, n) if n <= LEAF_ROWS else level_totals(rows, features, heavy, trees, seed, n)
+    if heavy and n <= WHOLE_LEAVES * LEAF_ROWS:
+        part = whole_table_scores(rows, features, heavy, trees, counts, seed, n)
+        out = part if out is None else out.unionByName(part)
+    elif heavy:
+        total = level_totals(rows, features, heavy, trees, seed, n)
         sums = materialize(total.groupBy("forest", "r").agg(*[F.sum(F.when(F.col("part") < c, F.col("total"))).alias(f"first_{c}") for c in counts]), "path-lengths")
         mean = F.create_map(*[F.lit(x) for s in heavy for x in (s.forest, max(average_path(min(s.psi, n)), 1e-12))])[F.col("forest")]
         score = [F.struct(F.lit(c).alias("n"), score_of(F.col(f"first_{c}"), c, mean).alias("score")) for c in counts]
