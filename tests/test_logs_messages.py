@@ -273,3 +273,23 @@ def test_status_listings_deal_out_the_answers(spark, monkeypatch):
     assert sorted(tuple(r) for r in found.collect()) == whole and len(whole) == 100
     plan = found._jdf.queryExecution().sparkPlan().toString()
     assert "REPARTITION_BY_NUM" in plan[plan.index("Generate explode(sequence(slot"):]
+
+
+def test_status_listings_shuffle_no_answer(spark, monkeypatch):
+    """However many the requests, a state meets them before it is written out: no exchange or join of answers."""
+    data = [(i, i, "register", f"w{i}", "x") for i in range(5)] + [(10 + i, 3 + 2 * i, "get_status", None, None) for i in range(30)]
+    table = spark.createDataFrame(data, "event_id int, s long, type string, worker_id string, worker_type string").select(
+        "*", F.timestamp_seconds("s").alias("event_ts"), F.lit("h").alias("host"), F.lit("{}").alias("data"))
+    whole = sorted(tuple(r) for r in messages.status_listings(table).collect())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for listed in (1024, 7):
+            monkeypatch.setattr(messages, "LISTED", listed)
+            found = messages.status_listings(table)
+            assert sorted(tuple(r) for r in found.collect()) == whole and len(whole) > 100
+            plan = found._jdf.queryExecution().sparkPlan().toString()
+            above = plan[:plan.index("Generate explode(sequence(slot")]
+            assert "Join" not in above and "Exchange" not in above
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
