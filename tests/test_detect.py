@@ -431,3 +431,31 @@ def test_report(spark):
     assert got["a"] == (0.5, 0.5, 0.5, 2) and got["c"] == (0.0, 0.0, 0.0, 1)
     assert got["accuracy"][0] == 0.5 and got["weighted avg"][1] == pytest.approx(0.5)
     assert classify.accuracy(df).first()[0] == 0.5
+
+
+def test_wide_groups_have_a_task_each(spark):
+    """By their hash several groups met in one task while others had none."""
+    from vigilframe.operators import wide
+    for number in (1, 6, 18):
+        dealt = spark.createDataFrame([(c,) for c in wide.one_a_partition(spark, number)], "c int").repartition(number, "c")
+        assert dealt.groupBy(F.spark_partition_id()).count().agg(F.count("*"), F.max("count")).first()[:] == (number, 1)
+
+
+def test_wide_fit_takes_few_passes(spark, monkeypatch):
+    """Newton's steps end near the minimum of the losses and the penalty after a few passes over the matrix."""
+    from vigilframe.operators import wide
+    rng, passes, advanced = np.random.default_rng(2), [], wide.advanced
+    data = [(" ".join(f"w{int(j)}" for j in rng.zipf(1.3, 30) if j < 400), f"c{int(rng.integers(3))}") for _ in range(150)]
+    rows_ = spark.createDataFrame([(i, m, t) for i, (m, t) in enumerate(data)], "id int, message string, threat_type string")
+    monkeypatch.setattr(wide, "advanced", lambda *a: passes.append(1) or advanced(*a))
+    model = classify.train_classifier(rows_, max_coefficients=0)
+    table = {r["token"]: r["weights"] for r in model.weights.collect()}
+    tf = {(r["id"], r["token"]): r["weight"] for r in classify.tfidf_weights(rows_, "id").collect()}
+    words = sorted(table)
+    x, w = np.array([[tf.get((i, t), 0.0) for t in words] for i in range(len(data))]), np.array([table[t] for t in words])
+    p = np.exp(x @ w + np.array(model.intercepts))
+    p /= p.sum(axis=1, keepdims=True)
+    y = np.eye(3)[[model.classes.index(t) for _, t in data]]
+    value = -np.log((p * y).sum(axis=1)).sum() + (w * w).sum() / 2
+    left = ((x.T @ (p - y) + w) ** 2).sum() / 2 + ((p - y).sum(axis=0) ** 2).sum() / 2
+    assert left <= 1e-4 * value and len(passes) <= 14
