@@ -293,3 +293,22 @@ def test_status_listings_shuffle_no_answer(spark, monkeypatch):
             assert "Join" not in above and "Exchange" not in above
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rule_table_rows_travel_without_needless_keys(spark, monkeypatch):
+    """A message's keys go with a row only where another of them may count for the same rule."""
+    from vigilframe.operators import rule_tables
+
+    monkeypatch.setattr(rule_tables, "HEAVY", 4)
+    table = [(f"c{i}", n) for i in range(9) for n in ("port", f"u{i}")] + [("two", "ssh"), ("two", "sudo"), ("one", "u1")]
+    rules = spark.createDataFrame(table, "rule string, needle string")
+    texts = ["u1 port", "u1 ssh sudo port", "sudo", "port u8", None]
+    logs_ = spark.createDataFrame(list(enumerate(texts)), "id int, message string")
+    keyed = rule_tables.keyed_rules(rules)
+    kinds = {x["needle"]: x["kind"] for x in keyed.collect()}
+    assert kinds["port"] == "h" and kinds["ssh"] == kinds["sudo"] == "m" and kinds["u1"] == "n"
+    found = rule_tables.with_keys(logs_, keyed, "message", "_keys").where("size(_keys) > 0")
+    hits = sorted((x["id"], x["rule"]) for x in rule_tables._matches(found, rule_tables.rule_keys(keyed), ["id"]).collect())
+    assert hits == sorted((i, r) for i, t in enumerate(texts) for r in {r for r, n in table if n in (t or "")})
+    plan = rule_tables._matches(found, rule_tables.rule_keys(keyed), ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN (StartsWith(_key" in plan and "StartsWith(_key" in plan[plan.index("RepartitionByExpression"):]  # dropped before rows are dealt
